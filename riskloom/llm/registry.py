@@ -6,11 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from riskloom.llm import bpe
+from riskloom.llm import bpe, quality_rules
 
 
 def queries() -> dict[str, Callable[..., DataFrame]]:
-    return {"op3_bpe": bpe.op3_bpe}
+    return {
+        "op3_bpe": bpe.op3_bpe,
+        "op10_quality_rules": quality_rules.op10_quality_rules,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
