@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from riskloom.llm import bpe, decontaminate, quality_rules
+from riskloom.llm import bpe, decontaminate, jaccard_join, quality_rules
 
 
 def queries() -> dict[str, Callable[..., DataFrame]]:
     return {
         "op3_bpe": bpe.op3_bpe,
         "op4_decontaminate": decontaminate.op4_decontaminate,
+        "op8_jaccard_join": jaccard_join.op8_jaccard_join,
         "op10_quality_rules": quality_rules.op10_quality_rules,
     }
 
