@@ -35,8 +35,8 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def ngrams(w: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the n-grams, by their first word."""
-    m = len(w) - n + 1
-    h = np.full(max(m, 0), np.uint64(n))
+    m = max(0, len(w) - n + 1)
+    h = np.full(m, np.uint64(n))
     for k in range(n):
         h = mix((h * _B) ^ w[k : k + m])
     return h
