@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from riskloom.llm import bpe, decontaminate, jaccard_join, quality_rules, substring_dedup
+from riskloom.llm import bpe, decontaminate, jaccard_join, license_scan, quality_rules, substring_dedup
 
 
 def queries() -> dict[str, Callable[..., DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[..., DataFrame]]:
         "op3_bpe": bpe.op3_bpe,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op8_jaccard_join": jaccard_join.op8_jaccard_join,
+        "op9_license_scan": license_scan.op9_license_scan,
         "op10_quality_rules": quality_rules.op10_quality_rules,
     }
 
