@@ -6,12 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from riskloom.llm import bpe, decontaminate, jaccard_join, license_scan, quality_rules, substring_dedup
+from riskloom.llm import bpe, chat_format, decontaminate, jaccard_join, license_scan, quality_rules, substring_dedup
 
 
 def queries() -> dict[str, Callable[..., DataFrame]]:
     return {
         "op1_substring_dedup": substring_dedup.op1_substring_dedup,
+        "op2_chat_format": chat_format.op2_chat_format,
         "op3_bpe": bpe.op3_bpe,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op8_jaccard_join": jaccard_join.op8_jaccard_join,
