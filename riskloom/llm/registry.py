@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from riskloom.llm import bpe, chat_format, decontaminate, jaccard_join, license_scan, quality_rules, substring_dedup
+from riskloom.llm import bpe, chat_format, decontaminate, jaccard_join, language_id, license_scan, quality_classifier, quality_rules, substring_dedup
 
 
 def queries() -> dict[str, Callable[..., DataFrame]]:
@@ -15,6 +15,8 @@ def queries() -> dict[str, Callable[..., DataFrame]]:
         "op2_chat_format": chat_format.op2_chat_format,
         "op3_bpe": bpe.op3_bpe,
         "op4_decontaminate": decontaminate.op4_decontaminate,
+        "op5_language_id": language_id.op5_language_id,
+        "op7_quality_classifier": quality_classifier.op7_quality_classifier,
         "op8_jaccard_join": jaccard_join.op8_jaccard_join,
         "op9_license_scan": license_scan.op9_license_scan,
         "op10_quality_rules": quality_rules.op10_quality_rules,
