@@ -27,7 +27,7 @@ from riskloom.llm.components import connected_components
 from riskloom.llm.shingles import set_key, shingle_set
 
 #: Link when 4 * overlap >= 3 * union.
-FREQUENT = 1_000_000  # tokens whose order is kept by their count; all others count as rare
+FREQUENT = 250_000  # tokens whose order is kept by their count; all others count as rare (an order, never a filter)
 SMALL_RUN = 24  # classes in a list that are paired at once
 FLUSH = 400_000
 CELL = 64  # candidates that are searched together
@@ -322,8 +322,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     classes = materialize(classes, "classes")
     reps = classes.select("key", "rep")
-    common = seen.filter("kind = 1").groupBy("key").agg(F.sum("n_shingles").alias("c")).orderBy(F.desc("c"), "key").limit(FREQUENT).toPandas()
-    order = spark.sparkContext.broadcast((common["key"].to_numpy(np.int64).view(np.uint64), common["c"].to_numpy(np.int64)))
+    common = seen.filter("kind = 1").groupBy("key").agg(F.sum("n_shingles").alias("c")).orderBy(F.desc("c"), "key").limit(FREQUENT).toArrow()
+    order = spark.sparkContext.broadcast((common["key"].to_numpy().view(np.uint64), common["c"].to_numpy()))
     buckets = partitions(spark) * 4
     lists = docs.select("text").mapInArrow(_postings(order, buckets), "bucket int, blob binary")
     found = materialize(lists.groupBy("bucket").applyInArrow(_propose, "a long, b long, run binary"), "proposed")
