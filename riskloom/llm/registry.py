@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from riskloom.llm import bpe, chat_format, decontaminate, jaccard_join, language_id, license_scan, quality_classifier, quality_rules, substring_dedup
+from riskloom.llm import bpe, chat_format, decontaminate, jaccard_join, language_id, license_scan, quality_classifier, quality_rules, substring_dedup, warc
 
 
 def queries() -> dict[str, Callable[..., DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[..., DataFrame]]:
         "op3_bpe": bpe.op3_bpe,
         "op4_decontaminate": decontaminate.op4_decontaminate,
         "op5_language_id": language_id.op5_language_id,
+        "op6_warc": warc.op6_warc,
         "op7_quality_classifier": quality_classifier.op7_quality_classifier,
         "op8_jaccard_join": jaccard_join.op8_jaccard_join,
         "op9_license_scan": license_scan.op9_license_scan,
