@@ -351,6 +351,6 @@ def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: of each component the document with its smallest id stays, once."""
     keep = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     nameless = docs.filter("doc_id IS NULL")
     return kept.unionByName(nameless).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -208,14 +208,16 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
     return [r[1:] for r in got], list(exprs)
 
 
-def apply_rules(docs: DataFrame, rules: list[Rule]) -> DataFrame:
+def apply_rules(docs: DataFrame, rules: list[Rule], prefix: str = "") -> DataFrame:
     """docs plus `signals`, `base_failed` and `kept` (false if the base rule or the list rejects).
 
-    Nulls, empty texts and repeated rows are judged like any other row; an empty table stays empty.
+    prefix goes before the three names, where docs has such columns already. Nulls, empty texts and
+    repeated rows are judged like any other row; an empty table stays empty.
     """
-    x = with_signals(docs)
-    failed = base_failed(F.col("signals"))
-    return x.withColumns({"base_failed": failed, "kept": ~failed & verdict(rules, F.col("signals"))})
+    x = with_signals(docs, out=prefix + "signals")
+    s = F.col(prefix + "signals")
+    failed = base_failed(s)
+    return x.withColumns({prefix + "base_failed": failed, prefix + "kept": ~failed & verdict(rules, s)})
 
 
 def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
@@ -228,4 +230,4 @@ def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: documents that the rules reject go."""
     rules = learn_decision_list(*training_rows(docs, table(spark, sf_dir, "labels")))
-    return apply_rules(docs, rules).filter("kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return apply_rules(docs, rules, "__qr_").filter("__qr_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
