@@ -66,6 +66,14 @@ WORK_LISTS = {
     "WL-06": "class_id IS NULL AND sec_domain_source = 'Domain Telemetry' AND google_search_results IS NOT NULL",
     "WL-07": "class_id IS NULL AND online_status = 'Online' AND redirect_domain = false",
     "WL-08": "redirect_domain = true",
+    "WL-09": "tld_poor IS NULL AND online_status = 'Online' AND redirect_domain = false",
+    "WL-10": "site_map_count IS NULL AND online_status = 'Online' AND redirect_domain = false",
+    "WL-11": "is_high_risk_geo IS NULL AND online_status = 'Online' AND redirect_domain = false",
+    "WL-12": "html_length IS NULL AND online_status = 'Online' AND redirect_domain = false",
+    "WL-13": "ssl_poor IS NULL AND online_status = 'Online' AND class_id IS NULL AND sec_domain_root IS NOT NULL",
+    "WL-14": "ssl_poor IS NULL AND online_status = 'Online' AND redirect_domain = false AND class_id IS NULL",
+    "WL-15": "graymarket_label IS NULL AND online_status = 'Online' AND redirect_domain = false AND exc_domain_id IS NULL AND added > date'2025-01-01' AND class_id IS NULL",
+    "WL-16": "online_status = 'Online' AND redirect_domain = false AND (tld_poor IS NULL OR site_map_count IS NULL OR is_high_risk_geo IS NULL)",
     "WL-17": "media_type_id IS NULL AND online_status = 'Online' AND class_id IS NULL",
     "WL-18": "media_type_id IS NOT NULL AND online_status = 'Online'",
     "WL-19": "media_type_id IS NOT NULL AND sec_domain_root IS NOT NULL",

@@ -20,7 +20,13 @@ _HUB = f"""select k as sec_domain_id,
   case k % 6 when 0 then 'Offline' when 1 then 'Blocked' when 2 then 'Offline | Ad Sniffer' else 'Online' end as online_status,
   case when k % 9 = 0 then null else k % 8 = 0 end as redirect_domain,
   cast(case k % 10 when 1 then 1 when 2 then 2 when 3 then 3 when 4 then 9 end as int) as class_id,
-  cast(k % 2 as int) as publication_status,
+  cast(case when k % 3 = 0 then 1 else 0 end as int) as publication_status,
+  date '2025-01-01' + cast(k % 400 as int) as added,
+  case when k % 3 = 0 then null else k % 5 in (1, 2) end as tld_poor,
+  cast(case when k % 4 = 0 then null else k % 100 end as int) as site_map_count,
+  case when k % 5 = 0 then null else k % 2 = 0 end as is_high_risk_geo,
+  case when k % 11 = 0 then null else k % 3 = 0 end as ssl_poor,
+  case when k % 7 = 6 then null else 'undeterminated' end as graymarket_label,
   cast(case k % 9 when 0 then 17 when 1 then 5 when 2 then 7 when 3 then null else 1 end as int) as media_type_id,
   cast(case when k % 6 = 0 then 0 when k % 6 = 1 then null else k % 50 end as int) as ad_count,
   cast(case when k % 13 = 0 then null else (k * 137) % 4000 end as int) as html_length

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from riskloom.plans import queries as plans
+from riskloom.plans import capture_queries, queries as plans  # noqa: F401
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
