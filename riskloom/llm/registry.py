@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from riskloom.llm import bpe, chat_format, decontaminate, jaccard_join, language_id, license_scan, quality_classifier, quality_rules, substring_dedup, warc
+from riskloom.llm import bpe, chat_format, decontaminate, jaccard_join, language_id, license_scan, oracles, quality_classifier, quality_rules, substring_dedup, warc
 
 
 def queries() -> dict[str, Callable[..., DataFrame]]:
@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[..., DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracles.SQL)
