@@ -48,7 +48,7 @@ def referral_metrics(rt: DataFrame, hub: DataFrame, attributes: DataFrame, tenan
         F.lit(True).alias("known"),
     )
     facts = rt.filter("step_in_process = 2 AND d_exc_domain_id IS NULL AND d_domain_id IS NULL")
-    facts = facts.join(F.broadcast(start_month(rt)), F.col("month") >= F.col("start_month"))  # one row
+    facts = facts.filter(F.col("month") >= start_month(rt).scalar())
     facts = facts.join(target, "d_sec_domain_id", "left_semi").join(weights, "d_sec_domain_id").join(refs, "r_domain_id", "left")
     v = F.col("referred_visits") * F.col("n_valid")
     sums = facts.groupBy("d_sec_domain_id").agg(
