@@ -93,9 +93,13 @@ def collapse(c: Column) -> Column:
 
 
 def shingles(c: Column, n: int = 5) -> Column:
-    """Distinct n-word shingles of a text; empty where it has fewer words."""
-    w = F.filter(F.split(F.lower(c), "\\s+"), lambda x: x != "")
-    return F.when(F.size(w) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " ")))).otherwise(F.array().cast("array<string>"))
+    """Distinct n-word shingles of a text; empty where it has fewer words.
+
+    The words are bound by a one-element transform, so that they are cut once and not for each shingle.
+    """
+    words = F.filter(F.split(F.lower(c), "\\s+"), lambda x: x != "")
+    of = lambda w: F.when(F.size(w) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " ")))).otherwise(F.array().cast("array<string>"))
+    return F.get(F.transform(F.array(words), of), F.lit(0))
 
 
 def parse_timestamp(c: Column) -> Column:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
-from riskloom.operators import captures
-from riskloom.plans.queries import query
+from riskloom.functions import text as tx
+from riskloom.operators import captures, relational
+from riskloom.plans.queries import BRANDS, query
 from riskloom.sources.adapters import load
 
 _CHAIN = "select site, list(struct_pack(status := status, host := url) order by seq) as c from (select *, row_number() over (partition by site order by seq) as n from response_log) x where n <= 10 group by site"
@@ -75,3 +78,63 @@ def _(s, d):
 def _(s, d):
     kind = F.when(F.col("sec_domain_id") % 3 == 0, "Redirect").when(F.col("sec_domain_id") % 3 == 1, "None")
     return load(s, d, "hub").select("sec_domain_id", captures.crawl_outcome(kind).alias("redirect_domain"))
+
+
+@query("latest_certificate", ["certificates"], "select domain, cert_id from (select cert_id % 50 as domain, cert_id, valid_to, row_number() over (partition by cert_id % 50 order by valid_to desc nulls last, cert_id) as rn from certificates) x where rn = 1")
+def _(s, d):
+    c = load(s, d, "certificates").select((F.col("cert_id") % 50).alias("domain"), "cert_id", "valid_to")
+    return relational.latest(c, ["domain"], [F.desc_nulls_last("valid_to"), F.col("cert_id")]).select("domain", "cert_id")
+
+
+@query("certificate_days", ["certificates"], "select cert_id, cast(floor((epoch(valid_to) - epoch(valid_from)) / 86400) as bigint) as days, cast(date_diff('day', cast(valid_from as date), date '2025-01-01') as double) / 365 as age_years from certificates")
+def _(s, d):
+    days = F.floor((F.unix_timestamp("valid_to") - F.unix_timestamp("valid_from")) / 86400)
+    age = captures.age_years(F.date_format("valid_from", "yyyy-MM-dd"), F.to_date(F.lit("2025-01-01")))
+    return load(s, d, "certificates").select("cert_id", days.alias("days"), age.alias("age_years"))
+
+
+@query("redirect_flow", ["hub"], "select h.sec_domain_id, exists (select 1 from hub e where e.exc_domain_id is not null and e.sec_domain = h.sec_domain) as excluded from hub h where redirect_domain = true")
+def _(s, d):
+    h = load(s, d, "hub")
+    listed = h.filter("exc_domain_id IS NOT NULL").select("sec_domain").distinct().withColumn("hit", F.lit(True))
+    return h.filter("redirect_domain = true").join(listed, "sec_domain", "left").select("sec_domain_id", F.coalesce("hit", F.lit(False)).alias("excluded"))
+
+
+@query("brand_domains", ["hub"], "select sec_domain_id, sec_domain like '%building-1%' or sec_domain like '%household-2%' as brand_known from hub")
+def _(s, d):
+    brand = F.col("sec_domain").rlike("|".join(re.escape(b) for b in BRANDS))
+    return load(s, d, "hub").select("sec_domain_id", F.coalesce(brand, F.lit(False)).alias("brand_known"))
+
+
+@query("first_wins", ["hub", "tree"], "select sec_domain_id, html_length, src from (select *, row_number() over (partition by sec_domain_id order by src) as rn from (select sec_domain_id, html_length, 1 as src from hub where sec_domain_id % 2 = 0 union all select sec_domain_id, html_length + 1, 2 from tree) u) x where rn = 1")
+def _(s, d):
+    """Two result sets, one row per key, the first set before the second."""
+    a = load(s, d, "hub").filter("sec_domain_id % 2 = 0").select("sec_domain_id", "html_length", F.lit(1).alias("src"))
+    b = load(s, d, "tree").select("sec_domain_id", (F.col("html_length") + 1).alias("html_length"), F.lit(2).alias("src"))
+    return relational.latest(a.unionByName(b), ["sec_domain_id"], [F.col("src")])
+
+
+@query("wide_features", ["hub", "tree"], "select sec_domain_id, site_map_count, cast(null as boolean) as is_ecommerce from hub where sec_domain_id % 2 = 0 union all select sec_domain_id, null, is_ecommerce from tree where sec_domain_id % 2 = 1")
+def _(s, d):
+    """Feature rows with different columns under one schema."""
+    a = load(s, d, "hub").filter("sec_domain_id % 2 = 0").select("sec_domain_id", "site_map_count")
+    b = load(s, d, "tree").filter("sec_domain_id % 2 = 1").select("sec_domain_id", "is_ecommerce")
+    return a.unionByName(b, allowMissingColumns=True)
+
+
+@query("label_cleaning", ["tree"], "select sec_domain_id, case when graymarket_label in ('Adult Content', 'Gambling & Betting', 'Cryptocurrency Speculation', 'Supplement / Nutra') then graymarket_label else 'undeterminated' end as label from tree")
+def _(s, d):
+    answer = F.concat(F.lit("**"), F.coalesce("graymarket_label", F.lit("?")), F.lit("**\nbecause"))
+    allowed = ["Adult Content", "Gambling & Betting", "Cryptocurrency Speculation", "Supplement / Nutra", "undeterminated"]
+    return load(s, d, "tree").select("sec_domain_id", captures.clean_label(answer, allowed, "undeterminated").alias("label"))
+
+
+@query("country_names", ["asn_lookup"], "select domain_id, case country when 'US' then 'United States' else trim(country) end as country from asn_lookup")
+def _(s, d):
+    return load(s, d, "asn_lookup").select("domain_id", captures.country(F.col("country")).alias("country"))
+
+
+@query("shingle_counts", None, "select doc_id, cast(case when len(w) < 5 then 0 else len(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) end as int) as n_shingles from (select doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '\\s+'), lambda x: x <> '') as w from documents) x")
+def _(s, d):
+    docs = s.read.parquet(f"{d}/documents.parquet")
+    return docs.select("doc_id", F.size(tx.shingles(F.coalesce("text", F.lit("")))).alias("n_shingles"))
