@@ -29,6 +29,7 @@ from riskloom.llm.shingles import set_key, shingle_set
 #: Link when 4 * overlap >= 3 * union.
 FREQUENT = 250_000  # tokens whose order is kept by their count; all others count as rare (an order, never a filter)
 SMALL_RUN = 24  # classes in a list that are paired at once
+BLOCK = 2048  # classes of a long list that meet in one group of the second round
 FLUSH = 400_000
 CELL = 64  # candidates that are searched together
 POSTING = np.dtype([("t", "<u8"), ("k", "<i8"), ("n", "<u4"), ("i", "<u4"), ("c", "<u2")])
@@ -159,37 +160,40 @@ def _distinct(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.
     return u[:, 0], u[:, 1]
 
 
-def _propose(t: pa.Table) -> pa.Table:
-    """Candidates of one bucket of inverted lists; lists of many classes are passed on as they are, too."""
-    p = np.concatenate([np.frombuffer(x, POSTING) for x in t.column("blob").to_pylist()])
-    p = np.unique(p)  # the same class may come from several tasks
-    p = p[np.lexsort((p["k"], -p["c"].astype(np.int32), p["t"]))]
-    starts = np.concatenate([[0], np.flatnonzero(p["t"][1:] != p["t"][:-1]) + 1])
-    lengths = np.diff(np.append(starts, len(p)))
-    some = lengths > 1
-    starts, lengths = starts[some], lengths[some]
-    small = lengths <= SMALL_RUN
-    left, right, runs = [], [], []
-    for x, y in _pairs_of(p, starts[small], lengths[small]):
-        ok = _fits(x, y)
-        left.append(np.minimum(x["k"][ok], y["k"][ok]))
-        right.append(np.maximum(x["k"][ok], y["k"][ok]))
-    a, b = _distinct(left, right)
-    left, right = [], []
-    for at, m in zip(starts[~small], lengths[~small]):
-        run = p[at : at + m]
-        hub = np.repeat(run[:1], m - 1)
-        ok = _fits(hub, run[1:])
-        left.append(hub["k"][ok])
-        right.append(run["k"][1:][ok])
-        runs.append(run.tobytes())
-    ha, hb = _distinct(left, right)
-    n = len(a) + len(ha)
-    return pa.table({
-        "a": pa.array(np.concatenate([a, ha, np.zeros(len(runs), np.int64)])),
-        "b": pa.array(np.concatenate([b, hb, np.zeros(len(runs), np.int64)])),
-        "run": pa.array([None] * n + runs, pa.binary()),
-    })
+def _propose(small_run: int):
+    def run(t: pa.Table) -> pa.Table:
+        """Candidates of one bucket of inverted lists; lists of many classes are passed on as they are, too."""
+        p = np.concatenate([np.frombuffer(x, POSTING) for x in t.column("blob").to_pylist()])
+        p = np.unique(p)  # the same class may come from several tasks
+        p = p[np.lexsort((p["k"], -p["c"].astype(np.int32), p["t"]))]
+        starts = np.concatenate([[0], np.flatnonzero(p["t"][1:] != p["t"][:-1]) + 1])
+        lengths = np.diff(np.append(starts, len(p)))
+        some = lengths > 1
+        starts, lengths = starts[some], lengths[some]
+        small = lengths <= small_run
+        left, right, runs = [], [], []
+        for x, y in _pairs_of(p, starts[small], lengths[small]):
+            ok = _fits(x, y)
+            left.append(np.minimum(x["k"][ok], y["k"][ok]))
+            right.append(np.maximum(x["k"][ok], y["k"][ok]))
+        a, b = _distinct(left, right)
+        left, right = [], []
+        for at, m in zip(starts[~small], lengths[~small]):
+            members = p[at : at + m]
+            hub = np.repeat(members[:1], m - 1)
+            ok = _fits(hub, members[1:])
+            left.append(hub["k"][ok])
+            right.append(members["k"][1:][ok])
+            runs.append(members.tobytes())
+        ha, hb = _distinct(left, right)
+        n = len(a) + len(ha)
+        return pa.table({
+            "a": pa.array(np.concatenate([a, ha, np.zeros(len(runs), np.int64)])),
+            "b": pa.array(np.concatenate([b, hb, np.zeros(len(runs), np.int64)])),
+            "run": pa.array([None] * n + runs, pa.binary()),
+        })
+
+    return run
 
 
 def divide_skip(query: np.ndarray, sets: list[np.ndarray]) -> list[int]:
@@ -285,30 +289,45 @@ def _verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, name: str) -> Da
 
 
 def _cross(t: pa.Table) -> pa.Table:
-    """Pairs of one long list whose classes are in different components so far."""
+    """Pairs of two blocks of one long list (or within one block) whose classes are in different components so far."""
     p = np.concatenate([np.frombuffer(x, POSTING) for x in t.column("posting").to_pylist()])
-    root = t.column("root").to_numpy()
+    root, second = t.column("root").to_numpy(), t.column("second").to_numpy(zero_copy_only=False).astype(bool)
     left, right = [], []
-    for i in range(len(p) - 1):
-        j = np.flatnonzero(root[i + 1 :] != root[i]) + i + 1
+    if second.any():
+        firsts, others = np.flatnonzero(~second), np.flatnonzero(second)
+    else:
+        firsts = others = np.arange(len(p))
+    for i in firsts:
+        j = others[root[others] != root[i]]
+        j = j if second.any() else j[j > i]
         if len(j):
-            x = np.repeat(p[i : i + 1], len(j))
-            j = j[_fits(x, p[j])]
+            j = j[_fits(np.repeat(p[i : i + 1], len(j)), p[j])]
             left.append(np.minimum(p["k"][i], p["k"][j]))
             right.append(np.maximum(p["k"][i], p["k"][j]))
     a, b = _distinct(left, right)
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in slices(batches, 16):
-        for run in b.column(0).to_pylist():
-            p = np.frombuffer(run, POSTING)
-            t = pa.array(p["t"].view(np.int64).copy() if p["t"].flags.c_contiguous else np.ascontiguousarray(p["t"]).view(np.int64))
-            yield pa.record_batch([t, pa.array(np.ascontiguousarray(p["k"])), pa.array([x.tobytes() for x in p], pa.binary())], names=["token", "node", "posting"])
+def _unpack(block: int):
+    def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The members of long lists, dealt to pairs of blocks, so that no group holds more than two blocks."""
+        for b in slices(batches, 16):
+            for run in b.column(0).to_pylist():
+                p = np.frombuffer(run, POSTING)
+                blocks = [p[k : k + block] for k in range(0, len(p), block)]
+                for i in range(len(blocks)):
+                    for j in range(i, len(blocks)):
+                        x = blocks[i] if i == j else np.concatenate([blocks[i], blocks[j]])
+                        n = len(x)
+                        yield pa.record_batch(
+                            [pa.array(np.ascontiguousarray(x["t"]).view(np.int64)), pa.array(np.full(n, i, np.int32)), pa.array(np.full(n, j, np.int32)), pa.array(np.arange(n) >= len(blocks[i])), pa.array(np.ascontiguousarray(x["k"])), pa.array([y.tobytes() for y in x], pa.binary())],
+                            names=["token", "i", "j", "second", "node", "posting"],
+                        )
+
+    return run_
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def near_duplicates(docs: DataFrame, small_run: int = SMALL_RUN, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs.
 
     component_id is the smallest doc_id reachable over links of Jaccard 0.75 or more. Null and empty texts
@@ -326,14 +345,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     order = spark.sparkContext.broadcast((common["key"].to_numpy().view(np.uint64), common["c"].to_numpy()))
     buckets = partitions(spark) * 4
     lists = docs.select("text").mapInArrow(_postings(order, buckets), "bucket int, blob binary")
-    found = materialize(lists.groupBy("bucket").applyInArrow(_propose, "a long, b long, run binary"), "proposed")
+    found = materialize(lists.groupBy("bucket").applyInArrow(_propose(small_run), "a long, b long, run binary"), "proposed")
     links = _verify(found.filter("run IS NULL").select("a", "b"), docs, reps, "links")
     runs = found.filter("run IS NOT NULL").select("run")
     roots = connected_components(links)
     if not runs.isEmpty():
-        rows = runs.mapInArrow(_unpack, "token long, node long, posting binary")
-        rows = rows.join(roots, "node", "left").select("token", "posting", F.coalesce("root", "node").alias("root"))
-        more = rows.groupBy("token").applyInArrow(_cross, "a long, b long")
+        rows = runs.mapInArrow(_unpack(block), "token long, i int, j int, second boolean, node long, posting binary")
+        rows = rows.join(roots, "node", "left").select("token", "i", "j", "second", "posting", F.coalesce("root", "node").alias("root"))
+        more = rows.groupBy("token", "i", "j").applyInArrow(_cross, "a long, b long")
         further = _verify(more, docs, reps, "further")
         if not further.isEmpty():
             roots = connected_components(links.union(further))

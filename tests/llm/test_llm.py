@@ -106,7 +106,7 @@ def brute_components(texts):
 
 
 @pytest.mark.parametrize("small_run", [24, 2])
-def test_jaccard_join(spark, monkeypatch, small_run):
+def test_jaccard_join(spark, small_run):
     """Chains of near copies around their hub, some linked to each other only through it."""
     draw, texts = random.Random(7), {}
     for g in range(4):
@@ -118,8 +118,7 @@ def test_jaccard_join(spark, monkeypatch, small_run):
             texts[len(texts)] = " ".join(w)
     texts |= {900: None, 901: "", 902: "A b", 903: "a B", 904: "a b c", 905: LONG, 906: LONG + " tail"}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    monkeypatch.setattr(jaccard_join, "SMALL_RUN", small_run)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(docs).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(docs, small_run, 7).collect()}
     assert got == brute_components(texts)
 
 
