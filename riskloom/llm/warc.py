@@ -288,4 +288,5 @@ def op6_warc(spark, sf_dir: str) -> DataFrame:
     index = capture_index(table(spark, sf_dir, "pages"), uri)
     back = read_archives(index, uri)
     place = index.select("archive", "offset", "urlkey", "capture")
-    return back.join(place, ["archive", "offset"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "capture")
+    # Spark takes what a Python operator makes for as small as what it read, and would broadcast all records.
+    return back.hint("merge").join(place, ["archive", "offset"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "capture")
