@@ -95,7 +95,8 @@ def learn_profiles(docs: DataFrame, max_per_lang: int = MAX_PER_LANG, dim: int =
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id"), 3) != 1)).select("doc_id", "lang", "text")
     share = known.groupBy("lang").agg((F.lit(float(max_per_lang)) / F.count("*")).alias("share"))
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
-    picked = known.join(share, "lang").filter(draw < F.col("share")).select("lang", "text")
+    # One row per language, as many as the profiles that the driver holds below; texts are not shuffled for it.
+    picked = known.join(F.broadcast(share), "lang").filter(draw < F.col("share")).select("lang", "text")
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         e, sums = encoder(dim), {}
