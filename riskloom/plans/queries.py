@@ -301,7 +301,20 @@ def _(s, d):
     return load(s, d, "snapshots").select("html_id", pages.title(h).alias("title"), F.array_join(pages.headings(h), " | ").alias("headings"), F.size(pages.headings(h)).alias("n_headings"))
 
 
-@query("page_text")
+def _meta_sql(name: str) -> str:
+    return f"""trim(regexp_extract(html_content, '(?i)<meta[^>]*name=["'']{name}["''][^>]*content=["'']([^"''>]+)["'']', 1))"""
+
+
+_DESC = f"""coalesce(nullif({_meta_sql('description')}, ''), trim(regexp_extract(html_content, '(?i)<meta[^>]*content=["'']([^"''>]+)["''][^>]*name=["'']description["'']', 1)))"""
+_BODY = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html_content, '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '[\\x{10000}-\\x{10FFFF}]', '', 'g'), '\\s+', ' ', 'g'))"
+_LABEL = lambda name, c: f"case when {c} <> '' then '{name}: ' || {c} end"
+_HEAD = f"concat_ws(chr(10), {_LABEL('TITLE', _T)}, {_LABEL('DESC', _DESC)}, {_LABEL('KEYWORDS', _meta_sql('keywords'))}, {_LABEL('HEADINGS', f'array_to_string({_H}, {chr(39)} | {chr(39)})')})"
+_TEXT = f"select html_id, html_content, case when length(t) > 80000 then left(t, 80000) || '... [TRUNCATED]' else nullif(t, '') end as text from (select html_id, html_content, concat_ws(chr(10) || chr(10), nullif({_HEAD}, ''), case when {_BODY} <> '' then 'CONTENT: ' || {_BODY} end) as t from snapshots) x"
+_HIT = lambda patterns: "(coalesce(regexp_matches(lower(text), '{0}'), false) or coalesce(regexp_matches(lower(left(html_content, 200000)), '{0}'), false))".format("|".join(patterns))
+_SHORT = "(text is null or len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) < 4)"
+
+
+@query("page_text", ["snapshots"], f"select html_id, text, {_SHORT} as too_short, {_HIT(pages.PARKED)} as parked, {_HIT(pages.BLOCKED_FLAG)} as blocked from ({_TEXT}) y")
 def _(s, d):
     h = F.col("html_content")
     x = load(s, d, "snapshots").select("html_id", pages.prepared_text(h).alias("text"), h.alias("html"))
@@ -326,17 +339,17 @@ def _(s, d):
     return p.select("html_id", html_parse.mfa_score().alias("mfa_score"), (html_parse.mfa_score() >= 65).alias("mfa"))
 
 
-@query("media_type_gate", ["snapshots"], None)
+@query("media_type_gate", ["snapshots"], f"select html_id, case when g then 17 else 12 end as class, not g as called from (select html_id, coalesce(len(string_split(text, ' ')), 0) < 4 as g from ({_TEXT}) y) z")
 def _(s, d):
     return scorers.score(load(s, d, "snapshots"), "html_id", "html_content", "media_type")
 
 
-@query("software_subtype")
+@query("software_subtype", ["snapshots"], f"select html_id, 9 as class, not ({_SHORT} or {_HIT(pages.PARKED)} or {_HIT(pages.BLOCKED)}) as called from ({_TEXT}) y")
 def _(s, d):
     return scorers.score(load(s, d, "snapshots"), "html_id", "html_content", "software")
 
 
-@query("enforcement")
+@query("enforcement", ["snapshots"], f"select html_id, 0 as class, not ({_SHORT} or {_HIT(pages.PARKED)}) as called from ({_TEXT}) y")
 def _(s, d):
     return scorers.score(load(s, d, "snapshots"), "html_id", "html_content", "enforcement")
 
