@@ -282,3 +282,26 @@ def test_loser_tree():
     for k in (0, 1, 2, 3, 7, 16):
         runs = [sorted((draw.randrange(40),) for _ in range(draw.randrange(20))) for _ in range(k)]
         assert list(warc.LoserTree([iter(r) for r in runs])) == sorted(x for r in runs for x in r)
+
+
+def test_substring_partners(spark):
+    """Exact passages whose parts stand in smaller documents, against brute force over all 50-word runs."""
+    draw = random.Random(11)
+    noise = lambda n: [f"n{draw.randrange(10**9)}" for _ in range(n)]
+    texts, wanted = {}, {}
+    for g in range(12):
+        p, at = noise(60), 100 * g
+        for k in range(draw.randint(2, 5)):
+            lo = draw.choice([0, 60 - (n := draw.randint(30, 49)), draw.randint(0, 20)])
+            texts[at + k] = noise(70) + p[lo : lo + n] + noise(70)
+        texts |= {at + 50: noise(20) + p + noise(20), at + 60: noise(9) + p[:45] + noise(9), at + 61: noise(9) + p[15:] + noise(9), at + 90: noise(33) + p + noise(3)}
+    seen = set()
+    for d in sorted(texts):
+        runs = [tuple(texts[d][k : k + 50]) for k in range(len(texts[d]) - 49)]
+        wanted[d] = {j for k, r in enumerate(runs) if r in seen for j in range(k, k + 50)}
+        seen |= set(runs)
+    got = collections.defaultdict(set)
+    for r in substring_dedup.repeated_passages(spark.createDataFrame([(k, " ".join(w)) for k, w in texts.items()], "doc_id long, text string")).collect():
+        got[r["doc_id"]] |= set(range(r["start_word"], r["end_word"]))
+    assert sum(map(len, wanted.values())) == 12 * 60
+    assert all(got[d] == wanted[d] for d in texts)
