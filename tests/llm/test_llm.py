@@ -305,3 +305,23 @@ def test_substring_partners(spark):
         got[r["doc_id"]] |= set(range(r["start_word"], r["end_word"]))
     assert sum(map(len, wanted.values())) == 12 * 60
     assert all(got[d] == wanted[d] for d in texts)
+
+
+def test_substring_edits(spark):
+    """Passages with 10 to 20 % of their words exchanged; brute force: without an 8-mer in common they can't be found."""
+    draw = random.Random(12)
+    noise = lambda n: [f"n{draw.randrange(10**9)}" for _ in range(n)]
+    texts, cases = {}, collections.defaultdict(list)
+    for n, share, least in ((60, 0.1, 1), (60, 0.15, 0.98), (60, 0.18, 0.95), (100, 0.1, 1), (100, 0.15, 1), (100, 0.2, 0.98)):
+        for _ in range(60):
+            p, d = noise(n), len(texts)
+            q = list(p)
+            for k in draw.sample(range(n), round(n * share)):
+                q[k] = noise(1)[0]
+            texts[d], texts[d + 1] = noise(70) + p + noise(70), noise(55) + q + noise(85)
+            if any(p[k : k + 8] == q[k : k + 8] for k in range(n - 7)):
+                cases[n, share, least].append(d + 1)
+    got = {r["doc_id"]: r for r in substring_dedup.repeated_passages(spark.createDataFrame([(k, " ".join(w)) for k, w in texts.items()], "doc_id long, text string")).collect()}
+    for (n, _, least), ids in cases.items():
+        assert len(ids) >= 57 and sum(d in got for d in ids) >= least * len(ids)
+        assert all(55 <= got[d]["start_word"] and got[d]["end_word"] <= 55 + n and got[d]["src_doc_id"] == d - 1 for d in ids if d in got)
