@@ -325,3 +325,13 @@ def test_substring_edits(spark):
     for (n, _, least), ids in cases.items():
         assert len(ids) >= 57 and sum(d in got for d in ids) >= least * len(ids)
         assert all(55 <= got[d]["start_word"] and got[d]["end_word"] <= 55 + n and got[d]["src_doc_id"] == d - 1 for d in ids if d in got)
+
+
+def test_substring_order(spark):
+    """Passages that change places: each of them is a passage of the later document."""
+    draw = random.Random(13)
+    noise = lambda n: [f"n{draw.randrange(10**9)}" for _ in range(n)]
+    p1, p2, p3 = noise(60), noise(80), noise(60)
+    docs = spark.createDataFrame([(1, " ".join(p1 + p2 + p3)), (2, " ".join(p1 + p3 + p2))], "doc_id long, text string")
+    got = [(r["start_word"], r["end_word"], r["src_start"], r["edits"]) for r in substring_dedup.repeated_passages(docs).collect()]
+    assert sorted(got) == [(0, 60, 0, 0), (60, 120, 140, 0), (120, 200, 60, 0)]
