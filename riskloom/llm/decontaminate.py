@@ -6,6 +6,7 @@ of documents and benchmark items meet in a hash join, so that a question whose n
 names were exchanged still meets its original. Windows of one alignment (same offset
 between document and item) form an occurrence; an occurrence counts only if its slots are
 consistent: each value in the item stands for one value in the document throughout.
+Windows with few literal words, and items of fewer than eight words as a whole, are matched word for word.
 """
 
 from __future__ import annotations
@@ -59,40 +60,63 @@ def with_windows(df: DataFrame, id_col: str, text_col: str, prefix: str) -> Data
     return x.withColumn(prefix + "h", once(F.when(n >= WINDOW, windows).otherwise(F.array().cast("array<bigint>"))))
 
 
+def _verbatim(words: Column) -> Column:
+    return F.transform(words, lambda w: F.translate(F.lower(w), "_", ""))
+
+
 def item_windows(benchmark: DataFrame) -> DataFrame:
-    """A row per window of each distinct item that has LITERALS literal tokens at least."""
+    """A row per window of each distinct item; an item of fewer words than WINDOW is one window.
+
+    b_len is 0 for a window of LITERALS literal tokens at least, which is met as a template; others are met word for word and
+    have their length there. b_open counts the item's templates.
+    """
     items = benchmark.select(F.col("item_id"), F.col("text")).distinct()
-    x = with_windows(items, "item_id", "text", "b_")
-    x = x.select("b_id", F.greatest(F.size("b_h"), F.lit(1)).alias("b_n"), "b_raw", "b_canon", F.posexplode("b_h").alias("b_pos", "b_hash"))
+    x = with_windows(items, "item_id", "text", "b_").filter(F.size("b_raw") > 0)
+    x = x.select("b_id", F.greatest(F.size("b_h"), F.lit(1)).alias("b_n"), "b_raw", "b_canon", F.posexplode(F.when(F.size("b_h") > 0, F.col("b_h")).otherwise(F.array(F.lit(0).cast("bigint")))).alias("b_pos", "b_hash"))
     x = x.select("b_id", "b_n", "b_pos", "b_hash", F.slice("b_raw", F.col("b_pos") + 1, WINDOW).alias("b_win"), F.slice("b_canon", F.col("b_pos") + 1, WINDOW).alias("b_kinds"))
-    return x.filter(F.size(F.filter("b_kinds", lambda k: ~k.isin(NUM, NAME, UNIT))) >= LITERALS)
+    is_open = (F.size("b_kinds") == WINDOW) & (F.size(F.filter("b_kinds", lambda k: ~k.isin(NUM, NAME, UNIT))) >= LITERALS)
+    x = x.withColumn("b_len", F.when(is_open, 0).otherwise(F.size("b_win")))
+    opened = x.groupBy("b_id", "b_n", "b_pos", "b_win").agg(F.first("b_len").alias("b_len")).groupBy("b_id", "b_n").agg(F.count_if(F.col("b_len") == 0).alias("b_open"))
+    x = x.join(opened, ["b_id", "b_n"])
+    return x.withColumn("b_hash", F.when(F.col("b_len") == 0, F.col("b_hash")).otherwise(F.xxhash64(_verbatim(F.col("b_win")), "b_len")))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, coverage, exact) for each contaminated pair.
 
-    n_windows counts the item's windows that consistent occurrences hold; ``exact`` tells whether no
-    slot was exchanged. Null texts and items under eight words give no windows and no rows; repeated
-    documents (same id) count together; a document of any length is read to its end.
+    n_windows counts the item's windows that consistent occurrences hold; coverage is their share, or that among
+    the templates where it is larger; ``exact`` tells whether no slot was exchanged. Null texts and items without words give no
+    rows; repeated documents (same id) count together; a document of any length is read to its end.
     """
     items = item_windows(benchmark)
-    if items.count() <= BROADCAST_WINDOWS:
+    lengths = {r["b_len"]: r["count"] for r in items.groupBy("b_len").count().collect()}
+    if sum(lengths.values()) <= BROADCAST_WINDOWS:
         items = F.broadcast(items)
-    d = with_windows(docs, "doc_id", "text", "d_").select("d_id", "d_raw", F.posexplode("d_h").alias("d_pos", "d_hash"))
+    d = with_windows(docs, "doc_id", "text", "d_")
+    if verbatim := sorted(set(lengths) - {0}):  # at most WINDOW lengths
+        d = d.withColumn("d_low", once(_verbatim(F.col("d_raw"))))
+        span = lambda n: F.when(F.size("d_low") >= n, F.sequence(F.lit(0), F.size("d_low") - n)).otherwise(F.array().cast("array<int>"))
+        met = [F.transform("d_h", lambda h, i: F.struct(i.alias("d_pos"), h.alias("d_hash")))]
+        exactly = lambda n: lambda i: F.struct(i.alias("d_pos"), F.xxhash64(F.slice(F.col("d_low"), i + 1, n), F.lit(n)).alias("d_hash"))
+        met += [F.transform(span(n), exactly(n)) for n in verbatim]
+        d = d.select("d_id", "d_raw", F.inline(F.concat(*met)))
+    else:
+        d = d.select("d_id", "d_raw", F.posexplode("d_h").alias("d_pos", "d_hash"))
     met = d.join(items, F.col("d_hash") == F.col("b_hash")).select(
-        "d_id", "b_id", "b_n", "b_pos", (F.col("d_pos") - F.col("b_pos")).alias("shift"), "b_win", "b_kinds", F.slice("d_raw", F.col("d_pos") + 1, WINDOW).alias("d_win")
+        "d_id", "b_id", "b_n", "b_open", "b_len", "b_pos", (F.col("d_pos") - F.col("b_pos")).alias("shift"), "b_win", "b_kinds", F.slice("d_raw", F.col("d_pos") + 1, F.size("b_win")).alias("d_win")
     )
     slots = F.filter(
-        F.transform("b_kinds", lambda k, i: F.struct(k.alias("kind"), F.lower(F.get("b_win", i)).alias("was"), F.lower(F.get("d_win", i)).alias("now"))),
+        F.transform("b_kinds", lambda k, i: F.struct(k.alias("kind"), F.translate(F.lower(F.get("b_win", i)), "_", "").alias("was"), F.translate(F.lower(F.get("d_win", i)), "_", "").alias("now"))),
         lambda s: s["kind"].isin(NUM, NAME, UNIT),
     )
-    spots = met.select("d_id", "b_id", "b_n", "shift", "b_pos", slots.alias("slots"))
-    found = spots.groupBy("d_id", "b_id", "b_n", "shift").agg(F.collect_set("b_pos").alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+    spots = met.select("d_id", "b_id", "b_n", "b_open", "shift", F.struct("b_pos", (F.col("b_len") == 0).alias("open")).alias("spot"), slots.alias("slots"))
+    found = spots.groupBy("d_id", "b_id", "b_n", "b_open", "shift").agg(F.collect_set("spot").alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     keys = F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["was"])))
     consistent = found.filter(F.size("slots") == F.size(keys))
     exchanged = F.exists("slots", lambda s: s["was"] != s["now"])
-    pairs = consistent.groupBy("d_id", "b_id", "b_n").agg(F.size(F.array_distinct(F.flatten(F.collect_list("at")))).cast("long").alias("n_windows"), (~F.max(exchanged)).alias("exact"))
-    share = F.col("n_windows") / F.col("b_n")
+    pairs = consistent.groupBy("d_id", "b_id", "b_n", "b_open").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"), (~F.max(exchanged)).alias("exact"))
+    pairs = pairs.withColumn("n_windows", F.size("at").cast("long"))
+    share = F.greatest(F.col("n_windows") / F.col("b_n"), F.when(F.col("b_open") > 0, F.size(F.filter("at", lambda x: x["open"])) / F.greatest("b_open", F.lit(1))))
     return pairs.filter(share >= coverage).select(F.col("d_id").alias("doc_id"), F.col("b_id").alias("item_id"), "n_windows", F.col("b_n").cast("long").alias("item_windows"), share.alias("coverage"), "exact")
 
 

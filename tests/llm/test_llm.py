@@ -335,3 +335,12 @@ def test_substring_order(spark):
     docs = spark.createDataFrame([(1, " ".join(p1 + p2 + p3)), (2, " ".join(p1 + p3 + p2))], "doc_id long, text string")
     got = [(r["start_word"], r["end_word"], r["src_start"], r["edits"]) for r in substring_dedup.repeated_passages(docs).collect()]
     assert sorted(got) == [(0, 60, 0, 0), (60, 120, 140, 0), (120, 200, 60, 0)]
+
+
+def test_decontamination_of_dense_and_short_items(spark):
+    """Word-for-word copies of items with few literal words, or of fewer than eight words."""
+    dense, names, short = "Convert 3 hours 20 minutes 15 seconds to seconds.", "Ann, Bob, Carl, Dora, Emil, Fred and Gus have 12 apples in the house.", "What is the capital of France?"
+    bench = spark.createDataFrame([(1, dense), (2, names), (3, short), (4, "..."), (5, "")], "item_id long, text string")
+    docs = [(1, "so " + dense), (2, "x y " + names + " z"), (3, "he asked: what is the capital of france"), (4, "What is the capital of Spain?"), (5, dense.replace("20", "21")), (6, "the capital"), (7, "")]
+    got = {(r["doc_id"], r["item_id"]): r["exact"] for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert got == {(1, 1): True, (2, 2): True, (3, 3): True}
