@@ -1,6 +1,6 @@
 """License scans: phrases where they stand, and templates by an exact set-similarity join.
 
-The join takes every text block (a paragraph) that contains a template to the threshold: the share
+The join takes every text block (a line, or a paragraph: the lines up to an empty one) that contains a template to the threshold: the share
 of the template's distinct tokens that the block has. Tokens are ordered by their frequency over all
 documents, rare first. A block that reaches ceil(t * |T|) tokens of T has one of the first
 |T| - ceil(t * |T|) + 1 of them (prefix filter); it has that many distinct tokens itself (length
@@ -116,6 +116,25 @@ def phrase_places(found: list[bytes]) -> list[tuple[int, int, str]]:
     return sorted(out)
 
 
+def block_matches(ix: TemplateIndex, raw: bytes) -> list[tuple[int, str, float]]:
+    """(line, template, share) of the lines, and of the paragraphs (by their first line) where no line has as much."""
+    out: list[tuple[int, str, float]] = []
+    start, have, best = 0, set(), {}
+    lines = _BLOCK.split(raw)
+    for k, line in enumerate([*lines, b""]):
+        if line.strip():
+            held = words(line)
+            for name, share in ix.search(held):
+                out.append((k, name, share))
+                best[name] = max(share, best.get(name, 0.0))
+            have |= ix.vocab.intersection(held)
+            continue
+        if k - start > 1:
+            out += [(start, name, share) for name, share in ix.search(list(have)) if share > best.get(name, 0.0)]
+        start, have, best = k + 1, set(), {}
+    return sorted(out)
+
+
 def scan(docs: DataFrame, frequency: dict[bytes, int], threshold: float = CONTAINMENT) -> DataFrame:
     """Per row: doc_id, n_words, places (first, last, label), matches (block, template, share).
 
@@ -138,8 +157,7 @@ def scan(docs: DataFrame, frequency: dict[bytes, int], threshold: float = CONTAI
                 places.append([{"first": a, "last": z, "label": x} for a, z, x in phrase_places(found)])
                 hits = []
                 if len(ix.vocab.intersection(found)) >= 2:
-                    for k, block in enumerate(_BLOCK.split(raw)):
-                        hits += [{"block": k, "template": name, "share": s} for name, s in ix.search(words(block))]
+                    hits = [{"block": k, "template": name, "share": s} for k, name, s in block_matches(ix, raw)]
                 matches.append(hits)
             yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(places, pa.list_(place)), pa.array(matches, pa.list_(match))], names=["doc_id", "n_words", "places", "matches"])
 

@@ -344,3 +344,11 @@ def test_decontamination_of_dense_and_short_items(spark):
     docs = [(1, "so " + dense), (2, "x y " + names + " z"), (3, "he asked: what is the capital of france"), (4, "What is the capital of Spain?"), (5, dense.replace("20", "21")), (6, "the capital"), (7, "")]
     got = {(r["doc_id"], r["item_id"]): r["exact"] for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
     assert got == {(1, 1): True, (2, 2): True, (3, 3): True}
+
+
+def test_wrapped_licenses(spark):
+    mit = "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated documentation\nfiles to deal in the software without restriction"
+    texts = {1: "# " + mit.replace("\n", "\n# ") + "\n\nother", 2: mit.replace("\n", "\n\n"), 3: "a\n\nLicensed under CC BY 4.0\nx"}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r["doc_id"]: [(m["block"], m["template"]) for m in r["matches"]] for r in license_scan.scan(docs, {}).collect()}
+    assert got == {1: [(0, "MIT-text")], 2: [], 3: [(2, "CC-BY-4.0")]}
