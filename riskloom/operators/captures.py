@@ -45,6 +45,36 @@ def status_of_chain(chain: Column, host: Column, seized: Column, parked: Column,
     )
 
 
+def site_status(log: DataFrame, host: Column, seized: Column, parked: Column, html_status: Column) -> DataFrame:
+    """(site, n_responses, online_status) over all responses of a site; only the scan for a later 200 ends at SCAN.
+
+    The rules of status_of_chain on what they read of a chain, which is aggregated rather than gathered.
+    """
+    from pyspark.sql import Window
+
+    n = F.row_number().over(Window.partitionBy("site").orderBy("seq"))
+    x = log.select("site", "seq", "status", F.col("url").alias("host"), n.alias("n"))
+    x = x.groupBy("site").agg(
+        F.count("*").alias("n_responses"),
+        F.max_by(F.struct("status", "host"), "n").alias("last"),
+        F.max(F.when(F.col("n") == 1, F.col("status"))).alias("first"),
+        F.max(F.col("n").between(2, SCAN) & F.coalesce(F.col("status") == 200, F.lit(False))).alias("ok"),
+    )
+    by_html = lambda status: F.when(status == 200, "Online").otherwise(html_status)
+    first, last, single = F.col("first"), F.col("last"), F.col("n_responses") == 1
+    status = (
+        F.when(seized, "Offline")
+        .when(parked, "Offline | Status Checker")
+        .when(last["host"] != host, "Offline | Status Checker")
+        .when(single & (first > 400) & (first < 500), "Offline")
+        .when(single, by_html(first))
+        .when(first == 200, "Online")
+        .when((first >= 300) & (first < 400), F.when(F.col("ok"), "Online").otherwise(by_html(last["status"])))
+        .otherwise(by_html(first))
+    )
+    return x.select("site", "n_responses", status.alias("online_status"))
+
+
 def crawl_outcome(offline_type: Column) -> Column:
     return F.coalesce(offline_type == "Redirect", F.lit(False))
 
