@@ -1,4 +1,4 @@
-"""Every reference operator as a query over whole tables, beside its SQL."""
+"""The registered reference operators as queries, most of them beside their SQL."""
 
 from __future__ import annotations
 
