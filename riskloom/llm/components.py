@@ -10,13 +10,20 @@ from riskloom.llm.common import materialize
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of the undirected edges (a, b); roots are the same within a component.
 
-    Each round, every node merges into its smallest neighbour and the edges are redrawn
-    between the merged nodes, so the number of rounds is logarithmic in practice. Links
+    Each round, every node merges into the smallest of itself and its neighbours by a hash that changes with the
+    round, and the edges are redrawn between the merged nodes. Whatever the nodes are called, a share
+    of them vanishes in each round, so the number of rounds is logarithmic, on paths too. Links
     stay distributed; each round is written to the shared folder.
     """
+
+    def smallest(edges: DataFrame, turn: int) -> DataFrame:
+        of = lambda c: F.struct(F.xxhash64(c, F.lit(turn)).alias("h"), F.col(c).alias("node"))
+        return edges.groupBy(F.col("a").alias("node")).agg(F.least(of("node"), F.min(of("b")))["node"].alias("root"))
+
+    turn = 0
     both = edges.select("a", "b").filter("a <> b")
     both = materialize(both.union(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    nodes = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), "roots")
+    nodes = materialize(smallest(both, turn), "roots")
     step = nodes
     while True:
         m1, m2 = (step.select(F.col("node").alias(c), F.col("root").alias(f"{c}2")) for c in "ab")
@@ -24,6 +31,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = materialize(both, "edges")
         if both.isEmpty():
             return nodes
-        step = materialize(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("node"), F.min("b")).alias("root")), "step")
+        turn += 1
+        step = materialize(smallest(both, turn), "step")
         nxt = step.select(F.col("node").alias("root"), F.col("root").alias("root2"))
         nodes = materialize(nodes.join(nxt, "root", "left").select("node", F.coalesce("root2", "root").alias("root")), "roots")

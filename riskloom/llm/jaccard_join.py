@@ -10,7 +10,8 @@ probed by binary search, and the candidate stays if it reaches the required over
 A list of many classes (near copies by the thousand) isn't expanded into pairs: its most
 central class is compared with all others first, components are formed, and in a second round
 only members of different components still meet. No link between components can be missed,
-since every pair of a list is either inside one component or compared.
+since every pair of a list is either inside one component or compared. A list that the order's counts
+say to be very long is dealt to several tasks, whose hubs are compared with each other, too.
 """
 
 from __future__ import annotations
@@ -24,13 +25,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.common import materialize, partitions, slices, table
 from riskloom.llm.components import connected_components
-from riskloom.llm.shingles import set_key, shingle_set
+from riskloom.llm.shingles import mix, set_key, shingle_sets
 
 #: Link when 4 * overlap >= 3 * union.
 FREQUENT = 250_000  # tokens whose order is kept by their count; all others count as rare (an order, never a filter)
 SMALL_RUN = 24  # classes in a list that are paired at once
-BLOCK = 2048  # classes of a long list that meet in one group of the second round
+BLOCK = 2048  # members of a long list on each side of a group of the second round
+CHUNK = 65_536  # classes of a list, by the order's counts, that go to one task
 FLUSH = 400_000
+SEEN = 200_000  # classes that a task remembers, so as to send a copy's postings once
 CELL = 64  # candidates that are searched together
 POSTING = np.dtype([("t", "<u8"), ("k", "<i8"), ("n", "<u4"), ("i", "<u4"), ("c", "<u2")])
 
@@ -40,6 +43,16 @@ def required(x, y):
     return -(-3 * (x + y) // 7)
 
 
+def _fresh(seen: set, key: int) -> bool:
+    """Whether the task meets a class for the first time, as far as it remembers."""
+    if key in seen:
+        return False
+    if len(seen) >= SEEN:
+        seen.clear()
+    seen.add(key)
+    return True
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of kind 0: documents with their set's size and key; of kind 1: tokens seen twice or more by the task."""
     held, waiting, seen = np.zeros(0, np.uint64), [], set()
@@ -49,81 +62,95 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal held, counts, waiting
         if waiting:
             t, c = np.unique(np.concatenate(waiting), return_counts=True)
-            allt = np.concatenate([held, t])
-            held, inv = np.unique(allt, return_inverse=True)
-            counts = np.bincount(inv, weights=np.concatenate([counts, c]), minlength=len(held)).astype(np.int64)
-            keep = counts > 1
-            held, counts, waiting = held[keep], counts[keep], []
+            waiting, more = [], c > 1
+            at = np.searchsorted(held, t)
+            known = held[np.minimum(at, len(held) - 1)] == t if len(held) else np.zeros(len(t), bool)
+            counts[at[known]] += c[known]
+            more &= ~known
+            held, counts = np.concatenate([held, t[more]]), np.concatenate([counts, c[more]])
+            by = np.argsort(held)
+            held, counts = held[by], counts[by]
 
     size = 0
     for b in slices(batches):
         ns, keys = [], []
-        for text in b.column(1).to_pylist():
-            s = shingle_set(text)
+        for s in shingle_sets(b.column(1)):
             key = set_key(s)
             ns.append(len(s))
             keys.append(key)
-            if len(s) and key not in seen:
-                if len(seen) < 1_000_000:
-                    seen.add(key)
+            if len(s) and _fresh(seen, key):
                 waiting.append(s)
                 size += len(s)
-        if size > 3_000_000:
+        if size > 2_000_000:
             fold()
             size = 0
         yield pa.record_batch([pa.array(np.zeros(len(ns), np.int32)), b.column(0), pa.array(ns, pa.int64()), pa.array(keys, pa.int64())], names=["kind", "doc_id", "n_shingles", "key"])
     fold()
     for at in range(0, len(held), 50_000):
         c = counts[at : at + 50_000]
-        yield pa.record_batch([pa.array(np.ones(len(c), np.int32)), pa.nulls(len(c), pa.int64()), pa.array(c), pa.array(held[at : at + 50_000].view(np.int64))], names=["kind", "doc_id", "n_shingles", "key"])
+        yield pa.record_batch([pa.array(np.ones(len(c), np.int32)), pa.nulls(len(c), b.schema.field(0).type), pa.array(c), pa.array(held[at : at + 50_000].view(np.int64))], names=["kind", "doc_id", "n_shingles", "key"])
 
 
 class TokenOrder:
     """The global order: tokens not held come first, by hash; held ones follow by count."""
 
+    BITS = 22
+
     def __init__(self, tokens: np.ndarray, counts: np.ndarray):
         at = np.argsort(tokens)
         self.tokens, self.counts = tokens[at], counts[at]
-
-    def prefix(self, s: np.ndarray) -> tuple[np.ndarray, int]:
-        """The tokens of s that it shares with a partner at least once, in order; and how central s is (0 to 65535)."""
+        self.maybe = np.zeros(1 << self.BITS, bool)
+        self.maybe[self.tokens >> np.uint64(64 - self.BITS)] = True
+
+    def count(self, s: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(s), np.int64)
+        some = np.flatnonzero(self.maybe[s >> np.uint64(64 - self.BITS)])
+        if len(some):
+            x = s[some]
+            at = np.minimum(np.searchsorted(self.tokens, x), len(self.tokens) - 1)
+            out[some] = np.where(self.tokens[at] == x, self.counts[at], 0)
+        return out
+
+    def prefix(self, s: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+        """The tokens of s of which it shares one with any partner, in order; their counts; and how central s is (0 to 65535)."""
         n = len(s)
-        freq = np.zeros(n, np.int64)
-        if len(self.tokens):
-            at = np.minimum(np.searchsorted(self.tokens, s), len(self.tokens) - 1)
-            hit = self.tokens[at] == s
-            freq[hit] = self.counts[at[hit]]
+        freq = self.count(s)
         p = n - -(-3 * n // 4) + 1
-        return s[np.lexsort((s, freq))[:p]], int(np.count_nonzero(freq) * 65535 // n)
+        held = np.count_nonzero(freq)
+        if n - held >= p:
+            pre, count = s[freq == 0][:p], np.zeros(p, np.int64)
+        else:
+            at = np.lexsort((s, freq))[:p]
+            pre, count = s[at], freq[at]
+        return pre, count, int(held * 65535 // n)
 
 
-def _postings(order_bc, buckets: int):
+def _postings(order_bc, buckets: int, chunk: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         order, seen, waiting, size = TokenOrder(*order_bc.value), set(), [], 0
 
         def flush():
-            p = np.concatenate(waiting)
-            b = (p["t"] % np.uint64(buckets)).astype(np.int32)
+            p, chunks = np.concatenate([x for x, _ in waiting]), np.concatenate([c for _, c in waiting])
+            # a list that may be long is dealt to as many groups as it has chunks, by class
+            part = np.where(chunks > 1, mix(p["k"].view(np.uint64)) % chunks.astype(np.uint64), np.uint64(0))
+            b = ((p["t"] + part * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.int32)
             at = np.argsort(b, kind="stable")
             p, b = p[at], b[at]
             cuts = np.flatnonzero(np.diff(b)) + 1
             parts = np.split(p, cuts)
-            return pa.record_batch([pa.array(b[np.concatenate([[0], cuts])]), pa.array([x.tobytes() for x in parts], pa.binary())], names=["bucket", "blob"])
+            return pa.record_batch([pa.array(b[np.concatenate([[0], cuts])].astype(np.int32)), pa.array([x.tobytes() for x in parts], pa.binary())], names=["bucket", "blob"])
 
         for batch in slices(batches):
-            for text in batch.column(0).to_pylist():
-                s = shingle_set(text)
+            for s in shingle_sets(batch.column(0)):
                 if not len(s):
                     continue
                 key = set_key(s)
-                if key in seen:
+                if not _fresh(seen, key):
                     continue
-                if len(seen) < 1_000_000:
-                    seen.add(key)
-                pre, central = order.prefix(s)
+                pre, count, central = order.prefix(s)
                 p = np.empty(len(pre), POSTING)
                 p["t"], p["k"], p["n"], p["i"], p["c"] = pre, key, len(s), np.arange(len(pre)), central
-                waiting.append(p)
+                waiting.append((p, 1 + count // chunk))
                 size += len(p)
             if size > FLUSH:
                 yield flush()
@@ -160,12 +187,37 @@ def _distinct(a: list[np.ndarray], b: list[np.ndarray]) -> tuple[np.ndarray, np.
     return u[:, 0], u[:, 1]
 
 
+#: Members of long lists as rows, and their columns' fields in a posting.
+LISTS = "token long, hub boolean, k long, n long, spot long, c long"
+FIELDS = {"k": "k", "n": "n", "spot": "i", "c": "c"}
+
+
+def _rows(p: np.ndarray, hub: np.ndarray) -> dict[str, pa.Array]:
+    return {"token": pa.array(np.ascontiguousarray(p["t"]).view(np.int64)), "hub": pa.array(hub)} | {c: pa.array(p[f].astype(np.int64)) for c, f in FIELDS.items()}
+
+
+def _postings_of(t: pa.Table) -> np.ndarray:
+    p = np.empty(t.num_rows, POSTING)
+    p["t"] = t.column("token").to_numpy().view(np.uint64)
+    for c, f in FIELDS.items():
+        p[f] = t.column(c).to_numpy()
+    return p
+
+
+def _star(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first, most central member beside all others that fit it."""
+    hub = np.repeat(members[:1], len(members) - 1)
+    ok = _fits(hub, members[1:])
+    return hub["k"][ok], members["k"][1:][ok]
+
+
 def _propose(small_run: int):
     def run(t: pa.Table) -> pa.Table:
-        """Candidates of one bucket of inverted lists; lists of many classes are passed on as they are, too."""
+        """Candidates (a, b) of one bucket of inverted lists; the members of lists of many classes leave as rows, too."""
         p = np.concatenate([np.frombuffer(x, POSTING) for x in t.column("blob").to_pylist()])
-        p = np.unique(p)  # the same class may come from several tasks
         p = p[np.lexsort((p["k"], -p["c"].astype(np.int32), p["t"]))]
+        again = np.append(False, (p["t"][1:] == p["t"][:-1]) & (p["k"][1:] == p["k"][:-1]))  # the same class may come from several tasks
+        p = p[~again]
         starts = np.concatenate([[0], np.flatnonzero(p["t"][1:] != p["t"][:-1]) + 1])
         lengths = np.diff(np.append(starts, len(p)))
         some = lengths > 1
@@ -180,22 +232,30 @@ def _propose(small_run: int):
         left, right = [], []
         for at, m in zip(starts[~small], lengths[~small]):
             members = p[at : at + m]
-            hub = np.repeat(members[:1], m - 1)
-            ok = _fits(hub, members[1:])
-            left.append(hub["k"][ok])
-            right.append(members["k"][1:][ok])
-            runs.append(members.tobytes())
+            ha, hb = _star(members)
+            left.append(ha)
+            right.append(hb)
+            runs.append(members)
         ha, hb = _distinct(left, right)
-        n = len(a) + len(ha)
-        return pa.table({
-            "a": pa.array(np.concatenate([a, ha, np.zeros(len(runs), np.int64)])),
-            "b": pa.array(np.concatenate([b, hb, np.zeros(len(runs), np.int64)])),
-            "run": pa.array([None] * n + runs, pa.binary()),
-        })
+        n, rows = len(a) + len(ha), np.concatenate(runs) if runs else p[:0]
+        hub = np.append(True, rows["t"][1:] != rows["t"][:-1])[: len(rows)]
+        pairs = {"a": pa.array(np.concatenate([a, ha])), "b": pa.array(np.concatenate([b, hb]))} | {f.name: pa.nulls(n, f.type) for f in _SCHEMA}
+        members = {c: pa.nulls(len(rows), pa.int64()) for c in "ab"} | _rows(rows, hub)
+        return pa.concat_tables([pa.table(pairs), pa.table(members)])
 
     return run
 
 
+_SCHEMA = pa.schema([("token", pa.int64()), ("hub", pa.bool_()), *((c, pa.int64()) for c in FIELDS)])
+
+
+def _between_hubs(t: pa.Table) -> pa.Table:
+    """The hubs of one list's chunks beside the most central of them."""
+    p = _postings_of(t)
+    a, b = _star(p[np.lexsort((p["k"], -p["c"].astype(np.int32)))])
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
 def divide_skip(query: np.ndarray, sets: list[np.ndarray]) -> list[int]:
     """Which of the sets link with the query: a T-occurrence search over their inverted lists.
 
@@ -249,11 +309,10 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sets = [], []
 
     for b in slices(batches, 64):
-        for a, salt, role, key, text in zip(*(c.to_pylist() for c in b.columns)):
+        for a, salt, role, key, s in zip(*(c.to_pylist() for c in b.columns[:4]), shingle_sets(b.column(4))):
             if (a, salt) != cell:
                 close()
                 cell, query = (a, salt), None
-            s = shingle_set(text)
             if not len(s) or set_key(s) != key:
                 continue  # another row under the same doc_id
             if role == 0:
@@ -289,17 +348,17 @@ def _verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, name: str) -> Da
 
 
 def _cross(t: pa.Table) -> pa.Table:
-    """Pairs of two blocks of one long list (or within one block) whose classes are in different components so far."""
-    p = np.concatenate([np.frombuffer(x, POSTING) for x in t.column("posting").to_pylist()])
-    root, second = t.column("root").to_numpy(), t.column("second").to_numpy(zero_copy_only=False).astype(bool)
+    """Pairs of one side of a group with the other (or within its one side) whose classes are in different components so far."""
+    p = _postings_of(t)
+    root, side = t.column("root").to_numpy(), t.column("side").to_numpy()
     left, right = [], []
-    if second.any():
-        firsts, others = np.flatnonzero(~second), np.flatnonzero(second)
-    else:
+    within = t.column("j")[0].as_py() == t.column("i")[0].as_py()
+    firsts, others = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+    if within:
         firsts = others = np.arange(len(p))
     for i in firsts:
         j = others[root[others] != root[i]]
-        j = j if second.any() else j[j > i]
+        j = j[j > i] if within else j
         if len(j):
             j = j[_fits(np.repeat(p[i : i + 1], len(j)), p[j])]
             left.append(np.minimum(p["k"][i], p["k"][j]))
@@ -308,35 +367,42 @@ def _cross(t: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
-def _unpack(block: int):
-    def run_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The members of long lists, dealt to pairs of blocks, so that no group holds more than two blocks."""
-        for b in slices(batches, 16):
-            for run in b.column(0).to_pylist():
-                p = np.frombuffer(run, POSTING)
-                blocks = [p[k : k + block] for k in range(0, len(p), block)]
-                for i in range(len(blocks)):
-                    for j in range(i, len(blocks)):
-                        x = blocks[i] if i == j else np.concatenate([blocks[i], blocks[j]])
-                        n = len(x)
-                        yield pa.record_batch(
-                            [pa.array(np.ascontiguousarray(x["t"]).view(np.int64)), pa.array(np.full(n, i, np.int32)), pa.array(np.full(n, j, np.int32)), pa.array(np.arange(n) >= len(blocks[i])), pa.array(np.ascontiguousarray(x["k"])), pa.array([y.tobytes() for y in x], pa.binary())],
-                            names=["token", "i", "j", "second", "node", "posting"],
-                        )
+def _meetings(rows: DataFrame, roots: DataFrame, block: int) -> DataFrame:
+    """Members of long lists whose classes are in two components or more, dealt to groups (token, i, j) of two sides.
 
-    return run_
-
-
-def near_duplicates(docs: DataFrame, small_run: int = SMALL_RUN, block: int = BLOCK) -> DataFrame:
+    A list of one component isn't dealt at all. Of the others, the members of the largest component stand in blocks -1, -2...
+    and meet the blocks 0, 1... of the rest; these meet each other. So a component of a million and a few others cost a row
+    for each of the million and not their pairs.
+    """
+    placed = rows.join(roots, rows["k"] == roots["node"], "left").select("token", "k", "n", "spot", "c", F.coalesce("root", "k").alias("root"))
+    placed = materialize(placed, "members")
+    sizes = placed.groupBy("token", "root").agg(F.count("*").alias("m"))
+    per = sizes.groupBy("token").agg(F.sum("m").alias("all"), F.max(F.struct("m", "root")).alias("top"), F.count("*").alias("roots")).filter("roots > 1")
+    per = per.select("token", F.col("top")["root"].alias("top"), F.ceil(F.col("top")["m"] / block).alias("n_top"), F.ceil((F.col("all") - F.col("top")["m"]) / block).alias("n_rest"))
+    x = placed.join(per, "token")
+    h = F.xxhash64("k")
+    x = x.withColumn("mine", F.when(F.col("root") == F.col("top"), -1 - F.pmod(h, "n_top")).otherwise(F.pmod(h, "n_rest")))
+    rest = F.sequence(F.lit(0).cast("long"), F.col("n_rest") - 1)
+    met = lambda i, j, side: F.struct(i.cast("long").alias("i"), j.cast("long").alias("j"), F.lit(side).alias("side"))
+    of_top = F.transform(rest, lambda j: met(F.col("mine"), j, 0))
+    of_rest = F.concat(
+        F.transform(F.sequence(F.lit(1).cast("long"), F.col("n_top")), lambda i: met(-i, F.col("mine"), 1)),
+        F.transform(rest, lambda j: F.when(j < F.col("mine"), met(j, F.col("mine"), 1)).otherwise(met(F.col("mine"), j, 0))),
+    )
+    return x.select("token", "k", "n", "spot", "c", "root", F.inline(F.when(F.col("mine") < 0, of_top).otherwise(of_rest)))
+
+
+def near_duplicates(docs: DataFrame, small_run: int = SMALL_RUN, block: int = BLOCK, chunk: int = CHUNK) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of docs.
 
     component_id is the smallest doc_id reachable over links of Jaccard 0.75 or more. Null and empty texts
     have an empty set, link with nothing, and are their own component; a null doc_id keeps a null
-    or its partners' component; repeated rows give repeated results; an empty table gives none.
+    or its partners' component; rows with one doc_id are rows of one document, whatever their texts; repeated rows give
+    repeated results; texts of any length are read whole; an empty table gives none; other columns are not carried.
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    seen = materialize(docs.mapInArrow(_describe, "kind int, doc_id long, n_shingles long, key long"), "sets")
+    seen = materialize(docs.mapInArrow(_describe, f"kind int, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, key long"), "sets")
     sets = seen.filter("kind = 0").select("doc_id", "n_shingles", "key")
     classes = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     classes = materialize(classes, "classes")
@@ -344,15 +410,14 @@ def near_duplicates(docs: DataFrame, small_run: int = SMALL_RUN, block: int = BL
     common = seen.filter("kind = 1").groupBy("key").agg(F.sum("n_shingles").alias("c")).orderBy(F.desc("c"), "key").limit(FREQUENT).toArrow()
     order = spark.sparkContext.broadcast((common["key"].to_numpy().view(np.uint64), common["c"].to_numpy()))
     buckets = partitions(spark) * 4
-    lists = docs.select("text").mapInArrow(_postings(order, buckets), "bucket int, blob binary")
-    found = materialize(lists.groupBy("bucket").applyInArrow(_propose(small_run), "a long, b long, run binary"), "proposed")
-    links = _verify(found.filter("run IS NULL").select("a", "b"), docs, reps, "links")
-    runs = found.filter("run IS NOT NULL").select("run")
+    lists = docs.select("text").mapInArrow(_postings(order, buckets, chunk), "bucket int, blob binary")
+    found = materialize(lists.groupBy("bucket").applyInArrow(_propose(small_run), "a long, b long, " + LISTS), "proposed")
+    members = found.filter("token IS NOT NULL")
+    star = members.filter("hub").groupBy("token").applyInArrow(_between_hubs, "a long, b long")
+    links = _verify(found.filter("token IS NULL").select("a", "b").union(star), docs, reps, "links")
     roots = connected_components(links)
-    if not runs.isEmpty():
-        rows = runs.mapInArrow(_unpack(block), "token long, i int, j int, second boolean, node long, posting binary")
-        rows = rows.join(roots, "node", "left").select("token", "i", "j", "second", "posting", F.coalesce("root", "node").alias("root"))
-        more = rows.groupBy("token", "i", "j").applyInArrow(_cross, "a long, b long")
+    if not members.isEmpty():
+        more = _meetings(members, roots, block).groupBy("token", "i", "j").applyInArrow(_cross, "a long, b long")
         further = _verify(more, docs, reps, "further")
         if not further.isEmpty():
             roots = connected_components(links.union(further))
@@ -368,7 +433,10 @@ def op8_jaccard_join(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: of each component the document with its smallest id stays, once."""
+    """Pipeline stage: of each component the document with its smallest id stays, once.
+
+    Of rows with one doc_id and text any one stays. Rows without a doc_id all stay; null and empty texts are components of their own; an empty table stays empty.
+    """
     keep = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
     nameless = docs.filter("doc_id IS NULL")
