@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskloom.llm.common import materialize, partitions, slices, table
 from riskloom.llm.components import connected_components
-from riskloom.llm.shingles import mix, set_key, shingle_sets
+from riskloom.llm.shingles import mix, pack, set_key, shingle_sets, unpack
 
 #: Link when 4 * overlap >= 3 * union.
 FREQUENT = 250_000  # tokens whose order is kept by their count; all others count as rare (an order, never a filter)
@@ -138,7 +138,7 @@ def _postings(order_bc, buckets: int, chunk: int):
             p, b = p[at], b[at]
             cuts = np.flatnonzero(np.diff(b)) + 1
             parts = np.split(p, cuts)
-            return pa.record_batch([pa.array(b[np.concatenate([[0], cuts])].astype(np.int32)), pa.array([x.tobytes() for x in parts], pa.binary())], names=["bucket", "blob"])
+            return pa.record_batch([pa.array(b[np.concatenate([[0], cuts])].astype(np.int32)), pa.array([pack(x) for x in parts], pa.binary())], names=["bucket", "blob"])
 
         for batch in slices(batches):
             for s in shingle_sets(batch.column(0)):
@@ -214,7 +214,7 @@ def _star(members: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def _propose(small_run: int):
     def run(t: pa.Table) -> pa.Table:
         """Candidates (a, b) of one bucket of inverted lists; the members of lists of many classes leave as rows, too."""
-        p = np.concatenate([np.frombuffer(x, POSTING) for x in t.column("blob").to_pylist()])
+        p = unpack(t.column("blob").to_pylist(), POSTING)
         p = p[np.lexsort((p["k"], -p["c"].astype(np.int32), p["t"]))]
         again = np.append(False, (p["t"][1:] == p["t"][:-1]) & (p["k"][1:] == p["k"][:-1]))  # the same class may come from several tasks
         p = p[~again]

@@ -154,6 +154,15 @@ def shingle_set(text: str | None) -> np.ndarray:
     return next(shingle_sets(pa.array([text], pa.string())))
 
 
+def pack(rows: np.ndarray) -> bytes:
+    """Rows byte plane by byte plane, so that what the planes repeat compresses."""
+    return rows.view(np.uint8).reshape(len(rows), rows.itemsize).T.tobytes()
+
+
+def unpack(blobs: list[bytes], kind: np.dtype) -> np.ndarray:
+    return np.concatenate([np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel() for x in blobs])
+
+
 def set_key(s: np.ndarray) -> int:
     """A signed 64-bit name of a set."""
     return int.from_bytes(hashlib.blake2b(s.tobytes(), digest_size=8).digest(), "little", signed=True)
