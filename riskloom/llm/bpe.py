@@ -9,7 +9,7 @@ the scan runs in C over a few machine words; words beyond ``SHORT`` bytes (no
 white space for pages) go through a heap over linked parts, which gives the
 same merges in O(n log n).
 
-Words repeat, so finished words are kept in a bounded cache per worker.
+Words repeat, so finished words are kept in a bounded cache while a task runs.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ from riskloom.llm.common import slices, table
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 NEVER = 1 << 60
 SHORT = 96
-CACHE_WORDS = 400_000
-CHUNK_MISSES = 3_000_000
+#: Entries of either cache; a full one starts anew, and both end with the task.
+CACHE_WORDS = 200_000
 
 
 def byte_symbols() -> dict[str, int]:
@@ -56,14 +56,15 @@ class _Chunks(dict):
     """Ids of a space and the chunk after it."""
 
     def __init__(self, encode_run):
-        self.encode_run, self.missed = encode_run, 0
+        self.encode_run = encode_run
 
     def __missing__(self, chunk: str) -> bytes:
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Loose
         ids = self.encode_run(" " + chunk)
-        self.missed += 1
-        if len(self) < CACHE_WORDS and len(chunk) <= 64:
+        if len(chunk) <= 64:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
             self[chunk] = ids
         return ids
 
@@ -149,7 +150,9 @@ class RankedVocabulary:
             ids = cache.get(word)
             if ids is None:
                 ids = self.encode_word(word)
-                if len(cache) < CACHE_WORDS and len(word) <= 64:
+                if len(word) <= 64:
+                    if len(cache) >= CACHE_WORDS:
+                        cache.clear()
                     cache[word] = ids
             out.append(ids)
         return b"".join(out)
@@ -163,10 +166,6 @@ class RankedVocabulary:
         through the pattern as they are.
         """
         out, chunks = [], self.chunks
-        if chunks.missed > CHUNK_MISSES:
-            chunks.clear()
-            self.cache.clear()
-            chunks.missed = 0
         for k, run in enumerate(self.marks.split(text) if any(m in text for m in self.special) else [text]):
             if k % 2:
                 out.append(self.pack(1)(self.special[run]))
@@ -183,6 +182,11 @@ class RankedVocabulary:
                 out.append(self.encode_run(run))
         return b"".join(out)
 
+    def forget(self) -> None:
+        """Frees the caches: a worker lives on after the task, and what it holds adds to that of other tasks."""
+        self.cache.clear()
+        self.chunks.clear()
+
     def decode(self, ids: bytes) -> str:
         return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
@@ -210,14 +214,18 @@ def bpe_encode(df: DataFrame, vocab: Broadcast, id_col: str = "doc_id", text_col
 
     ``ids`` packs the token ids as little-endian unsigned 32-bit integers.
     A null text counts as empty and gives no tokens; a null id is kept;
-    repeated rows give repeated results; other columns are not carried.
+    repeated rows give repeated results; texts of any length are encoded whole; an empty table
+    gives no rows; other columns are not carried, whatever their names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(vocab)
-        for b in slices(batches):
-            ids = [v.encode(t) if t else b"" for t in b.column(1).to_pylist()]
-            yield pa.record_batch([b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=[id_col, "n_tokens", "ids"])
+        try:
+            for b in slices(batches):
+                ids = [v.encode(t) if t else b"" for t in b.column(1).to_pylist()]
+                yield pa.record_batch([b.column(0), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())], names=[id_col, "n_tokens", "ids"])
+        finally:
+            v.forget()
 
     kind = df.schema[id_col].dataType.simpleString()
     return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary")
@@ -248,5 +256,10 @@ def op3_bpe(spark, sf_dir: str, path: str | None = None) -> DataFrame:
 
 
 def digest(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) per row of docs.
+
+    Null and empty texts have no tokens and the digests of nothing; null ids and repeated rows stay, one result for each
+    row; long texts are encoded whole; an empty table gives no rows; columns beside doc_id and text are left out.
+    """
     vocab = load_vocabulary(docs.sparkSession, path or tokenizer_path())
     return bpe_decode(bpe_encode(docs, vocab), vocab).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
