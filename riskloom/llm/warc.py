@@ -1,11 +1,13 @@
 """WARC archives with revisits, and their capture index by an external k-way merge.
 
 Archives hold one gzip member per record, so that a record can be read by its offset. Every
-archive's writer leaves its captures sorted by URL key, time and page: a run. Runs are
-merged range by range: a task takes the stretch of every run that falls into its range of
-keys and merges them through a loser tree, so captures come out in global order while a task
-holds one batch of each run. Ranges are cut by (key, time, page), so one URL with most
-captures is spread like any other.
+archive's writer leaves its captures sorted by URL key, time and page: a run. While there are more
+runs than FAN_IN, groups of FAN_IN are merged into longer runs, which are written as pieces, one for each range of
+keys. The last merge goes range by range, too: a task takes the stretch of every run that falls into its range
+and merges them through a loser tree, so captures come out in global order while a task
+opens FAN_IN runs at most and holds one batch of each. Pieces that miss the range aren't opened. Ranges are cut by
+(key, time, page), so one URL with most captures is spread like any other. Names of runs and pieces stay
+distributed; the driver sees KEY_SAMPLE keys at most, which cut the ranges.
 """
 
 from __future__ import annotations
@@ -13,6 +15,7 @@ from __future__ import annotations
 import base64
 import bisect
 import hashlib
+import itertools
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -30,9 +33,23 @@ REVISIT_FROM = 1000
 ARCHIVE_BYTES = 32 << 20
 FAN_IN = 64
 RUN_ROWS = 2048
+#: Keys that each run's writer offers for the cuts, and that the driver takes of all.
+OFFERED = 16
+KEY_SAMPLE = 20_000
+#: Rows of a task that merges runs into longer ones.
+PASS_ROWS = 2_000_000
 EPOCH = 1_704_067_200  # page n is taken as captured n seconds after 2024-01-01, as pages have no time
 RUN_SCHEMA = pa.schema([("urlkey", pa.string()), ("ts", pa.int64()), ("page_id", pa.int64()), ("digest", pa.string()), ("kind", pa.string()), ("refers_to", pa.int64()), ("payload_bytes", pa.int64()), ("archive", pa.string()), ("offset", pa.int64()), ("length", pa.int64())])
 RUN_DDL = "urlkey string, ts long, page_id long, digest string, kind string, refers_to long, payload_bytes long, archive string, offset long, length long"
+_KEY = pa.struct([("urlkey", pa.string()), ("ts", pa.int64()), ("page_id", pa.int64())])
+_KEY_DDL = "struct<urlkey:string,ts:long,page_id:long>"
+#: A run is one piece or several with disjoint stretches of keys.
+PIECE_SCHEMA = pa.schema([("run", pa.string()), ("path", pa.string()), ("rows", pa.int64()), ("lo", _KEY), ("hi", _KEY), ("offered", pa.list_(_KEY))])
+PIECE_DDL = f"run string, path string, rows long, lo {_KEY_DDL}, hi {_KEY_DDL}, offered array<{_KEY_DDL}>"
+
+
+def _key(row) -> dict:
+    return dict(zip(("urlkey", "ts", "page_id"), row))
 
 
 def url_key(url: str | None) -> str:
@@ -111,7 +128,7 @@ def with_payload(pages: DataFrame) -> DataFrame:
 
 
 def write_archives(pages: DataFrame, uri: str) -> DataFrame:
-    """Writes archives and their sorted runs below uri; returns (run, rows, first and last key) per run.
+    """Writes archives and their sorted runs below uri; returns PIECE_DDL, a row per archive, whose run is named as it is.
 
     Files are named by task attempt and only those of attempts that succeed are named in the
     result, so a lost executor leaves nothing but an orphan.
@@ -120,7 +137,7 @@ def write_archives(pages: DataFrame, uri: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = filesystem(uri)
         task, part, out, rows, at, name = TaskContext.get(), 0, None, [], 0, ""
-        made: list[tuple[str, int]] = []
+        made: list[tuple] = []
 
         def close():
             nonlocal out, rows
@@ -130,8 +147,9 @@ def write_archives(pages: DataFrame, uri: str) -> DataFrame:
             rows.sort(key=lambda r: (r[0], r[1], r[2]))
             with pq.ParquetWriter(f"{base}/{name}.run.parquet", RUN_SCHEMA, filesystem=fs) as w:
                 for k in range(0, len(rows), RUN_ROWS):
-                    w.write_table(pa.table([pa.array(c, t) for c, t in zip(zip(*rows[k : k + RUN_ROWS]), RUN_SCHEMA.types)], schema=RUN_SCHEMA), row_group_size=RUN_ROWS)
-            made.append((f"{name}.run.parquet", len(rows)))
+                    w.write_table(_columns(rows[k : k + RUN_ROWS]), row_group_size=RUN_ROWS)
+            offered = [_key(rows[k]) for k in sorted({j * len(rows) // OFFERED for j in range(OFFERED)})]
+            made.append((name, f"{name}.run.parquet", len(rows), _key(rows[0]), _key(rows[-1]), offered))
             out, rows = None, []
 
         fs.create_dir(base, recursive=True)
@@ -150,9 +168,13 @@ def write_archives(pages: DataFrame, uri: str) -> DataFrame:
                     close()
         close()
         if made:
-            yield pa.record_batch([pa.array([m[0] for m in made]), pa.array([m[1] for m in made], pa.int64())], names=["run", "rows"])
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*made), PIECE_SCHEMA.types)], schema=PIECE_SCHEMA)
+
+    return pages.mapInArrow(run, PIECE_DDL)
 
-    return pages.mapInArrow(run, "run string, rows long")
+
+def _columns(rows: list[tuple]) -> pa.Table:
+    return pa.table([pa.array(c, t) for c, t in zip(zip(*rows), RUN_SCHEMA.types)], schema=RUN_SCHEMA)
 
 
 class LoserTree:
@@ -201,81 +223,128 @@ def _stretch(fs: pafs.FileSystem, path: str, low: tuple | None, high: tuple | No
         yield from rows[bisect.bisect_left(keys, low) if low else 0 : bisect.bisect_left(keys, high) if high else len(rows)]
 
 
-def merge_runs(runs: DataFrame, uri: str, ranges: int) -> DataFrame:
+def _overlapping(cuts: list[tuple]):
+    """Pieces with the number of each range that they reach into: range k ends before cuts[k]."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at, part = [], []
+            for k, (lo, hi) in enumerate(zip(b.column("lo").to_pylist(), b.column("hi").to_pylist())):
+                for r in range(bisect.bisect_right(cuts, tuple(lo.values())), bisect.bisect_right(cuts, tuple(hi.values())) + 1):
+                    at.append(k)
+                    part.append(r)
+            x = b.select(["grp", "run", "path", "lo"]).take(pa.array(at, pa.int64()))
+            yield pa.record_batch([x.column(0), pa.array(part, pa.int32()), *x.columns[1:]], names=["grp", "part", "run", "path", "lo"])
+
+    return run
+
+
+def _merged(batches: Iterator[pa.RecordBatch], uri: str, bounds: list[tuple]) -> Iterator[tuple[int, int, Iterator[tuple]]]:
+    """(group, range, its rows in order) of rows (grp, part, run, path) that are sorted by group, range, run and first key."""
+    fs, base = filesystem(uri)
+    rows = (r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("grp", "part", "run", "path"))))
+    for (grp, part), mine in itertools.groupby(rows, key=lambda r: r[:2]):
+        low, high = bounds[part]
+        runs = [[r[3] for r in pieces] for _, pieces in itertools.groupby(mine, key=lambda r: r[2])]
+        stretch = lambda paths: itertools.chain.from_iterable(_stretch(fs, f"{base}/{p}", low, high) for p in paths)
+        yield grp, part, iter(LoserTree([stretch(paths) for paths in runs]))
+
+
+def _longer_runs(uri: str, bounds: list[tuple], level: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Writes each merged range of a group as a piece of the group's run."""
+        fs, base = filesystem(uri)
+        attempt = TaskContext.get().taskAttemptId()
+        for grp, part, rows in _merged(batches, uri, bounds):
+            path, n, lo, hi = f"merged-{level}-{grp}-{part:06d}-{attempt}.run.parquet", 0, None, None
+            with pq.ParquetWriter(f"{base}/{path}", RUN_SCHEMA, filesystem=fs) as w:
+                while some := list(itertools.islice(rows, RUN_ROWS)):
+                    w.write_table(_columns(some), row_group_size=RUN_ROWS)
+                    lo, hi, n = lo or some[0], some[-1], n + len(some)
+            if n:
+                yield pa.record_batch([pa.array([v], t) for v, t in zip((f"{level}-{grp}", path, n, _key(lo), _key(hi), []), PIECE_SCHEMA.types)], schema=PIECE_SCHEMA)
+
+    return run
+
+
+def merge_runs(pieces: DataFrame, uri: str, ranges: int, fan_in: int = FAN_IN) -> DataFrame:
     """The captures of all runs in global order: the run columns, `part` (the range) and `n` (the order within it).
 
-    More than FAN_IN runs are merged in groups that are merged again, within the task.
+    More than fan_in runs go through further passes, each of which merges fan_in runs into one; no task opens more.
     """
-    spark = runs.sparkSession
-    names = [r["run"] for r in runs.orderBy("run").collect()]  # a name per 32 MB archive
-
-    if not names:
-        return spark.createDataFrame([], "part int, n long, " + RUN_DDL)
-    keys = spark.read.schema(RUN_DDL).parquet(*[f"{uri}/{n}" for n in names]).select("urlkey", "ts", "page_id")
-    total = sum(r["rows"] for r in runs.collect())
-    sample = sorted(tuple(r) for r in keys.sample(min(1.0, 40.0 * ranges / max(1, total)), seed=5).collect())
-    cuts = sorted({sample[k * len(sample) // ranges] for k in range(1, ranges)}) if sample else []
-    bounds = list(zip([None, *cuts], [*cuts, None]))
-    shared = spark.sparkContext.broadcast(names)
+    spark = pieces.sparkSession
+    offered = pieces.select(F.explode("offered").alias("k")).select("k.*")
+    sample = sorted(tuple(r) for r in offered.orderBy(F.xxhash64("urlkey", "ts", "page_id")).limit(KEY_SAMPLE).collect())
+    total, n_runs = pieces.agg(F.coalesce(F.sum("rows"), F.lit(0)), F.count("*")).first()
+    cuts_of = lambda n: sorted({sample[k * len(sample) // n] for k in range(1, n)}) if sample else []
+    bounds_of = lambda cuts: list(zip([None, *cuts], [*cuts, None]))
+    level = 0
+    tasks = "grp long, part int, run string, path string, lo " + _KEY_DDL
+    while n_runs > fan_in:
+        groups = pieces.select("run").distinct().coalesce(max(1, n_runs // (16 * fan_in)))
+        groups = materialize(groups.select("run", F.floor(F.monotonically_increasing_id() / fan_in).alias("grp")), "groups")
+        n_runs = groups.select("grp").distinct().count()
+        cuts, level = cuts_of(min(ranges, max(1, total // (n_runs * PASS_ROWS)))), level + 1
+        dealt = pieces.join(groups, "run").mapInArrow(_overlapping(cuts), tasks)
+        dealt = dealt.repartition(min(n_runs * (len(cuts) + 1), 4 * partitions(spark)), "grp", "part").sortWithinPartitions("grp", "part", "run", "lo")
+        pieces = materialize(dealt.mapInArrow(_longer_runs(uri, bounds_of(cuts), level), PIECE_DDL), "pieces")
+    cuts = cuts_of(ranges)
+    bounds = bounds_of(cuts)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fs, base = filesystem(uri)
-        for b in batches:
-            for part in b.column(0).to_pylist():
-                low, high = bounds[part]
-                level: list[Iterator[tuple]] = [_stretch(fs, f"{base}/{n}", low, high) for n in shared.value]
-                while len(level) > FAN_IN:
-                    level = [iter(LoserTree(level[k : k + FAN_IN])) for k in range(0, len(level), FAN_IN)]
-                rows, n = [], 0
-                for r in LoserTree(level):
-                    rows.append((part, n, *r))
-                    n += 1
-                    if len(rows) == RUN_ROWS:
-                        yield _batch(rows)
-                        rows = []
-                if rows:
-                    yield _batch(rows)
-
-    def _batch(rows: list[tuple]) -> pa.RecordBatch:
         schema = pa.schema([("part", pa.int32()), ("n", pa.int64()), *RUN_SCHEMA])
-        return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
+        for _, part, rows in _merged(batches, uri, bounds):
+            n = 0
+            while some := list(itertools.islice(rows, RUN_ROWS)):
+                yield pa.record_batch([pa.array([part] * len(some), pa.int32()), pa.array(range(n, n + len(some)), pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*some), RUN_SCHEMA.types))], schema=schema)
+                n += len(some)
 
-    parts = spark.range(len(bounds)).select(F.col("id").cast("int").alias("part")).repartition(len(bounds), "part")
-    return parts.mapInArrow(merge, "part int, n long, " + RUN_DDL)
+    dealt = pieces.withColumn("grp", F.lit(0).cast("long")).mapInArrow(_overlapping(cuts), tasks)
+    dealt = dealt.repartition(len(bounds), "part").sortWithinPartitions("grp", "part", "run", "lo")
+    return dealt.mapInArrow(merge, "part int, n long, " + RUN_DDL)
 
 
-def read_archives(index: DataFrame, uri: str) -> DataFrame:
-    """Every record of the archives, read from the files: page_id, record_type, digest and size of the payload, refers_to, offset, length."""
-    names = index.select("archive").distinct()
-    n = partitions(index.sparkSession)
+def read_archives(runs: DataFrame, uri: str) -> DataFrame:
+    """Every record of the archives of runs, read from the files: page_id, record_type, digest and size of the payload, refers_to, offset, length."""
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = filesystem(uri)
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
+        names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "offset", "length"]
+
+        def records(name: str) -> Iterator[tuple]:
+            with fs.open_input_stream(f"{base}/{name}", compression=None) as f:
+                for h, body, at, size in read_records(iter(lambda: f.read(1 << 20), b"")):
+                    sha = base64.b32decode(h["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
+                    if h["WARC-Type"] == "response" and hashlib.sha1(body).hexdigest() != sha:
+                        raise ValueError(f"{name} at {at}: the payload doesn't have its digest")
+                    page, ref = h["X-Page-Id"], h.get("X-Refers-To-Page-Id")
+                    yield (int(page) if page else None, int(h["X-Payload-Length"]), sha, h["WARC-Type"], int(ref) if ref else None, name, at, size)
+
         for b in batches:
             for name in b.column(0).to_pylist():
-                rows = []
-                with fs.open_input_stream(f"{base}/{name}", compression=None) as f:
-                    for h, body, at, size in read_records(iter(lambda: f.read(1 << 20), b"")):
-                        sha = base64.b32decode(h["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
-                        if h["WARC-Type"] == "response" and hashlib.sha1(body).hexdigest() != sha:
-                            raise ValueError(f"{name} at {at}: the payload doesn't have its digest")
-                        page, ref = h["X-Page-Id"], h.get("X-Refers-To-Page-Id")
-                        rows.append((int(page) if page else None, int(h["X-Payload-Length"]), sha, h["WARC-Type"], int(ref) if ref else None, name, at, size))
-                kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64()]
-                if rows:
-                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "archive", "offset", "length"])
+                rows = records(f"{name}.warc.gz")
+                while some := list(itertools.islice(rows, RUN_ROWS)):
+                    yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*some), kinds)], names=names)
+
+    n = max(1, min(runs.count(), 4 * partitions(runs.sparkSession)))
+    # Dealt in turns, which adaptive execution leaves as it is: names are small, the archives behind them aren't.
+    return runs.select("run").repartition(n).mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long, length long")
+
 
-    return names.repartition(n, "archive").mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long, length long")
+def archive(pages: DataFrame, uri: str) -> DataFrame:
+    """Writes the archives of pages below uri; their runs."""
+    return materialize(write_archives(with_payload(pages), uri), "runs")
 
 
-def capture_index(pages: DataFrame, uri: str) -> DataFrame:
-    """Archives pages below uri and returns the merged index, with `capture`, the place in the URL's history.
+def capture_index(runs: DataFrame, uri: str, fan_in: int = FAN_IN) -> DataFrame:
+    """The merged index of the runs, with `capture`, the place in the URL's history.
 
-    Nulls: html is empty, url has an empty key, page_id sorts first. Repeated rows are records of their own, and
+    Nulls: html is empty, url has an empty key, page_id sorts first. Repeated rows are records of their own: captures with
+    equal key, time and page stand side by side, by run. Html of any length is one record; other columns of pages are not read;
     an empty table gives an empty index.
     """
-    runs = materialize(write_archives(with_payload(pages), uri), "runs")
-    merged = materialize(merge_runs(runs, uri, partitions(pages.sparkSession)), "index")
+    merged = materialize(merge_runs(runs, uri, partitions(runs.sparkSession), fan_in), "index")
     spans = merged.groupBy("urlkey", "part").agg(F.count("*").alias("rows"), F.min("n").alias("first"))
     before = Window.partitionBy("urlkey").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     spans = spans.withColumn("before", F.coalesce(F.sum("rows").over(before), F.lit(0))).drop("rows")
@@ -285,8 +354,9 @@ def capture_index(pages: DataFrame, uri: str) -> DataFrame:
 def op6_warc(spark, sf_dir: str) -> DataFrame:
     """What the archives say of every page, with its place in the merged index."""
     uri = scratch_path(spark, "warc")
-    index = capture_index(table(spark, sf_dir, "pages"), uri)
-    back = read_archives(index, uri)
+    runs = archive(table(spark, sf_dir, "pages"), uri)
+    index = capture_index(runs, uri)
+    back = read_archives(runs, uri)
     place = index.select("archive", "offset", "urlkey", "capture")
     # Spark takes what a Python operator makes for as small as what it read, and would broadcast all records.
     return back.hint("merge").join(place, ["archive", "offset"]).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "urlkey", "capture")
