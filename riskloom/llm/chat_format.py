@@ -1,12 +1,13 @@
 """Chat formatting in budgeted, turn-aligned windows.
 
-Prefix sums of turn tokens give every turn its window. The first system turn of a conversation
-opens each of its windows, then a limited history of the window before is repeated, then
-the window's own turns follow. The loss mask covers the texts of the window's own assistant turns only,
-so each assistant text is a target exactly once.
+Prefix sums of turn tokens choose the spans: a window takes the next turns as long as its system turn, its history and
+they stay within the budget. The first system turn of a conversation opens each of its windows, then the last turns of the
+window before are repeated, up to HISTORY tokens, then the window's own turns follow. The loss mask covers the texts of
+the window's own assistant turns only, so each assistant text is a target exactly once. Tokens are words and
+marks, and four for the markup of a turn; no tokenizer is asked.
 
-Prefix sums go in two steps, inside blocks of turns and over block totals, so a conversation with
-a third of all turns is spread over many tasks.
+Conversations are cut into blocks of BLOCK turn numbers, and each block starts a window without history, so a conversation with
+a third of all turns is spread over many tasks. Texts are shuffled once. A task streams its blocks and holds one window.
 
 Template: an assistant turn is ``<s>role\\ntext</s>``, any other ``[INST]role\\ntext[/INST]``.
 Inside roles and texts a backslash goes before ``\\``, ``<`` and ``[``, so no control string can
@@ -17,16 +18,20 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import deque
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.common import partitions, slices, table
+from riskloom.llm.common import materialize, partitions, slices, table
 
 BUDGET = 512
 HISTORY = 96
-BLOCK = 256
+BLOCK = 1 << 16
+#: Markup of a turn, in tokens.
+MARKUP = 4
+_TOKEN = re.compile(r"\w+|[^\w\s]")
 _ESC = re.compile(r"[\\<\[]")
 _UNESC = re.compile(r"\\(.)", re.S)
 _TURN = re.compile(r"(<s>|\[INST\])((?:[^\\<\[]|\\.)*)(</s>|\[/INST\])", re.S)
@@ -57,137 +62,212 @@ def parse(formatted: str) -> list[tuple[str, str]]:
     return out
 
 
-def plan_windows(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """(conv_id, w, seq, role, text, repeated): each turn in its window, and again where it is system or history.
-
-    Windows take turns by the tokens before them, in steps of half of what system and history leave;
-    a turn over half the step makes its window longer, since turns are never cut. Nulls: text and role
-    count as empty, a null turn sorts first, a null conv_id is a conversation of its own. Equal turns
-    numbers go by role and text; repeated rows are turns of their own.
-    """
-    c = conversations.select("conv_id", F.coalesce(F.col("turn"), F.lit(-(1 << 40))).alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    c = c.withColumns({"tokens": F.regexp_count("text", F.lit("\\w+|[^\\w\\s]")).cast("long") + 4, "block": F.floor(F.col("turn") / BLOCK), "no_conv": F.col("conv_id").isNull(), "conv": F.coalesce("conv_id", F.lit(0))})
-    inside = Window.partitionBy("no_conv", "conv", "block").orderBy("turn", "role", "text")
-    c = c.withColumns({"n_in": F.row_number().over(inside), "t_in": F.sum("tokens").over(inside.rowsBetween(Window.unboundedPreceding, 0)) - F.col("tokens")})
-    over = Window.partitionBy("no_conv", "conv").orderBy("block")
-    first = F.min_by(F.struct("role", "text", "tokens"), "n_in")
-    blocks = c.groupBy("no_conv", "conv", "block").agg(F.count("*").alias("rows"), F.sum("tokens").alias("total"), first.alias("first"))
-    blocks = blocks.withColumns({
-        "n_before": F.sum("rows").over(over.rowsBetween(Window.unboundedPreceding, 0)) - F.col("rows"),
-        "t_before": F.sum("total").over(over.rowsBetween(Window.unboundedPreceding, 0)) - F.col("total"),
-        "opening": F.first("first").over(over.rowsBetween(Window.unboundedPreceding, 0)),
-    })
-    system = F.col("opening")["role"] == "system"
-    blocks = blocks.select("no_conv", "conv", "block", "n_before", "t_before", F.when(system, F.col("opening")["text"]).alias("sys_text"), F.when(system, F.col("opening")["tokens"]).otherwise(0).alias("sys_tokens"))
-    t = c.join(blocks, ["no_conv", "conv", "block"])
-    t = t.withColumns({"seq": F.col("n_before") + F.col("n_in"), "before": F.greatest(F.lit(0), F.col("t_before") + F.col("t_in") - F.col("sys_tokens"))})
-    step = F.greatest(F.lit(32), F.floor((budget - history - F.col("sys_tokens")) / 2))
-    t = t.withColumn("w", F.floor(F.col("before") / step)).select("no_conv", "conv", "seq", "w", "before", "role", "text", "sys_text")
-    spans = t.groupBy("no_conv", "conv", "w").agg(F.min("before").alias("start"), F.first("sys_text").alias("sys"))
-    nxt = Window.partitionBy("no_conv", "conv").orderBy("w")
-    spans = spans.withColumns({"next": F.lead("w").over(nxt), "next_start": F.lead("start").over(nxt)})
-    own = t.select("no_conv", "conv", "w", "seq", "role", "text", F.lit(False).alias("repeated"))
-    later = t.join(spans.select("no_conv", "conv", "w", "next", "next_start"), ["no_conv", "conv", "w"])
-    is_system = (F.col("seq") == 1) & F.col("sys_text").isNotNull()
-    again = later.filter(F.col("next").isNotNull() & ~is_system & (F.col("next_start") - F.col("before") <= history))
-    again = again.select("no_conv", "conv", F.col("next").alias("w"), "seq", "role", "text", F.lit(True).alias("repeated"))
-    kept = spans.filter(F.col("sys").isNotNull() & (F.col("w") > 0)).select("no_conv", "conv", "w", F.lit(0).cast("long").alias("seq"), F.lit("system").alias("role"), F.col("sys").alias("text"), F.lit(True).alias("repeated"))
-    return own.unionByName(again).unionByName(kept).select(F.when(~F.col("no_conv"), F.col("conv")).alias("conv_id"), "w", "seq", "role", "text", "repeated")
-
-
-def _assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["conv_id", "w", "formatted", "n_repeated", "loss_spans"]
-    span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    rows, key, parts, at, repeated, spans = [], None, [], 0, 0, []
-
-    def close():
-        if key is not None:
-            rows.append((*key, "".join(parts), repeated, spans))
-
-    def flush():
-        cols = list(zip(*rows))
-        return pa.record_batch([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int32()), pa.array(cols[4], span)], names=names)
-
-    for b in slices(batches):
-        for conv, w, _, role, text, again in zip(*(x.to_pylist() for x in b.columns)):
-            if (conv, w) != key:
-                close()
-                key, parts, at, repeated, spans = (conv, w), [], 0, 0, []
-            shown, lo, hi = render_turn(role, text)
-            if again:
-                repeated += 1
-            elif role == "assistant":
+def n_tokens(text: str) -> int:
+    return sum(1 for _ in _TOKEN.finditer(text)) + MARKUP
+
+
+class Windows:
+    """Cuts a stream of a block's turns into windows: (formatted, repeated turns, loss spans, tokens)."""
+
+    def __init__(self, budget: int, history: int, system: str | None, opens_with_system: bool):
+        self.budget, self.history = budget, history
+        #: The system turn to repeat; the block of the conversation's start has it as its first own turn.
+        self.system = None if system is None else (render_turn("system", system), n_tokens(system))
+        self.own_system = opens_with_system
+        self.total = self.start = 0  # prefix sums: of all turns so far, and before the window's own ones
+        self.own: list[tuple] = []
+        self.tail: deque[tuple] = deque()  # (prefix sum before the turn, rendered) of the last turns that history may take
+        self.before: list[tuple] = []
+
+    def _opening(self) -> int:
+        return self.system[1] if self.system and not self.own_system else 0
+
+    def add(self, role: str, text: str) -> Iterator[tuple]:
+        n = n_tokens(text)
+        room = self.budget - self._opening() - (self.start - self.before[0][0] if self.before else 0)
+        if self.own and self.total + n - self.start > room:
+            yield self.close()
+            fits = self.budget - self._opening() - n
+            self.before = [x for x in self.tail if self.total - x[0] <= min(self.history, fits)]
+        shown = render_turn(role, text)
+        self.own.append((shown, role == "assistant"))
+        if not (self.own_system and self.total == 0 and len(self.own) == 1):
+            self.tail.append((self.total, shown))
+        self.total += n
+        while self.tail and self.total - self.tail[0][0] > self.history:
+            self.tail.popleft()
+
+    def close(self) -> tuple:
+        parts, spans, at = [], [], 0
+        repeated = [x[1] for x in self.before]
+        if self.system and not self.own_system:
+            repeated.insert(0, self.system[0])
+        tokens = self._opening() + self.total - (self.before[0][0] if self.before else self.start)
+        for (shown, lo, hi), target in [*((x, False) for x in repeated), *self.own]:
+            if target:
                 spans.append({"start": at + lo, "end": at + hi})
             parts.append(shown)
             at += len(shown)
-        if rows:
+        self.own, self.start, self.own_system = [], self.total, False
+        return "".join(parts), len(repeated), spans, tokens
+
+
+SPAN = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+WINDOW_SCHEMA = pa.schema([("conv_id", pa.int64()), ("block", pa.int64()), ("w", pa.int64()), ("formatted", pa.string()), ("n_repeated", pa.int32()), ("loss_spans", SPAN), ("n_tokens", pa.int64()), ("blocks", pa.int64())])
+WINDOW_DDL = "conv_id long, block long, w long, formatted string, n_repeated int, loss_spans array<struct<start:long,end:long>>, n_tokens long, blocks long"
+
+
+def _assemble(budget: int, history: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Streams blocks: a head (the system turn, and how many blocks there are), then the turns in order."""
+        key, windows, w, blocks, rows = None, None, 0, 0, []
+
+        def flush():
+            return pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows), WINDOW_SCHEMA.types)], schema=WINDOW_SCHEMA)
+
+        def put(window: tuple) -> None:
+            nonlocal w
+            formatted, repeated, spans, tokens = window
+            rows.append((key[1], key[2], w, formatted, repeated, spans, tokens, blocks))
+            w += 1
+
+        for b in slices(batches):
+            for no_conv, conv, block, head, role, text, count, opens in zip(*(b.column(c).to_pylist() for c in ("no_conv", "conv", "block", "head", "role", "text", "blocks", "opens"))):
+                if head:
+                    if windows and windows.own:
+                        put(windows.close())
+                    key, w, blocks = (no_conv, None if no_conv else conv, block), 0, count
+                    windows = Windows(budget, history, text, opens)
+                    continue
+                for window in windows.add(role, text):
+                    put(window)
+            if rows:
+                yield flush()
+                rows = []
+        if windows and windows.own:
+            put(windows.close())
             yield flush()
-            rows = []
-    close()
-    if rows:
-        yield flush()
+
+    return run
 
 
-def format_chats(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """(conv_id, w, formatted, n_repeated, loss_spans) per window; an empty table gives no window.
+def format_chats(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, block: int = BLOCK) -> DataFrame:
+    """WINDOW_DDL: a row per window, ordered by (conv_id, block, w); the rows of a block come out of one task in this order.
 
-    The first n_repeated turns are system and history; loss_spans are code point offsets into formatted.
+    The first n_repeated turns are system and history; loss_spans are code point offsets into formatted; n_tokens is over the
+    budget only where a window has a single own turn, since turns are never cut. blocks counts those of the conversation.
+    Nulls: text and role count as empty, a null turn sorts first and is a block of its own, a null conv_id is a conversation of its own.
+    Equal turn numbers go by role and text; repeated rows are turns of their own; all turns with one number stand in one block; other columns are
+    not carried; an empty table gives no window.
     """
-    rows = plan_windows(conversations, budget, history)
-    n = partitions(conversations.sparkSession)
-    rows = rows.repartition(n, "conv_id", "w").sortWithinPartitions("conv_id", "w", "seq")
-    return rows.mapInArrow(_assemble, "conv_id long, w long, formatted string, n_repeated int, loss_spans array<struct<start:int,end:int>>")
+    turn = F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 40)))
+    c = conversations.select(F.col("conv_id").isNull().alias("no_conv"), F.coalesce(F.col("conv_id").cast("long"), F.lit(0)).alias("conv"), turn.alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+    c = c.withColumn("block", F.floor(F.col("turn") / block))
+    # The conversation's first turn by number and role is the smallest of these; only whether it is a system turn counts.
+    rank = F.col("turn") * 3 + F.when(F.col("role") < "system", 0).when(F.col("role") == "system", 1).otherwise(2)
+    heads = c.groupBy("no_conv", "conv", "block").agg(F.min(rank).alias("least"))
+    firsts = heads.groupBy("no_conv", "conv").agg(F.min("least").alias("first"), F.min("block").alias("first_block"), F.count("*").alias("blocks"))
+    system = c.filter("role = 'system'").withColumn("rank", rank).join(firsts.filter("first % 3 = 1 OR first % 3 = -2"), ["no_conv", "conv"]).filter("rank = first")
+    system = system.groupBy("no_conv", "conv").agg(F.min("text").alias("system"))
+    heads = heads.select("no_conv", "conv", "block").join(firsts, ["no_conv", "conv"]).join(system, ["no_conv", "conv"], "left")
+    heads = heads.select("no_conv", "conv", "block", F.lit(True).alias("head"), F.lit(None).cast("long").alias("turn"), F.lit(None).cast("string").alias("role"), F.col("system").alias("text"), "blocks", (F.col("system").isNotNull() & (F.col("block") == F.col("first_block"))).alias("opens"))
+    turns = c.select("no_conv", "conv", "block", F.lit(False).alias("head"), "turn", "role", "text", F.lit(None).cast("long").alias("blocks"), F.lit(None).cast("boolean").alias("opens"))
+    rows = heads.union(turns).repartition(partitions(conversations.sparkSession), "no_conv", "conv", "block")
+    rows = rows.sortWithinPartitions("no_conv", "conv", "block", F.desc("head"), "turn", "role", "text")
+    return rows.mapInArrow(_assemble(budget, history), WINDOW_DDL)
+
+
+_DIGEST = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
+_DIGEST_DDL = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+_PART_DDL = "block long, w long, own string, n long, loss string, chars long"
+
+
+def read_window(formatted: str, repeated: int, spans: list[dict]) -> tuple[str, int, str, int]:
+    """A window's own turns as the text to digest, their number, its text under the loss mask, unescaped, and its length."""
+    turns = parse(formatted)[repeated:]
+    return "".join(f"{r}\n{t}\n" for r, t in turns), len(turns), "".join(unescape(formatted[s["start"] : s["end"]]) for s in spans), len(formatted)
+
+
+class _Digests:
+    """Streams the windows of conversations, in order, through their digests, in constant memory."""
+
+    def __init__(self):
+        self.key, self.state, self.rows = (), None, []
+
+    def add(self, conv: int | None, own: str, n: int, loss: str, chars: int) -> None:
+        if (conv,) != self.key:
+            self.close()
+            self.key, self.state = (conv,), [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
+        s = self.state
+        s[0] += n
+        s[1].update(own.encode())
+        s[2] += len(loss)
+        s[3].update(loss.encode())
+        s[4] += chars
+
+    def close(self) -> None:
+        if self.state:
+            n, own, chars, loss, formatted = self.state
+            self.rows.append((self.key[0], n, own.hexdigest(), chars, loss.hexdigest(), formatted))
+        self.key, self.state = (), None
+
+    def take(self) -> list[tuple]:
+        out, self.rows = self.rows, []
+        return out
+
+
+def _digest_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests of conversations of one block; the windows of others leave as text."""
+    found = _Digests()
+    part = pa.schema([("block", pa.int64()), ("w", pa.int64()), ("own", pa.string()), ("n", pa.int64()), ("loss", pa.string()), ("chars", pa.int64())])
+    schema = pa.schema([*_DIGEST, *part])
+
+    def flush(texts: list[tuple]) -> pa.RecordBatch:
+        rows = [(*r, *[None] * len(part)) for r in found.take()] + [(t[0], *[None] * (len(_DIGEST) - 1), *t[1:]) for t in texts]
+        return pa.record_batch([pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * len(schema), schema.types)], schema=schema)
+
+    for b in slices(batches, 64):
+        texts = []
+        for conv, block, w, formatted, repeated, spans, blocks in zip(*(b.column(c).to_pylist() for c in ("conv_id", "block", "w", "formatted", "n_repeated", "loss_spans", "blocks"))):
+            own, n, loss, chars = read_window(formatted, repeated, spans)
+            if blocks == 1:
+                found.add(conv, own, n, loss, chars)
+            else:
+                texts.append((conv, block, w, own, n, loss, chars))
+        yield flush(texts)
+    found.close()
+    yield flush([])
+
 
+def _digest_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    found = _Digests()
+
+    def flush() -> pa.RecordBatch:
+        return pa.record_batch([pa.array(c, t) for c, t in zip(list(zip(*found.take())) or [()] * len(_DIGEST), _DIGEST.types)], schema=_DIGEST)
 
-def _read_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each window's own turns, as the text to digest, and its text under the loss mask, unescaped."""
     for b in slices(batches, 64):
-        own, n, loss, chars = [], [], [], []
-        for formatted, repeated, spans in zip(*(b.column(k).to_pylist() for k in (2, 3, 4))):
-            turns = parse(formatted)[repeated:]
-            own.append("".join(f"{r}\n{t}\n" for r, t in turns))
-            n.append(len(turns))
-            loss.append("".join(unescape(formatted[s["start"] : s["end"]]) for s in spans))
-            chars.append(len(formatted))
-        yield pa.record_batch([b.column(0), b.column(1), pa.array(own, pa.string()), pa.array(n, pa.int64()), pa.array(loss, pa.string()), pa.array(chars, pa.int64())], names=["conv_id", "w", "own", "n", "loss", "chars"])
-
-
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Streams the windows of a conversation through its digests: a digest reads its text in order, in constant memory."""
-    names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
-    key, state, rows = (), None, []
-
-    def close():
-        if state:
-            rows.append((key[0], state[0], state[1].hexdigest(), state[2], state[3].hexdigest(), state[4]))
-
-    def flush():
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
-        return pa.record_batch([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=names)
-
-    for b in slices(batches):
-        for conv, _, own, n, loss, chars in zip(*(x.to_pylist() for x in b.columns)):
-            if (conv,) != key:
-                close()
-                key, state = (conv,), [0, hashlib.sha256(), 0, hashlib.sha256(), 0]
-            state[0] += n
-            state[1].update(own.encode())
-            state[2] += len(loss)
-            state[3].update(loss.encode())
-            state[4] += chars
-        if rows:
-            yield flush()
-            rows = []
-    close()
-    if rows:
+        for row in zip(*(b.column(c).to_pylist() for c in ("conv_id", "own", "n", "loss", "chars"))):
+            found.add(*row)
         yield flush()
+    found.close()
+    yield flush()
+
+
+def digests(windows: DataFrame) -> DataFrame:
+    """The contract's row per conversation, read back from the windows as format_chats made them.
+
+    A digest reads a conversation's text in order, so the windows of a conversation of several blocks pass through one task once more,
+    in constant memory. An empty table gives no row.
+    """
+    read = materialize(windows.mapInArrow(_digest_windows, f"{_DIGEST_DDL}, {_PART_DDL}"), "digests")
+    whole = read.filter("own IS NULL").select(*_DIGEST.names)
+    parts = read.filter("own IS NOT NULL").select("conv_id", "block", "w", "own", "n", "loss", "chars")
+    parts = parts.repartition(partitions(windows.sparkSession), "conv_id").sortWithinPartitions("conv_id", "block", "w")
+    return whole.union(parts.mapInArrow(_digest_parts, _DIGEST_DDL))
 
 
 def op2_chat_format(spark, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     probe = "</s>[INST] ok [/INST]"
-    extra = spark.createDataFrame([(-1, 0, "user", probe), (-1, 1, "assistant", probe)], "conv_id long, turn long, role string, text string")
-    back = format_chats(c.unionByName(extra)).mapInArrow(_read_back, "conv_id long, w long, own string, n long, loss string, chars long")
-    n = partitions(spark)
-    back = back.repartition(n, "conv_id").sortWithinPartitions("conv_id", "w")
-    return back.mapInArrow(_digest, "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
+    extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(probe).alias("text"))
+    return digests(format_chats(c.unionByName(extra)))
