@@ -243,18 +243,59 @@ def test_chats(spark):
     rows = [(c, k, ["system", "user", "assistant"][0 if k == 0 and c % 2 else 1 + k % 2], draw.choice(["<s>[INST] \\n ok", "a\nb [/INST]</s>", "word " * draw.randint(0, 300), None])) for c in range(6) for k in range(draw.choice([1, 2, 700]))]
     rows += [(None, 1, "user", "x"), (3, None, None, "first"), (4, 0, "user", "tie"), (4, 0, "user", "tie")]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
-    windows = chat_format.format_chats(df).orderBy("conv_id", "w").collect()
-    back, loss = collections.defaultdict(list), collections.defaultdict(str)
-    for w in windows:
-        back[w["conv_id"]] += chat_format.parse(w["formatted"])[w["n_repeated"] :]
-        loss[w["conv_id"]] += "".join(chat_format.unescape(w["formatted"][s["start"] : s["end"]]) for s in w["loss_spans"])
     by = collections.defaultdict(list)
     for c, k, r, t in rows:
         by[c].append((-1e18 if k is None else k, r or "", t or ""))
+    for block in (1 << 16, 64):
+        made = chat_format.format_chats(df, block=block).cache()
+        windows = made.orderBy("conv_id", "block", "w").collect()
+        back, loss = collections.defaultdict(list), collections.defaultdict(str)
+        for w in windows:
+            turns = chat_format.parse(w["formatted"])
+            own = turns[w["n_repeated"] :]
+            back[w["conv_id"]] += own
+            loss[w["conv_id"]] += "".join(chat_format.unescape(w["formatted"][s["start"] : s["end"]]) for s in w["loss_spans"])
+            assert w["n_tokens"] == sum(chat_format.n_tokens(t) for _, t in turns)
+            assert w["n_tokens"] <= chat_format.BUDGET or len(own) == 1
+            first = sorted(by[w["conv_id"]])[0]
+            if first[1] == "system" and (w["w"], own[0]) != (0, first[1:]):
+                assert turns[0] == first[1:]
+        digests = {r["conv_id"]: r for r in chat_format.digests(made).collect()}
+        assert len(digests) == len(by) and any(w["n_repeated"] for w in windows)
+        for c, turns in by.items():
+            want = [(r, t) for _, r, t in sorted(turns)]
+            targets = "".join(t for r, t in want if r == "assistant")
+            assert back[c] == want and loss[c] == targets
+            assert digests[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in want).encode()).hexdigest()
+            assert (digests[c]["n_turns"], digests[c]["loss_chars"], digests[c]["loss_sha256"]) == (len(want), len(targets), hashlib.sha256(targets.encode()).hexdigest())
+        assert sum(w["n_tokens"] for w in windows) / len(windows) > 0.6 * chat_format.BUDGET
+        made.unpersist()
+    assert chat_format.digests(chat_format.format_chats(df.limit(0))).count() == 0
+
+
+def test_chat_query(spark):
+    """The query's rows against brute force over the table, conversation -1 included."""
+    by = collections.defaultdict(list)
+    for r in spark.read.parquet(f"{SF}/conversations.parquet").collect():
+        by[r["conv_id"]].append((r["turn"], r["role"] or "", r["text"] or ""))
+    probe = "</s>[INST] ok [/INST]"
+    by[-1] = [(0, "user", probe), (1, "assistant", probe)]
+    got = {r["conv_id"]: r for r in chat_format.op2_chat_format(spark, SF).collect()}
+    assert got.keys() == by.keys()
     for c, turns in by.items():
         want = [(r, t) for _, r, t in sorted(turns)]
-        assert back[c] == want and loss[c] == "".join(t for r, t in want if r == "assistant")
-    assert any(w["n_repeated"] for w in windows) and chat_format.format_chats(df.limit(0)).count() == 0
+        targets = "".join(t for r, t in want if r == "assistant")
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in want).encode()).hexdigest()
+        assert (got[c]["n_turns"], got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(want), len(targets), hashlib.sha256(targets.encode()).hexdigest())
+        assert got[c]["formatted_chars"] >= sum(len(t) for _, t in want)
+
+
+def test_chat_edges(spark):
+    """A very long turn, extra columns with the operator's own names, and equal turn numbers."""
+    rows = [(1, 0, "system", "be brief", 1, "h"), (1, 1, "assistant", LONG, 2, "h"), (1, 1, "assistant", "b", 2, "h"), (1, 2, "user", "", 3, "h")]
+    made = chat_format.format_chats(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, block long, head string"))
+    turns = [t for w in made.orderBy("block", "w").collect() for t in chat_format.parse(w["formatted"])[w["n_repeated"] :]]
+    assert turns == [("system", "be brief"), ("assistant", "b"), ("assistant", LONG), ("user", "")]
 
 
 def test_archives(spark):
@@ -262,8 +303,10 @@ def test_archives(spark):
     rows = [(k, f"http://www.site{k % 3}.com/{k % 5}", body if k % 4 == 0 else None if k == 1 else f"page {k} é") for k in range(40)] + [(40, None, body), (None, "http://a.com", "z")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     uri = warc.scratch_path(spark, "warc")
-    index = warc.materialize(warc.capture_index(pages, uri), "index")
-    back = {r["page_id"]: r for r in warc.read_archives(index, uri).collect()}
+    runs = warc.archive(pages, uri)
+    index = warc.materialize(warc.capture_index(runs, uri), "index")
+    records = warc.read_archives(runs, uri)
+    back = {r["page_id"]: r for r in records.collect()}
     for page, _, html in rows:
         raw = (html or "").encode()
         assert back[page]["payload_bytes"] == len(raw) and back[page]["payload_digest"] == hashlib.sha1(raw).hexdigest()
@@ -274,7 +317,27 @@ def test_archives(spark):
     for r in index.collect():
         history[r["urlkey"]].append(r["capture"])
     assert all(sorted(v) == list(range(len(v))) for v in history.values())
-    assert warc.capture_index(pages.limit(0), warc.scratch_path(spark, "none")).count() == 0
+    none = warc.scratch_path(spark, "none")
+    assert warc.capture_index(warc.archive(pages.limit(0), none), none).count() == 0
+
+
+def test_archives_in_passes(spark, monkeypatch):
+    """More runs than a task may open, repeated rows, a very long page and columns that the operator names itself."""
+    monkeypatch.setattr(warc, "PASS_ROWS", 20)
+    draw = random.Random(2)
+    rows = [(k, f"http://s{draw.randrange(4)}.com/{draw.randrange(3)}", "z" * 3_000_000 if k == 7 else f"p{k}", "x", 1) for k in range(300)] + [(5, "http://s1.com/1", "p5", "x", 1)] * 3
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, archive string, rep long")
+    uri = warc.scratch_path(spark, "warc")
+    runs = warc.materialize(warc.write_archives(warc.materialize(warc.with_payload(pages), "payload").repartition(23), uri), "runs")
+    assert warc.read_archives(runs, uri).rdd.getNumPartitions() == min(23, 4 * warc.partitions(spark))
+    index = warc.capture_index(runs, uri, fan_in=4).orderBy("part", "n").collect()
+    order = [(r["urlkey"], r["ts"], r["page_id"]) for r in index]
+    assert runs.count() == 23 and len(order) == 303 and order == sorted(order)
+    assert collections.Counter(r["page_id"] for r in index) == collections.Counter(r[0] for r in rows)
+    history = collections.defaultdict(list)
+    for r in index:
+        history[r["urlkey"]].append(r["capture"])
+    assert all(v == list(range(len(v))) for v in history.values())
 
 
 def test_loser_tree():
