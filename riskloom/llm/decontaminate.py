@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.llm.common import table
+from riskloom.llm.native import eight_hashes, once
 
 WINDOW = 8
 #: Template tokens of a window that must be literal words.
@@ -27,11 +28,6 @@ UNITS = ["km", "kilometers", "kilometres", "m", "meters", "metres", "cm", "mm",
 NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 
 
-def once(value: Column) -> Column:
-    """value, never duplicated into filters or lambdas above (see quality_rules.once)."""
-    return F.when(F.spark_partition_id() >= 0, value)
-
-
 def _tokens(text: Column) -> Column:
     """Words of a text; '_' marks one that opens a sentence, where a capital means nothing."""
     marked = F.regexp_replace(F.coalesce(text, F.lit("")), "(^|[.!?:\\n][\"'\\s]*)(?=\\p{Lu})", "$1_")
@@ -55,9 +51,7 @@ def with_windows(df: DataFrame, id_col: str, text_col: str, prefix: str) -> Data
     """(id, raw words, template tokens, hashes of the template windows) of each row."""
     x = df.select(F.col(id_col).alias(prefix + "id"), once(_tokens(F.col(text_col))).alias(prefix + "raw"))
     x = x.withColumn(prefix + "canon", once(F.transform(prefix + "raw", _template)))
-    n = F.size(prefix + "canon")
-    windows = F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(F.col(prefix + "canon"), i, WINDOW)))
-    return x.withColumn(prefix + "h", once(F.when(n >= WINDOW, windows).otherwise(F.array().cast("array<bigint>"))))
+    return eight_hashes(prefix + "canon", prefix + "h", x)
 
 
 def _verbatim(words: Column) -> Column:

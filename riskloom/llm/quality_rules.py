@@ -19,6 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.llm.common import table
+from riskloom.llm.native import eight_hashes, once
 
 WS = " \t\n\x0b\f\r"
 WS_RUN = "[\\x20\\x09-\\x0D]+"
@@ -32,16 +33,6 @@ def _without(c: Column, chars: str) -> Column:
     return F.translate(c, chars, "")
 
 
-def once(value: Column) -> Column:
-    """value, marked so that the optimizer computes it in one place.
-
-    A filter above would else be pushed below the projections with their expressions put in
-    its place, even inside lambdas, where they would run once for each element.
-    A partition's number is never below 0, so the value itself never changes.
-    """
-    return F.when(F.spark_partition_id() >= 0, value)
-
-
 def with_signals(docs: DataFrame, text: str = "text", out: str = "signals") -> DataFrame:
     """docs plus a struct column of statistics of the whole text; a null text counts as empty.
 
@@ -59,7 +50,7 @@ def with_signals(docs: DataFrame, text: str = "text", out: str = "signals") -> D
     })
     words = F.col(p + "words")
     n = F.size(words)
-    x = x.withColumn(p + "h", once(F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice(words, i, WINDOW)))).otherwise(F.array().cast("array<bigint>"))))
+    x = eight_hashes(p + "words", p + "h", x)
     h = F.col(p + "h")
     x = x.withColumn(p + "s", once(F.when(F.size(F.array_distinct(h)) < F.size(h), F.array_sort(F.transform(h, lambda v, i: F.struct(v.alias("h"), i.alias("i"))))).otherwise(F.array().cast("array<struct<h:bigint,i:int>>"))))
     s = F.col(p + "s")
