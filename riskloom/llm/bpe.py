@@ -26,7 +26,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.common import slices, table
+from riskloom.llm.common import slices, table, tidied
 
 #: Pre-token pattern of byte-level BPE vocabularies (a fixed value).
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -228,7 +228,7 @@ def bpe_encode(df: DataFrame, vocab: Broadcast, id_col: str = "doc_id", text_col
             v.forget()
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary")
+    return df.select(id_col, text_col).mapInArrow(tidied(run), f"`{id_col}` {kind}, n_tokens long, ids binary")
 
 
 def bpe_decode(df: DataFrame, vocab: Broadcast, id_col: str = "doc_id") -> DataFrame:
@@ -241,7 +241,7 @@ def bpe_decode(df: DataFrame, vocab: Broadcast, id_col: str = "doc_id") -> DataF
             yield pa.record_batch([*b.columns, pa.array(texts, pa.string())], names=[id_col, "n_tokens", "ids", "decoded"])
 
     kind = df.schema[id_col].dataType.simpleString()
-    return df.select(id_col, "n_tokens", "ids").mapInArrow(run, f"`{id_col}` {kind}, n_tokens long, ids binary, decoded string")
+    return df.select(id_col, "n_tokens", "ids").mapInArrow(tidied(run), f"`{id_col}` {kind}, n_tokens long, ids binary, decoded string")
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:

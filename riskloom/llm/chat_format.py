@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.common import materialize, partitions, slices, table
+from riskloom.llm.common import materialize, partitions, slices, table, tidied
 
 BUDGET = 512
 HISTORY = 96
@@ -174,7 +174,7 @@ def format_chats(conversations: DataFrame, budget: int = BUDGET, history: int =
     turns = c.select("no_conv", "conv", "block", F.lit(False).alias("head"), "turn", "role", "text", F.lit(None).cast("long").alias("blocks"), F.lit(None).cast("boolean").alias("opens"))
     rows = heads.union(turns).repartition(partitions(conversations.sparkSession), "no_conv", "conv", "block")
     rows = rows.sortWithinPartitions("no_conv", "conv", "block", F.desc("head"), "turn", "role", "text")
-    return rows.mapInArrow(_assemble(budget, history), WINDOW_DDL)
+    return rows.mapInArrow(tidied(_assemble(budget, history)), WINDOW_DDL)
 
 
 _DIGEST = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()), ("loss_chars", pa.int64()), ("loss_sha256", pa.string()), ("formatted_chars", pa.int64())])
@@ -259,11 +259,11 @@ def digests(windows: DataFrame) -> DataFrame:
     A digest reads a conversation's text in order, so the windows of a conversation of several blocks pass through one task once more,
     in constant memory. An empty table gives no row.
     """
-    read = materialize(windows.mapInArrow(_digest_windows, f"{_DIGEST_DDL}, {_PART_DDL}"), "digests")
+    read = materialize(windows.mapInArrow(tidied(_digest_windows), f"{_DIGEST_DDL}, {_PART_DDL}"), "digests")
     whole = read.filter("own IS NULL").select(*_DIGEST.names)
     parts = read.filter("own IS NOT NULL").select("conv_id", "block", "w", "own", "n", "loss", "chars")
     parts = parts.repartition(partitions(windows.sparkSession), "conv_id").sortWithinPartitions("conv_id", "block", "w")
-    return whole.union(parts.mapInArrow(_digest_parts, _DIGEST_DDL))
+    return whole.union(parts.mapInArrow(tidied(_digest_parts), _DIGEST_DDL))
 
 
 def op2_chat_format(spark, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.common import materialize, partitions, slices, table
+from riskloom.llm.common import materialize, partitions, slices, table, tidied
 from riskloom.llm.components import connected_components
 from riskloom.llm.shingles import mix, pack, set_key, shingle_sets, unpack
 
@@ -344,7 +344,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, name: str) -> Da
     queries = dealt.select("a", "salt").distinct().join(texts, F.col("a") == F.col("key")).select("a", "salt", F.lit(0).alias("role"), "key", "text")
     members = dealt.join(texts, F.col("b") == F.col("key")).select("a", "salt", F.lit(1).alias("role"), "key", "text")
     cells = queries.union(members).repartition(n, "a", "salt").sortWithinPartitions("a", "salt", "role")
-    return materialize(cells.mapInArrow(_search, "a long, b long"), name)
+    return materialize(cells.mapInArrow(tidied(_search), "a long, b long"), name)
 
 
 def _cross(t: pa.Table) -> pa.Table:
@@ -402,7 +402,7 @@ def near_duplicates(docs: DataFrame, small_run: int = SMALL_RUN, block: int = BL
     """
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text")
-    seen = materialize(docs.mapInArrow(_describe, f"kind int, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, key long"), "sets")
+    seen = materialize(docs.mapInArrow(tidied(_describe), f"kind int, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, key long"), "sets")
     sets = seen.filter("kind = 0").select("doc_id", "n_shingles", "key")
     classes = sets.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("key").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
     classes = materialize(classes, "classes")
@@ -410,7 +410,7 @@ def near_duplicates(docs: DataFrame, small_run: int = SMALL_RUN, block: int = BL
     common = seen.filter("kind = 1").groupBy("key").agg(F.sum("n_shingles").alias("c")).orderBy(F.desc("c"), "key").limit(FREQUENT).toArrow()
     order = spark.sparkContext.broadcast((common["key"].to_numpy().view(np.uint64), common["c"].to_numpy()))
     buckets = partitions(spark) * 4
-    lists = docs.select("text").mapInArrow(_postings(order, buckets, chunk), "bucket int, blob binary")
+    lists = docs.select("text").mapInArrow(tidied(_postings(order, buckets, chunk)), "bucket int, blob binary")
     found = materialize(lists.groupBy("bucket").applyInArrow(_propose(small_run), "a long, b long, " + LISTS), "proposed")
     members = found.filter("token IS NOT NULL")
     star = members.filter("hub").groupBy("token").applyInArrow(_between_hubs, "a long, b long")

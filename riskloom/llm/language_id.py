@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.common import slices, table
+from riskloom.llm.common import slices, table, tidied
 
 DIM = 1024
 SEED = 20_240_601
@@ -107,7 +107,7 @@ def learn_profiles(docs: DataFrame, max_per_lang: int = MAX_PER_LANG, dim: int =
         yield pa.record_batch([pa.array(list(sums), pa.string()), pa.array([s.astype(np.float64).tobytes() for s in sums.values()], pa.binary())], names=["lang", "v"])
 
     sums: dict[str, np.ndarray] = {}
-    for r in picked.mapInArrow(bundle, "lang string, v binary").collect():  # a row per task and language
+    for r in picked.mapInArrow(tidied(bundle), "lang string, v binary").collect():  # a row per task and language
         v = np.frombuffer(r["v"], np.float64)
         sums[r["lang"]] = sums.get(r["lang"], 0) + v
     langs = sorted(sums)
@@ -139,7 +139,7 @@ def identify(docs: DataFrame, langs: list[str], profiles: np.ndarray) -> DataFra
                     score.append(float(min(1.0, max(0.0, cos[k]))))
             yield pa.record_batch([b.column(0), pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, lang_pred string, score double")
+    return docs.select("doc_id", "text").mapInArrow(tidied(run), f"doc_id {kind}, lang_pred string, score double")
 
 
 def op5_language_id(spark, sf_dir: str) -> DataFrame:

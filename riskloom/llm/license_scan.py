@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.common import slices, table
+from riskloom.llm.common import slices, table, tidied
 
 #: Phrase and label pairs (fixed values).
 PHRASES = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
@@ -96,7 +96,7 @@ def token_frequencies(docs: DataFrame, text_col: str = "text") -> dict[bytes, in
                     seen.update(filter(vocab.__contains__, words(text.encode())))
         yield pa.record_batch([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
 
-    rows = docs.select(text_col).mapInArrow(count, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")).collect()
+    rows = docs.select(text_col).mapInArrow(tidied(count), "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")).collect()
     return {bytes(r["w"]): r["n"] for r in rows}
 
 
@@ -161,7 +161,7 @@ def scan(docs: DataFrame, frequency: dict[bytes, int], threshold: float = CONTAI
                 matches.append(hits)
             yield pa.record_batch([b.column(0), pa.array(n, pa.int64()), pa.array(places, pa.list_(place)), pa.array(matches, pa.list_(match))], names=["doc_id", "n_words", "places", "matches"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, n_words long, places array<struct<first:long,last:long,label:string>>, matches array<struct<block:long,template:string,share:double>>")
+    return docs.select("doc_id", "text").mapInArrow(tidied(run), f"doc_id {kind}, n_words long, places array<struct<first:long,last:long,label:string>>, matches array<struct<block:long,template:string,share:double>>")
 
 
 def op9_license_scan(spark, sf_dir: str) -> DataFrame:

@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.common import slices, table
+from riskloom.llm.common import slices, table, tidied
 from riskloom.llm.language_id import remainder
 
 MAX_TRAIN = 6000
@@ -122,7 +122,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Lat
                 seen.update(token_counts(text)[0].keys())
         yield pa.record_batch([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
 
-    frequent = picked.mapInArrow(tokens, "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")).filter("n >= 3").orderBy(F.desc("n"), "w").limit(VOCABULARY).collect()
+    frequent = picked.mapInArrow(tidied(tokens), "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")).filter("n >= 3").orderBy(F.desc("n"), "w").limit(VOCABULARY).collect()
     index = {bytes(r["w"]): k for k, r in enumerate(frequent)}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +136,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Lat
                 mea.append(m)
             yield pa.record_batch([b.column(0), b.column(1).cast(pa.int32()), pa.array(at, pa.list_(pa.int32())), pa.array(val, pa.list_(pa.float64())), pa.array(mea, pa.list_(pa.float64()))], names=["doc_id", "q", "at", "val", "mea"])
 
-    got = sorted(picked.mapInArrow(rows, "doc_id long, q int, at array<int>, val array<double>, mea array<double>").collect(), key=lambda r: (r["doc_id"], r["q"]))
+    got = sorted(picked.mapInArrow(tidied(rows), "doc_id long, q int, at array<int>, val array<double>, mea array<double>").collect(), key=lambda r: (r["doc_id"], r["q"]))
     if not got:
         return None
     df = np.ones(len(index))
@@ -177,7 +177,7 @@ def classify(docs: DataFrame, space: LatentSpace | None) -> DataFrame:
                 score = (weight * m.labels[near]).sum(1) / weight.sum(1)
             yield pa.record_batch([b.column(0), pa.array(np.clip(score.astype(np.float64), 0, 1))], names=["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
+    return docs.select("doc_id", "text").mapInArrow(tidied(run), f"doc_id {kind}, score double")
 
 
 def op7_quality_classifier(spark, sf_dir: str) -> DataFrame:

@@ -27,7 +27,7 @@ import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskloom.llm.common import materialize, partitions, scratch_path, slices, table
+from riskloom.llm.common import materialize, partitions, scratch_path, slices, table, tidied
 
 REVISIT_FROM = 1000
 ARCHIVE_BYTES = 32 << 20
@@ -170,7 +170,7 @@ def write_archives(pages: DataFrame, uri: str) -> DataFrame:
         if made:
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*made), PIECE_SCHEMA.types)], schema=PIECE_SCHEMA)
 
-    return pages.mapInArrow(run, PIECE_DDL)
+    return pages.mapInArrow(tidied(run), PIECE_DDL)
 
 
 def _columns(rows: list[tuple]) -> pa.Table:
@@ -285,9 +285,9 @@ def merge_runs(pieces: DataFrame, uri: str, ranges: int, fan_in: int = FAN_IN) -
         groups = materialize(groups.select("run", F.floor(F.monotonically_increasing_id() / fan_in).alias("grp")), "groups")
         n_runs = groups.select("grp").distinct().count()
         cuts, level = cuts_of(min(ranges, max(1, total // (n_runs * PASS_ROWS)))), level + 1
-        dealt = pieces.join(groups, "run").mapInArrow(_overlapping(cuts), tasks)
+        dealt = pieces.join(groups, "run").mapInArrow(tidied(_overlapping(cuts)), tasks)
         dealt = dealt.repartition(min(n_runs * (len(cuts) + 1), 4 * partitions(spark)), "grp", "part").sortWithinPartitions("grp", "part", "run", "lo")
-        pieces = materialize(dealt.mapInArrow(_longer_runs(uri, bounds_of(cuts), level), PIECE_DDL), "pieces")
+        pieces = materialize(dealt.mapInArrow(tidied(_longer_runs(uri, bounds_of(cuts), level)), PIECE_DDL), "pieces")
     cuts = cuts_of(ranges)
     bounds = bounds_of(cuts)
 
@@ -299,9 +299,9 @@ def merge_runs(pieces: DataFrame, uri: str, ranges: int, fan_in: int = FAN_IN) -
                 yield pa.record_batch([pa.array([part] * len(some), pa.int32()), pa.array(range(n, n + len(some)), pa.int64()), *(pa.array(c, t) for c, t in zip(zip(*some), RUN_SCHEMA.types))], schema=schema)
                 n += len(some)
 
-    dealt = pieces.withColumn("grp", F.lit(0).cast("long")).mapInArrow(_overlapping(cuts), tasks)
+    dealt = pieces.withColumn("grp", F.lit(0).cast("long")).mapInArrow(tidied(_overlapping(cuts)), tasks)
     dealt = dealt.repartition(len(bounds), "part").sortWithinPartitions("grp", "part", "run", "lo")
-    return dealt.mapInArrow(merge, "part int, n long, " + RUN_DDL)
+    return dealt.mapInArrow(tidied(merge), "part int, n long, " + RUN_DDL)
 
 
 def read_archives(runs: DataFrame, uri: str) -> DataFrame:
@@ -329,7 +329,7 @@ def read_archives(runs: DataFrame, uri: str) -> DataFrame:
 
     n = max(1, min(runs.count(), 4 * partitions(runs.sparkSession)))
     # Dealt in turns, which adaptive execution leaves as it is: names are small, the archives behind them aren't.
-    return runs.select("run").repartition(n).mapInArrow(read, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long, length long")
+    return runs.select("run").repartition(n).mapInArrow(tidied(read), "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, archive string, offset long, length long")
 
 
 def archive(pages: DataFrame, uri: str) -> DataFrame:
