@@ -14,6 +14,7 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = build_session(f"local[{cpus}]", int(cpus) if cpus.isdigit() else 8, "bench")
     spark.sparkContext.setLogLevel("ERROR")
+    from riskloom.plans import page_queries  # noqa: F401  (registers its queries)
     from riskloom.plans.queries import queries
 
     known, took = queries(), {}

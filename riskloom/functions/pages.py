@@ -62,13 +62,14 @@ def too_short(text: Column) -> Column:
 
 def matches_any(patterns: list[str], text: Column, raw: Column) -> Column:
     one = "|".join(patterns)
+    one = f"(?U){one}"
     return F.coalesce(F.lower(text).rlike(one), F.lit(False)) | F.coalesce(F.lower(F.left(raw, F.lit(200_000))).rlike(one), F.lit(False))
 
 
 def parked(visible: Column, raw: Column) -> Column:
     """Three tiers: markup signals, plain phrases, and a weighted score of 3 or more."""
     text, low = F.lower(F.coalesce(visible, F.lit(""))), F.lower(F.coalesce(raw, F.lit("")))
-    real = F.size(F.filter(F.split(text, "\\s+"), lambda w: (w != "") & ~w.rlike("[{};:/=\\\\]")))
+    real = F.size(F.filter(F.split(text, "(?U)\\s+"), lambda w: (w != "") & ~w.rlike("[{};:/=\\\\]")))
     score = sum((F.when(F.contains(text, F.lit(s)), w).otherwise(0) for s, w in PARKED_SOFT.items()), F.lit(0))
     score = score + F.when(real < 50, 2).when(real < 120, 1).otherwise(0) + F.when(low.rlike("height: ?100vh"), 2).otherwise(0)
     any_of = lambda c, signals: F.exists(F.array(*map(F.lit, signals)), lambda s: F.contains(c, s))
@@ -85,6 +86,73 @@ def mhtml_part(snapshot: Column) -> Column:
     return F.when(at == 0, snapshot).otherwise(F.when(cut != "", cut).otherwise(part))
 
 
-def policy_flags(text: Column) -> dict[str, Column]:
-    low = F.lower(F.coalesce(text, F.lit("")))
+def policy_flags(html: Column) -> dict[str, Column]:
+    """Words of the raw markup, wherever they stand."""
+    low = F.lower(F.coalesce(html, F.lit("")))
     return {"terms": low.rlike("terms|tos"), "dmca": low.rlike("disclaimer|dmca"), "privacy": low.rlike("privacy|policy")}
+
+
+#: Texts of captures that show no site.
+INVALID_CAPTURE = [
+    "Click Allow if you are not a robot",
+    "The page will automatically redirect",
+    "Index of / Index of / NameLast ModifiedSize Proudly Served by LiteSpeed Web Server at cinehdencasa.com Port 443",
+    "Comprobando si la conexión del sitio es segura",
+    "Checking if the site connection is secure",
+    "Error code 520",
+    "No webpage was found for the web address: ",
+    "Domain Currently Under Maintenance",
+    "This Account has been suspended",
+    "Attention Attention Please install the Adblock Pro - Browser Extension to continue watching in safe mode",
+    "This website has been reported for potential phishing",
+    "Access to the requested content/website has been disabled",
+    "Pulsa en Permitir ¡Haz clic en \"Permitir\" para confirmar que no eres un robot!",
+    "The server is temporarily unavailable",
+    "DDoS-GuardChecking your browser",
+    "The domain has expired",
+    "The page will automatically redirect to",
+    "SHP Redirector",
+    "Click \"Allow\" to confirm that you are not a robot",
+    "This is the default index.html, this page is automatically generated by the system",
+    "We would like to inform you that we have decided to shut down our site",
+    "Web server is down",
+    "This domain has recently been registered with Namecheap",
+    "Adblocker is the ultimate ad blocker and the most advanced video ad blocker",
+    "ERR_TUNNEL_CONNECTION_FAILED",
+    "Domain Seized",
+    "Pulsa en Permitir ¡Haz clic en \"Permitir\" para confirmar que no eres un robot!",
+    "Reqzone.com - Movies, TV and Celebrities",
+    "Erro 404\"Home Page\"",
+    "Back to Cart",
+    "Nigeria's Citadel Of Entertainment",
+    "Not found",
+    "Access Denied.",
+    "DNS points to prohibited IP",
+    "404 Not Found",
+    "Your file is ready for download!",
+    "No se pudo establecer tu preferencia",
+    "Verifying that you are not a robot...",
+    "Sorry, the page you were looking for does not exist or is not available",
+    "can't reach this page",
+    "Website is no Longer Available",
+    "500 Internal Server",
+    "502: Bad gateway",
+    "oldal új címe",
+    "You have consumed 100% of your monthly basic quota",
+    "Blocked Page",
+    "Cloudflare Please enable cookies",
+    "Ads Blocker Detected!!! ",
+    "Welcome to nginx!",
+    "I'm not a robot",
+    "The new site has been successfully created",
+    "Domain Name Check & Register",
+    "Este domínio será desativado em breve",
+    "Connection timed out",
+    "Free Safari Ad Blocker",
+]
+
+
+def valid_capture(text: Column) -> Column:
+    """Whether a captured text has four tokens between blanks and none of the texts that show no site; a null text is not valid."""
+    rejected = F.exists(F.array(*map(F.lit, INVALID_CAPTURE)), lambda x: F.contains(text, x))
+    return F.coalesce((F.size(F.split(text, " ")) >= 4) & ~rejected, F.lit(False))

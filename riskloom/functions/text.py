@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 #: Fixed values.
-LOW_COST_TLDS = "top xyz info biz online site store shop click fun bond cfd icu today sbs live pro vip club space press rocks link download loan bid one gdn work science trade party win stream men mom kim xin dev pictures pizza poker qpon tk ml ga cf gq li es ru cc cn ai".split()
+LOW_COST_TLDS = ["top", "xyz", "info", "biz", "online", "site", "store", "shop", "click", "fun", "bond", "cfd", "icu", "today", "sbs", "live", "pro", "vip", "club", "space", "press", "rocks", "link", "download", "loan", "bid", "one", "gdn", "work", "science", "trade", "party", "win", "stream", "men", "mom", "kim", "xin", "dev", "pictures", "pizza", "poker", "qpon", "tk", "ml", "ga", "cf", "gq", "li", "es", "ru", "cc", "cn", "ai"]
 MULTIPART_SUFFIXES = ["co.uk", "ac.uk", "com.br", "com.np", "com.pk", "org.ng", "co.tz", "biz.id"]
 HOSTED_SUFFIXES = ["pages.dev", "workers.dev", "onrocket.site", "github.io", "vercel.app", "netlify.app", "herokuapp.com", "readthedocs.io", "cloudfront.net", "azurewebsites.net"]
 
@@ -89,7 +89,7 @@ def word_count(c: Column) -> Column:
 
 def collapse(c: Column) -> Column:
     """White space as single blanks, without supplementary-plane symbols."""
-    return F.trim(F.regexp_replace(F.regexp_replace(c, "[\\x{10000}-\\x{10FFFF}]", ""), "\\s+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(c, "[\\x{10000}-\\x{10FFFF}]", ""), "(?U)\\s+", " "))
 
 
 def shingles(c: Column, n: int = 5) -> Column:
@@ -97,7 +97,7 @@ def shingles(c: Column, n: int = 5) -> Column:
 
     The words are bound by a one-element transform, so that they are cut once and not for each shingle.
     """
-    words = F.filter(F.split(F.lower(c), "\\s+"), lambda x: x != "")
+    words = F.filter(F.split(F.lower(c), "(?U)\\s+"), lambda x: x != "")
     of = lambda w: F.when(F.size(w) >= n, F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.array_join(F.slice(w, i, n), " ")))).otherwise(F.array().cast("array<string>"))
     return F.get(F.transform(F.array(words), of), F.lit(0))
 

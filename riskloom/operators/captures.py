@@ -2,77 +2,103 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from riskloom.functions import pages
+from riskloom.operators import rules
 
 #: Fixed values.
-MEDIA_TYPES = {1: "Piracy", 17: "Invalid HTML", 5: "Publishing", 7: "Software"}
-COUNTRY_ALIASES = {"usa": "United States", "us": "United States", "uk": "United Kingdom", "uae": "United Arab Emirates", "south korea": "Korea"}
+MEDIA_TYPES = {
+    1: "Film & TV",
+    3: "Anime",
+    4: "Manga",
+    2: "Sports",
+    6: "Games",
+    5: "Publishing",
+    14: "Online Courses",
+    8: "Music",
+    9: "Adult",
+    10: "News",
+    13: "Content Host",
+    7: "Software",
+    11: "General",
+    12: "Other",
+    16: "Publishing",
+    17: "invalid",
+}
+COUNTRY_ALIASES = {
+    "Iran, Islamic Republic of": "Iran (Islamic Republic of)",
+    "Viet Nam": "Vietnam",
+    "Venezuela, Bolivarian Republic of": "Venezuela (Bolivarian Republic of)",
+    "US": "United States",
+    "UK": "United Kingdom",
+}
+SEIZED_HOST = "alliance4creativity.com"
 POPUP_NOISE = ["chrome-error://chromewebdata/", "about:blank"]
 SCAN = 10
 
 
-def chains(log: DataFrame, most: int = SCAN) -> DataFrame:
-    """(site, chain): the first responses of each site in order; a chain has a fixed length at most.
-
-    The cut happens in a window group limit before rows are gathered, so a busy site costs no memory.
-    """
-    from pyspark.sql import Window
-
-    w = Window.partitionBy("site").orderBy("seq")
-    head = log.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= most)
-    return head.groupBy("site").agg(F.array_sort(F.collect_list(F.struct("n", "status", F.col("url").alias("host")))).alias("chain"))
-
-
-def status_of_chain(chain: Column, host: Column, seized: Column, parked: Column, html_status: Column) -> Column:
-    """Online status of a response chain; html_status is what the page's text says for a last status that isn't 200.
-
-    Redirects are followed for SCAN responses: a 200 on the site's own host is online, on another one a redirect.
-    """
-    first = F.get(chain, F.lit(0))
-    last = F.get(chain, F.size(chain) - 1)
-    later = F.slice(chain, 2, SCAN - 1)
-    ok = F.filter(later, lambda r: r["status"] == 200)
-    by_html = lambda r: F.when(r["status"] == 200, "Online").otherwise(html_status)
-    return (
-        F.when(seized, "Offline")
-        .when(parked, "Offline | Status Checker")
-        .when(last["host"] != host, "Offline | Status Checker")
-        .when((F.size(chain) == 1) & (first["status"] > 400) & (first["status"] < 500), "Offline")
-        .when(F.size(chain) == 1, by_html(first))
-        .when(first["status"] == 200, "Online")
-        .when((first["status"] >= 300) & (first["status"] < 400), F.when(F.size(ok) > 0, "Online").otherwise(by_html(last)))
-        .otherwise(by_html(first))
-    )
+def url_domain(url: Column) -> Column:
+    """Host and port of the first URL in a text, '' if there is none."""
+    return F.regexp_extract(url, "https?://([^/]+)", 1)
 
 
-def site_status(log: DataFrame, host: Column, seized: Column, parked: Column, html_status: Column) -> DataFrame:
-    """(site, n_responses, online_status) over all responses of a site; only the scan for a later 200 ends at SCAN.
+def site_status(log: DataFrame, sites: DataFrame) -> DataFrame:
+    """(site, n_responses, online_status, offline_type, redirect_url, status_msg) of each of sites (site, domain, page_url, html).
 
-    The rules of status_of_chain on what they read of a chain, which is aggregated rather than gathered.
+    log holds the responses (site, seq, status, url) that led to the page. A site's first, second and last response and whether a 200 stands
+    among responses 2 to SCAN are aggregated, so a site with any number of responses is gathered nowhere. The page decides first: a seized or parked
+    one, then one on another host. A redirect whose second response is no 200 ends with what the page says for the last status, unless
+    that is online; else a 200 on the first response's host tells a redirect within it. A site without responses has no status.
     """
-    from pyspark.sql import Window
-
-    n = F.row_number().over(Window.partitionBy("site").orderBy("seq"))
-    x = log.select("site", "seq", "status", F.col("url").alias("host"), n.alias("n"))
+    w = Window.partitionBy("site").orderBy("seq")
+    x = log.select("site", "seq", "status", "url").withColumns({"n": F.row_number().over(w), "start": url_domain(F.first("url").over(w))})
+    ok = (F.col("status") == 200) & F.col("n").between(2, SCAN)
+    home = F.contains(url_domain(F.col("url")), F.col("start"))
     x = x.groupBy("site").agg(
         F.count("*").alias("n_responses"),
-        F.max_by(F.struct("status", "host"), "n").alias("last"),
         F.max(F.when(F.col("n") == 1, F.col("status"))).alias("first"),
-        F.max(F.col("n").between(2, SCAN) & F.coalesce(F.col("status") == 200, F.lit(False))).alias("ok"),
+        F.max(F.when(F.col("n") == 2, F.col("status"))).alias("second"),
+        F.max_by("status", "n").alias("last"),
+        F.bool_or(rules.yes(ok)).alias("ok"),
+        F.bool_or(rules.yes(ok & home)).alias("ok_home"),
+    )
+    x = sites.join(x, "site", "left").withColumns({"host": url_domain(F.col("page_url")), "text": pages.body_text(F.col("html"))})
+    x = x.withColumn("parked", pages.parked(F.col("text"), F.col("html")))
+    first, single = F.col("first"), F.col("n_responses") == 1
+    redirect, same = F.col("host") != F.col("domain"), F.contains(F.col("host"), F.col("domain"))
+    target = F.when(redirect, F.col("page_url"))
+    nothing = F.lit(None).cast("string")
+    out = lambda status, kind, url, message: F.struct(F.lit(status).alias("online_status"), kind.alias("offline_type"), url.alias("redirect_url"), message.alias("status_msg"))
+    empty = F.lit("")
+
+    def by_html(code: Column, url: Column) -> Column:
+        o = rules.html_outcome(F.col("text"), code, F.col("parked"))
+        return F.struct(o["online_status"].alias("online_status"), o["offline_type"].alias("offline_type"), url.alias("redirect_url"), o["status_msg"].alias("status_msg"))
+
+    seized = F.contains("html", F.lit("Domain Seized")) | F.contains(F.lower("html"), F.lit("no longer available due to copyright"))
+    blocked = out("Blocked", F.lit("Domain Seized"), target, F.lit("Domain Seized"))
+    last = by_html(F.col("last"), target)
+    gone = rules.yes(F.col("second") == 200)
+    redirected = (
+        F.when(~gone & (last["online_status"] != "Online"), last)
+        .when(F.col("ok_home") & seized, blocked)
+        .when(F.col("ok_home"), out("Online", F.when(redirect & same, "Redirect - same domain").otherwise(""), target, F.lit("Redirect same domain")))
+        .when(F.col("ok"), out("Online", F.lit("Redirect"), target, empty))
+        .otherwise(last)
     )
-    by_html = lambda status: F.when(status == 200, "Online").otherwise(html_status)
-    first, last, single = F.col("first"), F.col("last"), F.col("n_responses") == 1
     status = (
-        F.when(seized, "Offline")
-        .when(parked, "Offline | Status Checker")
-        .when(last["host"] != host, "Offline | Status Checker")
-        .when(single & (first > 400) & (first < 500), "Offline")
-        .when(single, by_html(first))
-        .when(first == 200, "Online")
-        .when((first >= 300) & (first < 400), F.when(F.col("ok"), "Online").otherwise(by_html(last["status"])))
-        .otherwise(by_html(first))
+        F.when(F.contains(F.lower("page_url"), F.lit(SEIZED_HOST)), out("Offline", F.lit("Domain Seized"), nothing, F.col("host")))
+        .when(F.col("parked"), out("Offline | Status Checker", F.lit("Parking Page"), empty, empty))
+        .when(redirect & ~same, out("Offline | Status Checker", F.lit("Redirect"), target, empty))
+        .when(single & (first > 400) & (first < 500), out("Offline", F.when(redirect, "Redirect").otherwise("Error[400-500]"), target, empty))
+        .when(single, by_html(first, nothing))
+        .when((first == 200) & seized, blocked)
+        .when(first == 200, out("Online", empty, target, empty))
+        .when((first > 299) & (first < 400), redirected)
+        .when(first.isNotNull(), by_html(first, nothing))
     )
-    return x.select("site", "n_responses", status.alias("online_status"))
+    return x.withColumn("o", status).select("site", F.coalesce("n_responses", F.lit(0).cast("long")).alias("n_responses"), "o.online_status", "o.offline_type", "o.redirect_url", "o.status_msg")
 
 
 def crawl_outcome(offline_type: Column) -> Column:
@@ -106,8 +132,12 @@ def is_vast(body: Column) -> Column:
     return F.contains(low, F.lit("vast")) & F.contains(low, F.lit("xml version"))
 
 
-def bid_host(url: Column) -> Column:
-    return F.regexp_extract(url, "^(?:https?://)?(?:[^@\\n]+@)?(?:www\\.)?([^:/\\n?]+)", 1)
+def bid_host(url: Column) -> dict[str, Column]:
+    """The host that a bid was asked of; domain and subdomain only where it has exactly three labels."""
+    host = F.regexp_extract(url, "^(?:https?://)?(?:[^@\\n]+@)?(?:www\\.)?([^:/\\n?]+)", 1)
+    parts = F.split(host, "\\.")
+    three = F.size(parts) == 3
+    return {"full_domain": host, "domain": F.when(three, F.array_join(F.slice(parts, 2, 2), ".")), "subdomain": F.when(three, F.get(parts, F.lit(0)))}
 
 
 def page_speed(payload: Column) -> dict[str, Column]:
@@ -137,9 +167,9 @@ def clean_label(answer: Column, allowed: list[str], default: str) -> Column:
 
 
 def country(name: Column) -> Column:
-    out = F.trim(name)
+    out = name
     for alias, full in COUNTRY_ALIASES.items():
-        out = F.when(F.lower(F.trim(name)) == alias, full).otherwise(out)
+        out = F.when(name == alias, full).otherwise(out)
     return out
 
 
@@ -150,6 +180,35 @@ def media_type_name(code: Column) -> Column:
     return out
 
 
-def keyset_page(df: DataFrame, key: str, after: int, size: int) -> DataFrame:
-    """The next rows by key: a top-k report, whose size is the feature."""
-    return df.filter(F.col(key) > after).orderBy(key).limit(size)
+def keyset_pages(df: DataFrame, key: str, size: int) -> DataFrame:
+    """(key, page): all rows by key in pages of size, as one pass would read them one after another.
+
+    A page's number is the rank of its keys: counted by ranges of keys first, so that no task ranks all of them.
+    """
+    spread = df.select(key).withColumn("__r", F.floor(F.col(key) / (1 << 16)))
+    totals = spread.groupBy("__r").agg(F.count("*").alias("__m"))
+    before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)  # over ranges, a row for 65,536 keys
+    totals = totals.withColumn("__b", F.coalesce(F.sum("__m").over(before), F.lit(0)))
+    rank = F.row_number().over(Window.partitionBy("__r").orderBy(key)) + F.col("__b")
+    return spread.join(totals, "__r").select(key, F.floor((rank - 1) / size).alias("page"))
+
+
+def brand_known(domains: DataFrame, domain: str, brands: DataFrame, least: int = 6) -> DataFrame:
+    """domains plus brand_known: whether a brand keyword of least characters or more stands inside the lower-cased domain.
+
+    The substring condition becomes a hash join: a domain name (253 characters at most) is cut into its substrings of the
+    lengths that keywords have, so keywords may be many and nothing is compared pair by pair.
+    """
+    words = brands.filter(F.col("brand") & (F.length("keyword") >= least)).select(F.lower(F.trim("keyword")).alias("__word")).filter("__word <> ''").distinct()
+    lengths = sorted(r[0] for r in words.select(F.length("__word")).distinct().limit(253).collect())
+    name = F.lower(F.coalesce(F.col(domain), F.lit("")))
+    cut = lambda n: F.when(F.length(name) >= n, F.transform(F.sequence(F.lit(1), F.length(name) - n + 1), lambda i: F.substring(name, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
+    parts = F.array_distinct(F.concat(*map(cut, lengths))) if lengths else F.array().cast("array<string>")
+    hit = domains.select(domain).distinct().select(domain, F.explode(parts).alias("__word")).join(words, "__word", "left_semi").select(F.col(domain).alias("__d")).distinct()
+    return domains.join(hit, domains[domain] == hit["__d"], "left").withColumn("brand_known", F.col("__d").isNotNull()).drop("__d")
+
+
+def by_trimmed_name(items: DataFrame, item: str, known: DataFrame, name: str, value: str) -> DataFrame:
+    """items plus value of the first known row (by value) whose name equals the trimmed item; null where there is none."""
+    first = known.groupBy(F.col(name).alias("__n")).agg(F.min(value).alias(value))
+    return items.join(first, F.trim(F.col(item)) == F.col("__n"), "left").drop("__n")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 APPROVED_AD_COMPANIES = [4375, 4527]
 
@@ -56,7 +56,7 @@ def referral_metrics(rt: DataFrame, hub: DataFrame, attributes: DataFrame, tenan
         F.sum(F.when(F.col("inf"), v).otherwise(0)).alias("infringing"),
         F.sum(v * F.coalesce("tenants", F.lit(0))).alias("customer"),
         F.sum(F.when(F.col("known"), v).otherwise(0)).alias("adult"),
-        F.count_distinct(F.when(F.col("inf"), F.col("r_domain_id"))).alias("inf_referring_sites"),
+        F.count_distinct(F.when(F.col("inf"), F.col("r_domain_id"))).alias("inf_referring_sites"),  # of the domain, however many spellings and shares it has
     )
     shares = traffic_sources.select(F.col("sec_domain_id"), (F.col("direct_share") + F.col("referrals_share")).alias("dpr")).distinct().groupBy("sec_domain_id").agg(F.round(F.avg("dpr"), 2).alias("direct_plus_referrals"), F.count("*").alias("n_shares"))
     x = sums.withColumnRenamed("d_sec_domain_id", "sec_domain_id").join(shares, "sec_domain_id").join(hub.filter("class_id <> 1 OR class_id IS NULL"), "sec_domain_id")
@@ -65,3 +65,29 @@ def referral_metrics(rt: DataFrame, hub: DataFrame, attributes: DataFrame, tenan
         ratio2("infringing", "total").alias("share_infringing"), ratio2("customer", "total").alias("share_customer"), ratio2("adult", "total").alias("share_adult"),
         (F.col("total") * F.col("n_shares")).alias("total_referral_traffic"), "inf_referring_sites",
     )
+
+
+def destination_traffic(rt: DataFrame) -> DataFrame:
+    """Visits and the months that they were first and last seen in, by domain and destination, the largest first."""
+    facts = rt.filter("step_in_process = 2 AND d_exc_domain_id IS NULL AND d_domain_id IS NULL").filter(F.col("month") >= start_month(rt).scalar())
+    x = facts.groupBy("d_sec_domain_id", "destination_domain").agg(F.sum("referred_visits").alias("visits"), F.min("month").alias("first_seen"), F.max("month").alias("last_seen"))
+    return x.orderBy(F.desc_nulls_first("visits"), "d_sec_domain_id", "destination_domain")
+
+
+def without_referrals(hub: DataFrame, rt: DataFrame, traffic_sources: DataFrame, since: str = "2026-04-01") -> DataFrame:
+    """Rows shaped like referral_metrics for classed domains (2 or 3) that have no referred visits or no direct and referral share."""
+    visits = rt.filter("step_in_process = 2 AND d_exc_domain_id IS NULL AND d_domain_id IS NULL").groupBy(F.col("d_sec_domain_id").alias("sec_domain_id")).agg(F.sum("referred_visits").alias("total_referral_traffic"))
+    shares = traffic_sources.filter("sec_domain_id IS NOT NULL").groupBy("sec_domain_id").agg(F.max(F.col("direct_share") + F.col("referrals_share")).alias("direct_plus_referrals"))
+    h = hub.filter("(sec_domain_source IN ('SimilarWeb', 'Ad Sniffer') OR decision_source = 'SimilarWeb') AND class_id IN (2, 3)")
+    h = h.filter(f"first_reported >= DATE '{since}' OR first_reported IS NULL")
+    x = h.join(visits, "sec_domain_id", "left").join(shares, "sec_domain_id", "left")
+    x = x.filter("coalesce(total_referral_traffic, 0) = 0 OR coalesce(direct_plus_referrals, 0) = 0")
+    none = [F.lit(None).cast("double").alias(c) for c in ("share_infringing", "share_customer", "share_adult")]
+    return x.select("sec_domain_id", "sec_domain_source", "online_status", "google_search_results", "exc_domain_id", "class_id", "direct_plus_referrals", *none, "total_referral_traffic", F.lit(None).cast("long").alias("inf_referring_sites"))
+
+
+def candidates(metrics: DataFrame, others: DataFrame) -> DataFrame:
+    """Both sets, one row per domain; the metrics come first."""
+    both = metrics.withColumn("__set", F.lit(1)).unionByName(others.withColumn("__set", F.lit(2)))
+    w = Window.partitionBy("sec_domain_id").orderBy("__set")
+    return both.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn", "__set")

@@ -26,6 +26,12 @@ def intermediate_hops(bars: DataFrame) -> DataFrame:
     return x.filter("tab_num > 0 AND landing_page IS FALSE AND source_domain IS DISTINCT FROM bar_domain AND grp_max > 0 AND bar_num < grp_max")
 
 
+def on_address_bar(hub: DataFrame, bars: DataFrame) -> DataFrame:
+    """Unclassified domains of hub that stand in the address bar as an intermediate hop, with the class they get."""
+    hops = intermediate_hops(bars).select(F.col("bar_domain").alias("sec_domain")).filter("sec_domain IS NOT NULL").distinct()
+    return hub.filter("class_id IS NULL").join(hops, "sec_domain", "left_semi").select("sec_domain_id", F.lit(2).alias("class_id"), F.lit("Ad_sniffer").alias("decision_source"))
+
+
 def without_repeats(log: DataFrame) -> DataFrame:
     """Responses that differ from the one before, without the first of each site."""
     w = Window.partitionBy("site").orderBy("seq")
@@ -36,9 +42,11 @@ def without_repeats(log: DataFrame) -> DataFrame:
 def keyed_update(base: DataFrame, updates: DataFrame, key: str, columns: list[str], keep_old: list[str] = ()) -> DataFrame:
     """base with columns of updates by key; those in keep_old only where the new value isn't null.
 
-    updates needs unique keys. Unmatched rows stay as they are.
+    A key that updates holds twice ends the job with an error, since which of its rows would win is open. Unmatched rows stay as they are.
     """
-    u = updates.select(F.col(key).alias("__k"), *[F.col(c).alias(f"__{c}") for c in columns], F.lit(True).alias("__hit"))
+    once = updates.groupBy(F.col(key).alias("__k")).agg(*[F.first(c).alias(c) for c in columns], F.count("*").alias("__n"))
+    checked = F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit("more than one update for key "), F.col("__k").cast("string")))).otherwise(F.lit(True))
+    u = once.select("__k", *[F.col(c).alias(f"__{c}") for c in columns], checked.cast("boolean").alias("__hit"))
     x = base.join(u, F.col(key) == F.col("__k"), "left")
     new = lambda c: F.coalesce(f"__{c}", c) if c in keep_old else F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c))
     return x.select(*[new(c).alias(c) if c in columns else F.col(c) for c in base.columns])
@@ -69,14 +77,14 @@ WORK_LISTS = {
     "WL-09": "tld_poor IS NULL AND online_status = 'Online' AND redirect_domain = false",
     "WL-10": "site_map_count IS NULL AND online_status = 'Online' AND redirect_domain = false",
     "WL-11": "is_high_risk_geo IS NULL AND online_status = 'Online' AND redirect_domain = false",
-    "WL-12": "html_length IS NULL AND online_status = 'Online' AND redirect_domain = false",
+    "WL-12": "ad_density IS NULL AND online_status = 'Online' AND redirect_domain = false",
     "WL-13": "ssl_poor IS NULL AND online_status = 'Online' AND class_id IS NULL AND sec_domain_root IS NOT NULL",
     "WL-14": "ssl_poor IS NULL AND online_status = 'Online' AND redirect_domain = false AND class_id IS NULL",
     "WL-15": "graymarket_label IS NULL AND online_status = 'Online' AND redirect_domain = false AND exc_domain_id IS NULL AND added > date'2025-01-01' AND class_id IS NULL",
     "WL-16": "online_status = 'Online' AND redirect_domain = false AND (tld_poor IS NULL OR site_map_count IS NULL OR is_high_risk_geo IS NULL)",
     "WL-17": "media_type_id IS NULL AND online_status = 'Online' AND class_id IS NULL",
-    "WL-18": "media_type_id IS NOT NULL AND online_status = 'Online'",
-    "WL-19": "media_type_id IS NOT NULL AND sec_domain_root IS NOT NULL",
+    "WL-18": "media_type_id IS NOT NULL AND enforcement_id IS NULL AND online_status = 'Online'",
+    "WL-19": "media_type_id IS NOT NULL AND enforcement_id IS NULL AND sec_domain_root IS NOT NULL",
     "WL-20": "media_type_id = 7 AND (class_id IS NULL OR class_id = 9)",
     "WL-21": "publication_status = 0 AND sec_domain_source IS NOT NULL AND class_id IS NOT NULL",
     "WL-22": "publication_status = 0 AND class_id = 3",

@@ -147,17 +147,34 @@ def final_overrides(hub: DataFrame) -> DataFrame:
     return x.withColumn("source", F.when(hit, "sql script")).withColumn("c", F.when(hit, 9).otherwise(F.col("c")))
 
 
-def status_from_html(text: Column, code: Column, is_parked: Column) -> Column:
-    """Online status from visible text and the last response code."""
+def html_outcome(text: Column, code: Column, is_parked: Column) -> Column:
+    """struct(online_status, offline_type, status_msg) from visible text and a response code, by the first rule that holds.
+
+    The rule for hosts that don't resolve has the words "in html" inside its second text, as the rule was written.
+    """
     t = F.lower(F.coalesce(text, F.lit("")))
     has = lambda s: F.contains(t, F.lit(s))
+    shown = F.coalesce(code.cast("string"), F.lit("None"))
+    error = lambda what: F.concat(F.lit(f"Error[{what}-"), shown, F.lit("]"))
+    out = lambda status, kind, message="": F.struct(F.lit(status).alias("online_status"), kind.alias("offline_type"), F.lit(message).alias("status_msg"))
+    plain, ok = F.concat(F.lit("Error["), shown, F.lit("]")), yes(code == 200)
+    offline = "Offline | Ad Sniffer"
     return (
-        F.when(has("blocked") & has("bright data usage policy"), "Blocked")
-        .when(has("webpage not available") | has("404 not found") | has("this page isn’t working"), "Offline | Ad Sniffer")
-        .when((has("cloudflare") & has("ray id")) | has("verifying you are human. this may take a few seconds") | has("proxy authentication required"), "Blocked")
-        .when(has("domain seized") | has("no longer available due to copyright") | has("cannot establish connection to requested target"), "Offline | Ad Sniffer")
-        .when(has("bad request") | has("auth failed (code: ip_forbidden)") | has("sorry, you have been blocked"), "Blocked")
-        .when((code == 200) & is_parked, "Offline")
-        .when(code == 200, "Online")
-        .otherwise("Offline | Ad Sniffer")
+        F.when(has("blocked") & has("bright data usage policy"), out("Blocked", error("BrightData"), "bright data usage policy"))
+        .when(has("webpage not available") | has("404 not found") | has("this page isn’t working"), out(offline, plain))
+        .when((has("cloudflare") & has("ray id")) | has("verifying you are human. this may take a few seconds"), out("Blocked", error("Cloudflare"), "cloudflare"))
+        .when(has("proxy authentication required"), out("Blocked", error("Proxy Authentication Required"), "proxy authentication required"))
+        .when(has("domain seized") | has("no longer available due to copyright"), out(offline, error("Domain Seized"), "Domain Seized"))
+        .when(has("cannot establish connection to requested target") | has("could not resolve host https in html"), out(offline, error("not resolve host")))
+        .when(has("bad request"), out("Blocked", error("Bad Request")))
+        .when(has("auth failed (code: ip_forbidden)"), out("Blocked", error("auth failed")))
+        .when(has("sorry, you have been blocked"), out("Blocked", F.concat(F.lit("blocked-"), shown, F.lit("]"))))
+        .when(ok & is_parked, out("Offline", F.lit("Parked Domain"), "parked page"))
+        .when(ok, out("Online", F.lit("None")))
+        .otherwise(out(offline, plain))
     )
+
+
+def status_from_html(text: Column, code: Column, is_parked: Column) -> Column:
+    """Online status from visible text and the last response code."""
+    return html_outcome(text, code, is_parked)["online_status"]

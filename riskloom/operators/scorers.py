@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -43,3 +44,61 @@ def score(df: DataFrame, key: str, html: str, kind: str, scorer: Scorer | None =
     ask = ask.repartition(calls) if calls else ask
     done = ask.mapInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, class int, called boolean")
     return done.unionByName(x.filter("gated").select(key, F.lit(GATED[kind]).alias("class"), F.lit(False).alias("called")))
+
+
+def enforcement(df: DataFrame, key: str, scorer: Callable[[pd.DataFrame], pd.Series] | None = None, calls: int | None = None) -> DataFrame:
+    """(key, class, called) from (key, html, media_type, brand_known, ssl_score, privacy, terms).
+
+    The scorer takes a frame of text, media_type, brand_known, ssl_score, privacy, terms and blocked, and returns class ids; a page that is
+    too short or parked is 0 without a call, and so is whatever the scorer leaves open.
+    """
+    x = df.select(key, "media_type", "brand_known", "ssl_score", "privacy", "terms", F.col("html"), pages.prepared_text(F.col("html"), 120_000).alias("text"))
+    x = x.withColumns({"blocked": pages.matches_any(pages.BLOCKED_FLAG, F.col("text"), F.col("html")), "gated": gate("enforcement", F.col("html"), F.col("text"))}).drop("html")
+    if scorer is None:
+        return x.select(key, F.lit(FALLBACK["enforcement"]).alias("class"), (~F.col("gated")).alias("called"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({key: b[key], "class": scorer(b.drop(columns=[key, "gated"])).fillna(FALLBACK["enforcement"]).astype("int32"), "called": True})
+
+    ask = x.filter(~F.col("gated"))
+    ask = ask.repartition(calls) if calls else ask
+    done = ask.mapInPandas(run, f"{key} {df.schema[key].dataType.simpleString()}, class int, called boolean")
+    return done.unionByName(x.filter("gated").select(key, F.lit(GATED["enforcement"]).alias("class"), F.lit(False).alias("called")))
+
+
+#: Labels that the gray market scorer may answer.
+GRAYMARKET = ["Adult Content", "Gambling & Betting", "Cryptocurrency Speculation", "Supplement / Nutra", "undeterminated"]
+MFA_THRESHOLD = 65
+
+
+def graymarket(features: DataFrame, key: str, score: Column, classify: Scorer | None = None, confirm: Callable[[pd.DataFrame], pd.Series] | None = None, calls: int | None = None) -> DataFrame:
+    """(key, label, asked_mfa) from parsed pages: mfa where confirm says so of a page with a score of 65 or more, else what classify says.
+
+    confirm takes the frame of features with text cut to 1500 characters and answers mfa or unknow; classify takes 5000 characters. An answer's
+    first line counts, without marks; anything that isn't a label is undeterminated, as is every page without a scorer.
+    """
+    x = features.withColumns({"asked_mfa": score >= MFA_THRESHOLD, "text": F.left("relevant_text", F.lit(5000)), "excerpt": F.left("relevant_text", F.lit(1500))})
+    if classify is None and confirm is None:
+        return x.select(key, F.lit("undeterminated").alias("label"), "asked_mfa")
+
+    def line(answer: object, keep: str) -> str:
+        first = (str(answer).strip().splitlines() or [""])[0]
+        return re.sub(keep, "", first).strip()
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            label = pd.Series(["undeterminated"] * len(b), index=b.index)
+            mfa = pd.Series(False, index=b.index)
+            ask = b[b["asked_mfa"]]
+            if confirm is not None and len(ask):
+                said = confirm(ask.drop(columns=["text"]).rename(columns={"excerpt": "text"}))
+                mfa[ask.index] = [line(str(v).lower(), "[^a-z]") == "mfa" for v in said]
+            rest = b[~mfa]
+            if classify is not None and len(rest):
+                label[rest.index] = [v if (v := line(a, r"[^\w &/]")) in GRAYMARKET else "undeterminated" for a in classify(rest["text"])]
+            label[mfa] = "mfa"
+            yield pd.DataFrame({key: b[key], "label": label, "asked_mfa": b["asked_mfa"]})
+
+    x = x.repartition(calls) if calls else x
+    return x.mapInPandas(run, f"{key} {features.schema[key].dataType.simpleString()}, label string, asked_mfa boolean")

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.functions import pages, text as tx
-from riskloom.operators import html_parse, referrals, relational as rel, rules, scorers
+from riskloom.operators import referrals, relational as rel, rules, scorers
 from riskloom.sources import files
 from riskloom.sources.adapters import VIEWS, load, sql_with
 
@@ -75,9 +75,9 @@ def _(s, d):
     return rel.intermediate_hops(load(s, d, "address_bar"))
 
 
-@query("address_bar_class", ["address_bar"], f"select distinct bar_domain as sec_domain, 2 as class_id, 'Ad_sniffer' as decision_source from ({_HOPS}) h")
+@query("address_bar_class", ["hub", "address_bar"], f"select sec_domain_id, 2 as class_id, 'Ad_sniffer' as decision_source from hub where class_id is null and sec_domain in (select bar_domain from ({_HOPS}) h)")
 def _(s, d):
-    return rel.intermediate_hops(load(s, d, "address_bar")).select(F.col("bar_domain").alias("sec_domain"), F.lit(2).alias("class_id"), F.lit("Ad_sniffer").alias("decision_source")).distinct()
+    return rel.on_address_bar(load(s, d, "hub"), load(s, d, "address_bar"))
 
 
 _REF_VIEWS = ["hub", "referral_traffic", "domain_attributes", "tenants_domain", "tenants", "ad_domains", "traffic_sources"]
@@ -86,26 +86,54 @@ _BASE = f"from referral_traffic rt join ({_VALID}) vd on rt.d_sec_domain_id = vd
 _WHERE = "where rt.month >= (select cast(date_trunc('month', max(month) - interval 5 month) as date) from referral_traffic) and rt.step_in_process = 2 and rt.d_exc_domain_id is null and rt.d_domain_id is null"
 _INF = "(da.analyst_class in (1, 16) or (da.analyst_class is null and da.ml_class in ({})))"
 _UNION = " union all ".join([
-    f"select rt.d_sec_domain_id as id, 0 as sites, sum(referred_visits) as total, 0 as inf, 0 as cust, 0 as adult {_BASE} {_WHERE} group by 1, rt.destination_domain",
-    f"select rt.d_sec_domain_id, count(distinct r_domain_id), 0, sum(referred_visits), 0, 0 {_BASE} join domain_attributes da on rt.r_domain_id = da.domain_id {_WHERE} and {_INF.format('1, 3, 4, 5')} group by 1, rt.destination_domain",
-    f"select rt.d_sec_domain_id, 0, 0, 0, sum(referred_visits), 0 {_BASE} join domain_attributes da on rt.r_domain_id = da.domain_id join tenants_domain t2 on da.domain_id = t2.domain_id join tenants t on t2.tenant_id = t.tenant_id {_WHERE} and {_INF.format('1, 4, 5')} and t.customer_active group by 1, rt.destination_domain",
-    f"select rt.d_sec_domain_id, 0, 0, 0, 0, sum(referred_visits) {_BASE} join domain_attributes da on rt.r_domain_id = da.domain_id {_WHERE} group by 1, rt.destination_domain",
+    f"select rt.d_sec_domain_id as id, sum(referred_visits) as total, 0 as inf, 0 as cust, 0 as adult {_BASE} {_WHERE} group by 1, rt.destination_domain",
+    f"select rt.d_sec_domain_id, 0, sum(referred_visits), 0, 0 {_BASE} join domain_attributes da on rt.r_domain_id = da.domain_id {_WHERE} and {_INF.format('1, 3, 4, 5')} group by 1, rt.destination_domain",
+    f"select rt.d_sec_domain_id, 0, 0, sum(referred_visits), 0 {_BASE} join domain_attributes da on rt.r_domain_id = da.domain_id join tenants_domain t2 on da.domain_id = t2.domain_id join tenants t on t2.tenant_id = t.tenant_id {_WHERE} and {_INF.format('1, 4, 5')} and t.customer_active group by 1, rt.destination_domain",
+    f"select rt.d_sec_domain_id, 0, 0, 0, sum(referred_visits) {_BASE} join domain_attributes da on rt.r_domain_id = da.domain_id {_WHERE} group by 1, rt.destination_domain",
 ])
 _RATIO = lambda a: f"case when sum(total) > 0 then cast((200 * sum({a}) + sum(total)) // (2 * sum(total)) as double) / 100 end"
 _METRICS = f"""select h.sec_domain_id, h.sec_domain_source, h.online_status, h.google_search_results, h.exc_domain_id, h.class_id, round(avg(ts.dpr), 2) as direct_plus_referrals,
- {_RATIO('inf')} as share_infringing, {_RATIO('cust')} as share_customer, {_RATIO('adult')} as share_adult, cast(sum(total) as bigint) as total_referral_traffic, cast(sum(sites) as bigint) as inf_referring_sites
- from ({_UNION}) cl join (select distinct sec_domain_id, direct_share + referrals_share as dpr from traffic_sources) ts on cl.id = ts.sec_domain_id join hub h on cl.id = h.sec_domain_id
+ {_RATIO('inf')} as share_infringing, {_RATIO('cust')} as share_customer, {_RATIO('adult')} as share_adult, cast(sum(total) as bigint) as total_referral_traffic, coalesce(max(sites.n), 0) as inf_referring_sites
+ from ({_UNION}) cl left join (select rt.d_sec_domain_id as id, count(distinct r_domain_id) as n {_BASE} join domain_attributes da on rt.r_domain_id = da.domain_id {_WHERE} and {_INF.format('1, 3, 4, 5')} group by 1) sites on sites.id = cl.id join (select distinct sec_domain_id, direct_share + referrals_share as dpr from traffic_sources) ts on cl.id = ts.sec_domain_id join hub h on cl.id = h.sec_domain_id
  where h.class_id not in (1) or h.class_id is null group by 1, 2, 3, 4, 5, 6"""
 
 
-def metrics(s: SparkSession, d: str) -> DataFrame:
+def metrics(s: SparkSession, d: str, facts: str = "referral_traffic") -> DataFrame:
     v = {n: load(s, d, n) for n in _REF_VIEWS}
-    return referrals.referral_metrics(v["referral_traffic"], v["hub"], v["domain_attributes"], v["tenants_domain"], v["tenants"], v["ad_domains"], v["traffic_sources"])
+    return referrals.referral_metrics(load(s, d, facts), v["hub"], v["domain_attributes"], v["tenants_domain"], v["tenants"], v["ad_domains"], v["traffic_sources"])
 
 
 query("referral_metrics", _REF_VIEWS, _METRICS)(metrics)
 
 
+@query("referral_metrics_spellings", [*_REF_VIEWS, "referral_spellings"], _METRICS.replace("referral_traffic r ", "referral_spellings r ").replace("referral_traffic rt ", "referral_spellings rt ").replace("from referral_traffic)", "from referral_spellings)"))
+def _(s, d):
+    """As referral_metrics, where a third of the domains have two spellings of their destination, with other referrers."""
+    return metrics(s, d, "referral_spellings")
+
+
+@query("destination_traffic", ["hub", "referral_traffic"], f"select rt.d_sec_domain_id, rt.destination_domain, cast(sum(referred_visits) as bigint) as visits, min(month) as first_seen, max(month) as last_seen from referral_traffic rt {_WHERE} group by 1, 2")
+def _(s, d):
+    return referrals.destination_traffic(load(s, d, "referral_traffic"))
+
+
+_CANDIDATES = """select h.sec_domain_id, sec_domain_source, online_status, google_search_results, exc_domain_id, class_id, tsa.dpr, null, null, null, ra.total, null from hub h
+ left join (select d_sec_domain_id as id, cast(sum(referred_visits) as bigint) as total from referral_traffic where step_in_process = 2 and d_exc_domain_id is null and d_domain_id is null group by 1) ra on ra.id = h.sec_domain_id
+ left join (select sec_domain_id as id, max(direct_share + referrals_share) as dpr from traffic_sources group by 1) tsa on tsa.id = h.sec_domain_id
+ where (sec_domain_source in ('SimilarWeb', 'Ad Sniffer') or decision_source = 'SimilarWeb') and class_id in (2, 3) and (first_reported >= date '2026-04-01' or first_reported is null) and (coalesce(ra.total, 0) = 0 or coalesce(tsa.dpr, 0) = 0)"""
+_BOTH = f"select * from ({_METRICS}) m union all select * from ({_CANDIDATES}) c where c.sec_domain_id not in (select sec_domain_id from ({_METRICS}) k)"
+
+
+@query("traffic_candidates", _REF_VIEWS, _BOTH)
+def _(s, d):
+    """The set that traffic_class_v2 classifies."""
+    return traffic_candidates(s, d)
+
+
+def traffic_candidates(s: SparkSession, d: str) -> DataFrame:
+    return referrals.candidates(metrics(s, d), referrals.without_referrals(load(s, d, "hub"), load(s, d, "referral_traffic"), load(s, d, "traffic_sources")))
+
+
 @query("valid_destinations", ["hub", "referral_traffic", "ad_domains"], _VALID)
 def _(s, d):
     return referrals.valid_destinations(load(s, d, "referral_traffic"), load(s, d, "ad_domains"))
@@ -127,7 +155,7 @@ def _(s, d):
     return metrics(s, d).select("sec_domain_id", rules.traffic_class(F.col, 1).alias("class_id"))
 
 
-_FACTS = "(select f.sec_domain_id as fid, direct_share, referrals_share, organic_share, display_share, t.visits from traffic_sources f left join (select sec_domain_id, sum(traffic) as visits from dim_traffic where domain_country = 'World' group by 1) t on f.sec_domain_id = t.sec_domain_id) g"
+_FACTS = "(select h.sec_domain_id as fid, direct_share, referrals_share, organic_share, display_share, t.visits from hub h left join traffic_sources f on f.sec_domain_id = h.sec_domain_id left join (select sec_domain_id, sum(traffic) as visits from dim_traffic where domain_country = 'World' group by 1) t on h.sec_domain_id = t.sec_domain_id) g"
 _FP = "case when coalesce(visits > 10000000, false) then 1 when coalesce(organic_share >= 0.40, false) then 2 when coalesce(direct_share <= 0.60 and referrals_share <= 0.25 and display_share <= 0.10, false) then 3 when coalesce(direct_share <= 0.60 and referrals_share <= 0.25 and organic_share >= 0.30, false) then 4 end"
 _SPECIAL = "not coalesce(total_referral_traffic > 0 and direct_plus_referrals > 0, false)"
 
@@ -137,11 +165,11 @@ _SPECIAL = "not coalesce(total_referral_traffic > 0 and direct_plus_referrals >
  cast(case when c = 2 then case when sp then 2 else 1 end when c = 3 then case when sp then 5 else 2 end end as int) as recommended_action_id,
  cast(case when c = 2 then case when sp then 2 else 1 end when c = 3 then case when sp then 3 else 4 end end as int) as justification,
  case when sp and c in (2, 3) then 'Ad Sniffer' else 'SimilarWeb' end as decision_source
- from (select *, {_ladder('case when fp is null then 2 end', 'when sp and class_id in (2, 3) then class_id')} as c from (select m.*, {_FP} as fp, {_SPECIAL} as sp from ({_METRICS}) m left join {_FACTS} on g.fid = m.sec_domain_id) y) z where c is not null""")
+ from (select *, {_ladder('case when fp is null then 2 end', 'when sp and class_id in (2, 3) then class_id')} as c from (select m.*, {_FP} as fp, {_SPECIAL} as sp from ({_BOTH}) m left join {_FACTS} on g.fid = m.sec_domain_id) y) z where c is not null""")
 def _(s, d):
     visits = load(s, d, "dim_traffic").filter("domain_country = 'World'").groupBy("sec_domain_id").agg(F.sum("traffic").alias("visits"))
-    facts = load(s, d, "traffic_sources").join(visits, "sec_domain_id", "left")
-    m = metrics(s, d).join(facts, "sec_domain_id", "left").withColumn("fp_reason", rules.fp_reason(F.col("visits"), F.col("organic_share"), F.col("direct_share"), F.col("referrals_share"), F.col("display_share")))
+    m = traffic_candidates(s, d).join(load(s, d, "traffic_sources"), "sec_domain_id", "left").join(visits, "sec_domain_id", "left")
+    m = m.withColumn("fp_reason", rules.fp_reason(F.col("visits"), F.col("organic_share"), F.col("direct_share"), F.col("referrals_share"), F.col("display_share")))
     m = m.select("sec_domain_id", rules.traffic_class(F.col, 2, F.col("fp_reason")).alias("class_id"), "fp_reason", rules.special_case(F.col).alias("sp")).filter("class_id IS NOT NULL")
     return m.withColumns(rules.traffic_attributes(F.col("class_id"), F.col("sp"))).drop("sp")
 
@@ -258,9 +286,9 @@ def _(s, d):
     return load(s, d, "hub").filter(rel.WORK_LISTS["WL-20"]).select("sec_domain_id", "sec_domain").orderBy(F.desc("sec_domain_id")).limit(1000)
 
 
-@query("keyed_updates", ["hub", "tree"], "select h.sec_domain_id, case when t.sec_domain_id is not null then t.html_length else h.html_length end as html_length, coalesce(case when t.sec_domain_id % 4 = 0 then 5 end, h.class_id) as class_id from hub h left join (select * from tree where sec_domain_id % 2 = 0) t on h.sec_domain_id = t.sec_domain_id")
+@query("keyed_updates", ["hub", "traffic_sources"], "select h.sec_domain_id, case when t.sec_domain_id is not null then cast(round(t.direct_share * 100) as int) else h.html_length end as html_length, coalesce(case when t.organic_share > 0.3 then 5 end, h.class_id) as class_id from hub h left join traffic_sources t on h.sec_domain_id = t.sec_domain_id")
 def _(s, d):
-    up = load(s, d, "tree").filter("sec_domain_id % 2 = 0").select("sec_domain_id", "html_length", F.when(F.col("sec_domain_id") % 4 == 0, 5).alias("class_id"))
+    up = load(s, d, "traffic_sources").select("sec_domain_id", F.round(F.col("direct_share") * 100).cast("int").alias("html_length"), F.when(F.col("organic_share") > 0.3, 5).alias("class_id"))
     return rel.keyed_update(load(s, d, "hub").select("sec_domain_id", "html_length", "class_id"), up, "sec_domain_id", ["html_length", "class_id"], keep_old=["class_id"])
 
 
@@ -306,12 +334,14 @@ def _meta_sql(name: str) -> str:
 
 
 _DESC = f"""coalesce(nullif({_meta_sql('description')}, ''), trim(regexp_extract(html_content, '(?i)<meta[^>]*content=["'']([^"''>]+)["''][^>]*name=["'']description["'']', 1)))"""
-_BODY = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html_content, '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '[\\x{10000}-\\x{10FFFF}]', '', 'g'), '\\s+', ' ', 'g'))"
+#: Unicode white space, which RE2's \\s isn't.
+_S = "[\\x09-\\x0D\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]"
+_BODY = "trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html_content, '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '<[^>]+>', ' ', 'g'), '[\\x{10000}-\\x{10FFFF}]', '', 'g'), '{_S}+', ' ', 'g'))".replace("{_S}", _S)
 _LABEL = lambda name, c: f"case when {c} <> '' then '{name}: ' || {c} end"
 _HEAD = f"concat_ws(chr(10), {_LABEL('TITLE', _T)}, {_LABEL('DESC', _DESC)}, {_LABEL('KEYWORDS', _meta_sql('keywords'))}, {_LABEL('HEADINGS', f'array_to_string({_H}, {chr(39)} | {chr(39)})')})"
 _TEXT = f"select html_id, html_content, case when length(t) > 80000 then left(t, 80000) || '... [TRUNCATED]' else nullif(t, '') end as text from (select html_id, html_content, concat_ws(chr(10) || chr(10), nullif({_HEAD}, ''), case when {_BODY} <> '' then 'CONTENT: ' || {_BODY} end) as t from snapshots) x"
 _HIT = lambda patterns: "(coalesce(regexp_matches(lower(text), '{0}'), false) or coalesce(regexp_matches(lower(left(html_content, 200000)), '{0}'), false))".format("|".join(patterns))
-_SHORT = "(text is null or len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) < 4)"
+_SHORT = f"(text is null or len(list_filter(regexp_split_to_array(text, '{_S}+'), lambda w: w <> '')) < 4)"
 
 
 @query("page_text", ["snapshots"], f"select html_id, text, {_SHORT} as too_short, {_HIT(pages.PARKED)} as parked, {_HIT(pages.BLOCKED_FLAG)} as blocked from ({_TEXT}) y")
@@ -322,23 +352,6 @@ def _(s, d):
     return x.select("html_id", t, pages.too_short(t).alias("too_short"), pages.matches_any(pages.PARKED, t, F.col("html")).alias("parked"), pages.matches_any(pages.BLOCKED_FLAG, t, F.col("html")).alias("blocked"))
 
 
-@query("page_status")
-def _(s, d):
-    x = load(s, d, "snapshots").select("html_id", "html_content", pages.body_text(F.col("html_content")).alias("text")).withColumn("parked", pages.parked(F.col("text"), F.col("html_content")))
-    return x.select("html_id", "parked", rules.status_from_html(F.col("text"), F.lit(200), F.col("parked")).alias("online_status"), *[v.alias(k) for k, v in pages.policy_flags(F.col("text")).items()])
-
-
-@query("page_features")
-def _(s, d):
-    return html_parse.parse_pages(load(s, d, "snapshots"), "html_id", "html_content")
-
-
-@query("mfa_score")
-def _(s, d):
-    p = html_parse.parse_pages(load(s, d, "snapshots"), "html_id", "html_content")
-    return p.select("html_id", html_parse.mfa_score().alias("mfa_score"), (html_parse.mfa_score() >= 65).alias("mfa"))
-
-
 @query("media_type_gate", ["snapshots"], f"select html_id, case when g then 17 else 12 end as class, not g as called from (select html_id, coalesce(len(string_split(text, ' ')), 0) < 4 as g from ({_TEXT}) y) z")
 def _(s, d):
     return scorers.score(load(s, d, "snapshots"), "html_id", "html_content", "media_type")
@@ -349,9 +362,16 @@ def _(s, d):
     return scorers.score(load(s, d, "snapshots"), "html_id", "html_content", "software")
 
 
-@query("enforcement", ["snapshots"], f"select html_id, 0 as class, not ({_SHORT} or {_HIT(pages.PARKED)}) as called from ({_TEXT}) y")
+@query("enforcement", ["snapshots"], f"select html_id, 0 as class, not ({_SHORT} or {_HIT(pages.PARKED)}) as called from ({_TEXT.replace('80000', '120000')}) y")
+def _(s, d):
+    x = load(s, d, "snapshots").select("html_id", F.col("html_content").alias("html"), F.lit("Other").alias("media_type"), F.lit(False).alias("brand_known"), F.lit(0.3).alias("ssl_score"), *[pages.policy_flags(F.col("html_content"))[k].alias(k) for k in ("privacy", "terms")])
+    return scorers.enforcement(x, "html_id")
+
+
+@query("page_text_long", ["snapshots"], f"select html_id, text from ({_TEXT.replace('80000', '120000')}) y")
 def _(s, d):
-    return scorers.score(load(s, d, "snapshots"), "html_id", "html_content", "enforcement")
+    """As page_text, with the longer cut that enforcement reads."""
+    return load(s, d, "snapshots").select("html_id", pages.prepared_text(F.col("html_content"), 120_000).alias("text"))
 
 
 @query("serp_hosts", ["hub"], "select sec_domain as domain, case when sec_domain_id % 5 = 4 then cast(0 as bigint) else cast(2 as bigint) end as n_urls, case when sec_domain_id % 5 = 4 then cast(0 as bigint) else cast(2 as bigint) end as n_hosts from hub")
@@ -363,11 +383,32 @@ def _(s, d):
     return files.serp_hosts(load(s, d, "hub").select(F.col("sec_domain").alias("domain"), F.when(F.col("sec_domain_id") % 5 == 4, "{broken").otherwise(good).alias("payload")))
 
 
-@query("certificate_rows", ["certificates"], "select 'c' || cast(cert_id as string) as domain, validation_type, issuer, key_type, key_bits from certificates where cert_id % 4 <> 3 union all select 'c' || cast(cert_id as string), null, null, null, null from certificates where cert_id % 4 = 3")
-def _(s, d):
-    c = F.struct("validation_type", F.struct(F.col("issuer").alias("organization")).alias("issuer"), F.struct(F.col("key_type").alias("type"), F.col("key_bits").alias("bits")).alias("public_key"))
-    p = load(s, d, "certificates").select(F.concat(F.lit("c"), "cert_id").alias("domain"), F.when(F.col("cert_id") % 4 == 3, "{}").otherwise(F.to_json(F.struct(F.array(c).alias("certificates")))).alias("payload"))
-    return files.certificates(p).select("domain", "validation_type", "issuer", "key_type", "key_bits")
+_CERTS = """select 'c' || cast(cert_id as string) as requested_domain, '1.2.3.4' as ip, 443 as port, timestamp '2025-01-02 03:04:05' as audit_created, 'leaf' as chain_hierarchy, validation_type, valid_from, valid_to,
+ cast(cert_id as string) as serial_number, 'SHA256' as signature_algorithm, 'a.com' as subject_common_name, 'US' as issuer_country, issuer as issuer_organization, 'CA' as issuer_common_name, 'ab' as authority_key_identifier, 'cd' as subject_key_identifier,
+ '["sign"]' as key_usage, '' as extended_key_usage, '' as crl_distribution_points, '["http://i"]' as aia_issuers, '' as aia_ocsp, '["' || dns_names || '"]' as dns_names, '["' || policies || '"]' as certificate_policies, key_type as public_key_type, key_bits as public_key_bits
+ from certificates where cert_id % 4 < 2"""
+_NO_EXT = ", ".join(f"null as {c}" for c in ("authority_key_identifier", "subject_key_identifier", "key_usage", "extended_key_usage", "crl_distribution_points", "aia_issuers", "aia_ocsp", "dns_names", "certificate_policies"))
+
+
+@query("certificate_rows", ["certificates"], f"""{_CERTS} union all select 'c' || cast(cert_id as string), '1.2.3.4', 443, timestamp '2025-01-02 03:04:05', 'leaf', validation_type, valid_from, valid_to, cast(cert_id as string), 'SHA256', 'a.com', 'US', issuer, 'CA', {_NO_EXT}, key_type, key_bits from certificates where cert_id % 4 = 2
+ union all select 'c' || cast(cert_id as string), {', '.join(['null'] * 24)} from certificates where cert_id % 4 = 3""")
+def _(s, d):
+    """Landed payloads are built from the view: with extensions, without them, and without certificates."""
+    k, lit = F.col("cert_id"), F.lit
+    stamp = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    base = [
+        lit("leaf").alias("chainHierarchy"), F.col("validation_type").alias("validationType"), stamp("valid_from").alias("validFrom"), stamp("valid_to").alias("validTo"), k.cast("string").alias("serialNumber"), lit("SHA256").alias("signatureAlgorithm"),
+        F.struct(lit("a.com").alias("commonName")).alias("subject"), F.struct(lit("US").alias("country"), F.col("issuer").alias("organization"), lit("CA").alias("commonName")).alias("issuer"),
+        F.struct(F.col("key_type").alias("type"), F.col("key_bits").alias("bits")).alias("publicKey"),
+    ]
+    ext = F.struct(
+        lit("ab").alias("authorityKeyIdentifier"), lit("cd").alias("subjectKeyIdentifier"), F.array(lit("sign")).alias("keyUsage"), F.struct(F.array(lit("http://i")).alias("issuers")).alias("authorityInfoAccess"),
+        F.struct(F.array("dns_names").alias("dnsNames")).alias("subjectAlternativeNames"), F.array("policies").alias("certificatePolicies"),
+    ).alias("extensions")
+    payload = lambda cert: F.to_json(F.struct(lit("1.2.3.4").alias("ip"), lit(443).alias("port"), lit("2025-01-02T03:04:05Z").alias("auditCreated"), F.array(cert).alias("certificates")))
+    p = F.when(k % 4 == 3, '{"certificates": []}').when(k % 4 == 2, payload(F.struct(*base))).otherwise(payload(F.struct(*base, ext)))
+    return files.certificates(load(s, d, "certificates").select(F.concat(lit("c"), "cert_id").alias("domain"), p.alias("payload")))
+
 
 
 def flagship(s: SparkSession, d: str) -> DataFrame:

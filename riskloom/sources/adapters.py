@@ -29,7 +29,11 @@ _HUB = f"""select k as sec_domain_id,
   case when k % 7 = 6 then null else 'undeterminated' end as graymarket_label,
   cast(case k % 9 when 0 then 17 when 1 then 5 when 2 then 7 when 3 then null else 1 end as int) as media_type_id,
   cast(case when k % 6 = 0 then 0 when k % 6 = 1 then null else k % 50 end as int) as ad_count,
-  cast(case when k % 13 = 0 then null else (k * 137) % 4000 end as int) as html_length
+  cast(case when k % 13 = 0 then null else (k * 137) % 4000 end as int) as html_length,
+  case when k % 12 = 2 then 'SimilarWeb' end as decision_source,
+  case when k % 5 = 0 then null else date '2026-01-01' + cast(k % 200 as int) end as first_reported,
+  case when k % 13 = 5 then null else k % 2 = 0 end as ad_density,
+  cast(case when k % 4 = 1 then k % 9 end as int) as enforcement_id
 from (select c_custkey as k, c_mktsegment from customer) c"""
 _TREE = """select k as sec_domain_id, k % 2 = 0 as ssl_poor, case k % 5 when 0 then true when 1 then null else false end as high_traffic,
   k % 3 = 0 as is_ecommerce, case k % 4 when 0 then true when 1 then null else false end as mfa_engagement,
@@ -47,21 +51,25 @@ VIEWS: dict[str, str] = {
     "hub": _HUB,
     "tree": _TREE,
     "referral_traffic": _REFERRAL,
+    "referral_spellings": f"select d_sec_domain_id, destination_domain, r_domain_id, referred_visits, month, step_in_process, d_exc_domain_id, d_domain_id from ({_REFERRAL}) r union all select d_sec_domain_id, 'www.' || destination_domain, r_domain_id + 1, referred_visits, month, step_in_process, d_exc_domain_id, d_domain_id from ({_REFERRAL}) q where d_sec_domain_id % 3 = 0",
     "domain_attributes": "select s_suppkey as domain_id, 'd' || cast(s_suppkey as string) || '.com' as domain, cast(case s_suppkey % 5 when 0 then 1 when 1 then 16 when 2 then 7 end as int) as analyst_class, cast(s_suppkey % 6 as int) as ml_class from supplier",
     "tenants_domain": "select s_suppkey as domain_id, cast(s_nationkey as bigint) as tenant_id from supplier",
     "tenants": "select cast(n_nationkey as bigint) as tenant_id, n_regionkey <> 4 as customer_active from nation",
-    "traffic_sources": "select c_custkey as sec_domain_id, cast(c_custkey % 61 as double) / 100 as direct_share, cast(c_custkey % 37 as double) / 100 as referrals_share, cast(c_custkey % 53 as double) / 100 as organic_share, cast(c_custkey % 17 as double) / 100 as display_share from customer",
+    "traffic_sources": "select c_custkey as sec_domain_id, cast(c_custkey % 61 as double) / 100 as direct_share, cast(c_custkey % 37 as double) / 100 as referrals_share, cast(c_custkey % 53 as double) / 100 as organic_share, cast(c_custkey % 17 as double) / 100 as display_share from customer where c_custkey % 41 <> 7",
     "ad_domains": "select 'building-' || cast(p_partkey as string) || case p_partkey % 5 when 0 then '.COM' when 1 then '.xyz' when 2 then '.top' when 3 then '.org' else '.net' end as ad_company_domain, case when p_partkey % 3 = 0 then 4375 else p_partkey end as ad_company_id from part",
     "dim_traffic": "select o_custkey as sec_domain_id, cast(date_trunc('month', o_orderdate) as date) as month, cast(floor(sum(o_totalprice) * 4) as bigint) as traffic, 'World' as domain_country from orders where o_orderkey % 2 = 0 group by 1, 2",
     "engagement": "select o_custkey as sec_domain_id, cast(date_trunc('month', o_orderdate) as date) as month, o_orderkey as fact_id, cast(o_orderkey % 100 as double) / 100 as bounce_rate, 1 + (o_orderkey % 7) * cast(0.5 as double) as pages_per_visit, case o_orderkey % 8 when 0 then null when 1 then '0' when 2 then cast(o_orderkey % 400 as string) when 3 then '00:0' || cast(o_orderkey % 6 as string) || ':30' when 4 then '0' || cast(o_orderkey % 5 as string) || ':45' when 5 then '01:75' when 6 then 'missing' else cast(o_orderkey % 300 as string) || '.5' end as avg_visit_duration from orders",
-    "address_bar": "select user_id as session_id, event_type as ad_event_id, cast(event_id % 3 as int) as tab_num, cast(row_number() over (partition by user_id, event_type, event_id % 3 order by event_id) - 1 as int) as bar_num, 'd' || cast(user_id % 7 as string) || '.com' as source_domain, 'd' || cast(event_id % 11 as string) || '.com' as bar_domain, case event_id % 5 when 0 then true when 1 then null else false end as landing_page from events",
+    "address_bar": f"select user_id as session_id, event_type as ad_event_id, cast(event_id % 3 as int) as tab_num, cast(row_number() over (partition by user_id, event_type, event_id % 3 order by event_id) - 1 as int) as bar_num, 'd' || cast(user_id % 7 as string) || '.com' as source_domain, case when event_id % 4 = 0 then 'd' || cast(event_id % 11 as string) || '.com' else lower(c_mktsegment) || '-' || cast(k as string) || '.' || {_TLD} end as bar_domain, case event_id % 5 when 0 then true when 1 then null else false end as landing_page from (select event_id, user_id, event_type, c_custkey as k, c_mktsegment from events join customer on c_custkey = 1 + event_id % 100) c",
     "ad_slots": "select o_orderkey as sec_domain_id, cast(case when o_orderkey % 9 = 0 then null else o_orderkey % 40 end as int) as ad_count, cast(case o_orderkey % 13 when 0 then null when 1 then 0 else 200 + o_orderkey % 3000 end as int) as html_length from orders",
     "certificates": "select p_partkey as cert_id, case when p_partkey % 19 = 0 then null when p_partkey % 3 = 0 then 'domain' else 'organization' end as validation_type, case when p_partkey % 19 = 0 then '' when p_partkey % 4 = 0 then 'Let''s Encrypt' when p_partkey % 4 = 1 then 'Google Trust Services' else 'DigiCert' end as issuer, timestamp '2024-01-01 00:00:00' as valid_from, case when p_partkey % 5 = 0 then timestamp '2024-03-31 00:00:01' when p_partkey % 5 = 1 then null else timestamp '2024-12-31 00:00:00' end as valid_to, case when p_partkey % 2 = 0 then 'RSA' else 'ECDSA' end as key_type, cast(case when p_partkey % 7 = 0 then 128 when p_partkey % 2 = 0 then 2048 else 256 end as int) as key_bits, case when p_partkey % 2 = 0 then '2.23.140.1.2.1' else '2.23.140.1.2.2' end as policies, case when p_partkey % 6 = 0 then '*.a.com' else 'a.com' end as dns_names from part",
     "ad_chain_urls": "select o_custkey as domain_id, 'u' || cast(l_partkey as string) as ad_url from lineitem join orders on l_orderkey = o_orderkey",
     "ad_url_features": "select 'u' || cast(p_partkey as string) as ad_url, p_partkey % 10 <> 0 as ad_rendering, case when p_partkey % 50 = 0 then null else true end as ad_creative from part",
     "snapshots": "select page_id as html_id, page_id % 40 as sec_domain_id, url, html as html_content from pages",
     "response_log": "select user_id as site, event_id as seq, event_type as url, cast(case event_id % 6 when 0 then 404 when 1 then 301 when 2 then 302 else 200 end as int) as status from events",
-    "asn_lookup": "select s_suppkey as domain_id, case s_suppkey % 12 when 0 then 'RU' when 1 then 'CN' when 2 then 'US' when 3 then 'PA' when 4 then null else 'DE' end as country, s_suppkey % 7 <> 0 as ok from supplier",
+    "response_chain": "select site, seq, status, case seq % 4 when 0 then 'https://s' || cast(site as string) || '.com/p' when 1 then 'https://www.s' || cast(site as string) || '.com/p' when 2 then 'https://ads.example/x' else 'http://s' || cast(site as string) || '.com:80/q' end as url from (select user_id as site, event_id as seq, cast(case when user_id % 10 = 9 and event_id % 3 > 0 then 200 else case event_id % 6 when 0 then 404 when 1 then 301 when 2 then 302 when 3 then 307 else 200 end end as int) as status, row_number() over (partition by user_id order by event_id) as n from events) e where not (site % 6 = 0 and n > 1) and not (site % 6 = 1 and n > 3)",
+    "site_pages": "select site, 's' || cast(site as string) || '.com' as domain, case site % 16 when 0 then 'https://alliance4creativity.com/x' when 1 then 'https://other.example/' when 2 then 'https://www.s' || cast(site as string) || '.com/' when 3 then 'https://www.s' || cast(site as string) || '.com/a' else 'https://s' || cast(site as string) || '.com/' end as page_url, case site % 9 when 0 then '<p>Domain Seized</p>' when 1 then '<p>This is no longer available due to copyright</p>' when 2 then '<p>Cloudflare Ray ID 5</p>' when 3 then '<p>404 Not Found</p>' when 4 then '<p>bad request</p>' when 5 then '<p>Buy this domain</p>' else '<p>Welcome home</p>' end as html from (select distinct user_id as site from events) e",
+    "brands": "select case p_partkey % 5 when 0 then 'b-' || cast(p_partkey as string) when 1 then 'building-' || cast(p_partkey as string) when 2 then 'Household-' || cast(p_partkey as string) when 3 then null else 'machinery-' || cast(p_partkey as string) end as keyword, p_partkey % 3 > 0 as brand from part",
+    "asn_lookup": "select s_suppkey as domain_id, case s_suppkey % 12 when 0 then 'RU' when 1 then 'CN' when 2 then 'US' when 3 then 'PA' when 4 then null when 5 then 'UK' when 6 then 'Viet Nam' when 7 then 'Iran, Islamic Republic of' when 8 then 'Venezuela, Bolivarian Republic of' when 9 then 'us' else 'DE' end as country, s_suppkey % 7 <> 0 as ok from supplier",
 }
 
 

@@ -4,8 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from riskloom.functions import text
+
 SERP_SCHEMA = "struct<results:array<struct<content:struct<results:struct<organic:array<struct<url:string>>>>>>>"
-CERT_SCHEMA = "struct<certificates:array<struct<validation_type:string,valid_from:string,valid_to:string,issuer:struct<country:string,organization:string,common_name:string>,public_key:struct<type:string,bits:int>,extensions:struct<dns_names:array<string>,policies:array<string>>>>>"
+_CERT = """struct<chainHierarchy:string,validationType:string,validFrom:string,validTo:string,serialNumber:string,signatureAlgorithm:string,
+ subject:struct<commonName:string>,issuer:struct<country:string,organization:string,commonName:string>,publicKey:struct<type:string,bits:int>,
+ extensions:struct<authorityKeyIdentifier:string,subjectKeyIdentifier:string,keyUsage:array<string>,extendedKeyUsage:array<string>,crlDistributionPoints:array<string>,
+ authorityInfoAccess:struct<issuers:array<string>,ocsp:array<string>>,subjectAlternativeNames:struct<dnsNames:array<string>>,certificatePolicies:array<string>>>"""
+CERT_SCHEMA = f"struct<ip:string,port:int,auditCreated:string,certificates:array<{_CERT}>>"
 
 
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ";") -> DataFrame:
@@ -21,9 +27,44 @@ def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).csv(path, header=True)
 
 
+def export_dated(frames: dict[str, DataFrame], folder: str, day: str) -> dict[str, str]:
+    """A folder of CSV for each query, named after it and the day (yyyy-MM-dd); their paths."""
+    paths = {name: f"{folder}/{name}_{day.replace('-', '')}" for name in frames}
+    for name, df in frames.items():
+        export_csv(df, paths[name])
+    return paths
+
+
+def append_csv(df: DataFrame, path: str, sep: str = ";") -> None:
+    """Adds rows to a folder of CSV whose every part has the header, so that readers skip it in each and an empty folder gets one."""
+    df.write.mode("append").csv(path, header=True, sep=sep)
+
+
+def cleaned_domains(df: DataFrame, domain: str, order: str, tlds: list[str] | None = None, keep_hosted: bool = True) -> DataFrame:
+    """(domain, first_seen): registered domains of a column, each where it stands first by order; those under tlds only, if given.
+
+    A name on a hosting platform keeps its own label, unless keep_hosted is off.
+    """
+    host = text.url_host(F.col(domain))
+    hosted = text.is_hosted(host)
+    # a hosted name is its label beside the platform's two
+    own = F.array_join(F.slice(F.split(host, "\\."), F.greatest(F.size(F.split(host, "\\.")) - 2, F.lit(1)), 3), ".")
+    name = F.when(hosted & F.lit(keep_hosted), own).otherwise(text.registered_domain(host))
+    x = df.select(name.alias("domain"), F.col(order).alias("first_seen")).filter("domain <> ''")
+    if tlds is not None:
+        x = x.filter(text.tld(F.col("domain")).isin(tlds))
+    return x.groupBy("domain").agg(F.min("first_seen").alias("first_seen"))
+
+
 def append_new(df: DataFrame, known: DataFrame, key: str, path: str) -> None:
-    """Appends rows whose key isn't known yet."""
-    df.join(known.select(key), key, "left_anti").write.mode("append").parquet(path)
+    """Appends a row for each key that isn't known yet."""
+    df.dropDuplicates([key]).join(known.select(key), key, "left_anti").write.mode("append").parquet(path)
+
+
+def serp_first_page(payload: Column) -> Column:
+    """How many organic results the first page has; null where the payload is no such JSON."""
+    n = F.size(F.get(F.from_json(payload, SERP_SCHEMA)["results"], F.lit(0))["content"]["results"]["organic"])
+    return F.when(n >= 0, n)
 
 
 def serp_hosts(df: DataFrame) -> DataFrame:
@@ -35,10 +76,21 @@ def serp_hosts(df: DataFrame) -> DataFrame:
 
 
 def certificates(df: DataFrame) -> DataFrame:
-    """A row per certificate of a landed payload, or one row of nulls where it has none."""
-    c = df.select("domain", F.explode_outer(F.from_json("payload", CERT_SCHEMA)["certificates"]).alias("c"))
+    """A row per certificate of a landed payload, or one row of nulls where it has none; lists leave as JSON text."""
+    p = df.select(F.col("domain").alias("requested_domain"), F.from_json("payload", CERT_SCHEMA).alias("p"))
+    some = F.size("p.certificates") > 0
+    c = p.select("requested_domain", F.when(some, F.col("p.ip")).alias("ip"), F.when(some, F.col("p.port")).alias("port"), F.when(some, text.parse_timestamp(F.col("p.auditCreated"))).alias("audit_created"), F.explode_outer("p.certificates").alias("c"))
     at: Column = F.col("c")
+    ext = at["extensions"]
+    listed = lambda x: F.when(ext.isNotNull(), F.coalesce(F.to_json(x), F.lit("")))
     return c.select(
-        "domain", at["validation_type"].alias("validation_type"), F.try_to_timestamp(F.regexp_replace(at["valid_from"], "Z$", "")).alias("valid_from"), F.try_to_timestamp(F.regexp_replace(at["valid_to"], "Z$", "")).alias("valid_to"),
-        at["issuer"]["organization"].alias("issuer"), at["public_key"]["type"].alias("key_type"), at["public_key"]["bits"].alias("key_bits"), at["extensions"]["dns_names"].alias("dns_names"), at["extensions"]["policies"].alias("policies"),
+        "requested_domain", "ip", "port", "audit_created",
+        at["chainHierarchy"].alias("chain_hierarchy"), at["validationType"].alias("validation_type"), text.parse_timestamp(at["validFrom"]).alias("valid_from"), text.parse_timestamp(at["validTo"]).alias("valid_to"),
+        at["serialNumber"].alias("serial_number"), at["signatureAlgorithm"].alias("signature_algorithm"), at["subject"]["commonName"].alias("subject_common_name"),
+        at["issuer"]["country"].alias("issuer_country"), at["issuer"]["organization"].alias("issuer_organization"), at["issuer"]["commonName"].alias("issuer_common_name"),
+        ext["authorityKeyIdentifier"].alias("authority_key_identifier"), ext["subjectKeyIdentifier"].alias("subject_key_identifier"),
+        listed(ext["keyUsage"]).alias("key_usage"), listed(ext["extendedKeyUsage"]).alias("extended_key_usage"), listed(ext["crlDistributionPoints"]).alias("crl_distribution_points"),
+        listed(ext["authorityInfoAccess"]["issuers"]).alias("aia_issuers"), listed(ext["authorityInfoAccess"]["ocsp"]).alias("aia_ocsp"),
+        listed(ext["subjectAlternativeNames"]["dnsNames"]).alias("dns_names"), listed(ext["certificatePolicies"]).alias("certificate_policies"),
+        at["publicKey"]["type"].alias("public_key_type"), at["publicKey"]["bits"].alias("public_key_bits"),
     )

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.functions import pages, text as tx
-from riskloom.operators import html_parse, relational, rules, scorers
+from riskloom.operators import captures, html_parse, relational, rules, scorers
 
 
 def one(spark, f, values, kind="string"):
@@ -60,10 +60,116 @@ def test_pages(spark):
 
 def test_parse():
     f = html_parse.page_features("<div class='ad banner'><div class='address ad'>a</div></div><iframe src='//x.doubleclick.net'></iframe><a href='http://amazon.com/?tag=1'>next</a><script type='application/ld+json'>{\"@type\": [\"Product\"]}</script><form action='/cart'></form>")
-    assert (f["ad_slots"], f["iframes"], f["affiliate"], f["shop_signals"], f["schema_types"], f["gpt"]) == (2, 1, True, 2, 1, True)
+    # a product in a list of types is no product signal: the rule looks for one type as text
+    assert (f["ad_slots"], f["iframes"], f["affiliate"], f["shop_signals"], f["schema_types"], f["gpt"]) == (2, 1, True, 1, 1, True)
     assert html_parse.page_features(None)["words"] == 0
-    same = "one two three four five six seven eight nine ten"
-    assert html_parse.repetition([same, same + " eleven"]) == 1.0 or html_parse.repetition([same, same]) == 1.0
+    words = " ".join(f"w{k}" for k in range(60))
+    assert html_parse.repetition([words, words + " more"]) == 1.0 and html_parse.repetition([words, words[::-1]]) == 0.0
+    assert html_parse.repetition([words]) == 0.0 and html_parse.repetition(["a b", words, words]) == 1.0
+
+
+@pytest.mark.parametrize(
+    "html, field, value",
+    [
+        ("<link href='https://cdn.shopify.com/x.css'>", "shop_signals", 0),
+        ("<img src='https://cdn.shopify.com/a'><img src='https://js.stripe.com/b'>", "shop_signals", 2),
+        ('<script type="application/ld+json">{"@type": "AggregateOffer"}</script><script type="application/ld+json">{"@type":"Offer"}</script>', "shop_signals", 1),
+        ("<form action='/CHECKOUT'></form><form action='/cart'></form>", "shop_signals", 1),
+        ("<b class='x Btn-Buy'></b>", "shop_signals", 1),
+        ("<div class='sticky'>x</div>", "sticky", False),
+        ("<div class='sticky-ad'>x</div>", "sticky", False),
+        ("<div style='' class='sticky ad'>x</div>", "sticky", True),
+        ("<div style='POSITION : fixed'>x</div>", "sticky", True),
+        ("<a href='/page/2'>next</a>", "pagination_hits", 1),
+        ("<a href='/x'><b>ne</b><i>next</i></a>", "pagination_hits", 1),
+        ("<a>next</a>", "pagination_hits", 0),
+        ("<a rel='next' href='/y'>y</a>", "rel_next", 0),
+        ("<link rel='prefetch next' href='/y'>", "rel_next", 1),
+        ("<title>A</title><h1>calm</h1><h1>shocking</h1>", "clickbait", False),
+        ("<title>Top 7 of it</title>", "clickbait", True),
+        ("<div>you <b>x</b> may like</div>", "rec_widgets", 0),
+        ("<div>you may<b>x</b> like</div><p>Around the web</p><span class='mgid'>z</span>", "rec_widgets", 2),
+        ("<video autoplay muted></video>", "autoplay", True),
+        ("<video autoplay></video>", "autoplay", False),
+        ("<div class='my popup'></div>", "overlay", True),
+        ("<script>taboola</script>", "arbitrage", True),
+        ("<script src='https://x.prebid.org/a'></script>", "vendors", ["header-bidding"]),
+        ("<div id='amzn_assoc_1'></div><div id='Taboola-x'></div><div data-widget-id='OB1'></div>", "total_ad_slots", 3),
+        ("<ins class='a adsbygoogle'></ins><div class='ad-unit' id='ad-slot'></div>", "total_ad_slots", 3),
+        ("<script src='//ads.pubmatic.com/x'></script><script src='/y'></script><img src='//criteo.com/z'>", "ad_scripts", 1),
+        ("<div id='ad' class='x  y'></div>", "ad_snippets", ["ad x y"]),
+        ("<script type='application/ld+json'>no json</script>", "schema_blocks", 1),
+        ("<script type='application/ld+json'>no json</script>", "has_schema", False),
+        ('<script type="application/ld+json">[{"@type": ["Book", "Movie"], "name": 1}, {"@type": "Book"}, 5]</script>', "schema_books", 2),
+        ('<script type="application/ld+json">{"@type": "AdultEntertainment", "name": 1, "description": 1, "provider": 1}</script>', "complete_adults", True),
+        ('<script type="application/ld+json">{"@type": "Book", "name": 1, "author": 1, "isbn": 1}</script>', "complete_books", False),
+        ('<script type="application/ld+json">{"@type": "Movie", "name": 1, "description": 1, "image": 1, "datePublished": 1, "director": 1, "actor": 1, "genre": 1}</script>', "schema_movie_only", True),
+        ("<p>one two</p><svg>three</svg><noscript>four</noscript>", "words", 2),
+        ("<title>T</title><meta property='og:description' content=' D '><p>x</p>", "relevant_text", "T\n\nD\n\nT\nx"),
+        ("<p>a  b\n\n c</p><noscript>n</noscript> 😀d", "visible_text", "a b c d"),
+        ("<iframe></iframe><p>" + "w " * 500 + "</p>", "iframes_per_1k", 2.0),
+    ],
+)
+def test_page_fields(html, field, value):
+    assert html_parse.page_features(html)[field] == value
+
+
+def test_policy_words(spark):
+    rows = one(spark, lambda c: F.struct(*[v.alias(k) for k, v in pages.policy_flags(c).items()]), ["<a href='/TOS'>x</a>", "<p>Disclaimer</p><!-- privacy -->", "", None])
+    assert [tuple(r) for r in rows] == [(True, False, False), (False, True, True), (False, False, False), (False, False, False)]
+
+
+def test_captures(spark):
+    texts = ["a b c", "a b c d", "x y z Welcome to nginx! ", "Not found at all here", "not found at all here", None, ""]
+    assert one(spark, pages.valid_capture, texts) == [False, True, False, False, True, False, False]
+    assert one(spark, tx.collapse, ["a\u00a0\u2003b \n c"]) == ["a b c"]
+
+
+def test_site_status(spark):
+    """Cases by hand: (chain of (status, url), final page, html) and what the rules say."""
+    own, www, other = "https://a.com/x", "https://www.a.com/y", "https://b.org/z"
+    plain = "<p>Welcome</p>"
+    cases = [
+        ([(200, own)] * 2, www, plain, ("Online", "", www, "")),
+        ([(301, own), (302, own), (200, own), (404, own)], own, plain, ("Offline | Ad Sniffer", "Error[404]", None, "")),
+        ([(301, own), (200, www), (404, own)], own, plain, ("Online", "", None, "Redirect same domain")),
+        ([(301, own), (200, www)], www, plain, ("Online", "Redirect - same domain", www, "Redirect same domain")),
+        ([(301, own), (200, other)], own, plain, ("Online", "Redirect", None, "")),
+        ([(301, own)] + [(302, own)] * 10 + [(200, own)], own, plain, ("Online", "None", None, "")),
+        ([(302, own)] * 12, other, plain, ("Offline | Status Checker", "Redirect", other, "")),
+        ([(403, own)], www, plain, ("Offline", "Redirect", www, "")),
+        ([(403, own)], own, plain, ("Offline", "Error[400-500]", None, "")),
+        ([(400, own)], own, plain, ("Offline | Ad Sniffer", "Error[400]", None, "")),
+        ([(200, own)], "https://alliance4creativity.com/", plain, ("Offline", "Domain Seized", None, "alliance4creativity.com")),
+        ([(200, own)] * 2, own, "<script>Domain Seized</script>ok", ("Blocked", "Domain Seized", None, "Domain Seized")),
+        ([(200, own)], own, "<p>buy this domain</p>", ("Offline | Status Checker", "Parking Page", "", "")),
+        ([(500, own), (200, own)], own, "<p>Bad request</p>", ("Blocked", "Error[Bad Request-500]", None, "")),
+        ([], own, plain, (None, None, None, None)),
+    ]
+    log = spark.createDataFrame([(k, n, s, u) for k, c in enumerate(cases) for n, (s, u) in enumerate(c[0])], "site long, seq long, status int, url string")
+    sites = spark.createDataFrame([(k, "a.com", c[1], c[2]) for k, c in enumerate(cases)], "site long, domain string, page_url string, html string")
+    got = {r["site"]: r for r in captures.site_status(log, sites).collect()}
+    for k, (chain, _, _, want) in enumerate(cases):
+        assert (got[k]["n_responses"], *tuple(got[k])[2:]) == (len(chain), *want), k
+
+
+def test_names(spark):
+    assert one(spark, captures.country, ["US", "us", "Viet Nam", "Iran, Islamic Republic of", None]) == ["United States", "us", "Vietnam", "Iran (Islamic Republic of)", None]
+    assert one(spark, captures.media_type_name, [1, 17, 15, None], "int") == ["Film & TV", "invalid", "Other", "Other"]
+
+
+def test_brands(spark):
+    domains = spark.createDataFrame([(1, "my-ACMECORP.com"), (2, "acme.com"), (3, None), (4, "x")], "id long, name string")
+    brands = spark.createDataFrame([("AcmeCorp ", True), ("acme", True), ("my-acm", False), (None, True)], "keyword string, brand boolean")
+    assert {r["id"] for r in captures.brand_known(domains, "name", brands).filter("brand_known").collect()} == {1}
+    assert captures.brand_known(domains, "name", brands.limit(0)).filter("brand_known").count() == 0
+
+
+def test_duplicate_updates(spark):
+    base = spark.createDataFrame([(1, 5)], "id int, x int")
+    up = spark.createDataFrame([(1, 6), (1, 7)], "id int, x int")
+    with pytest.raises(Exception, match="more than one update"):
+        relational.keyed_update(base, up, "id", ["x"]).collect()
 
 
 def test_scorer(spark):
@@ -76,3 +182,16 @@ def test_identifier():
     assert tx.safe_identifier("a_1") == "a_1"
     with pytest.raises(ValueError):
         tx.safe_identifier("a; drop")
+
+
+def test_enforcement_and_graymarket(spark):
+    rows = [(1, "<p>some words that make a page of text</p>", "Anime", True, 0.3, True, False), (2, "<p>x</p>", "Other", False, 0.1, False, False)]
+    df = spark.createDataFrame(rows, "id long, html string, media_type string, brand_known boolean, ssl_score double, privacy boolean, terms boolean")
+    got = scorers.enforcement(df, "id", lambda x: x["brand_known"].astype(int) * 3 + (x["media_type"] == "Anime") + x["blocked"]).collect()
+    assert {r["id"]: (r["class"], r["called"]) for r in got} == {1: (4, True), 2: (0, False)}
+    texts = spark.createDataFrame([(1, "ads", 80), (2, "bet", 80), (3, "bet", 10), (4, "", 10), (5, "?", 10)], "id long, relevant_text string, s int")
+    classify = lambda t: t.map({"bet": "**Gambling & Betting**\nsure", "?": "Nonsense"})
+    confirm = lambda x: x["text"].map(lambda t: "MFA." if t == "ads" else "unknow")
+    got = scorers.graymarket(texts, "id", F.col("s"), classify, confirm).collect()
+    und = "undeterminated"
+    assert {r["id"]: (r["label"], r["asked_mfa"]) for r in got} == {1: ("mfa", True), 2: ("Gambling & Betting", True), 3: ("Gambling & Betting", False), 4: (und, False), 5: (und, False)}

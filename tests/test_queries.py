@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as spark_functions
 
 from riskloom.operators import captures
-from riskloom.plans import capture_queries, queries as plans  # noqa: F401
+from riskloom.plans import capture_queries, page_queries, queries as plans  # noqa: F401
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -51,12 +51,3 @@ def test_one_scan_of_the_facts(spark):
     assert "Union" not in plan and "Cross" not in plan and "scalar-subquery" in plan
 
 
-def test_status_of_all_responses(spark, duck):
-    """Counts and the last response come from the whole log of a site."""
-    want = duck.execute(plans.oracle_sql()["response_status_whole"]).fetchall()
-    got = plans.queries()["response_status_whole"](spark, SF).select("site", "n_responses", "online_status").collect()
-    assert rows(tuple(r) for r in got) == rows(want) and max(r["n_responses"] for r in got) > 10
-    log = spark.createDataFrame([(1, k, 302 if k < 12 else 200, "click" if k == 12 else "ad") for k in range(13)], "site long, seq long, status long, url string")
-    lit = spark_functions.lit
-    (r,) = captures.site_status(log, lit("click"), lit(False), lit(False), lit("Offline | Ad Sniffer")).collect()
-    assert (r["n_responses"], r["online_status"]) == (13, "Online")

@@ -18,11 +18,29 @@ def test_export_and_append(spark, tmp_path):
 
 
 def test_certificates(spark):
-    two = '{"certificates": [{"validation_type": "domain", "valid_from": "2024-01-01T00:00:00Z", "public_key": {"type": "RSA", "bits": 2048}}, {"issuer": {"organization": "X"}}]}'
-    df = spark.createDataFrame([("a", two), ("b", "{}"), ("c", "no json"), ("d", None)], "domain string, payload string")
+    two = """{"ip": "1.1.1.1", "port": 443, "auditCreated": "2025-01-01T00:00:00Z", "certificates": [{"validationType": "domain", "validFrom": "2024-01-01T00:00:00Z", "publicKey": {"type": "RSA", "bits": 2048},
+      "extensions": {"keyUsage": ["a", "b"], "subjectAlternativeNames": {"dnsNames": ["*.x"]}}}, {"issuer": {"organization": "X"}}]}"""
+    df = spark.createDataFrame([("a", two), ("b", "{}"), ("c", "no json"), ("d", None), ("e", '{"ip": "9.9.9.9", "certificates": []}')], "domain string, payload string")
     got = files.certificates(df).collect()
-    assert sorted(r["domain"] for r in got) == ["a", "a", "b", "c", "d"]
+    assert sorted(r["requested_domain"] for r in got) == ["a", "a", "b", "c", "d", "e"]
     assert {r["valid_from"].year for r in got if r["valid_from"]} == {2024}
+    full, bare = sorted((r for r in got if r["requested_domain"] == "a"), key=lambda r: r["validation_type"] is None)
+    assert (full["key_usage"], full["dns_names"], full["aia_ocsp"], full["public_key_bits"], full["port"]) == ('["a","b"]', '["*.x"]', "", 2048, 443)
+    assert (bare["key_usage"], bare["issuer_organization"], bare["audit_created"].year) == (None, "X", 2025)
+    assert all(v is None for r in got if r["requested_domain"] in "bcde" for v in tuple(r)[1:])
+
+
+def test_exports(spark, tmp_path):
+    df = spark.createDataFrame([("https://www.a.com/x", 2), ("a.com", 1), ("b.pages.dev", 3), ("c.ru", 4)], "url string, seen int")
+    clean = files.cleaned_domains(df, "url", "seen")
+    assert {tuple(r) for r in clean.collect()} == {("a.com", 1), ("b.pages.dev", 3), ("c.ru", 4)}
+    assert {r["domain"] for r in files.cleaned_domains(df, "url", "seen", ["com", "dev"], keep_hosted=False).collect()} == {"a.com", "pages.dev"}
+    paths = files.export_dated({"clean": clean}, str(tmp_path), "2025-03-04")
+    assert paths == {"clean": f"{tmp_path}/clean_20250304"} and spark.read.csv(paths["clean"], header=True).count() == 3
+    for _ in range(2):
+        files.append_csv(clean, str(tmp_path / "log"))
+    back = spark.read.csv(str(tmp_path / "log"), header=True, sep=";")
+    assert back.columns == ["domain", "first_seen"] and back.count() == 6
 
 
 def test_serp(spark):

@@ -8,3 +8,21 @@ def test_windows(spark, tmp_path):
     q = out.writeStream.outputMode("complete").format("memory").queryName("per_window").trigger(availableNow=True).start()
     q.awaitTermination(120)
     assert spark.sql("select sum(n) from per_window").first()[0] == 1000
+
+
+def drain(spark, df, name, mode="append"):
+    q = df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True).start()
+    q.awaitTermination(120)
+    return spark.table(name).collect()
+
+
+def test_sessions_and_first_seen(spark, tmp_path):
+    """Two users, a gap of an hour, and a repeated kind of event; a last event far ahead closes what is open."""
+    rows = [(1, "2025-01-01 00:00:00", 1, "a"), (2, "2025-01-01 00:10:00", 1, "a"), (3, "2025-01-01 01:10:00", 1, "b"), (4, "2025-01-01 00:05:00", 2, "a"), (5, "2025-01-09 00:00:00", 3, "z")]
+    df = spark.createDataFrame(rows, "event_id long, t string, user_id long, event_type string").selectExpr("event_id", "cast(t as timestamp_ntz) as ts", "user_id", "event_type", "0D as value", "'' as props")
+    src = str(tmp_path / "events")
+    df.coalesce(1).write.parquet(src)
+    found = drain(spark, responses.sessions(responses.read_events(spark, src)), "sessions", "append")
+    assert sorted((r["user_id"], r["n"]) for r in found if r["user_id"] < 3) == [(1, 1), (1, 2), (2, 1)]
+    firsts = drain(spark, responses.first_seen(responses.read_events(spark, src)), "firsts")
+    assert sorted((r["user_id"], r["event_type"]) for r in firsts) == [(1, "a"), (1, "b"), (2, "a"), (3, "z")]
