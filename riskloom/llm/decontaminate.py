@@ -4,14 +4,15 @@ Words become template tokens: numbers, names (capitalised inside a sentence) and
 turn into typed placeholders, everything else is lower-cased. Windows of eight template tokens
 of documents and benchmark items meet in a hash join, so that a question whose numbers or
 names were exchanged still meets its original. Windows of one alignment (same offset
-between document and item) form an occurrence; an occurrence counts only if its slots are
-consistent: each value in the item stands for one value in the document throughout.
+between document and item) and of those at most NEAR words beside it, where words were inserted or left out, form an
+occurrence; an occurrence counts only if its slots are consistent: each value in the item stands for one value in
+the document throughout. Of one that isn't, the alignment with most windows counts, if it is consistent by itself.
 Windows with few literal words, and items of fewer than eight words as a whole, are matched word for word.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.llm.common import table
 from riskloom.llm.native import eight_hashes, once
@@ -21,6 +22,8 @@ WINDOW = 8
 LITERALS = 4
 #: Share of an item's windows that consistent occurrences must cover.
 COVERAGE = 0.5
+#: Words by which alignments of one occurrence differ at most.
+NEAR = 8
 #: Item windows that are broadcast at most; more go through a shuffled join.
 BROADCAST_WINDOWS = 200_000
 #: Words taken for units (a fixed list).
@@ -30,7 +33,7 @@ NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 
 def _tokens(text: Column) -> Column:
     """Words of a text; '_' marks one that opens a sentence, where a capital means nothing."""
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), "(^|[.!?:\\n][\"'\\s]*)(?=\\p{Lu})", "$1_")
+    marked = F.regexp_replace(F.coalesce(text, F.lit("")), "((?:^|[.!?:\\n])[\"'\\s]*)(?=\\p{Lu})", "$1_")
     words = F.split(marked, "[^\\p{L}\\p{N}_]+")
     return F.filter(words, lambda w: F.translate(w, "_", "") != "")
 
@@ -49,7 +52,10 @@ def _template(w: Column) -> Column:
 
 def with_windows(df: DataFrame, id_col: str, text_col: str, prefix: str) -> DataFrame:
     """(id, raw words, template tokens, hashes of the template windows) of each row."""
-    x = df.select(F.col(id_col).alias(prefix + "id"), once(_tokens(F.col(text_col))).alias(prefix + "raw"))
+    return _windows_of(df.select(F.col(id_col).alias(prefix + "id"), once(_tokens(F.col(text_col))).alias(prefix + "raw")), prefix)
+
+
+def _windows_of(x: DataFrame, prefix: str) -> DataFrame:
     x = x.withColumn(prefix + "canon", once(F.transform(prefix + "raw", _template)))
     return eight_hashes(prefix + "canon", prefix + "h", x)
 
@@ -62,53 +68,80 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
     """A row per window of each distinct item; an item of fewer words than WINDOW is one window.
 
     b_len is 0 for a window of LITERALS literal tokens at least, which is met as a template; others are met word for word and
-    have their length there. b_open counts the item's templates.
+    have their length there. b_open counts the item's templates. An item opens a sentence, but a document may hold it inside of one, where its
+    first word is a name if it has a capital: the first window of such an item is there in both forms.
     """
-    items = benchmark.select(F.col("item_id"), F.col("text")).distinct()
-    x = with_windows(items, "item_id", "text", "b_").filter(F.size("b_raw") > 0)
-    x = x.select("b_id", F.greatest(F.size("b_h"), F.lit(1)).alias("b_n"), "b_raw", "b_canon", F.posexplode(F.when(F.size("b_h") > 0, F.col("b_h")).otherwise(F.array(F.lit(0).cast("bigint")))).alias("b_pos", "b_hash"))
-    x = x.select("b_id", "b_n", "b_pos", "b_hash", F.slice("b_raw", F.col("b_pos") + 1, WINDOW).alias("b_win"), F.slice("b_canon", F.col("b_pos") + 1, WINDOW).alias("b_kinds"))
-    is_open = (F.size("b_kinds") == WINDOW) & (F.size(F.filter("b_kinds", lambda k: ~k.isin(NUM, NAME, UNIT))) >= LITERALS)
-    x = x.withColumn("b_len", F.when(is_open, 0).otherwise(F.size("b_win")))
-    opened = x.groupBy("b_id", "b_n", "b_pos", "b_win").agg(F.first("b_len").alias("b_len")).groupBy("b_id", "b_n").agg(F.count_if(F.col("b_len") == 0).alias("b_open"))
-    x = x.join(opened, ["b_id", "b_n"])
-    return x.withColumn("b_hash", F.when(F.col("b_len") == 0, F.col("b_hash")).otherwise(F.xxhash64(_verbatim(F.col("b_win")), "b_len")))
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+    items = with_windows(benchmark.select(F.col("item_id"), F.col("text")).distinct(), "item_id", "text", "b_").filter(F.size("b_raw") > 0)
+    inside = F.concat(F.array(F.regexp_replace(F.get("b_raw", F.lit(0)), "^_", "")), F.slice("b_raw", 2, F.size("b_raw")))
+    named = _windows_of(items.filter(F.startswith(F.get("b_raw", F.lit(0)), F.lit("_"))).select("b_id", F.col("b_raw").alias("b_own"), once(inside).alias("b_raw")), "b_")
+
+    def windows(x: DataFrame, own: str) -> DataFrame:
+        x = x.select("b_id", F.greatest(F.size("b_h"), F.lit(1)).alias("b_n"), F.col(own).alias("b_own"), "b_raw", "b_canon", F.posexplode(F.when(F.size("b_h") > 0, F.col("b_h")).otherwise(F.array(F.lit(0).cast("bigint")))).alias("b_pos", "b_hash"))
+        x = x.select("b_id", "b_n", "b_own", "b_pos", "b_hash", F.slice("b_raw", F.col("b_pos") + 1, WINDOW).alias("b_win"), F.slice("b_canon", F.col("b_pos") + 1, WINDOW).alias("b_kinds"))
+        is_open = (F.size("b_kinds") == WINDOW) & (F.size(F.filter("b_kinds", lambda k: ~k.isin(NUM, NAME, UNIT))) >= LITERALS)
+        return x.withColumn("b_len", F.when(is_open, 0).otherwise(F.size("b_win")))
+
+    x = windows(items, "b_raw")
+    opened = x.groupBy("b_id", "b_n", "b_own").agg(F.count_if(F.col("b_len") == 0).alias("b_open"), F.array_sort(F.collect_list(F.when(F.col("b_len") == 0, F.col("b_pos")))).alias("b_templates"))
+    x = x.unionByName(windows(named, "b_own").filter("b_pos = 0")).join(opened, ["b_id", "b_n", "b_own"])
+    x = x.withColumn("b_templated", F.array_contains("b_templates", F.col("b_pos"))).drop("b_templates")
+    x = x.withColumn("b_item", F.xxhash64("b_own")).drop("b_own")
+    return x.withColumn("b_hash", F.when(F.col("b_len") == 0, F.col("b_hash")).otherwise(F.xxhash64(_verbatim(F.col("b_win")), "b_len"))).distinct()
+
+
+def _grams(d: DataFrame, verbatim: list[int]) -> Column:
+    """All windows of a document as (d_len, d_pos, d_hash), for inline: templates (d_len 0), and runs of the lengths that are met word for word."""
+    met = [F.transform("d_h", lambda h, i: F.struct(F.lit(0).alias("d_len"), i.alias("d_pos"), h.alias("d_hash")))]
+
+    def runs(n: int) -> Column:
+        spots = F.when(F.size("d_low") >= n, F.sequence(F.lit(0), F.size("d_low") - n)).otherwise(F.array().cast("array<int>"))
+        return F.transform(spots, lambda i: F.struct(F.lit(n).alias("d_len"), i.alias("d_pos"), F.xxhash64(F.slice(F.col("d_low"), i + 1, n), F.lit(n)).alias("d_hash")))
+
+    met += map(runs, verbatim)  # WINDOW lengths at most
+    return F.inline(F.concat(*met))
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
     """(doc_id, item_id, n_windows, item_windows, coverage, exact) for each contaminated pair.
 
     n_windows counts the item's windows that consistent occurrences hold; coverage is their share, or that among
     the templates where it is larger; ``exact`` tells whether no slot was exchanged. Null texts and items without words give no
-    rows; repeated documents (same id) count together; a document of any length is read to its end.
+    rows, nor do null ids; equal items are one, and an item_id with several texts is an item for each; documents of one id count together; a
+    document of any length is read to its end; an empty table on either side gives no rows; other columns are not carried.
     """
     items = item_windows(benchmark)
     lengths = {r["b_len"]: r["count"] for r in items.groupBy("b_len").count().collect()}
-    if sum(lengths.values()) <= BROADCAST_WINDOWS:
-        items = F.broadcast(items)
-    d = with_windows(docs, "doc_id", "text", "d_")
-    if verbatim := sorted(set(lengths) - {0}):  # at most WINDOW lengths
+    verbatim = sorted(set(lengths) - {0})
+    d = with_windows(docs.filter("doc_id IS NOT NULL"), "doc_id", "text", "d_")
+    if verbatim:
         d = d.withColumn("d_low", once(_verbatim(F.col("d_raw"))))
-        span = lambda n: F.when(F.size("d_low") >= n, F.sequence(F.lit(0), F.size("d_low") - n)).otherwise(F.array().cast("array<int>"))
-        met = [F.transform("d_h", lambda h, i: F.struct(i.alias("d_pos"), h.alias("d_hash")))]
-        exactly = lambda n: lambda i: F.struct(i.alias("d_pos"), F.xxhash64(F.slice(F.col("d_low"), i + 1, n), F.lit(n)).alias("d_hash"))
-        met += [F.transform(span(n), exactly(n)) for n in verbatim]
-        d = d.select("d_id", "d_raw", F.inline(F.concat(*met)))
-    else:
-        d = d.select("d_id", "d_raw", F.posexplode("d_h").alias("d_pos", "d_hash"))
-    met = d.join(items, F.col("d_hash") == F.col("b_hash")).select(
-        "d_id", "b_id", "b_n", "b_open", "b_len", "b_pos", (F.col("d_pos") - F.col("b_pos")).alias("shift"), "b_win", "b_kinds", F.slice("d_raw", F.col("d_pos") + 1, F.size("b_win")).alias("d_win")
-    )
+    same = (F.col("d_hash") == F.col("b_hash")) & (F.col("d_len") == F.col("b_len"))
+    if sum(lengths.values()) <= broadcast_windows:
+        met = d.select("d_id", "d_raw", _grams(d, verbatim)).join(F.broadcast(items), same)
+    else:  # only hashes are shuffled; the few documents that are hit are read again
+        hits = d.select("d_id", _grams(d, verbatim)).join(items, same)
+        again = F.get("d_h", F.col("d_pos"))
+        if verbatim:
+            again = F.when(F.col("d_len") == 0, again).otherwise(F.xxhash64(F.slice("d_low", F.col("d_pos") + 1, F.greatest("d_len", F.lit(1))), "d_len"))
+        met = hits.join(d, "d_id").filter(again == F.col("d_hash"))
+    item = ["d_id", "b_id", "b_item", "b_n", "b_open"]
+    met = met.select(*item, "b_templated", "b_pos", (F.col("d_pos") - F.col("b_pos")).alias("shift"), "b_win", "b_kinds", F.slice("d_raw", F.col("d_pos") + 1, F.size("b_win")).alias("d_win"))
     slots = F.filter(
         F.transform("b_kinds", lambda k, i: F.struct(k.alias("kind"), F.translate(F.lower(F.get("b_win", i)), "_", "").alias("was"), F.translate(F.lower(F.get("d_win", i)), "_", "").alias("now"))),
         lambda s: s["kind"].isin(NUM, NAME, UNIT),
     )
-    spots = met.select("d_id", "b_id", "b_n", "b_open", "shift", F.struct("b_pos", (F.col("b_len") == 0).alias("open")).alias("spot"), slots.alias("slots"))
-    found = spots.groupBy("d_id", "b_id", "b_n", "b_open", "shift").agg(F.collect_set("spot").alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
-    keys = F.array_distinct(F.transform("slots", lambda s: F.struct(s["kind"], s["was"])))
-    consistent = found.filter(F.size("slots") == F.size(keys))
+    one_value = lambda c: F.size(c) == F.size(F.array_distinct(F.transform(c, lambda s: F.struct(s["kind"], s["was"]))))
+    spots = met.select(*item, "shift", F.struct("b_pos", F.col("b_templated").alias("open")).alias("spot"), slots.alias("slots"))
+    found = spots.groupBy(*item, "shift").agg(F.collect_set("spot").alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
+    own = Window.partitionBy(*item).orderBy("shift")
+    found = found.withColumn("leaves", (F.col("shift") - F.lag("shift").over(own) > NEAR).cast("int"))
+    found = found.withColumn("occurrence", F.coalesce(F.sum("leaves").over(own), F.lit(0)))
+    best = F.max(F.when(one_value("slots"), F.struct(F.size("at").alias("n"), -F.col("shift"), "at", "slots")))
+    merged = found.groupBy(*item, "occurrence").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"), F.array_distinct(F.flatten(F.collect_list("slots"))).alias("slots"), best.alias("best"))
+    whole = one_value("slots")
+    used = merged.select(*item, F.when(whole, F.col("at")).otherwise(F.col("best.at")).alias("at"), F.when(whole, F.col("slots")).otherwise(F.col("best.slots")).alias("slots")).filter("at IS NOT NULL")
     exchanged = F.exists("slots", lambda s: s["was"] != s["now"])
-    pairs = consistent.groupBy("d_id", "b_id", "b_n", "b_open").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"), (~F.max(exchanged)).alias("exact"))
+    pairs = used.groupBy(*item).agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"), (~F.max(exchanged)).alias("exact"))
     pairs = pairs.withColumn("n_windows", F.size("at").cast("long"))
     share = F.greatest(F.col("n_windows") / F.col("b_n"), F.when(F.col("b_open") > 0, F.size(F.filter("at", lambda x: x["open"])) / F.greatest("b_open", F.lit(1))))
     return pairs.filter(share >= coverage).select(F.col("d_id").alias("doc_id"), F.col("b_id").alias("item_id"), "n_windows", F.col("b_n").cast("long").alias("item_windows"), share.alias("coverage"), "exact")
@@ -119,6 +152,10 @@ def op4_decontaminate(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that hold a benchmark item go; a null id is never contaminated."""
+    """Pipeline stage: documents that hold a benchmark item go; a null id is never contaminated.
+
+    Repeated rows go or stay together; null, empty and very long texts are judged as contaminated does; an empty table stays empty;
+    the columns of docs stay as they are, whatever their names.
+    """
     hit = contaminated(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
     return docs.join(hit, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
