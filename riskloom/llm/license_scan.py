@@ -22,7 +22,7 @@ from riskloom.llm.common import slices, table, tidied
 
 #: Phrase and label pairs (fixed values).
 PHRASES = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
-#: Notices as they are customarily put into files, by SPDX name (fixed values).
+#: Notices as they are customarily put into files, and the paragraphs of licence texts, by SPDX name (fixed values).
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "MIT": "Released under the MIT License",
@@ -34,6 +34,20 @@ TEMPLATES = {
     "LGPL": "Released under the GNU Lesser General Public License",
     "BSD-3-Clause": "Redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "MIT-text": "Permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files to deal in the software without restriction",
+    "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
+    "MIT-notice": "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.",
+    "MIT-warranty": "The software is provided as is, without warranty of any kind, express or implied, including but not limited to the warranties of merchantability, fitness for a particular purpose and noninfringement. In no event shall the authors or copyright holders be liable for any claim, damages or other liability, whether in an action of contract, tort or otherwise, arising from, out of or in connection with the software or the use or other dealings in the software.",
+    "BSD-source": "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "BSD-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+    "BSD-3-Clause-names": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "BSD-warranty": "This software is provided by the copyright holders and contributors as is and any express or implied warranties, including, but not limited to, the implied warranties of merchantability and fitness for a particular purpose are disclaimed. In no event shall the copyright holder or contributors be liable for any direct, indirect, incidental, special, exemplary, or consequential damages (including, but not limited to, procurement of substitute goods or services; loss of use, data, or profits; or business interruption) however caused and on any theory of liability, whether in contract, strict liability, or tort (including negligence or otherwise) arising in any way out of the use of this software, even if advised of the possibility of such damage.",
+    "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+    "Apache-2.0-warranty": "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    "GPL-3.0-header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL-warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
+    "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 CONTAINMENT = 0.9
 #: Bytes that part words: ASCII other than letters and digits; A-Z become a-z.
@@ -138,8 +152,8 @@ def block_matches(ix: TemplateIndex, raw: bytes) -> list[tuple[int, str, float]]
 def scan(docs: DataFrame, frequency: dict[bytes, int], threshold: float = CONTAINMENT) -> DataFrame:
     """Per row: doc_id, n_words, places (first, last, label), matches (block, template, share).
 
-    A null text counts as empty and has no places and no matches; repeated rows give repeated
-    results; any length of text is read whole; other columns are not carried.
+    A null text counts as empty and has no places and no matches; a null doc_id stays null; repeated rows give repeated
+    results; any length of text is read whole; an empty table gives no rows; other columns are not carried.
     """
     index = docs.sparkSession.sparkContext.broadcast(TemplateIndex(frequency, threshold))
     kind = docs.schema["doc_id"].dataType.simpleString()

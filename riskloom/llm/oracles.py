@@ -35,7 +35,8 @@ w as (select doc_id, t, regexp_extract_all(t, '{_W}') as w from d),
 hit as (select doc_id, unnest(list_filter(range(1, len(w) + 1), lambda i: w[i:i + len(p) - 1] = p)) - 1 as spot, label
   from w, (values {_PHRASES}) v(p, label) where list_contains(w, p[1]) and list_contains(w, p[2])),
 base as (select doc_id, count(*) as n, min(spot) as lo, max(spot) as hi, list_distinct(list(label)) as labels from hit group by 1),
-line as (select doc_id, list_distinct(regexp_extract_all(unnest(string_split(t, chr(10))), '{_W}')) as b from d),
+block as (select doc_id, unnest(string_split(t, chr(10))) as b from d union all select doc_id, unnest(regexp_split_to_array(t, '\\n[\\x20\\x09-\\x0D]*\\n')) from d),
+line as (select doc_id, list_distinct(regexp_extract_all(b, '{_W}')) as b from block),
 met as (select doc_id, name, len(list_intersect(b, tpl)) / len(tpl) as share from line, (values {_TEMPLATES}) v(tpl, name) where len(list_intersect(b, tpl)) >= ceil({CONTAINMENT} * len(tpl) - 1e-9)),
 more as (select doc_id, list_distinct(list(name)) as labels, max(share) as share from met group by 1)
 select w.doc_id, cast(len(w.w) as bigint) as n_words, coalesce(base.n, 0) as n_base, base.lo as first_word, base.hi as last_word,
