@@ -76,13 +76,6 @@ class Encoder:
         return v / norm if norm else v
 
 
-_encoders: dict[int, Encoder] = {}
-
-
-def encoder(dim: int) -> Encoder:
-    return _encoders.setdefault(dim, Encoder(dim))
-
-
 def remainder(doc_id: Column, n: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % n
 
@@ -90,7 +83,8 @@ def remainder(doc_id: Column, n: int) -> Column:
 def learn_profiles(docs: DataFrame, max_per_lang: int = MAX_PER_LANG, dim: int = DIM) -> tuple[list[str], np.ndarray]:
     """Languages and their profiles, from rows with a text, a lang and an id that isn't held out.
 
-    Each language gives max_per_lang rows in expectation, chosen by a hash of the id.
+    Each language gives max_per_lang rows in expectation, chosen by a hash of the id. Repeated rows teach as often as they stand;
+    a null id is never held out; an empty table has no languages.
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id"), 3) != 1)).select("doc_id", "lang", "text")
     share = known.groupBy("lang").agg((F.lit(float(max_per_lang)) / F.count("*")).alias("share"))
@@ -99,17 +93,21 @@ def learn_profiles(docs: DataFrame, max_per_lang: int = MAX_PER_LANG, dim: int =
     picked = known.join(F.broadcast(share), "lang").filter(draw < F.col("share")).select("lang", "text")
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e, sums = encoder(dim), {}
+        e, sums = Encoder(dim), {}
         for b in slices(batches):
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 if (v := e.encode(text)) is not None:
                     sums[lang] = sums[lang] + v if lang in sums else v
         yield pa.record_batch([pa.array(list(sums), pa.string()), pa.array([s.astype(np.float64).tobytes() for s in sums.values()], pa.binary())], names=["lang", "v"])
 
-    sums: dict[str, np.ndarray] = {}
-    for r in picked.mapInArrow(tidied(bundle), "lang string, v binary").collect():  # a row per task and language
-        v = np.frombuffer(r["v"], np.float64)
-        sums[r["lang"]] = sums.get(r["lang"], 0) + v
+    def total(t: pa.Table) -> pa.Table:
+        """The sum of a language's bundles, a row for each of its sampled texts at most."""
+        v = np.sum([np.frombuffer(x, np.float64) for x in t.column("v").to_pylist()], axis=0)
+        return pa.table({"lang": pa.array([t.column("lang")[0].as_py()], pa.string()), "v": pa.array([v.tobytes()], pa.binary())})
+
+    parts = picked.mapInArrow(tidied(bundle), "lang string, v binary")
+    rows = parts.groupBy("lang").applyInArrow(total, "lang string, v binary").collect()  # a profile for each language
+    sums = {r["lang"]: np.frombuffer(r["v"], np.float64) for r in rows}
     langs = sorted(sums)
     return langs, np.array([sums[x] / np.linalg.norm(sums[x]) for x in langs]).reshape(len(langs), dim)
 
@@ -117,14 +115,15 @@ def learn_profiles(docs: DataFrame, max_per_lang: int = MAX_PER_LANG, dim: int =
 def identify(docs: DataFrame, langs: list[str], profiles: np.ndarray) -> DataFrame:
     """(doc_id, lang_pred, score) for each row; `und` with score 0 for null texts and texts without letters.
 
-    Ties go to the first language by name; repeated rows give repeated results; whole texts count.
+    Ties go to the first language by name; repeated rows give repeated results; a null doc_id stays null; texts of any length count whole;
+    an empty table gives no rows; other columns are not carried.
     """
     model = docs.sparkSession.sparkContext.broadcast((langs, profiles.astype(np.float32)))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, p = model.value
-        e = encoder(p.shape[1])
+        e = Encoder(p.shape[1])
         for b in slices(batches):
             pred, score = [], []
             for text in b.column(1).to_pylist():
