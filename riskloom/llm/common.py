@@ -19,11 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir.
 
-    Only where the setting is absent (tests on one machine) a temporary
-    folder stands in for it.
+    Only where the setting is absent and all runs on one machine, as in tests, a temporary folder stands in for it. A cluster
+    without the setting is an error, since its executors would write where no one else reads.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         found = _local.setdefault("dir", "file://" + tempfile.mkdtemp(prefix="riskloom-"))
     return found.rstrip("/")
 
@@ -68,8 +71,8 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(at, rows)
 
 
-def tidied(run: Callable) -> Callable:
-    """An Arrow function over batches that gives its memory back when it ends.
+def tidied(run: Callable, forget: Callable[[], None] | None = None) -> Callable:
+    """An Arrow function over batches that gives its memory back when it ends; forget empties what a module keeps.
 
     Workers outlive their tasks, and what the allocators keep of one operator adds to the memory of the next one.
     """
@@ -78,6 +81,8 @@ def tidied(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
+            if forget:
+                forget()
             pa.default_memory_pool().release_unused()
             if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc
                 trim(0)

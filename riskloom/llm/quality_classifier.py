@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.common import slices, table, tidied
+from riskloom.llm.common import materialize, slices, table, tidied
 from riskloom.llm.language_id import remainder
 
 MAX_TRAIN = 6000
@@ -48,6 +48,10 @@ class _Shapes(dict):
 _shapes = _Shapes()
 
 
+def _forget() -> None:
+    _shapes.clear()
+
+
 def token_counts(text: str | None) -> tuple[Counter, list[float]]:
     """Counts of words and shapes of a whole text, and its measures."""
     raw = (text or "").encode()
@@ -109,11 +113,13 @@ def truncated_svd(x: np.ndarray, rank: int, seed: int = 7) -> np.ndarray:
 def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> LatentSpace | None:
     """The space and the labelled vectors, from at most max_train rows that aren't held out; None without any.
 
-    The rows are those with the smallest hash of their id; null labels and null ids teach nothing.
+    The rows are those with the smallest hash of their id; null labels and null ids teach nothing; a document that stands
+    twice, or has two labels, teaches twice.
     """
     lab = labels.filter(F.col("quality").isNotNull() & (remainder(F.col("doc_id"), 5) != 0)).select(F.col("doc_id").alias("__qc_id"), F.col("quality").alias("__qc_q"))
     lab = lab.orderBy(F.xxhash64("__qc_id"), "__qc_q").limit(max_train)
     picked = docs.select("doc_id", "text").join(F.broadcast(lab), F.col("doc_id") == F.col("__qc_id")).select("doc_id", "__qc_q", "text")
+    picked = materialize(picked, "labelled")  # max_train rows, read three times
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -122,7 +128,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Lat
                 seen.update(token_counts(text)[0].keys())
         yield pa.record_batch([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], names=["w", "n"])
 
-    frequent = picked.mapInArrow(tidied(tokens), "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")).filter("n >= 3").orderBy(F.desc("n"), "w").limit(VOCABULARY).collect()
+    frequent = picked.mapInArrow(tidied(tokens, _forget), "w binary, n long").groupBy("w").agg(F.sum("n").alias("n")).filter("n >= 3").orderBy(F.desc("n"), "w").limit(VOCABULARY).collect()
     index = {bytes(r["w"]): k for k, r in enumerate(frequent)}
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +142,7 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Lat
                 mea.append(m)
             yield pa.record_batch([b.column(0), b.column(1).cast(pa.int32()), pa.array(at, pa.list_(pa.int32())), pa.array(val, pa.list_(pa.float64())), pa.array(mea, pa.list_(pa.float64()))], names=["doc_id", "q", "at", "val", "mea"])
 
-    got = sorted(picked.mapInArrow(tidied(rows), "doc_id long, q int, at array<int>, val array<double>, mea array<double>").collect(), key=lambda r: (r["doc_id"], r["q"]))
+    got = sorted(picked.mapInArrow(tidied(rows, _forget), f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, q int, at array<int>, val array<double>, mea array<double>").collect(), key=lambda r: (r["doc_id"], r["q"]))
     if not got:
         return None
     df = np.ones(len(index))
@@ -156,8 +162,8 @@ def learn(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN) -> Lat
 def classify(docs: DataFrame, space: LatentSpace | None) -> DataFrame:
     """(doc_id, score) for each row; 0.5 where nothing could be learned.
 
-    Null texts count as empty; repeated rows give repeated results; ties among neighbours go by
-    their order in the sample.
+    Null texts count as empty; a null doc_id stays null; repeated rows give repeated results; texts of any length count whole; ties among
+    neighbours go by their order in the sample; an empty table gives no rows; other columns are not carried.
     """
     model = docs.sparkSession.sparkContext.broadcast(space)
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -177,7 +183,7 @@ def classify(docs: DataFrame, space: LatentSpace | None) -> DataFrame:
                 score = (weight * m.labels[near]).sum(1) / weight.sum(1)
             yield pa.record_batch([b.column(0), pa.array(np.clip(score.astype(np.float64), 0, 1))], names=["doc_id", "score"])
 
-    return docs.select("doc_id", "text").mapInArrow(tidied(run), f"doc_id {kind}, score double")
+    return docs.select("doc_id", "text").mapInArrow(tidied(run, _forget), f"doc_id {kind}, score double")
 
 
 def op7_quality_classifier(spark, sf_dir: str) -> DataFrame:
