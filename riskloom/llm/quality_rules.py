@@ -219,6 +219,10 @@ def op10_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 
 def stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: documents that the rules reject go."""
+    """Pipeline stage: documents that the rules reject go.
+
+    Null and empty texts have no words and go; null ids, repeated rows and very long texts are judged like any other row; an empty table
+    stays empty; the columns of docs stay as they are, whatever their names.
+    """
     rules = learn_decision_list(*training_rows(docs, table(spark, sf_dir, "labels")))
     return apply_rules(docs, rules, "__qr_").filter("__qr_kept").select(*[F.col(f"`{c}`") for c in docs.columns])

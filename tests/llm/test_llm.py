@@ -415,3 +415,267 @@ def test_wrapped_licenses(spark):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r["doc_id"]: [(m["block"], m["template"]) for m in r["matches"]] for r in license_scan.scan(docs, {}).collect()}
     assert got == {1: [(0, "MIT-text")], 2: [], 3: [(2, "CC-BY-4.0")]}
+
+
+def naive_template(word, opens):
+    low = word.lower()
+    if "0" <= word[0] <= "9":
+        return "<num>"
+    if low in decontaminate.UNITS:
+        return "<unit>" if low == word or opens or len(word) > 1 else low
+    if not opens and low != word and len(word) > 1 and word[1:] == low[1:]:
+        return "<name>"
+    return low
+
+
+def test_decontamination_of_templates(spark):
+    """Items whose numbers, names or units were exchanged, with inserted words, and with slots that contradict each other."""
+    item = "the train left Berlin with 120 people and after 40 minutes the train reached Hamburg where 15 people left before it went on to Berlin again"
+    exchanged = item.replace("Berlin", "Vienna").replace("120", "77").replace("Hamburg", "Prague")
+    inserted = exchanged.replace("and after", "and then just after")
+    contradicts = item.replace("Berlin with", "Vienna with")  # the first Berlin is exchanged, the second isn't
+    twice = inserted.replace("to Vienna again", "to Warsaw again")  # consistent in each half, not as a whole
+    docs = [(1, "x y z " + exchanged), (2, inserted + " q"), (3, contradicts), (4, twice), (5, item), (6, item.replace("train", "plane").replace("people", "cows").replace("left", "took"))]
+    docs += [(None, item), (7, None), (8, ""), (5, item), (9, ("pad " * 30_000) + exchanged)]
+    frame = spark.createDataFrame([(k, t, "s", 1) for k, t in docs], "doc_id long, text string, d_raw string, shift int")
+    bench = spark.createDataFrame([(1, item, 5), (1, item, 6), (None, "another item of many words that nobody has ever written down here", 1)], "item_id long, text string, b_n int")
+    for limit in (decontaminate.BROADCAST_WINDOWS, 0):
+        got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(frame, bench, broadcast_windows=limit).collect()}
+        assert {k for k, _ in got} == {1, 2, 4, 5, 9}, limit
+        assert got[5, 1]["exact"] and not got[1, 1]["exact"] and got[1, 1]["coverage"] == 1.0 and got[9, 1]["coverage"] == 1.0
+        assert got[4, 1]["coverage"] < got[2, 1]["coverage"] < 1  # a part of the contradicting one, all but the cut windows of the inserted one
+    assert decontaminate.contaminated(frame.limit(0), bench).count() == decontaminate.contaminated(frame, bench.limit(0)).count() == 0
+    kept = frame.join(decontaminate.contaminated(frame, bench).select("doc_id").distinct(), "doc_id", "left_anti")
+    assert sorted(r["doc_id"] for r in kept.collect() if r["doc_id"]) == [3, 6, 7, 8]
+
+
+def test_decontamination_is_exact(spark):
+    """Random texts of few words, so that windows meet by chance, against a naive count of the windows that match as templates."""
+    draw = random.Random(21)
+    vocab = ["Rome", "Paris", "km", "hours", "7", "12"] + [f"w{k}" for k in range(5)]
+    phrase = lambda n: " ".join(draw.choice(vocab) for _ in range(n))
+    items = {k: phrase(draw.randint(3, 16)) for k in range(12)}
+    docs = {}
+    for k in range(80):
+        words = draw.choice(list(items.values())).split()
+        for _ in range(draw.randint(0, 2)):
+            words[draw.randrange(len(words))] = draw.choice(vocab)
+        docs[k] = phrase(draw.randint(0, 8)) + " " + " ".join(words) + " " + phrase(draw.randint(0, 8))
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r for r in decontaminate.contaminated(frame, bench).collect()}
+    low = lambda t: t.lower().split()
+    for i, item in items.items():
+        w = low(item)
+        for d, text in docs.items():
+            held = [k for k in range(len(low(text)) - len(w) + 1) if low(text)[k : k + len(w)] == w]
+            if held:  # a verbatim copy is found, whatever it is made of
+                assert got[d, i]["coverage"] == 1.0 or got[d, i]["n_windows"] == got[d, i]["item_windows"], (d, i)
+    for (d, i), r in got.items():  # and what is found has the windows that it claims, as templates at least
+        t, w = [naive_template(x, k == 0) for k, x in enumerate(docs[d].split())], [naive_template(x, k == 0) for k, x in enumerate(items[i].split())]
+        n = min(8, len(w))
+        have = {tuple(t[k : k + n]) for k in range(len(t) - n + 1)}
+        assert sum(tuple(w[k : k + n]) in have for k in range(len(w) - n + 1)) >= r["n_windows"] - 1
+
+
+def test_whole_licenses(spark):
+    """Licence texts with line breaks anywhere, upper case and comment marks."""
+    draw = random.Random(8)
+
+    def wrapped(name):
+        words = license_scan.TEMPLATES[name].split(" ")
+        return "".join(w + draw.choice([" ", " ", "\n", "\n * "]) for w in words)
+
+    names = ["MIT-grant", "MIT-warranty", "BSD-source", "BSD-binary", "BSD-warranty", "Apache-2.0-header", "Apache-2.0-warranty", "GPL-3.0-header", "ISC", "MPL-2.0", "Unlicense"]
+    texts = [(k, "some code\n\n" + wrapped(n).upper() + "\n\nmore code") for k, n in enumerate(names)] + [(100, "the software is provided with a warranty"), (None, wrapped("ISC"))]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in texts], "doc_id long, text string, matches string")
+    found = license_scan.scan(docs, license_scan.token_frequencies(docs))
+    got = {r["doc_id"]: {m["template"] for m in r["matches"]} for r in found.collect()}
+    assert all(n in got[k] for k, n in enumerate(names)) and got[100] == set() and "ISC" in got[None]
+    assert license_scan.scan(docs.limit(0), license_scan.token_frequencies(docs.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op6_warc", "op8_jaccard_join", "op9_license_scan"])
+def test_queries_match_sql(spark, name):
+    import os
+
+    import duckdb
+
+    from riskloom.llm import registry
+
+    duck = duckdb.connect()
+    for f in os.listdir(SF):
+        duck.execute(f"create view {f.split('.')[0]} as select * from '{SF}/{f}'")
+    want = duck.execute(registry.oracle_sql()[name])
+    columns = [c[0] for c in want.description]
+    got = registry.queries()[name](spark, SF)
+    assert sorted(got.columns) == sorted(columns)
+    show = lambda rows: sorted(tuple("" if v is None else f"{v:.9g}" if isinstance(v, float) else str(v) for v in r) for r in rows)
+    assert show(tuple(r) for r in got.select(*columns).collect()) == show(want.fetchall())
+
+
+def test_license_blocks_match_sql(spark, tmp_path):
+    """The SQL of the license scan on texts whose notices run over lines, with blank lines of all kinds."""
+    import duckdb
+
+    from riskloom.llm import registry
+
+    notice = "Redistribution and use in source and binary forms,\nwith or without modification, are permitted provided\nthat the following conditions are met"
+    texts = [notice, notice.replace("\n", "\n \t\n"), "a\n\n" + notice + "\n\n\nLicensed under CC BY 4.0", "  \n" + notice, "", None, "mit license\r\n\r\n" + notice]
+    spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = duck.execute(registry.oracle_sql()["op9_license_scan"])
+    columns = [c[0] for c in want.description]
+    got = license_scan.op9_license_scan(spark, str(tmp_path)).select(*columns).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want.fetchall()))
+
+
+def test_substring_recall_on_the_tables(spark):
+    """Every run of 50 words that a smaller document has, over the whole table by brute force."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    texts = {r["doc_id"]: (r["text"] or "").encode().lower().split() for r in docs.collect()}
+    seen, wanted = set(), {}
+    for d in sorted(texts):
+        w = texts[d]
+        runs = [b" ".join(w[k : k + 50]) for k in range(len(w) - 49)]
+        wanted[d] = {j for k, r in enumerate(runs) if r in seen for j in range(k, k + 50)}
+        seen |= set(runs)
+    for parts in (1, 7):  # whichever rows meet in a task
+        got = collections.defaultdict(set)
+        for r in substring_dedup.repeated_passages(docs.repartition(parts)).collect():
+            assert r["src_doc_id"] < r["doc_id"] and r["edits"] <= 0.2 * r["n_words"]
+            got[r["doc_id"]] |= set(range(r["start_word"], r["end_word"]))
+        missed = sum(len(wanted[d] - got[d]) for d in texts)
+        assert sum(map(len, wanted.values())) > 1000 and missed == 0
+
+
+def test_substring_of_a_hot_line(spark):
+    """One passage in every document, and a document without words of its own: matches stay in proportion."""
+    draw = random.Random(3)
+    noise = lambda n: [f"n{draw.randrange(10**9)}" for _ in range(n)]
+    line = noise(55)
+    docs = [(k, " ".join(noise(30) + line + noise(30))) for k in range(400)]
+    frame = spark.createDataFrame([(k, t, "s") for k, t in docs], "doc_id long, text string, anchors string").repartition(9)
+    rows = substring_dedup.repeated_passages(frame).collect()
+    assert {r["doc_id"] for r in rows} == set(range(1, 400)) and len(rows) <= 3 * 400
+    assert all((r["start_word"], r["end_word"]) == (30, 85) for r in rows)
+
+
+def test_long_lists_of_the_join(spark):
+    """20,000 classes in one list: near copies of two texts. Members are dealt a bounded number of times, and components are those of brute force."""
+    base = [f"b{k}" for k in range(60)]
+    other = base[:44] + [f"c{k}" for k in range(30)]
+    docs = [(k, " ".join(base + [f"x{k}"])) for k in range(19_000)] + [(20_000 + k, " ".join(other + [f"y{k}"])) for k in range(1000)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(8)
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_join.near_duplicates(frame, chunk=5000).collect()}
+    assert set(got.values()) == {0, 20_000} and all(c == (0 if d < 20_000 else 20_000) for d, c in got.items())
+    m = spark.range(20_000).selectExpr("cast(7 as long) as token", "id as k", "50L as n", "0L as spot", "0L as c")
+    roots = spark.range(20_000).selectExpr("id as node", "if(id < 19990, 0, id) as root")
+    dealt = jaccard_join._meetings(m, roots, 2048)
+    assert dealt.count() <= 2 * 20_000 and dealt.groupBy("i", "j").count().agg({"count": "max"}).first()[0] <= 2 * 2048 * 1.2
+    met = {(r["a"], r["b"]) for r in dealt.filter("k = 5 or root = k").crossJoin(spark.range(1)).alias("x").join(dealt.alias("y"), "token").filter("x.i = y.i and x.j = y.j and x.k < y.k and x.root <> y.root and x.k = 5").selectExpr("x.k as a", "y.k as b").collect()}
+    assert met == {(5, b) for b in range(19_990, 20_000)}
+    assert jaccard_join._meetings(m, roots.withColumn("root", F.lit(0).cast("long")), 2048).count() == 0
+
+
+def test_path_components(spark):
+    """A path in order of its names, and rings: few rounds, one root for each."""
+    path = [(k, k + 1) for k in range(400)] + [(1000 + k, 1000 + (k + 1) % 50) for k in range(50)]
+    got = {r["node"]: r["root"] for r in components.connected_components(spark.createDataFrame(path, "a long, b long")).collect()}
+    assert len({got[k] for k in range(401)}) == 1 and len({got[1000 + k] for k in range(50)}) == 1 and got[0] != got[1000]
+
+
+def test_bpe_digests(spark):
+    """The query's digests of every document of the table, against the library; null ids, repeated rows and an empty table."""
+    import struct
+
+    from tokenizers import Tokenizer
+
+    lib = Tokenizer.from_file(bpe.tokenizer_path())
+    texts = {r["doc_id"]: r["text"] or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    got = {r["doc_id"]: r for r in bpe.op3_bpe(spark, SF).collect()}
+    assert got.keys() == texts.keys()
+    for d, t in texts.items():
+        ids = lib.encode(t, add_special_tokens=False).ids
+        assert got[d]["n_tokens"] == len(ids) and got[d]["ids_sha256"] == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
+        assert got[d]["decoded_sha256"] == hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+    docs = edge_docs(spark)
+    rows = bpe.digest(docs).collect()
+    assert len(rows) == 10 and len({(r["n_tokens"], r["ids_sha256"]) for r in rows if r["doc_id"] in (None, 5, 6)}) == 1
+    assert bpe.digest(docs.limit(0)).count() == 0
+
+
+def test_language_brute_force(spark):
+    """Bundles by plain sums over letters, for a few texts; null ids, repeated rows and tables without rows."""
+    draw = np.random.default_rng(4)
+    texts = ["hello world", "hallo welt hallo", "xyz"]
+    e = language_id.Encoder(256)
+    for t in texts:
+        want = np.zeros(256)
+        padded = " " + t + " "
+        for a, b, c in zip(padded, padded[1:], padded[2:]):
+            want += np.roll(e.letter(ord(a)), 2).astype(int) * np.roll(e.letter(ord(b)), 1) * e.letter(ord(c))
+        assert np.allclose(e.encode(t), want / np.linalg.norm(want), atol=1e-5)
+    docs = edge_docs(spark)
+    langs, profiles = language_id.learn_profiles(docs)
+    rows = language_id.identify(docs, langs, profiles).collect()
+    assert len(rows) == 10 and len({(r["lang_pred"], round(r["score"], 6)) for r in rows if r["doc_id"] in (None, 5, 6)}) == 1
+    empty = docs.limit(0)
+    assert language_id.identify(empty, *language_id.learn_profiles(empty)).count() == 0
+    some = spark.createDataFrame([(k, f"{'aeiou'[k % 2] * 3} {draw.integers(9)} bc", "l" + str(k % 2)) for k in range(60)], "doc_id long, text string, lang string")
+    assert {r["lang_pred"] for r in language_id.identify(some.filter("doc_id % 2 = 0"), *language_id.learn_profiles(some)).collect()} == {"l0"}
+
+
+def test_quality_votes(spark):
+    """Votes against a plain nearest-neighbour search in the same space, held-out order, and tables without rows or labels."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    space = quality_classifier.learn(docs, labels)
+    got = {r["doc_id"]: r["score"] for r in quality_classifier.classify(docs, space).collect()}
+    for r in docs.orderBy("doc_id").limit(40).collect():
+        z = space.project(*quality_classifier.token_counts(r["text"])).astype(np.float32)
+        cos = space.vectors @ z
+        near = np.argsort(-cos, kind="stable")[: quality_classifier.NEIGHBOURS]
+        w = np.maximum(cos[near], 0) ** 2 + 1e-9
+        assert abs(got[r["doc_id"]] - float((w * space.labels[near]).sum() / w.sum())) < 0.02
+    bad = [(2000 + k, "@@ ## !! " * (5 + k % 7)) for k in range(60)]
+    good = [(1000 + k, f"a calm sentence number {k} about the sea and the hills and whatever grows there in spring time") for k in range(60)]
+    frame = spark.createDataFrame(good + bad, "doc_id long, text string")
+    marks = spark.createDataFrame([(k, int(k < 2000)) for k, _ in good + bad] + [(None, 1), (7, None)], "doc_id long, quality int")
+    op = {r["doc_id"]: r["score"] for r in quality_classifier.classify(frame, quality_classifier.learn(frame, marks)).collect()}
+    assert min(op[k] for k, _ in good) > 0.9 and max(op[k] for k, _ in bad) < 0.1
+    empty = frame.limit(0)
+    assert quality_classifier.learn(empty, marks) is None and quality_classifier.learn(frame, marks.limit(0)) is None
+    assert quality_classifier.classify(empty, None).count() == 0
+
+
+def test_quality_verdicts(spark):
+    """The list as a CASE against the same list over numpy columns, on the table; rows that pass neither rule nor list."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    rules = [quality_rules.Rule([("symbols_per_word", ">=", 0.05), ("n_words", "<=", 400.0)]), quality_rules.Rule([("distinct_share", "<=", 0.4)])]
+    rows = quality_rules.apply_rules(docs, rules).collect()
+    x = quality_rules.with_signals(docs)
+    exprs = quality_rules.features(F.col("signals"))
+    values = {r["doc_id"]: r for r in x.select("doc_id", *[c.alias(n) for n, c in exprs.items()]).collect()}
+    for r in rows:
+        v, s = values[r["doc_id"]], r["signals"]
+        hit = (v["symbols_per_word"] >= 0.05 and v["n_words"] <= 400) or v["distinct_share"] <= 0.4
+        failed = s["n_words"] < 20 or 100 * s["n_repeat_words"] > 30 * s["n_words"]
+        assert (r["base_failed"], r["kept"]) == (failed, not failed and not hit)
+    assert any(not r["kept"] and not r["base_failed"] for r in rows)
+
+
+def test_stage_edges(spark):
+    """Each stage on nulls, empty, blank and long texts, repeated rows, clashing names and no rows at all."""
+    import corpus_pipeline
+
+    docs = edge_docs(spark)
+    x = docs
+    for name, f in corpus_pipeline.STAGES:
+        out = f(spark, docs, SF)
+        rows = out.collect()
+        if name != "bpe":
+            assert out.columns == docs.columns and {r["kept"] for r in rows} <= {"k"}, name
+        assert f(spark, docs.limit(0), SF).count() == 0, name
+    assert x is docs
