@@ -7,18 +7,40 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 APPROVED_AD_COMPANIES = [4375, 4527]
 
 
-def start_month(rt: DataFrame) -> DataFrame:
+def monthly(rt: DataFrame) -> DataFrame:
+    """The facts by domain, destination, referrer and month: (…, visits, own, counted).
+
+    own tells whether a row of the group is of neither an excluded nor a known domain; counted whether one of these was seen in step 2, whose
+    visits are summed. All that is asked of the facts is asked of this, and every question reads all of its columns (as_read),
+    so the facts are scanned, joined and shuffled once: the plans above share its exchange. A busy domain is summed before the shuffle.
+    """
+    own = F.col("d_exc_domain_id").isNull() & F.col("d_domain_id").isNull()
+    counted = own & F.coalesce(F.col("step_in_process") == 2, F.lit(False))
+    return rt.groupBy("d_sec_domain_id", "destination_domain", "r_domain_id", "month").agg(F.sum(F.when(counted, F.col("referred_visits"))).alias("visits"), F.bool_or(own).alias("own"), F.bool_or(counted).alias("counted"))
+
+
+def as_read(condition: str) -> str:
+    """A condition on a monthly row that keeps all of its columns in the plan; the added part always holds."""
+    return f"({condition}) AND (visits IS NULL OR own IS NOT NULL OR counted IS NOT NULL)"
+
+
+def start_month(m: DataFrame) -> DataFrame:
     """One row: the first month of the window that ends with the latest month."""
-    return rt.agg(F.trunc(F.add_months(F.max("month"), -5), "month").alias("start_month"))
+    return m.filter(as_read("true")).agg(F.trunc(F.add_months(F.max("month"), -5), "month").alias("start_month"))
+
+
+def facts_of(m: DataFrame) -> DataFrame:
+    """Counted months within the window."""
+    return m.filter(as_read("counted AND own")).filter(F.col("month") >= start_month(m).scalar())
 
 
-def valid_destinations(rt: DataFrame, ad_domains: DataFrame) -> DataFrame:
+def valid_destinations(m: DataFrame, ad_domains: DataFrame) -> DataFrame:
     """Distinct (d_sec_domain_id, destination_domain) not owned by an ad company, unless that one is approved.
 
     EXISTS and NOT EXISTS on the same key become one left join to a pre-aggregated list.
     """
     ads = ad_domains.groupBy(F.lower("ad_company_domain").alias("ad")).agg(F.bool_or(F.col("ad_company_id").isin(APPROVED_AD_COMPANIES)).alias("approved"))
-    own = rt.filter("d_exc_domain_id IS NULL AND d_domain_id IS NULL").select("d_sec_domain_id", "destination_domain").distinct()
+    own = m.filter(as_read("own")).select("d_sec_domain_id", "destination_domain").distinct()
     return own.join(ads, F.lower("destination_domain") == F.col("ad"), "left").filter(F.col("ad").isNull() | F.col("approved")).select("d_sec_domain_id", "destination_domain")
 
 
@@ -31,14 +53,14 @@ def ratio2(a: str, b: str) -> Column:
     return F.expr(f"CASE WHEN {b} > 0 THEN cast((200 * {a} + {b}) div (2 * {b}) as double) / 100 END")
 
 
-def referral_metrics(rt: DataFrame, hub: DataFrame, attributes: DataFrame, tenants_domain: DataFrame, tenants: DataFrame, ad_domains: DataFrame, traffic_sources: DataFrame) -> DataFrame:
-    """Shares of infringing, customer and adult referrals of each domain that isn't classed as piracy.
+def referral_metrics(m: DataFrame, hub: DataFrame, attributes: DataFrame, tenants_domain: DataFrame, tenants: DataFrame, ad_domains: DataFrame, traffic_sources: DataFrame) -> DataFrame:
+    """Shares of infringing, customer and adult referrals of each domain that isn't classed as piracy, from the monthly facts.
 
     The four branches of a union over the same facts become conditional sums of one scan. What the
     branches' joins would multiply is kept as weights: the valid spellings of a destination and the
     active tenants of a referrer. Referrer and tenant lists join by key; AQE broadcasts them when small.
     """
-    weights = valid_destinations(rt, ad_domains).groupBy("d_sec_domain_id").agg(F.count("*").alias("n_valid"))
+    weights = valid_destinations(m, ad_domains).groupBy("d_sec_domain_id").agg(F.count("*").alias("n_valid"))
     target = hub.filter(F.col("sec_domain_source").isin("SimilarWeb", "Ad Sniffer")).select(F.col("sec_domain_id").alias("d_sec_domain_id")).distinct()
     active = tenants_domain.join(tenants.filter("customer_active"), "tenant_id").groupBy("domain_id").agg(F.count("*").alias("n_tenants"))
     refs = attributes.join(active, "domain_id", "left").select(
@@ -47,10 +69,8 @@ def referral_metrics(rt: DataFrame, hub: DataFrame, attributes: DataFrame, tenan
         F.when(infringing(F.col("analyst_class"), F.col("ml_class"), [1, 4, 5]), F.coalesce("n_tenants", F.lit(0))).otherwise(0).alias("tenants"),
         F.lit(True).alias("known"),
     )
-    facts = rt.filter("step_in_process = 2 AND d_exc_domain_id IS NULL AND d_domain_id IS NULL")
-    facts = facts.filter(F.col("month") >= start_month(rt).scalar())
-    facts = facts.join(target, "d_sec_domain_id", "left_semi").join(weights, "d_sec_domain_id").join(refs, "r_domain_id", "left")
-    v = F.col("referred_visits") * F.col("n_valid")
+    facts = facts_of(m).join(target, "d_sec_domain_id", "left_semi").join(weights, "d_sec_domain_id").join(refs, "r_domain_id", "left")
+    v = F.col("visits") * F.col("n_valid")
     sums = facts.groupBy("d_sec_domain_id").agg(
         F.sum(v).alias("total"),
         F.sum(F.when(F.col("inf"), v).otherwise(0)).alias("infringing"),
@@ -67,16 +87,15 @@ def referral_metrics(rt: DataFrame, hub: DataFrame, attributes: DataFrame, tenan
     )
 
 
-def destination_traffic(rt: DataFrame) -> DataFrame:
+def destination_traffic(m: DataFrame) -> DataFrame:
     """Visits and the months that they were first and last seen in, by domain and destination, the largest first."""
-    facts = rt.filter("step_in_process = 2 AND d_exc_domain_id IS NULL AND d_domain_id IS NULL").filter(F.col("month") >= start_month(rt).scalar())
-    x = facts.groupBy("d_sec_domain_id", "destination_domain").agg(F.sum("referred_visits").alias("visits"), F.min("month").alias("first_seen"), F.max("month").alias("last_seen"))
+    x = facts_of(m).groupBy("d_sec_domain_id", "destination_domain").agg(F.sum("visits").alias("visits"), F.min("month").alias("first_seen"), F.max("month").alias("last_seen"))
     return x.orderBy(F.desc_nulls_first("visits"), "d_sec_domain_id", "destination_domain")
 
 
-def without_referrals(hub: DataFrame, rt: DataFrame, traffic_sources: DataFrame, since: str = "2026-04-01") -> DataFrame:
+def without_referrals(hub: DataFrame, m: DataFrame, traffic_sources: DataFrame, since: str = "2026-04-01") -> DataFrame:
     """Rows shaped like referral_metrics for classed domains (2 or 3) that have no referred visits or no direct and referral share."""
-    visits = rt.filter("step_in_process = 2 AND d_exc_domain_id IS NULL AND d_domain_id IS NULL").groupBy(F.col("d_sec_domain_id").alias("sec_domain_id")).agg(F.sum("referred_visits").alias("total_referral_traffic"))
+    visits = m.filter(as_read("counted AND own")).groupBy(F.col("d_sec_domain_id").alias("sec_domain_id")).agg(F.sum("visits").alias("total_referral_traffic"))
     shares = traffic_sources.filter("sec_domain_id IS NOT NULL").groupBy("sec_domain_id").agg(F.max(F.col("direct_share") + F.col("referrals_share")).alias("direct_plus_referrals"))
     h = hub.filter("(sec_domain_source IN ('SimilarWeb', 'Ad Sniffer') OR decision_source = 'SimilarWeb') AND class_id IN (2, 3)")
     h = h.filter(f"first_reported >= DATE '{since}' OR first_reported IS NULL")

@@ -98,9 +98,9 @@ _METRICS = f"""select h.sec_domain_id, h.sec_domain_source, h.online_status, h.g
  where h.class_id not in (1) or h.class_id is null group by 1, 2, 3, 4, 5, 6"""
 
 
-def metrics(s: SparkSession, d: str, facts: str = "referral_traffic") -> DataFrame:
+def metrics(s: SparkSession, d: str, facts: str = "referral_traffic", monthly: DataFrame | None = None) -> DataFrame:
     v = {n: load(s, d, n) for n in _REF_VIEWS}
-    return referrals.referral_metrics(load(s, d, facts), v["hub"], v["domain_attributes"], v["tenants_domain"], v["tenants"], v["ad_domains"], v["traffic_sources"])
+    return referrals.referral_metrics(monthly or referrals.monthly(load(s, d, facts)), v["hub"], v["domain_attributes"], v["tenants_domain"], v["tenants"], v["ad_domains"], v["traffic_sources"])
 
 
 query("referral_metrics", _REF_VIEWS, _METRICS)(metrics)
@@ -114,7 +114,7 @@ def _(s, d):
 
 @query("destination_traffic", ["hub", "referral_traffic"], f"select rt.d_sec_domain_id, rt.destination_domain, cast(sum(referred_visits) as bigint) as visits, min(month) as first_seen, max(month) as last_seen from referral_traffic rt {_WHERE} group by 1, 2")
 def _(s, d):
-    return referrals.destination_traffic(load(s, d, "referral_traffic"))
+    return referrals.destination_traffic(referrals.monthly(load(s, d, "referral_traffic")))
 
 
 _CANDIDATES = """select h.sec_domain_id, sec_domain_source, online_status, google_search_results, exc_domain_id, class_id, tsa.dpr, null, null, null, ra.total, null from hub h
@@ -131,12 +131,13 @@ def _(s, d):
 
 
 def traffic_candidates(s: SparkSession, d: str) -> DataFrame:
-    return referrals.candidates(metrics(s, d), referrals.without_referrals(load(s, d, "hub"), load(s, d, "referral_traffic"), load(s, d, "traffic_sources")))
+    m = referrals.monthly(load(s, d, "referral_traffic"))
+    return referrals.candidates(metrics(s, d, monthly=m), referrals.without_referrals(load(s, d, "hub"), m, load(s, d, "traffic_sources")))
 
 
 @query("valid_destinations", ["hub", "referral_traffic", "ad_domains"], _VALID)
 def _(s, d):
-    return referrals.valid_destinations(load(s, d, "referral_traffic"), load(s, d, "ad_domains"))
+    return referrals.valid_destinations(referrals.monthly(load(s, d, "referral_traffic")), load(s, d, "ad_domains"))
 
 
 _STRONG = "coalesce(share_infringing > 0.5 and share_customer > 0.2 and direct_plus_referrals > 0.6, false)"
