@@ -69,33 +69,46 @@ def item_windows(benchmark: DataFrame) -> DataFrame:
 
     b_len is 0 for a window of LITERALS literal tokens at least, which is met as a template; others are met word for word and
     have their length there. b_open counts the item's templates. An item opens a sentence, but a document may hold it inside of one, where its
-    first word is a name if it has a capital: the first window of such an item is there in both forms.
+    first word is a name if it has a capital: the first template of such an item is there in both forms.
     """
     items = with_windows(benchmark.select(F.col("item_id"), F.col("text")).distinct(), "item_id", "text", "b_").filter(F.size("b_raw") > 0)
     inside = F.concat(F.array(F.regexp_replace(F.get("b_raw", F.lit(0)), "^_", "")), F.slice("b_raw", 2, F.size("b_raw")))
     named = _windows_of(items.filter(F.startswith(F.get("b_raw", F.lit(0)), F.lit("_"))).select("b_id", F.col("b_raw").alias("b_own"), once(inside).alias("b_raw")), "b_")
 
     def windows(x: DataFrame, own: str) -> DataFrame:
-        x = x.select("b_id", F.greatest(F.size("b_h"), F.lit(1)).alias("b_n"), F.col(own).alias("b_own"), "b_raw", "b_canon", F.posexplode(F.when(F.size("b_h") > 0, F.col("b_h")).otherwise(F.array(F.lit(0).cast("bigint")))).alias("b_pos", "b_hash"))
-        x = x.select("b_id", "b_n", "b_own", "b_pos", "b_hash", F.slice("b_raw", F.col("b_pos") + 1, WINDOW).alias("b_win"), F.slice("b_canon", F.col("b_pos") + 1, WINDOW).alias("b_kinds"))
+        x = eight_hashes("b_low", "b_low_h", x.withColumn("b_low", once(_verbatim(F.col("b_raw")))))
+        some = F.when(F.size("b_h") > 0, F.arrays_zip("b_h", "b_low_h")).otherwise(F.array(F.struct(F.lit(0).cast("bigint").alias("b_h"), F.xxhash64("b_low", F.size("b_low")).alias("b_low_h"))))
+        x = x.select("b_id", F.greatest(F.size("b_h"), F.lit(1)).alias("b_n"), F.col(own).alias("b_own"), "b_raw", "b_canon", F.posexplode(some).alias("b_pos", "b_both"))
+        x = x.select("b_id", "b_n", "b_own", "b_pos", "b_both", F.slice("b_raw", F.col("b_pos") + 1, WINDOW).alias("b_win"), F.slice("b_canon", F.col("b_pos") + 1, WINDOW).alias("b_kinds"))
         is_open = (F.size("b_kinds") == WINDOW) & (F.size(F.filter("b_kinds", lambda k: ~k.isin(NUM, NAME, UNIT))) >= LITERALS)
         return x.withColumn("b_len", F.when(is_open, 0).otherwise(F.size("b_win")))
 
     x = windows(items, "b_raw")
-    opened = x.groupBy("b_id", "b_n", "b_own").agg(F.count_if(F.col("b_len") == 0).alias("b_open"), F.array_sort(F.collect_list(F.when(F.col("b_len") == 0, F.col("b_pos")))).alias("b_templates"))
-    x = x.unionByName(windows(named, "b_own").filter("b_pos = 0")).join(opened, ["b_id", "b_n", "b_own"])
-    x = x.withColumn("b_templated", F.array_contains("b_templates", F.col("b_pos"))).drop("b_templates")
-    x = x.withColumn("b_item", F.xxhash64("b_own")).drop("b_own")
-    return x.withColumn("b_hash", F.when(F.col("b_len") == 0, F.col("b_hash")).otherwise(F.xxhash64(_verbatim(F.col("b_win")), "b_len"))).distinct()
+    opened = x.groupBy("b_id", "b_n", "b_own").agg(F.count_if(F.col("b_len") == 0).alias("b_open"), F.bool_or((F.col("b_len") == 0) & (F.col("b_pos") == 0)).alias("b_first"))
+    # The same words stand behind both forms of the first window, so the second one may have a literal less.
+    x = x.join(opened, ["b_id", "b_n", "b_own"]).unionByName(windows(named, "b_own").filter("b_pos = 0").withColumn("b_len", F.lit(0)).join(opened.filter("b_first"), ["b_id", "b_n", "b_own"]))
+    x = x.withColumn("b_item", F.xxhash64("b_own")).drop("b_own", "b_first")
+    return x.withColumn("b_hash", F.when(F.col("b_len") == 0, F.col("b_both.b_h")).otherwise(F.col("b_both.b_low_h"))).drop("b_both").distinct()
 
 
-def _grams(d: DataFrame, verbatim: list[int]) -> Column:
+def _with_verbatim(d: DataFrame, verbatim: list[int]) -> DataFrame:
+    """d plus the lower-cased words and, where items ask for them, the hashes of their runs of WINDOW."""
+    if not verbatim:
+        return d
+    d = d.withColumn("d_low", once(_verbatim(F.col("d_raw"))))
+    return eight_hashes("d_low", "d_low_h", d) if WINDOW in verbatim else d
+
+
+def _grams(verbatim: list[int]) -> Column:
     """All windows of a document as (d_len, d_pos, d_hash), for inline: templates (d_len 0), and runs of the lengths that are met word for word."""
-    met = [F.transform("d_h", lambda h, i: F.struct(F.lit(0).alias("d_len"), i.alias("d_pos"), h.alias("d_hash")))]
+    spot = lambda n, i, h: F.struct(F.lit(n).alias("d_len"), i.alias("d_pos"), h.alias("d_hash"))
+    met = [F.transform("d_h", lambda h, i: spot(0, i, h))]
 
     def runs(n: int) -> Column:
+        if n == WINDOW:
+            return F.transform("d_low_h", lambda h, i: spot(n, i, h))
         spots = F.when(F.size("d_low") >= n, F.sequence(F.lit(0), F.size("d_low") - n)).otherwise(F.array().cast("array<int>"))
-        return F.transform(spots, lambda i: F.struct(F.lit(n).alias("d_len"), i.alias("d_pos"), F.xxhash64(F.slice(F.col("d_low"), i + 1, n), F.lit(n)).alias("d_hash")))
+        return F.transform(spots, lambda i: spot(n, i, F.xxhash64(F.slice(F.col("d_low"), i + 1, n), F.lit(n))))
 
     met += map(runs, verbatim)  # WINDOW lengths at most
     return F.inline(F.concat(*met))
@@ -113,25 +126,27 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     lengths = {r["b_len"]: r["count"] for r in items.groupBy("b_len").count().collect()}
     verbatim = sorted(set(lengths) - {0})
     d = with_windows(docs.filter("doc_id IS NOT NULL"), "doc_id", "text", "d_")
-    if verbatim:
-        d = d.withColumn("d_low", once(_verbatim(F.col("d_raw"))))
+    d = _with_verbatim(d, verbatim)
     same = (F.col("d_hash") == F.col("b_hash")) & (F.col("d_len") == F.col("b_len"))
     if sum(lengths.values()) <= broadcast_windows:
-        met = d.select("d_id", "d_raw", _grams(d, verbatim)).join(F.broadcast(items), same)
+        met = d.select("d_id", "d_raw", _grams(verbatim)).join(F.broadcast(items), same)
     else:  # only hashes are shuffled; the few documents that are hit are read again
-        hits = d.select("d_id", _grams(d, verbatim)).join(items, same)
+        hits = d.select("d_id", _grams(verbatim)).join(items, same)
         again = F.get("d_h", F.col("d_pos"))
         if verbatim:
-            again = F.when(F.col("d_len") == 0, again).otherwise(F.xxhash64(F.slice("d_low", F.col("d_pos") + 1, F.greatest("d_len", F.lit(1))), "d_len"))
+            of_run = F.xxhash64(F.slice("d_low", F.col("d_pos") + 1, F.greatest("d_len", F.lit(1))), "d_len")
+            if WINDOW in verbatim:
+                of_run = F.when(F.col("d_len") == WINDOW, F.get("d_low_h", F.col("d_pos"))).otherwise(of_run)
+            again = F.when(F.col("d_len") == 0, again).otherwise(of_run)
         met = hits.join(d, "d_id").filter(again == F.col("d_hash"))
     item = ["d_id", "b_id", "b_item", "b_n", "b_open"]
-    met = met.select(*item, "b_templated", "b_pos", (F.col("d_pos") - F.col("b_pos")).alias("shift"), "b_win", "b_kinds", F.slice("d_raw", F.col("d_pos") + 1, F.size("b_win")).alias("d_win"))
+    met = met.select(*item, "b_len", "b_pos", (F.col("d_pos") - F.col("b_pos")).alias("shift"), "b_win", "b_kinds", F.slice("d_raw", F.col("d_pos") + 1, F.size("b_win")).alias("d_win"))
     slots = F.filter(
         F.transform("b_kinds", lambda k, i: F.struct(k.alias("kind"), F.translate(F.lower(F.get("b_win", i)), "_", "").alias("was"), F.translate(F.lower(F.get("d_win", i)), "_", "").alias("now"))),
         lambda s: s["kind"].isin(NUM, NAME, UNIT),
     )
     one_value = lambda c: F.size(c) == F.size(F.array_distinct(F.transform(c, lambda s: F.struct(s["kind"], s["was"]))))
-    spots = met.select(*item, "shift", F.struct("b_pos", F.col("b_templated").alias("open")).alias("spot"), slots.alias("slots"))
+    spots = met.select(*item, "shift", F.struct("b_pos", (F.col("b_len") == 0).alias("open")).alias("spot"), slots.alias("slots"))
     found = spots.groupBy(*item, "shift").agg(F.collect_set("spot").alias("at"), F.array_distinct(F.flatten(F.collect_set("slots"))).alias("slots"))
     own = Window.partitionBy(*item).orderBy("shift")
     found = found.withColumn("leaves", (F.col("shift") - F.lag("shift").over(own) > NEAR).cast("int"))
