@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 #: Fixed values.
@@ -40,6 +41,25 @@ def url_host(c: Column) -> Column:
     return F.rtrim(F.lower(x), F.lit("."))
 
 
+def ascii_host(host: Column) -> Column:
+    """The host with labels beyond ASCII in their IDNA form; one that has no such form stays as it is.
+
+    Only hosts with other characters go to Python; all others stay native.
+    """
+    @F.pandas_udf("string")
+    def idna(hosts: pd.Series) -> pd.Series:
+        def one(h):
+            try:
+                return h.encode("idna").decode("ascii") if h else h
+            except UnicodeError:
+                return h
+
+        return hosts.map(one)
+
+    odd = host.rlike("[^\\x00-\\x7F]")
+    return F.coalesce(idna(F.when(odd, host)), host)
+
+
 def tld(c: Column) -> Column:
     return F.lower(F.substring_index(F.rtrim(F.trim(c), F.lit(".")), ".", -1))
 

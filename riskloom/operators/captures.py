@@ -160,6 +160,21 @@ def age_years(day: Column, as_of: Column) -> Column:
     return F.datediff(as_of, F.to_date(F.try_to_timestamp(day, F.lit("yyyy-MM-dd")))) / 365
 
 
+#: Networks of hosts that ignore complaints.
+BULLETPROOF_ASNS = ["197414", "56873"]
+
+
+def asn_profile(country: Column, found: Column, asn: Column, asn_date: Column, ip: Column, as_of: Column) -> dict[str, Column]:
+    """Age of a network in years, kind of hosting, risk of its country, and the name that a block list is asked for; a failed lookup is a risk and tells no more."""
+    known = rules.yes(found)
+    return {
+        "asn_age": F.when(known, age_years(asn_date, as_of)),
+        "hosting_type": F.when(known, F.when(rules.yes(asn.isin(BULLETPROOF_ASNS)), "bullet-proof").otherwise("isp")),
+        "is_high_risk_geo": rules.high_risk_geo(country, found),
+        "block_list_name": F.when(known, F.concat(reversed_labels(ip), F.lit(".zen.spamhaus.org"))),
+    }
+
+
 def clean_label(answer: Column, allowed: list[str], default: str) -> Column:
     """A scorer's first line without marks, if it is a known label."""
     line = F.trim(F.regexp_replace(F.get(F.split(answer, "\\n"), F.lit(0)), "[^\\w &/]", ""))

@@ -24,8 +24,12 @@ def betting_pattern(terms: list[str] = BETTING_TERMS) -> str:
     return "|".join(short(re.escape(t)) if len(t) <= 3 else rf"\b{re.escape(t)}\b" for t in terms)
 
 
-def rude_class(domain: Column, exc_domain_id: Column, brands: list[str]) -> Column:
-    brand = yes(F.lower(domain).rlike("|".join(re.escape(b.lower()) for b in brands))) if brands else F.lit(False)
+def rude_class(domain: Column, exc_domain_id: Column, brands: list[str] | Column) -> Column:
+    """brands: a short list, or a flag that tells whether a brand stands in the domain."""
+    if isinstance(brands, Column):
+        brand = yes(brands)
+    else:
+        brand = yes(F.lower(domain).rlike("|".join(re.escape(b.lower()) for b in brands))) if brands else F.lit(False)
     return F.when(exc_domain_id.isNotNull(), 4).when(brand, 1).when(yes(domain.rlike("(?i)" + betting_pattern())), 6)
 
 

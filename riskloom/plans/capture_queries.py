@@ -225,6 +225,13 @@ def _(s, d):
     return load(s, d, "tree").select("sec_domain_id", captures.clean_label(answer, allowed, "undeterminated").alias("label"))
 
 
+@query("asn_profile", ["asn_lookup"], """select domain_id, case when ok then cast(date_diff('day', try_cast(asn_date as date), date '2025-01-01') as double) / 365 end as asn_age, case when ok then case when asn in ('197414', '56873') then 'bullet-proof' else 'isp' end end as hosting_type,
+ not coalesce(ok, false) or coalesce(country in ('RU', 'UA', 'CN', 'MD', 'RO', 'BG', 'BZ', 'PA', 'SC'), false) as is_high_risk_geo, case when ok then array_to_string(list_reverse(string_split(ip, '.')), '.') || '.zen.spamhaus.org' end as block_list_name from asn_lookup""")
+def _(s, d):
+    p = captures.asn_profile(*map(F.col, ("country", "ok", "asn", "asn_date", "ip")), F.to_date(F.lit("2025-01-01")))
+    return load(s, d, "asn_lookup").select("domain_id", *[c.alias(k) for k, c in p.items()])
+
+
 @query("country_names", ["asn_lookup"], "select domain_id, case country when 'US' then 'United States' when 'UK' then 'United Kingdom' when 'Viet Nam' then 'Vietnam' when 'Iran, Islamic Republic of' then 'Iran (Islamic Republic of)' when 'Venezuela, Bolivarian Republic of' then 'Venezuela (Bolivarian Republic of)' else country end as country from asn_lookup")
 def _(s, d):
     return load(s, d, "asn_lookup").select("domain_id", captures.country(F.col("country")).alias("country"))

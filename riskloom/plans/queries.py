@@ -7,14 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.functions import pages, text as tx
-from riskloom.operators import referrals, relational as rel, rules, scorers
+from riskloom.operators import captures, referrals, relational as rel, rules, scorers
 from riskloom.sources import files
 from riskloom.sources.adapters import VIEWS, load, sql_with
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
 _sql: dict[str, str] = {}
-BRANDS = ["building-1", "household-2"]  # stand-ins for a brand table
 
 
 def query(name: str, views: list[str] | None = None, sql: str | None = None):
@@ -48,10 +47,14 @@ def _(s, d):
 _BET = "|".join(rf"(^|[.-]){t}[.-]|[.-]{t}$|^{t}$" if len(t) <= 3 else rf"\b{t}\b" for t in rules.BETTING_TERMS)
 
 
-@query("rude_rules", ["hub"], f"select sec_domain_id, cast(case when exc_domain_id is not null then 4 when sec_domain like '%building-1%' or sec_domain like '%household-2%' then 1 when regexp_matches(sec_domain, '{_BET}') then 6 end as int) as class_id, 'Rude Rules' as decision_source from hub where class_id is null and (exc_domain_id is not null or sec_domain like '%building-1%' or sec_domain like '%household-2%' or regexp_matches(sec_domain, '{_BET}'))")
+_BRAND = "exists (select 1 from brands b where b.brand and contains(lower(h.sec_domain), lower(b.keyword)))"
+
+
+@query("rude_rules", ["hub", "brands"], f"select sec_domain_id, class_id, 'Rude Rules' as decision_source from (select sec_domain_id, cast(case when exc_domain_id is not null then 4 when {_BRAND} then 1 when regexp_matches(sec_domain, '{_BET}') then 6 end as int) as class_id from hub h where class_id is null) x where class_id is not null")
 def _(s, d):
-    h = load(s, d, "hub").filter("class_id IS NULL")
-    x = h.select("sec_domain_id", rules.rude_class(F.col("sec_domain"), F.col("exc_domain_id"), BRANDS).alias("class_id"), F.lit("Rude Rules").alias("decision_source"))
+    h = load(s, d, "hub").filter("class_id IS NULL").select("sec_domain_id", "sec_domain", "exc_domain_id")
+    h = captures.brand_known(h, "sec_domain", load(s, d, "brands"), least=1)
+    x = h.select("sec_domain_id", rules.rude_class(F.col("sec_domain"), F.col("exc_domain_id"), F.col("brand_known")).alias("class_id"), F.lit("Rude Rules").alias("decision_source"))
     return x.filter("class_id IS NOT NULL")
 
 
@@ -61,10 +64,21 @@ def _(s, d):
     return h.select("sec_domain_id", rules.block_class(F.col("google_search_results"), F.col("redirect_domain")).alias("class_id"), F.lit("Offline Class").alias("decision_source"))
 
 
-@query("telemetry_class", ["hub"], "select sec_domain_id, c as class_id, case when c = 2 then 'LOW' end as confidence, cast(case when c = 2 then 6 end as int) as recommended_action_id from (select *, cast(case when google_search_results <= 2 then 2 when google_search_results < 50 then 3 else 4 end as int) as c from hub where " + rel.WORK_LISTS["WL-06"] + ") x")
+@query("telemetry_class", ["hub"], "select sec_domain_id, c as class_id, case when c = 2 then 'LOW' end as confidence, cast(case when c = 2 then 6 end as int) as recommended_action_id, cast(case when c = 2 then 6 end as int) as justification from (select *, cast(case when google_search_results <= 2 then 2 when google_search_results < 50 then 3 else 4 end as int) as c from hub where " + rel.WORK_LISTS["WL-06"] + ") x")
 def _(s, d):
     h = load(s, d, "hub").filter(rel.WORK_LISTS["WL-06"]).withColumn("c", rules.telemetry_class(F.col("google_search_results")))
-    return h.select("sec_domain_id", F.col("c").alias("class_id"), F.when(F.col("c") == 2, "LOW").alias("confidence"), F.when(F.col("c") == 2, 6).alias("recommended_action_id"))
+    return h.select("sec_domain_id", F.col("c").alias("class_id"), F.when(F.col("c") == 2, "LOW").alias("confidence"), F.when(F.col("c") == 2, 6).alias("recommended_action_id"), F.when(F.col("c") == 2, 6).alias("justification"))
+
+
+@query("telemetry_update", ["hub"], """select sec_domain_id, coalesce(c, class_id) as class_id, coalesce(case when c = 2 then 'LOW' end, confidence) as confidence, coalesce(cast(case when c = 2 then 6 end as int), justification) as justification from
+ (select *, case when sec_domain_id % 5 = 0 then 'HIGH' end as confidence, cast(case when sec_domain_id % 5 = 0 then 1 end as int) as justification, cast(case when class_id is null and sec_domain_source = 'Domain Telemetry' then case when google_search_results <= 2 then 2 when google_search_results < 50 then 3 when google_search_results >= 50 then 4 end end as int) as c from hub) x""")
+def _(s, d):
+    """The rule's rows written over the hub; what the rule leaves open stays as it was."""
+    h = load(s, d, "hub").withColumns({"confidence": F.when(F.col("sec_domain_id") % 5 == 0, "HIGH"), "justification": F.when(F.col("sec_domain_id") % 5 == 0, 1)})
+    up = h.filter(rel.WORK_LISTS["WL-06"]).select("sec_domain_id", rules.telemetry_class(F.col("google_search_results")).alias("class_id"))
+    up = up.withColumns({"confidence": F.when(F.col("class_id") == 2, "LOW"), "justification": F.when(F.col("class_id") == 2, 6)})
+    names = ["class_id", "confidence", "justification"]
+    return rel.keyed_update(h.select("sec_domain_id", *names), up, "sec_domain_id", names, keep_old=names)
 
 
 _HOPS = "select * from (select *, max(bar_num) over (partition by session_id, ad_event_id, tab_num) as grp_max from address_bar) x where tab_num > 0 and landing_page is false and source_domain is distinct from bar_domain and grp_max > 0 and bar_num < grp_max"

@@ -69,7 +69,7 @@ VIEWS: dict[str, str] = {
     "response_chain": "select site, seq, status, case seq % 4 when 0 then 'https://s' || cast(site as string) || '.com/p' when 1 then 'https://www.s' || cast(site as string) || '.com/p' when 2 then 'https://ads.example/x' else 'http://s' || cast(site as string) || '.com:80/q' end as url from (select user_id as site, event_id as seq, cast(case when user_id % 10 = 9 and event_id % 3 > 0 then 200 else case event_id % 6 when 0 then 404 when 1 then 301 when 2 then 302 when 3 then 307 else 200 end end as int) as status, row_number() over (partition by user_id order by event_id) as n from events) e where not (site % 6 = 0 and n > 1) and not (site % 6 = 1 and n > 3)",
     "site_pages": "select site, 's' || cast(site as string) || '.com' as domain, case site % 16 when 0 then 'https://alliance4creativity.com/x' when 1 then 'https://other.example/' when 2 then 'https://www.s' || cast(site as string) || '.com/' when 3 then 'https://www.s' || cast(site as string) || '.com/a' else 'https://s' || cast(site as string) || '.com/' end as page_url, case site % 9 when 0 then '<p>Domain Seized</p>' when 1 then '<p>This is no longer available due to copyright</p>' when 2 then '<p>Cloudflare Ray ID 5</p>' when 3 then '<p>404 Not Found</p>' when 4 then '<p>bad request</p>' when 5 then '<p>Buy this domain</p>' else '<p>Welcome home</p>' end as html from (select distinct user_id as site from events) e",
     "brands": "select case p_partkey % 5 when 0 then 'b-' || cast(p_partkey as string) when 1 then 'building-' || cast(p_partkey as string) when 2 then 'Household-' || cast(p_partkey as string) when 3 then null else 'machinery-' || cast(p_partkey as string) end as keyword, p_partkey % 3 > 0 as brand from part",
-    "asn_lookup": "select s_suppkey as domain_id, case s_suppkey % 12 when 0 then 'RU' when 1 then 'CN' when 2 then 'US' when 3 then 'PA' when 4 then null when 5 then 'UK' when 6 then 'Viet Nam' when 7 then 'Iran, Islamic Republic of' when 8 then 'Venezuela, Bolivarian Republic of' when 9 then 'us' else 'DE' end as country, s_suppkey % 7 <> 0 as ok from supplier",
+    "asn_lookup": "select s_suppkey as domain_id, case s_suppkey % 12 when 0 then 'RU' when 1 then 'CN' when 2 then 'US' when 3 then 'PA' when 4 then null when 5 then 'UK' when 6 then 'Viet Nam' when 7 then 'Iran, Islamic Republic of' when 8 then 'Venezuela, Bolivarian Republic of' when 9 then 'us' else 'DE' end as country, s_suppkey % 7 <> 0 as ok, case s_suppkey % 5 when 0 then null when 1 then '197414' else cast(s_suppkey as string) end as asn, case s_suppkey % 4 when 0 then 'unknown' when 1 then null else '2011-0' || cast(1 + s_suppkey % 9 as string) || '-10' end as asn_date, '10.0.' || cast(s_suppkey % 7 as string) || '.' || cast(s_suppkey % 200 as string) as ip from supplier",
 }
 
 

@@ -45,7 +45,7 @@ def cleaned_domains(df: DataFrame, domain: str, order: str, tlds: list[str] | No
 
     A name on a hosting platform keeps its own label, unless keep_hosted is off.
     """
-    host = text.url_host(F.col(domain))
+    host = text.ascii_host(text.url_host(F.col(domain)))
     hosted = text.is_hosted(host)
     # a hosted name is its label beside the platform's two
     own = F.array_join(F.slice(F.split(host, "\\."), F.greatest(F.size(F.split(host, "\\.")) - 2, F.lit(1)), 3), ".")

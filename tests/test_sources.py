@@ -31,16 +31,16 @@ def test_certificates(spark):
 
 
 def test_exports(spark, tmp_path):
-    df = spark.createDataFrame([("https://www.a.com/x", 2), ("a.com", 1), ("b.pages.dev", 3), ("c.ru", 4)], "url string, seen int")
+    df = spark.createDataFrame([("https://www.a.com/x", 2), ("a.com", 1), ("b.pages.dev", 3), ("c.ru", 4), ("http://münchen.de/x", 5)], "url string, seen int")
     clean = files.cleaned_domains(df, "url", "seen")
-    assert {tuple(r) for r in clean.collect()} == {("a.com", 1), ("b.pages.dev", 3), ("c.ru", 4)}
+    assert {tuple(r) for r in clean.collect()} == {("a.com", 1), ("b.pages.dev", 3), ("c.ru", 4), ("xn--mnchen-3ya.de", 5)}
     assert {r["domain"] for r in files.cleaned_domains(df, "url", "seen", ["com", "dev"], keep_hosted=False).collect()} == {"a.com", "pages.dev"}
     paths = files.export_dated({"clean": clean}, str(tmp_path), "2025-03-04")
-    assert paths == {"clean": f"{tmp_path}/clean_20250304"} and spark.read.csv(paths["clean"], header=True).count() == 3
+    assert paths == {"clean": f"{tmp_path}/clean_20250304"} and spark.read.csv(paths["clean"], header=True).count() == 4
     for _ in range(2):
         files.append_csv(clean, str(tmp_path / "log"))
     back = spark.read.csv(str(tmp_path / "log"), header=True, sep=";")
-    assert back.columns == ["domain", "first_seen"] and back.count() == 6
+    assert back.columns == ["domain", "first_seen"] and back.count() == 8
 
 
 def test_serp(spark):
