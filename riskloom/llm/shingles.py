@@ -120,11 +120,6 @@ def text_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return mix(np.concatenate(hashes)), np.searchsorted(np.concatenate(begins), offsets)
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """Hashes of the words of one text."""
-    return text_words(pa.array([text], pa.string()))[0]
-
-
 def ngrams(w: np.ndarray, n: int) -> np.ndarray:
     """Hashes of the n-grams, by their first word."""
     m = max(0, len(w) - n + 1)

@@ -550,6 +550,17 @@ def test_substring_recall_on_the_tables(spark):
         assert sum(map(len, wanted.values())) > 1000 and missed == 0
 
 
+def test_substring_twice_in_a_document(spark):
+    """Both places of a passage that a later document has twice, whether the documents meet in a task or not."""
+    draw = random.Random(5)
+    noise = lambda n: [f"n{draw.randrange(10**9)}" for _ in range(n)]
+    p = noise(60)
+    docs = spark.createDataFrame([(1, " ".join(noise(10) + p)), (2, " ".join(p + noise(40) + p)), (3, " ".join(noise(5) + p))], "doc_id long, text string")
+    for frame in (docs.coalesce(1), docs.repartition(3, "doc_id")):
+        got = {(r["doc_id"], r["start_word"], r["end_word"]) for r in substring_dedup.repeated_passages(frame).collect()}
+        assert got == {(2, 0, 60), (2, 100, 160), (3, 5, 65)}
+
+
 def test_substring_of_a_hot_line(spark):
     """One passage in every document, and a document without words of its own: matches stay in proportion."""
     draw = random.Random(3)
