@@ -9,6 +9,7 @@ from riskloom.operators import captures, relational, rules
 from riskloom.plans.queries import query
 from riskloom.sources import files
 from riskloom.sources.adapters import load
+from riskloom.streaming import responses
 
 _HOST_OF = lambda u: f"regexp_extract({u}, 'https?://([^/]+)', 1)"
 _HTML_STATUS = """case when contains(t, '404 not found') then {{'s': 'Offline | Ad Sniffer', 'k': 'Error[' || {c} || ']', 'm': ''}} when contains(t, 'cloudflare') and contains(t, 'ray id') then {{'s': 'Blocked', 'k': 'Error[Cloudflare-' || {c} || ']', 'm': 'cloudflare'}}
@@ -241,3 +242,15 @@ def _(s, d):
 def _(s, d):
     docs = s.read.parquet(f"{d}/documents.parquet")
     return docs.select("doc_id", F.size(tx.shingles(F.coalesce("text", F.lit("")))).alias("n_shingles"))
+
+
+@query("event_windows", None, "select date_trunc('day', ts) as start, event_type, count(*) as n from events group by 1, 2")
+def _(s, d):
+    """The windows of the stream, over the whole table at once."""
+    return responses.per_window(s.read.parquet(f"{d}/events.parquet")).select(F.col("window.start").alias("start"), "event_type", "n")
+
+
+@query("event_sessions", None, "select user_id, min(ts) as start, count(*) as n from (select *, sum(cast(fresh as int)) over (partition by user_id order by ts, event_id) as session from (select *, coalesce(ts - lag(ts) over (partition by user_id order by ts, event_id) > interval 30 minute, true) as fresh from events) a) b group by user_id, session")
+def _(s, d):
+    """The sessions of the stream, over the whole table at once."""
+    return responses.sessions(s.read.parquet(f"{d}/events.parquet")).select("user_id", F.col("session_window.start").alias("start"), "n")

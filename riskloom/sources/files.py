@@ -19,7 +19,8 @@ def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = ";")
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, column: str, low: int, high: int, parts: int, **options) -> DataFrame:
-    """A partitioned scan of a relational table; predicates and columns are pushed down."""
+    """A partitioned scan of a relational table; predicates and columns are pushed down. Names have to be plain identifiers, the table's with a schema or without."""
+    table, column = ".".join(map(text.safe_identifier, table.split("."))), text.safe_identifier(column)
     return spark.read.jdbc(url, table, column=column, lowerBound=low, upperBound=high, numPartitions=parts, properties=options)
 
 
