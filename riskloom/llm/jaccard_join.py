@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 from riskloom.llm.common import materialize, partitions, slices, table, tidied
 from riskloom.llm.components import connected_components
 from riskloom.llm.shingles import mix, pack, set_key, shingle_sets, unpack
+from riskloom.llm.texts import beside_texts
 
 #: Link when 4 * overlap >= 3 * union.
 FREQUENT = 250_000  # tokens whose order is kept by their count; all others count as rare (an order, never a filter)
@@ -330,20 +331,39 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
 
 
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row that wants a text beside it (beside each, if rows share a doc_id)."""
+    cell, held = None, pa.array([], pa.string())
+    for b in slices(batches):
+        pool, rows, at = pa.concat_arrays([held, b.column("text").cast(pa.string())]), [], []
+        mine = list(range(len(held)))
+        for i, (want, salt, role) in enumerate(zip(*(b.column(c).to_pylist() for c in ("want", "salt", "role"))), len(held)):
+            if (want, salt) != cell:
+                cell, mine = (want, salt), []
+            if role == 0:
+                mine.append(i)
+            else:
+                rows += [i - len(held)] * len(mine)
+                at += mine
+        if rows:
+            x = b.select(["a", "cell", "part", "key"]).take(pa.array(rows))
+            yield pa.record_batch([*x.columns, pool.take(pa.array(at))], names=["a", "cell", "part", "key", "text"])
+        held = pool.take(pa.array(mine, pa.int64()))
+
+
 def _verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, name: str) -> DataFrame:
     """The pairs (a, b) that link; a's candidates are dealt over cells, so no query holds a task."""
     spark = docs.sparkSession
-    n = partitions(spark) * 2
     pairs = materialize(pairs.distinct(), name + "-pairs")
     if pairs.isEmpty():
         return pairs
     wide = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(CELL)).alias("cells"))
-    dealt = pairs.join(wide, "a").select("a", F.pmod(F.xxhash64("b"), F.col("cells")).cast("int").alias("salt"), "b")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct().join(reps, "key")
-    texts = materialize(docs.select("doc_id", "text").join(wanted, docs["doc_id"] == wanted["rep"]).select("key", "text"), name + "-texts")
-    queries = dealt.select("a", "salt").distinct().join(texts, F.col("a") == F.col("key")).select("a", "salt", F.lit(0).alias("role"), "key", "text")
-    members = dealt.join(texts, F.col("b") == F.col("key")).select("a", "salt", F.lit(1).alias("role"), "key", "text")
-    cells = queries.union(members).repartition(n, "a", "salt").sortWithinPartitions("a", "salt", "role")
+    dealt = pairs.join(wide, "a").select("a", F.pmod(F.xxhash64("b"), F.col("cells")).cast("int").alias("cell"), "b")
+    queries = dealt.select("a", "cell").distinct().select("a", "cell", F.lit(0).alias("part"), F.col("a").alias("key"))
+    wanted = queries.union(dealt.select("a", "cell", F.lit(1), F.col("b")))
+    wanted = wanted.join(reps, "key").select(F.col("rep").alias("want"), "a", "cell", "part", "key")
+    cells = beside_texts(wanted, docs, ["a", "cell", "key"]).mapInArrow(tidied(_spread), "a long, cell int, part int, key long, text string")
+    cells = cells.repartition(partitions(spark) * 2, "a", "cell").sortWithinPartitions("a", "cell", "part")
     return materialize(cells.mapInArrow(tidied(_search), "a long, b long"), name)
 
 
