@@ -101,6 +101,34 @@ def site_status(log: DataFrame, sites: DataFrame) -> DataFrame:
     return x.withColumn("o", status).select("site", F.coalesce("n_responses", F.lit(0).cast("long")).alias("n_responses"), "o.online_status", "o.offline_type", "o.redirect_url", "o.status_msg")
 
 
+def older_status(log: DataFrame, sites: DataFrame) -> DataFrame:
+    """(site, online_status, offline_type) by the older rules, which look at the first response and a page's markup only.
+
+    A redirect that no 200 among responses 2 to SCAN follows has no status, nor has a site without responses.
+    """
+    w = Window.partitionBy("site").orderBy("seq")
+    x = log.select("site", "seq", "status", "url").withColumns({"n": F.row_number().over(w), "start": url_domain(F.first("url").over(w))})
+    ok = rules.yes((F.col("status") == 200) & F.col("n").between(2, SCAN))
+    home = F.contains(url_domain(F.col("url")), F.col("start"))
+    x = x.groupBy("site").agg(F.count("*").alias("n_responses"), F.max(F.when(F.col("n") == 1, F.col("status"))).alias("first"), F.min(F.when(ok, F.struct("n", home.alias("home")))).alias("found"))
+    x = sites.join(x, "site", "left")
+    has = lambda t: F.contains("html", F.lit(t))
+    out = lambda status, kind: F.struct(F.lit(status).alias("online_status"), kind.alias("offline_type"))
+    code = F.concat(F.col("first").cast("string"), F.lit("]"))
+    single, empty = F.col("n_responses") == 1, F.lit("")
+    refused = F.when(single, has("blocked") & has("Bright Data usage policy")).otherwise(has("access was blocked as it might breach Bright Data usage policy"))
+    by_html = (
+        F.when(refused, out("Blocked", F.concat(F.lit("Error[BrightData-"), code)))
+        .when(has("Webpage not available"), out("Offline", F.concat(F.lit("Error["), code)))
+        .when(F.contains(F.lower("html"), F.lit("cloudflare")), out("Blocked", F.concat(F.lit("Error[Cloudflare-"), code)))
+        .otherwise(out("Offline", F.concat(F.lit("Error["), code)))
+    )
+    redirected = F.when(F.col("found").isNotNull(), out("Online", F.when(F.col("found.home"), "").otherwise("Redirect")))
+    first = F.col("first")
+    status = F.when(single, by_html).when(first == 200, out("Online", empty)).when((first > 299) & (first < 400), redirected).when(first.isNotNull(), by_html)
+    return x.withColumn("o", status).select("site", "o.online_status", "o.offline_type")
+
+
 def crawl_outcome(offline_type: Column) -> Column:
     return F.coalesce(offline_type == "Redirect", F.lit(False))
 

@@ -36,6 +36,22 @@ def _(s, d):
     return captures.site_status(load(s, d, "response_chain"), load(s, d, "site_pages"))
 
 
+_OLD_HTML = "case when contains(lower(html), 'cloudflare') then {'s': 'Blocked', 'k': 'Error[Cloudflare-' || f || ']'} else {'s': 'Offline', 'k': 'Error[' || f || ']'} end"
+
+
+@query("older_status", ["response_log", "response_chain", "site_pages"], f"""select site, o.s as online_status, o.k as offline_type from (select *, case when n = 1 then {_OLD_HTML} when c[1].status = 200 then {{'s': 'Online', 'k': ''}}
+  when c[1].status between 300 and 399 then case when len(oks) > 0 then {{'s': 'Online', 'k': case when contains({_HOST_OF('oks[1].url')}, {_HOST_OF('c[1].url')}) then '' else 'Redirect' end}} end else {_OLD_HTML} end as o
+ from (select p.*, e.n, e.c, cast(e.c[1].status as varchar) as f, list_filter(e.c[2:10], lambda x: x.status = 200) as oks from site_pages p join (select site, count(*) as n, list(struct_pack(status := status, url := url) order by seq) as c from response_chain group by site) e on e.site = p.site) a) b""")
+def _(s, d):
+    return captures.older_status(load(s, d, "response_chain"), load(s, d, "site_pages"))
+
+
+@query("engaged_domains", ["hub", "engagement"], "select h.sec_domain_id, sec_domain, online_status, class_id, sec_domain_source, month, bounce_rate, pages_per_visit, avg_visit_duration from hub h join engagement e on e.sec_domain_id = h.sec_domain_id")
+def _(s, d):
+    h = load(s, d, "hub").select("sec_domain_id", "sec_domain", "online_status", "class_id", "sec_domain_source")
+    return h.join(load(s, d, "engagement").drop("fact_id"), "sec_domain_id")
+
+
 @query("popup_urls", ["response_chain"], "select seq, case when seq % 2 = 0 then [url] else [] end as urls, case when status = 404 then 'Offline' else 'Online' end as status from response_chain")
 def _(s, d):
     """Popup lists with noise, and a second evaluation of the status where there is one."""
@@ -210,6 +226,14 @@ def _(s, d):
     return load(s, d, "hub").select(F.col("sec_domain").alias("domain"), files.serp_first_page(F.when(k == 0, "[").when(k == 1, page(url)).otherwise(page(url, url))).alias("n"))
 
 
+@query("serp_jobs", ["hub"], "select sec_domain as domain, cast(case sec_domain_id % 4 when 0 then null when 1 then null when 2 then 3 else 0 end as int) as n from hub")
+def _(s, d):
+    """Landed answers of asynchronous searches: one still runs, one is broken, the others hold three results and none."""
+    k = F.col("sec_domain_id") % 4
+    answer = F.when(k == 1, "{").when(k == 2, '[{"organic": [{"url": "a"}, {"url": "b"}, {}]}, {"organic": []}]').otherwise('[{"organic": []}]')
+    return load(s, d, "hub").select(F.col("sec_domain").alias("domain"), files.serp_job(F.when(k == 0, "running").otherwise("ready"), answer).alias("n"))
+
+
 @query("domain_forms", ["hub"], "select sec_domain_id, [sec_domain, 'www.' || sec_domain] as variants, sec_domain_id % 4 = 0 as hosted, case when sec_domain_id % 4 = 0 then 'pages.dev' when sec_domain_id % 4 = 1 then 'x' || cast(sec_domain_id as string) || '.gov.uk' else sec_domain end as registered from hub")
 def _(s, d):
     """Both forms of a name; whether it stands on a hosting platform; its registered part by a list of second-level labels."""

@@ -68,6 +68,12 @@ def serp_first_page(payload: Column) -> Column:
     return F.when(n >= 0, n)
 
 
+def serp_job(status: Column, payload: Column) -> Column:
+    """How many organic results an asynchronous search returned with its first page; null while it runs or where its answer is broken."""
+    n = F.size(F.get(F.from_json(payload, "array<struct<organic:array<struct<url:string>>>>"), F.lit(0))["organic"])
+    return F.when((status == "ready") & (n >= 0), n)
+
+
 def serp_hosts(df: DataFrame) -> DataFrame:
     """(domain, n_urls, n_hosts): result URLs whose host contains the domain; 0 where the payload is no JSON."""
     p = df.select("domain", F.from_json("payload", SERP_SCHEMA).alias("p"))
