@@ -36,7 +36,8 @@ CHUNK = 65_536  # classes of a list, by the order's counts, that go to one task
 FLUSH = 400_000
 SEEN = 200_000  # classes that a task remembers, so as to send a copy's postings once
 CELL = 64  # candidates that are searched together
-POSTING = np.dtype([("t", "<u8"), ("k", "<i8"), ("n", "<u4"), ("i", "<u4"), ("c", "<u2")])
+#: Token, class, size of its set, place of the token in its order, how central the class is, whether the list is dealt to several groups.
+POSTING = np.dtype([("t", "<u8"), ("k", "<i8"), ("n", "<u4"), ("i", "<u4"), ("c", "<u2"), ("m", "u1")])
 
 
 def required(x, y):
@@ -132,6 +133,7 @@ def _postings(order_bc, buckets: int, chunk: int):
 
         def flush():
             p, chunks = np.concatenate([x for x, _ in waiting]), np.concatenate([c for _, c in waiting])
+            p["m"] = chunks > 1
             # a list that may be long is dealt to as many groups as it has chunks, by class
             part = np.where(chunks > 1, mix(p["k"].view(np.uint64)) % chunks.astype(np.uint64), np.uint64(0))
             b = ((p["t"] + part * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(buckets)).astype(np.uint16 if buckets < 1 << 16 else np.int32)
@@ -149,7 +151,7 @@ def _postings(order_bc, buckets: int, chunk: int):
                 if not _fresh(seen, key):
                     continue
                 pre, count, central = order.prefix(s)
-                p = np.empty(len(pre), POSTING)
+                p = np.zeros(len(pre), POSTING)
                 p["t"], p["k"], p["n"], p["i"], p["c"] = pre, key, len(s), np.arange(len(pre)), central
                 waiting.append((p, 1 + count // chunk))
                 size += len(p)
@@ -198,7 +200,7 @@ def _rows(p: np.ndarray, hub: np.ndarray) -> dict[str, pa.Array]:
 
 
 def _postings_of(t: pa.Table) -> np.ndarray:
-    p = np.empty(t.num_rows, POSTING)
+    p = np.zeros(t.num_rows, POSTING)
     p["t"] = t.column("token").to_numpy().view(np.uint64)
     for c, f in FIELDS.items():
         p[f] = t.column(c).to_numpy()
@@ -221,9 +223,10 @@ def _propose(small_run: int):
         p = p[~again]
         starts = np.concatenate([[0], np.flatnonzero(p["t"][1:] != p["t"][:-1]) + 1])
         lengths = np.diff(np.append(starts, len(p)))
-        some = lengths > 1
-        starts, lengths = starts[some], lengths[some]
-        small = lengths <= small_run
+        dealt = p["m"][starts] > 0  # a part of a list, whose other parts stand elsewhere, is never paired alone
+        some = (lengths > 1) | dealt
+        starts, lengths, dealt = starts[some], lengths[some], dealt[some]
+        small = (lengths <= small_run) & ~dealt
         left, right, runs = [], [], []
         for x, y in _pairs_of(p, starts[small], lengths[small]):
             ok = _fits(x, y)

@@ -105,9 +105,9 @@ def brute_components(texts):
     return {k: (len(sets[k]), find(k)) for k in ids}
 
 
-@pytest.mark.parametrize("small_run", [24, 2])
-def test_jaccard_join(spark, small_run):
-    """Chains of near copies around their hub, some linked to each other only through it."""
+@pytest.mark.parametrize("small_run, chunk", [(24, 1 << 16), (2, 1 << 16), (24, 3), (2, 11)])
+def test_jaccard_join(spark, small_run, chunk):
+    """Chains of near copies around their hub, some linked to each other only through it; lists whole, and dealt in chunks of any size."""
     draw, texts = random.Random(7), {}
     for g in range(4):
         base = [f"g{g}x{k}" for k in range(60)]
@@ -118,7 +118,7 @@ def test_jaccard_join(spark, small_run):
             texts[len(texts)] = " ".join(w)
     texts |= {900: None, 901: "", 902: "A b", 903: "a B", 904: "a b c", 905: LONG, 906: LONG + " tail"}
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(docs, small_run, 7).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(docs, small_run, 7, chunk).collect()}
     assert got == brute_components(texts)
 
 
