@@ -17,6 +17,7 @@ say to be very long is dealt to several tasks, whose hubs are compared with each
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -313,7 +314,8 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, sets = [], []
 
     for b in slices(batches, 64):
-        for a, salt, role, key, s in zip(*(c.to_pylist() for c in b.columns[:4]), shingle_sets(b.column(4))):
+        texts = pa.array([zlib.decompress(x) for x in b.column(4).to_pylist()], pa.binary()).cast(pa.string())
+        for a, salt, role, key, s in zip(*(c.to_pylist() for c in b.columns[:4]), shingle_sets(texts)):
             if (a, salt) != cell:
                 close()
                 cell, query = (a, salt), None
@@ -335,7 +337,7 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each row that wants a text beside it (beside each, if rows share a doc_id)."""
+    """Each row that wants a text beside it (beside each, if rows share a doc_id), packed, since a text goes to every candidate of its class."""
     cell, held = None, pa.array([], pa.string())
     for b in slices(batches):
         pool, rows, at = pa.concat_arrays([held, b.column("text").cast(pa.string())]), [], []
@@ -350,7 +352,8 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 at += mine
         if rows:
             x = b.select(["a", "cell", "part", "key"]).take(pa.array(rows))
-            yield pa.record_batch([*x.columns, pool.take(pa.array(at))], names=["a", "cell", "part", "key", "text"])
+            packed = {k: zlib.compress(pool[k].as_py().encode(), 1) for k in set(at)}
+            yield pa.record_batch([*x.columns, pa.array([packed[k] for k in at], pa.binary())], names=["a", "cell", "part", "key", "text"])
         held = pool.take(pa.array(mine, pa.int64()))
 
 
@@ -365,7 +368,7 @@ def _verify(pairs: DataFrame, docs: DataFrame, reps: DataFrame, name: str) -> Da
     queries = dealt.select("a", "cell").distinct().select("a", "cell", F.lit(0).alias("part"), F.col("a").alias("key"))
     wanted = queries.union(dealt.select("a", "cell", F.lit(1), F.col("b")))
     wanted = wanted.join(reps, "key").select(F.col("rep").alias("want"), "a", "cell", "part", "key")
-    cells = beside_texts(wanted, docs, ["a", "cell", "key"]).mapInArrow(tidied(_spread), "a long, cell int, part int, key long, text string")
+    cells = beside_texts(wanted, docs, ["a", "cell", "key"]).mapInArrow(tidied(_spread), "a long, cell int, part int, key long, text binary")
     cells = cells.repartition(partitions(spark) * 2, "a", "cell").sortWithinPartitions("a", "cell", "part")
     return materialize(cells.mapInArrow(tidied(_search), "a long, b long"), name)
 
