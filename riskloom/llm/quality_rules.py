@@ -202,8 +202,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_train: int = MAX_TRAIN
 def apply_rules(docs: DataFrame, rules: list[Rule], prefix: str = "") -> DataFrame:
     """docs plus `signals`, `base_failed` and `kept` (false if the base rule or the list rejects).
 
-    prefix goes before the three names, where docs has such columns already. Nulls, empty texts and
-    repeated rows are judged like any other row; an empty table stays empty.
+    prefix goes before the three names, where docs has such columns already; other columns stay as they are. Null and empty texts have no
+    words and fail the base rule; null ids, repeated rows and texts of any length are judged like any other row; an empty table stays empty.
     """
     x = with_signals(docs, out=prefix + "signals")
     s = F.col(prefix + "signals")
