@@ -3,8 +3,8 @@
 Prefix sums of turn tokens choose the spans: a window takes the next turns as long as its system turn, its history and
 they stay within the budget. The first system turn of a conversation opens each of its windows, then the last turns of the
 window before are repeated, up to HISTORY tokens, then the window's own turns follow. The loss mask covers the texts of
-the window's own assistant turns only, so each assistant text is a target exactly once. Tokens are words and
-marks, and four for the markup of a turn; no tokenizer is asked.
+the window's own assistant turns only, so each assistant text is a target exactly once. Tokens are ASCII words and
+single other characters, and four for the markup of a turn; no tokenizer is asked.
 
 Conversations are cut into blocks of BLOCK turn numbers, and each block starts a window without history, so a conversation with
 a third of all turns is spread over many tasks. Texts are shuffled once. A task streams its blocks and holds one window.
@@ -31,7 +31,9 @@ HISTORY = 96
 BLOCK = 1 << 16
 #: Markup of a turn, in tokens.
 MARKUP = 4
-_TOKEN = re.compile(r"\w+|[^\w\s]")
+#: A token: an ASCII word, or any other character that isn't ASCII white space.
+TOKEN = r"[0-9A-Za-z_]+|[^0-9A-Za-z_\x09-\x0D\x20]"
+_TOKEN = re.compile(TOKEN)
 _ESC = re.compile(r"[\\<\[]")
 _UNESC = re.compile(r"\\(.)", re.S)
 _TURN = re.compile(r"(<s>|\[INST\])((?:[^\\<\[]|\\.)*)(</s>|\[/INST\])", re.S)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from riskloom.llm.chat_format import BUDGET, HISTORY, MARKUP, TOKEN
 from riskloom.llm.license_scan import CONTAINMENT, PHRASES, TEMPLATES
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -45,4 +46,21 @@ select w.doc_id, cast(len(w.w) as bigint) as n_words, coalesce(base.n, 0) as n_b
   cast(case when base.n > 0 then 1 else coalesce(more.share, 0) end as double) as score
 from w left join base on base.doc_id = w.doc_id left join more on more.doc_id = w.doc_id"""
 
-SQL = {"op6_warc": WARC, "op8_jaccard_join": JACCARD, "op9_license_scan": LICENSES}
+_ESCAPES = "length(regexp_replace({0}, '[^\\\\<\\[]', '', 'g'))"
+_PROBE = "'</s>[INST] ok [/INST]'"
+
+CHATS = f"""
+with recursive c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations union all select -1, 0, 'user', {_PROBE} union all select -1, 1, 'assistant', {_PROBE}),
+t as (select *, row_number() over (partition by conv_id order by turn, role, text) as seq, len(regexp_extract_all(text, '{TOKEN}')) + {MARKUP} as n,
+  case when role = 'assistant' then 7 else 13 end + 1 + length(text) + {_ESCAPES.format('text')} + length(role) + {_ESCAPES.format('role')} + length(role) - length(replace(role, chr(10), '')) as ch from c),
+p as (select *, sum(n) over o - n as pre, sum(ch) over o - ch as prech from t window o as (partition by conv_id order by seq)),
+l as (select conv_id, count(*) as m, list(cast(pre as bigint) order by seq) as pres, list(cast(prech as bigint) order by seq) as prechs, list(n order by seq) as ns, cast(sum(ch) as bigint) as total_ch,
+  bool_or(seq = 1 and role = 'system') as sys, coalesce(max(n) filter (seq = 1 and role = 'system'), 0) as sn, coalesce(max(ch) filter (seq = 1 and role = 'system'), 0) as sch,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by seq)) as turns_sha256, string_agg(case when role = 'assistant' then text else '' end, '' order by seq) as loss from p group by conv_id),
+w(conv_id, first, h) as (select conv_id, 1::bigint, 1::bigint from l union all
+  select conv_id, k, coalesce(list_min(list_filter(range(case when sys then 2 else 1 end, k), lambda j: pres[k] - pres[j] <= least({HISTORY}, {BUDGET} - sn - ns[k]))), k) from
+  (select l.*, w.first, w.h, list_min(list_filter(range(w.first + 1, m + 1), lambda k: pres[k] + ns[k] - pres[w.first] > {BUDGET} - case when w.first = 1 then 0 else sn end - (pres[w.first] - pres[w.h]))) as k from w join l on l.conv_id = w.conv_id) x where k is not null),
+f as (select w.conv_id, sum(case when first = 1 then 0 else sch end + prechs[first] - prechs[h]) as extra from w join l on l.conv_id = w.conv_id group by 1)
+select l.conv_id, m as n_turns, turns_sha256, cast(length(loss) as bigint) as loss_chars, sha256(loss) as loss_sha256, cast(total_ch + extra as bigint) as formatted_chars from l join f on f.conv_id = l.conv_id"""
+
+SQL = {"op2_chat_format": CHATS, "op6_warc": WARC, "op8_jaccard_join": JACCARD, "op9_license_scan": LICENSES}

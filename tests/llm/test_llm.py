@@ -495,7 +495,7 @@ def test_whole_licenses(spark):
     assert license_scan.scan(docs.limit(0), license_scan.token_frequencies(docs.limit(0))).count() == 0
 
 
-@pytest.mark.parametrize("name", ["op6_warc", "op8_jaccard_join", "op9_license_scan"])
+@pytest.mark.parametrize("name", ["op2_chat_format", "op6_warc", "op8_jaccard_join", "op9_license_scan"])
 def test_queries_match_sql(spark, name):
     import os
 
