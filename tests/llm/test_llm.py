@@ -290,6 +290,23 @@ def test_chat_query(spark):
         assert got[c]["formatted_chars"] >= sum(len(t) for _, t in want)
 
 
+def test_chat_sql(spark, tmp_path):
+    """The SQL of the query on conversations of many windows, with and without a system turn, and turns over the budget."""
+    import duckdb
+
+    from riskloom.llm import registry
+
+    draw = random.Random(31)
+    rows = [(c, k, "system" if k == 0 and c % 2 else draw.choice(["user", "assistant", "a\nb"]), draw.choice(["", "é <s> [x] \\\\ ", "long "]) * draw.randint(0, draw.choice([5, 60, 600]))) for c in range(12) for k in range(draw.choice([1, 3, 120]))]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
+    duck = duckdb.connect()
+    duck.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    want = duck.execute(registry.oracle_sql()["op2_chat_format"])
+    columns = [c[0] for c in want.description]
+    got = chat_format.op2_chat_format(spark, str(tmp_path)).select(*columns).collect()
+    assert sorted(map(tuple, got)) == sorted(want.fetchall())
+
+
 def test_chat_edges(spark):
     """A very long turn, extra columns with the operator's own names, and equal turn numbers."""
     rows = [(1, 0, "system", "be brief", 1, "h"), (1, 1, "assistant", LONG, 2, "h"), (1, 1, "assistant", "b", 2, "h"), (1, 2, "user", "", 3, "h")]
