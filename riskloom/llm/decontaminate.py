@@ -99,8 +99,10 @@ def _with_verbatim(d: DataFrame, verbatim: list[int]) -> DataFrame:
     return eight_hashes("d_low", "d_low_h", d) if WINDOW in verbatim else d
 
 
-def _grams(verbatim: list[int]) -> Column:
-    """All windows of a document as (d_len, d_pos, d_hash), for inline: templates (d_len 0), and runs of the lengths that are met word for word."""
+def _grams(d: DataFrame, verbatim: list[int], *keep: str) -> DataFrame:
+    """A row (keep, d_len, d_pos, d_hash) per window of a document: templates (d_len 0), and runs of the lengths that are met word for word."""
+    if not verbatim:
+        return d.select(*keep, F.lit(0).alias("d_len"), F.posexplode("d_h").alias("d_pos", "d_hash"))
     spot = lambda n, i, h: F.struct(F.lit(n).alias("d_len"), i.alias("d_pos"), h.alias("d_hash"))
     met = [F.transform("d_h", lambda h, i: spot(0, i, h))]
 
@@ -111,7 +113,7 @@ def _grams(verbatim: list[int]) -> Column:
         return F.transform(spots, lambda i: spot(n, i, F.xxhash64(F.slice(F.col("d_low"), i + 1, n), F.lit(n))))
 
     met += map(runs, verbatim)  # WINDOW lengths at most
-    return F.inline(F.concat(*met))
+    return d.select(*keep, F.inline(F.concat(*met)))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
@@ -129,9 +131,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     d = _with_verbatim(d, verbatim)
     same = (F.col("d_hash") == F.col("b_hash")) & (F.col("d_len") == F.col("b_len"))
     if sum(lengths.values()) <= broadcast_windows:
-        met = d.select("d_id", "d_raw", _grams(verbatim)).join(F.broadcast(items), same)
+        met = _grams(d, verbatim, "d_id", "d_raw").join(F.broadcast(items), same)
     else:  # only hashes are shuffled; the few documents that are hit are read again
-        hits = d.select("d_id", _grams(verbatim)).join(items, same)
+        hits = _grams(d, verbatim, "d_id").join(items, same)
         again = F.get("d_h", F.col("d_pos"))
         if verbatim:
             of_run = F.xxhash64(F.slice("d_low", F.col("d_pos") + 1, F.greatest("d_len", F.lit(1))), "d_len")
