@@ -26,7 +26,7 @@ import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.common import slices, table, tidied
+from riskloom.llm.common import slices, small_batches, table, tidied
 
 #: Pre-token pattern of byte-level BPE vocabularies (a fixed value).
 WORD_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -215,6 +215,7 @@ def vocabulary(content: Broadcast) -> RankedVocabulary:
 
 def load_vocabulary(spark, path: str) -> Broadcast:
     """The tokenizer file (a few MB, fixed size) as a broadcast."""
+    small_batches(spark)
     with open(path, "rb") as f:
         return spark.sparkContext.broadcast(f.read())
 

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.common import materialize, partitions, slices, table, tidied
+from riskloom.llm.common import materialize, partitions, slices, small_batches, table, tidied
 
 BUDGET = 512
 HISTORY = 96
@@ -162,6 +162,7 @@ def format_chats(conversations: DataFrame, budget: int = BUDGET, history: int =
     Equal turn numbers go by role and text; repeated rows are turns of their own; all turns with one number stand in one block; other columns are
     not carried; an empty table gives no window.
     """
+    small_batches(conversations.sparkSession)
     turn = F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 40)))
     c = conversations.select(F.col("conv_id").isNull().alias("no_conv"), F.coalesce(F.col("conv_id").cast("long"), F.lit(0)).alias("conv"), turn.alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     c = c.withColumn("block", F.floor(F.col("turn") / block))

@@ -64,6 +64,17 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Rows of an Arrow batch of whole texts: some MB, where Spark's own 10,000 rows are some tens of them in each buffer of every task.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to BATCH_ROWS, which changes no result; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """Short slices of Arrow batches, so that Python objects of few rows live at a time."""
     for batch in batches:

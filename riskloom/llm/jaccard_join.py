@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.common import materialize, partitions, slices, table, tidied
+from riskloom.llm.common import materialize, partitions, slices, small_batches, table, tidied
 from riskloom.llm.components import connected_components
 from riskloom.llm.shingles import mix, pack, set_key, shingle_sets, unpack
 from riskloom.llm.texts import beside_texts
@@ -427,6 +427,7 @@ def near_duplicates(docs: DataFrame, small_run: int = SMALL_RUN, block: int = BL
     repeated results; texts of any length are read whole; an empty table gives none; other columns are not carried.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     docs = docs.select("doc_id", "text")
     seen = materialize(docs.mapInArrow(tidied(_describe), f"kind int, doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_shingles long, key long"), "sets")
     sets = seen.filter("kind = 0").select("doc_id", "n_shingles", "key")

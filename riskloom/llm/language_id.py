@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskloom.llm.common import slices, table, tidied
+from riskloom.llm.common import slices, small_batches, table, tidied
 
 DIM = 1024
 SEED = 20_240_601
@@ -118,6 +118,7 @@ def identify(docs: DataFrame, langs: list[str], profiles: np.ndarray) -> DataFra
     Ties go to the first language by name; repeated rows give repeated results; a null doc_id stays null; texts of any length count whole;
     an empty table gives no rows; other columns are not carried.
     """
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast((langs, profiles.astype(np.float32)))
     kind = docs.schema["doc_id"].dataType.simpleString()
 

@@ -18,7 +18,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.common import slices, table, tidied
+from riskloom.llm.common import slices, small_batches, table, tidied
 
 #: Phrase and label pairs (fixed values).
 PHRASES = [("gnu general public license", "gpl"), ("apache license", "apache"), ("cc by", "cc-by"), ("mit license", "mit")]
@@ -155,6 +155,7 @@ def scan(docs: DataFrame, frequency: dict[bytes, int], threshold: float = CONTAI
     A null text counts as empty and has no places and no matches; a null doc_id stays null; repeated rows give repeated
     results; any length of text is read whole; an empty table gives no rows; other columns are not carried.
     """
+    small_batches(docs.sparkSession)
     index = docs.sparkSession.sparkContext.broadcast(TemplateIndex(frequency, threshold))
     kind = docs.schema["doc_id"].dataType.simpleString()
     place = pa.struct([("first", pa.int64()), ("last", pa.int64()), ("label", pa.string())])

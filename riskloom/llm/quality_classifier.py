@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from riskloom.llm.common import materialize, slices, table, tidied
+from riskloom.llm.common import materialize, slices, small_batches, table, tidied
 from riskloom.llm.language_id import remainder
 
 MAX_TRAIN = 6000
@@ -165,6 +165,7 @@ def classify(docs: DataFrame, space: LatentSpace | None) -> DataFrame:
     Null texts count as empty; a null doc_id stays null; repeated rows give repeated results; texts of any length count whole; ties among
     neighbours go by their order in the sample; an empty table gives no rows; other columns are not carried.
     """
+    small_batches(docs.sparkSession)
     model = docs.sparkSession.sparkContext.broadcast(space)
     kind = docs.schema["doc_id"].dataType.simpleString()
 

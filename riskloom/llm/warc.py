@@ -27,7 +27,7 @@ import pyarrow.parquet as pq
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from riskloom.llm.common import materialize, partitions, scratch_path, slices, table, tidied
+from riskloom.llm.common import materialize, partitions, scratch_path, slices, small_batches, table, tidied
 
 REVISIT_FROM = 1000
 ARCHIVE_BYTES = 32 << 20
@@ -334,6 +334,7 @@ def read_archives(runs: DataFrame, uri: str) -> DataFrame:
 
 def archive(pages: DataFrame, uri: str) -> DataFrame:
     """Writes the archives of pages below uri; their runs."""
+    small_batches(pages.sparkSession)
     return materialize(write_archives(with_payload(pages), uri), "runs")
 
 
