@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from riskloom.llm.chat_format import BUDGET, HISTORY, MARKUP, TOKEN
 from riskloom.llm.license_scan import CONTAINMENT, PHRASES, TEMPLATES
+from riskloom.llm.mixing import LEAST_QUALITY, SYMBOLS, WEIGHTS
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _FOLD = f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')"
@@ -63,4 +64,22 @@ w(conv_id, first, h) as (select conv_id, 1::bigint, 1::bigint from l union all
 f as (select w.conv_id, sum(case when first = 1 then 0 else sch end + prechs[first] - prechs[h]) as extra from w join l on l.conv_id = w.conv_id group by 1)
 select l.conv_id, m as n_turns, turns_sha256, cast(length(loss) as bigint) as loss_chars, sha256(loss) as loss_sha256, cast(total_ch + extra as bigint) as formatted_chars from l join f on f.conv_id = l.conv_id"""
 
-SQL = {"op2_chat_format": CHATS, "op6_warc": WARC, "op8_jaccard_join": JACCARD, "op9_license_scan": LICENSES}
+_SIZE = "len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+'))"
+
+MIX = f"""
+with d as (select doc_id, source, coalesce(text, '') as t from documents),
+l as (select *, list_filter(string_split(t, chr(10)), lambda x: x <> '') as lines, length(t) - length(translate(t, '{SYMBOLS}', '')) as symbols,
+  (('0x' || substring(md5(coalesce(cast(doc_id as varchar), '')), 1, 13))::bigint + 0.5::double) / {1 << 52}::double as u from d),
+z as (select doc_id, source, {_SIZE} as size, -ln(u) / case when len(lines) > 0 then greatest({LEAST_QUALITY}::double, (len(list_distinct(lines))::double / len(lines)) * (1::double - (10::double * symbols) / length(t))) else 1::double end as key from l),
+s as (select source, sum(size)::hugeint as n, {list(WEIGHTS)}[(row_number() over (order by source is null, source) - 1) % {len(WEIGHTS)} + 1]::hugeint as w from z group by source),
+o as (select *, sum(n) over () as total, sum(w) over () as weights, coalesce(sum(n) over b, 0) as n_before, coalesce(sum(w) over b, 0) as w_before from s
+  window b as (order by n::double / w, source is null, source rows between unbounded preceding and 1 preceding)),
+c as (select *, 4 * n * (weights - w_before) < w * (3 * total - 4 * n_before) as capped from o),
+r as (select any_value(total) * 3 - 4 * coalesce(sum(n) filter (capped), 0) as rest, any_value(weights) - coalesce(sum(w) filter (capped), 0) as level from c),
+g as (select source, n::bigint as source_size, case when capped then (4 * n)::double / 2 else (rest * w)::double / (2 * level)::double end as target from c, r),
+p as (select z.*, source_size, target, case when source_size > 0 then floor(target / source_size)::bigint else 0 end as whole,
+  sum(size) over (partition by z.source order by key, doc_id, size rows unbounded preceding) - size as before from z join g on z.source is not distinct from g.source),
+e as (select *, case when size > 0 then whole + case when 2 * before + size <= 2 * (target - whole * source_size) then 1 else 0 end else 0 end as epochs from p)
+select doc_id, size::bigint as size, source_size, target, (epochs * size)::bigint as taken, epochs::bigint as epochs from e"""
+
+SQL = {"op2_chat_format": CHATS, "op6_warc": WARC, "op8_jaccard_join": JACCARD, "op9_license_scan": LICENSES, "op11_source_mix": MIX}

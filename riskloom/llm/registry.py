@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
-from riskloom.llm import alignment, bpe, chat_format, decontaminate, jaccard_join, language_id, license_scan, oracles, quality_classifier, quality_rules, runs, substring_dedup, warc
+from riskloom.llm import alignment, bpe, chat_format, decontaminate, jaccard_join, language_id, license_scan, mixing, oracles, quality_classifier, quality_rules, runs, substring_dedup, warc
 
 
 def queries() -> dict[str, Callable[..., DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[..., DataFrame]]:
         "op8_jaccard_join": jaccard_join.op8_jaccard_join,
         "op9_license_scan": license_scan.op9_license_scan,
         "op10_quality_rules": quality_rules.op10_quality_rules,
+        "op11_source_mix": mixing.op11_source_mix,
         "op12_periodic_runs": runs.op12_periodic_runs,
         "op13_tokenizer_alignment": alignment.op13_tokenizer_alignment,
     }
