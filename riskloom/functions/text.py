@@ -37,7 +37,7 @@ def url_host(c: Column) -> Column:
     x = F.regexp_replace(F.trim(c), "^[A-Za-z][A-Za-z0-9+.-]*://", "")
     x = F.regexp_extract(x, "^[^/?#]*", 0)
     x = F.regexp_replace(x, "^[^@]*@", "")
-    x = F.when(F.startswith(x, F.lit("[")), F.regexp_extract(x, "^\\[([^\\]]*)\\]?", 1)).otherwise(F.regexp_replace(x, ":\\d*$", ""))
+    x = F.regexp_replace(x, "^\\[([^\\]]*)\\]?.*$|:\\d*$", "$1")  # in brackets, or without the port
     return F.rtrim(F.lower(x), F.lit("."))
 
 
@@ -68,6 +68,11 @@ def tld_poor(c: Column) -> Column:
     return _or_false(tld(c).isin(LOW_COST_TLDS))
 
 
+def is_ip(host: Column) -> Column:
+    octet = "(25[0-5]|2[0-4]\\d|1?\\d?\\d)"
+    return host.rlike(f"^{octet}(\\.{octet}){{3}}$|:")
+
+
 def registered_domain(host: Column, second_level: list[str] | None = None) -> Column:
     """The last two labels, or three under a multi-part suffix (or a listed second-level label); IPs stay."""
     parts = F.split(host, "\\.")
@@ -78,7 +83,7 @@ def registered_domain(host: Column, second_level: list[str] | None = None) -> Co
         three = (n >= 3) & F.get(parts, n - 2).isin(second_level)
     k = F.when(three, 3).otherwise(2)
     tail = F.array_join(F.slice(parts, F.greatest(n - k + 1, F.lit(1)), k), ".")
-    return F.when(host.rlike("^\\d{1,3}(\\.\\d{1,3}){3}$|:") | (n < 2), host).otherwise(tail)
+    return F.when(is_ip(host) | (n < 2), host).otherwise(tail)
 
 
 def is_hosted(host: Column) -> Column:

@@ -236,21 +236,6 @@ def keyset_pages(df: DataFrame, key: str, size: int) -> DataFrame:
     return spread.join(totals, "__r").select(key, F.floor((rank - 1) / size).alias("page"))
 
 
-def brand_known(domains: DataFrame, domain: str, brands: DataFrame, least: int = 6) -> DataFrame:
-    """domains plus brand_known: whether a brand keyword of least characters or more stands inside the lower-cased domain.
-
-    The substring condition becomes a hash join: a domain name (253 characters at most) is cut into its substrings of the
-    lengths that keywords have, so keywords may be many and nothing is compared pair by pair.
-    """
-    words = brands.filter(F.col("brand") & (F.length("keyword") >= least)).select(F.lower(F.trim("keyword")).alias("__word")).filter("__word <> ''").distinct()
-    lengths = sorted(r[0] for r in words.select(F.length("__word")).distinct().limit(253).collect())
-    name = F.lower(F.coalesce(F.col(domain), F.lit("")))
-    cut = lambda n: F.when(F.length(name) >= n, F.transform(F.sequence(F.lit(1), F.length(name) - n + 1), lambda i: F.substring(name, i, F.lit(n)))).otherwise(F.array().cast("array<string>"))
-    parts = F.array_distinct(F.concat(*map(cut, lengths))) if lengths else F.array().cast("array<string>")
-    hit = domains.select(domain).distinct().select(domain, F.explode(parts).alias("__word")).join(words, "__word", "left_semi").select(F.col(domain).alias("__d")).distinct()
-    return domains.join(hit, domains[domain] == hit["__d"], "left").withColumn("brand_known", F.col("__d").isNotNull()).drop("__d")
-
-
 def by_trimmed_name(items: DataFrame, item: str, known: DataFrame, name: str, value: str) -> DataFrame:
     """items plus value of the first known row (by value) whose name equals the trimmed item; null where there is none."""
     first = known.groupBy(F.col(name).alias("__n")).agg(F.min(value).alias(value))

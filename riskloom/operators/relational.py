@@ -48,7 +48,8 @@ def keyed_update(base: DataFrame, updates: DataFrame, key: str, columns: list[st
     checked = F.when(F.col("__n") > 1, F.raise_error(F.concat(F.lit("more than one update for key "), F.col("__k").cast("string")))).otherwise(F.lit(True))
     u = once.select("__k", *[F.col(c).alias(f"__{c}") for c in columns], checked.cast("boolean").alias("__hit"))
     x = base.join(u, F.col(key) == F.col("__k"), "left")
-    new = lambda c: F.coalesce(f"__{c}", c) if c in keep_old else F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c))
+    # Every new value asks for the check, so no plan can do without it.
+    new = lambda c: F.coalesce(F.when(F.col("__hit"), F.col(f"__{c}")), F.col(c)) if c in keep_old else F.when(F.col("__hit"), F.col(f"__{c}")).otherwise(F.col(c))
     return x.select(*[new(c).alias(c) if c in columns else F.col(c) for c in base.columns])
 
 

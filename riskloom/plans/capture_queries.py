@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.functions import text as tx
-from riskloom.operators import captures, relational, rules
+from riskloom.operators import captures, domains, relational, rules
 from riskloom.plans.queries import query
 from riskloom.sources import files
 from riskloom.sources.adapters import load
@@ -144,7 +144,7 @@ def _(s, d):
 
 @query("brand_domains", ["hub", "brands"], "select sec_domain_id, exists (select 1 from brands b where b.brand and length(b.keyword) >= 6 and contains(lower(h.sec_domain), lower(trim(b.keyword)))) as brand_known from hub h")
 def _(s, d):
-    return captures.brand_known(load(s, d, "hub").select("sec_domain_id", "sec_domain"), "sec_domain", load(s, d, "brands")).select("sec_domain_id", "brand_known")
+    return domains.brand_known(load(s, d, "hub").select("sec_domain_id", "sec_domain"), "sec_domain", load(s, d, "brands")).select("sec_domain_id", "brand_known")
 
 
 @query("first_wins", ["hub", "traffic_sources"], "select sec_domain_id, value, src from (select *, row_number() over (partition by sec_domain_id order by src) as rn from (select sec_domain_id, direct_share as value, 1 as src from traffic_sources union all select sec_domain_id, null, 2 from hub) u) x where rn = 1")

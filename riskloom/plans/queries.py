@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskloom.functions import pages, text as tx
-from riskloom.operators import captures, referrals, relational as rel, rules, scorers
+from riskloom.operators import captures, domains, referrals, relational as rel, rules, scorers
 from riskloom.sources import files
 from riskloom.sources.adapters import VIEWS, load, sql_with
 
@@ -53,7 +53,7 @@ _BRAND = "exists (select 1 from brands b where b.brand and contains(lower(h.sec_
 @query("rude_rules", ["hub", "brands"], f"select sec_domain_id, class_id, 'Rude Rules' as decision_source from (select sec_domain_id, cast(case when exc_domain_id is not null then 4 when {_BRAND} then 1 when regexp_matches(sec_domain, '{_BET}') then 6 end as int) as class_id from hub h where class_id is null) x where class_id is not null")
 def _(s, d):
     h = load(s, d, "hub").filter("class_id IS NULL").select("sec_domain_id", "sec_domain", "exc_domain_id")
-    h = captures.brand_known(h, "sec_domain", load(s, d, "brands"), least=1)
+    h = domains.brand_known(h, "sec_domain", load(s, d, "brands"), least=1)
     x = h.select("sec_domain_id", rules.rude_class(F.col("sec_domain"), F.col("exc_domain_id"), F.col("brand_known")).alias("class_id"), F.lit("Rude Rules").alias("decision_source"))
     return x.filter("class_id IS NOT NULL")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskloom.functions import text
@@ -28,35 +30,26 @@ def export_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).csv(path, header=True)
 
 
-def export_dated(frames: dict[str, DataFrame], folder: str, day: str) -> dict[str, str]:
-    """A folder of CSV for each query, named after it and the day (yyyy-MM-dd); their paths."""
-    paths = {name: f"{folder}/{name}_{day.replace('-', '')}" for name in frames}
+def export_dated(frames: dict[str, DataFrame], folder: str, day: datetime.date) -> dict[str, str]:
+    """A folder of CSV for each query, named after it and the day; their paths."""
+    paths = {name: f"{folder}/{name}_{day:%Y%m%d}" for name in frames}
     for name, df in frames.items():
         export_csv(df, paths[name])
     return paths
 
 
+def export_open(df: DataFrame, folder: str, day: datetime.date) -> str:
+    """Cleaned domains by the feature that is still open (columns feature, clean_domain), in one job: a folder of CSV for each feature below one of the day; its path."""
+    path = f"{folder}/clean_{day:%Y-%m-%d}"
+    df.select("feature", "clean_domain").repartition("feature", "clean_domain").write.mode("overwrite").partitionBy("feature").csv(path, header=True)
+    return path
+
+
 def append_csv(df: DataFrame, path: str, sep: str = ";") -> None:
     """Adds rows to a folder of CSV whose every part has the header, so that readers skip it in each and an empty folder gets one."""
     df.write.mode("append").csv(path, header=True, sep=sep)
 
 
-def cleaned_domains(df: DataFrame, domain: str, order: str, tlds: list[str] | None = None, keep_hosted: bool = True) -> DataFrame:
-    """(domain, first_seen): registered domains of a column, each where it stands first by order; those under tlds only, if given.
-
-    A name on a hosting platform keeps its own label, unless keep_hosted is off.
-    """
-    host = text.ascii_host(text.url_host(F.col(domain)))
-    hosted = text.is_hosted(host)
-    # a hosted name is its label beside the platform's two
-    own = F.array_join(F.slice(F.split(host, "\\."), F.greatest(F.size(F.split(host, "\\.")) - 2, F.lit(1)), 3), ".")
-    name = F.when(hosted & F.lit(keep_hosted), own).otherwise(text.registered_domain(host))
-    x = df.select(name.alias("domain"), F.col(order).alias("first_seen")).filter("domain <> ''")
-    if tlds is not None:
-        x = x.filter(text.tld(F.col("domain")).isin(tlds))
-    return x.groupBy("domain").agg(F.min("first_seen").alias("first_seen"))
-
-
 def append_new(df: DataFrame, known: DataFrame, key: str, path: str) -> None:
     """Appends a row for each key that isn't known yet."""
     df.dropDuplicates([key]).join(known.select(key), key, "left_anti").write.mode("append").parquet(path)

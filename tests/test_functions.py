@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.functions import pages, text as tx
-from riskloom.operators import captures, html_parse, relational, rules, scorers
+from riskloom.operators import captures, domains, html_parse, relational, rules, scorers
 
 
 def one(spark, f, values, kind="string"):
@@ -159,10 +159,10 @@ def test_names(spark):
 
 
 def test_brands(spark):
-    domains = spark.createDataFrame([(1, "my-ACMECORP.com"), (2, "acme.com"), (3, None), (4, "x")], "id long, name string")
+    names = spark.createDataFrame([(1, "my-ACMECORP.com"), (2, "acme.com"), (3, None), (4, "x")], "id long, name string")
     brands = spark.createDataFrame([("AcmeCorp ", True), ("acme", True), ("my-acm", False), (None, True)], "keyword string, brand boolean")
-    assert {r["id"] for r in captures.brand_known(domains, "name", brands).filter("brand_known").collect()} == {1}
-    assert captures.brand_known(domains, "name", brands.limit(0)).filter("brand_known").count() == 0
+    assert {r["id"] for r in domains.brand_known(names, "name", brands).filter("brand_known").collect()} == {1}
+    assert domains.brand_known(names, "name", brands.limit(0)).filter("brand_known").count() == 0
 
 
 def test_duplicate_updates(spark):

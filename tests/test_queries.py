@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as spark_functions
 
 from riskloom.operators import captures
-from riskloom.plans import capture_queries, page_queries, queries as plans  # noqa: F401
+from riskloom.plans import capture_queries, domain_queries, page_queries, queries as plans  # noqa: F401
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 

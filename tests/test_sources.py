@@ -1,3 +1,5 @@
+import datetime
+
 from riskloom.sources import files
 
 
@@ -31,16 +33,18 @@ def test_certificates(spark):
 
 
 def test_exports(spark, tmp_path):
-    df = spark.createDataFrame([("https://www.a.com/x", 2), ("a.com", 1), ("b.pages.dev", 3), ("c.ru", 4), ("http://münchen.de/x", 5)], "url string, seen int")
-    clean = files.cleaned_domains(df, "url", "seen")
-    assert {tuple(r) for r in clean.collect()} == {("a.com", 1), ("b.pages.dev", 3), ("c.ru", 4), ("xn--mnchen-3ya.de", 5)}
-    assert {r["domain"] for r in files.cleaned_domains(df, "url", "seen", ["com", "dev"], keep_hosted=False).collect()} == {"a.com", "pages.dev"}
-    paths = files.export_dated({"clean": clean}, str(tmp_path), "2025-03-04")
+    df = spark.createDataFrame([("a.com", 2), ("b.org", 1), ("c.ru", 4), ("d.de", 5)], "domain string, first_seen int")
+    paths = files.export_dated({"clean": df}, str(tmp_path), datetime.date(2025, 3, 4))
     assert paths == {"clean": f"{tmp_path}/clean_20250304"} and spark.read.csv(paths["clean"], header=True).count() == 4
     for _ in range(2):
-        files.append_csv(clean, str(tmp_path / "log"))
+        files.append_csv(df, str(tmp_path / "log"))
     back = spark.read.csv(str(tmp_path / "log"), header=True, sep=";")
     assert back.columns == ["domain", "first_seen"] and back.count() == 8
+    parts = spark.createDataFrame([("ssl_poor", "a.com"), ("ssl_poor", "b.org"), ("high_traffic", "a.com")], "feature string, clean_domain string")
+    path = files.export_open(parts, str(tmp_path), datetime.date(2025, 3, 4))
+    assert path.endswith("/clean_2025-03-04")
+    assert sorted(map(tuple, spark.read.csv(path, header=True).select("feature", "clean_domain").collect())) == sorted(map(tuple, parts.collect()))
+    assert [r[0] for r in spark.read.csv(f"{path}/feature=high_traffic", header=True).collect()] == ["a.com"]
 
 
 def test_serp(spark):
