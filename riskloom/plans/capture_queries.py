@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskloom.functions import text as tx
 from riskloom.operators import captures, domains, relational, rules
 from riskloom.plans.queries import query
+from riskloom.session import shared_folder
 from riskloom.sources import files
 from riskloom.sources.adapters import load
 from riskloom.streaming import responses
@@ -278,3 +279,18 @@ def _(s, d):
 def _(s, d):
     """The sessions of the stream, over the whole table at once."""
     return responses.sessions(s.read.parquet(f"{d}/events.parquet")).select("user_id", F.col("session_window.start").alias("start"), "n")
+
+
+@query("first_events", None, "select user_id, event_type, event_id, ts from (select *, row_number() over (partition by user_id, event_type order by ts, event_id) as rn from events) x where rn = 1")
+def _(s, d):
+    """What the deduplicated stream keeps, over the whole table at once."""
+    return responses.first_events(s.read.parquet(f"{d}/events.parquet"))
+
+
+@query("repeats_stream", None, """select user_id as site, event_id as seq, event_type as url from (select *, lag(event_type) over w as prev, row_number() over w as rn from events window w as (partition by user_id order by ts, event_id)) x where rn > 1 and event_type is distinct from prev""")
+def _(s, d):
+    """Responses without repeats from a stream over the landed events, which is run to its end; its state and rows live in the shared folder."""
+    responses.use_rocksdb(s)
+    path = f"{d}/[e]vents.parquet"  # as a pattern, which a stream reads whether it is a file or a folder
+    log = responses.read_events(s, path).select(F.col("user_id").alias("site"), F.col("event_id").alias("seq"), F.col("event_type").alias("url"), F.lit(200).alias("status"), "ts")
+    return responses.drained(responses.without_repeats(log, late="0 seconds"), shared_folder(s, "repeats")).select("site", "seq", "url")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -19,3 +22,14 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new path below the folder that driver and executors share, spark.checkpoint.dir; a temporary folder only where that is unset and all runs on one machine."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="riskloom-")
+    return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
