@@ -12,6 +12,8 @@ from urllib.parse import parse_qs, urlsplit
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from riskloom.operators.main_text import Segments, is_outside
+
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 COUNTED = ["div", "a", "img", "span", "li", "script", "link", "meta", "p"]
 #: Tokens of advertising, commerce and affiliate markup.
@@ -71,10 +73,10 @@ UNSEEN = frozenset(["script", "style", "meta", "link", "noscript"])
 class Element:
     """An open element: its own strings, and all strings inside where they are asked for."""
 
-    __slots__ = ("tag", "attrs", "own", "inner")
+    __slots__ = ("tag", "attrs", "own", "inner", "outside")
 
-    def __init__(self, tag: str, attrs: dict[str, str], inner: list[str] | None):
-        self.tag, self.attrs, self.own, self.inner = tag, attrs, [], inner
+    def __init__(self, tag: str, attrs: dict[str, str], inner: list[str] | None, outside: bool = False):
+        self.tag, self.attrs, self.own, self.inner, self.outside = tag, attrs, [], inner, outside
 
 
 class Page(HTMLParser):
@@ -88,6 +90,7 @@ class Page(HTMLParser):
         self.flags: set[str] = set()
         self.text: list[str] = []
         self.main: list[str] = []
+        self.segments = Segments()
         self.visible: list[str] = []
         self.scripts: list[str] = []
         self.sources: list[str] = []
@@ -169,10 +172,12 @@ class Page(HTMLParser):
             inner = []
             if tag != "a":
                 setattr(self, tag, inner)
-        if tag not in VOID:
-            self.open.append(Element(tag, a, inner))
-        elif tag == "a":
-            self.leave(Element(tag, a, inner))
+        if tag in VOID:
+            self.segments.opened(tag, False)
+        else:
+            outside = is_outside(tag, a)
+            self.segments.opened(tag, outside)
+            self.open.append(Element(tag, a, inner, outside))
 
     @staticmethod
     def is_affiliate(href: str) -> bool:
@@ -197,6 +202,7 @@ class Page(HTMLParser):
 
     def leave(self, e: Element) -> None:
         """What an element tells once all inside is known."""
+        self.segments.closed(e.tag, e.outside)
         if e.tag == "script":
             code = "".join(e.own)
             self.scripts.append(code)
@@ -218,6 +224,7 @@ class Page(HTMLParser):
             for e in self.open:
                 if e.inner is not None:
                     e.inner.append(data.strip())
+        self.segments.data(data)
         if not tags & HIDDEN:
             self.main.append(data)
         if not tags & UNSEEN:
@@ -280,7 +287,7 @@ def page_features(html: str | None) -> dict:
     p.finish()
     types = p.schema_types()
     scripts = " ".join([*filter(None, p.scripts), *p.sources])
-    text = "\n".join(x.strip() for x in p.main if x.strip())
+    text = p.segments.text() or " ".join(" ".join(p.main).split())  # without main text, all that isn't hidden
     paragraphs = [x for x in text.split("\n") if len(x.split()) >= 10]
     vendors = {name: bool(pattern.search(scripts)) for name, pattern in (("gpt", GPT), ("header_bidding", HEADER_BIDDING), ("arbitrage", ARBITRAGE))}
     heads = " ".join([" ".join(p.title or []), " ".join(p.h1 or [])])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.functions import pages
-from riskloom.operators import html_parse, rules, scorers
+from riskloom.operators import html_parse, json_ld, rules, scorers
 from riskloom.plans.queries import _BODY, _S, query
 from riskloom.sources.adapters import load
 
@@ -78,3 +78,22 @@ def _(s, d):
     mhtml = F.concat(F.lit("From: x\r\nContent-Type: text/html\r\nQ: y\r\n\r\n<!DOCTYPE html><html>x</html>\r\n------MultipartBoundary--z\r\nContent-Type: image/png\r\n\r\n"), F.col("url"))
     uri = F.concat(F.lit("a data:image/png;base64,"), F.repeat(F.lit("Ab+/"), 90), F.lit(") b"))
     return load(s, d, "snapshots").select("html_id", pages.mhtml_part(F.when(F.col("html_id") % 3 == 0, F.col("html_content")).otherwise(mhtml)).alias("part"), pages.scrub_data_uris(F.when(F.col("html_id") >= 0, uri)).alias("scrubbed"))
+
+
+def _per_category(text: str) -> str:
+    """A column for each category of structured data: {c} its name, {of} the test for its types, {full} the one for complete entries."""
+    quoted = lambda names: ", ".join(f"'{x}'" for x in sorted(names))
+    return ", ".join(text.format(c=c, of=f"t in ({quoted(members)})", full=f"10 * len(list_intersect(props, [{quoted(wanted)}])) >= 8 * {len(wanted)}") for c, (members, wanted) in html_parse.SCHEMA.items())
+
+
+@query("schema_metrics", ["structured_pages"], """, b as (select html_id, unnest(regexp_extract_all(html, '(?s)<script type=.application/ld.json.>(.*?)</script>', 1)) as b from structured_pages),
+i as (select html_id, unnest(case when json_type(b) = 'ARRAY' then cast(json_extract(b, '$[*]') as json[]) else [cast(b as json)] end) as i from b where json_valid(b)),
+o as (select html_id, json_keys(i) as props, json_extract(i, '$."@type"') as k from i where json_type(i) = 'OBJECT'),
+t as (select html_id, props, json_type(k) <> 'ARRAY' as single, unnest(case when json_type(k) = 'ARRAY' then json_extract_string(k, '$[*]') else [json_extract_string(k, '$')] end) as t from o where json_type(k) in ('ARRAY', 'VARCHAR')),
+c as (select html_id, count(distinct t) as schema_types, """.lstrip() + _per_category("count(*) filter ({of}) as schema_{c}, coalesce(bool_or({of} and {full}), false) as complete_{c}") + """,
+  coalesce(bool_or(single and t = 'Movie' and """ + f"10 * len(list_intersect(props, {sorted(html_parse.SCHEMA['movie'][1])!r})) >= 8 * {len(html_parse.SCHEMA['movie'][1])}" + """), false) as schema_movie_only from t group by 1)
+select p.html_id, cast(len(regexp_extract_all(html, '<script type=.application/ld.json.>')) as bigint) as schema_blocks, coalesce(schema_types, 0) as schema_types, coalesce(schema_types, 0) > 0 as has_schema, coalesce(schema_movie_only, false) as schema_movie_only,
+""" + _per_category("coalesce(schema_{c}, 0) as schema_{c}, coalesce(complete_{c}, false) as complete_{c}") + " from structured_pages p left join c on c.html_id = p.html_id")
+def _(s, d):
+    """Structured data of pages that hold it as objects, as lists, with one type or several, broken, or not at all."""
+    return json_ld.schema_metrics(load(s, d, "structured_pages"), "html_id", "html")

@@ -70,6 +70,13 @@ VIEWS: dict[str, str] = {
     "site_pages": "select site, 's' || cast(site as string) || '.com' as domain, case site % 16 when 0 then 'https://alliance4creativity.com/x' when 1 then 'https://other.example/' when 2 then 'https://www.s' || cast(site as string) || '.com/' when 3 then 'https://www.s' || cast(site as string) || '.com/a' else 'https://s' || cast(site as string) || '.com/' end as page_url, case site % 9 when 0 then '<p>Domain Seized</p>' when 1 then '<p>This is no longer available due to copyright</p>' when 2 then '<p>Cloudflare Ray ID 5</p>' when 3 then '<p>404 Not Found</p>' when 4 then '<p>bad request</p>' when 5 then '<p>Buy this domain</p>' else '<p>Welcome home</p>' end as html from (select distinct user_id as site from events) e",
     "brands": "select case p_partkey % 5 when 0 then 'b-' || cast(p_partkey as string) when 1 then 'building-' || cast(p_partkey as string) when 2 then 'Household-' || cast(p_partkey as string) when 3 then null else 'machinery-' || cast(p_partkey as string) end as keyword, p_partkey % 3 > 0 as brand from part",
     "crawl_urls": f"select sec_domain_id as k, ssl_poor, mfa_engagement, high_traffic, case sec_domain_id % 11 when 0 then 'https://user:pw@www.' || sec_domain || ':8443/p?q#f' when 1 then 'http://10.' || cast(sec_domain_id % 300 as string) || '.0.1/x' when 2 then 'm.a' || cast(sec_domain_id % 50 as string) || '.pages.dev' when 3 then 'w.x' || cast(sec_domain_id % 70 as string) || '.co.uk/a@b' when 4 then ' HTTPS://SHOP.b' || cast(sec_domain_id as string) || '.Example.COM. ' when 5 then 'http://[2001:db8::' || cast(sec_domain_id % 90 as string) || ']:80/' when 6 then 'www.s' || cast(sec_domain_id % 40 as string) || '.city.kawasaki.jp' when 7 then 'a.s' || cast(sec_domain_id % 40 as string) || '.b.kawasaki.jp' when 8 then 'co.uk' when 9 then case when sec_domain_id % 2 = 0 then '' end else 'db.host' || cast(sec_domain_id % 30 as string) || '.intranet' end as url from (select h.sec_domain_id, h.sec_domain, t.ssl_poor, t.mfa_engagement, t.high_traffic from ({_HUB}) h join ({_TREE}) t on t.sec_domain_id = h.sec_domain_id) z",
+    "structured_pages": """select page_id as html_id, html || case page_id % 8 when 0 then '<script type="application/ld+json">{"@type": "Movie", "name": "m' || cast(page_id as string) || '", "description": "d", "image": null, "datePublished": "x", "director": {"@type": "Person"}, "actor": [], "genre": "g"' || case when page_id % 3 = 0 then ', "provider": 1' else '' end || '}</script>'
+   when 1 then '<script type="application/ld+json"> [{"@type": "Product", "name": "n", "sku": 5}, {"@type": ["Book", "Thing"], "name": "b", "author": "a", "datePublished": 1, "isbn": "i", "publisher": "p", "description": "x"}] </script>'
+   when 2 then '<script type=''application/ld+json''>{"@type": ["VideoGame", "Product"], "name": "n", "description": "d", "image": "i", "gamePlatform": "g", "datePublished": "x", "publisher": "p"}</script>'
+   when 3 then '<script type="application/ld+json">{"@type": "Movie", </script><script type="application/ld+json">{"@type": "MusicGroup", "n' || cast(page_id % 4 as string) || '": 1}</script>'
+   when 4 then '<script type="text/javascript">{"@type": "Movie"}</script>'
+   when 5 then '<script type="application/ld+json">[1, "Movie", null, {"name": "x"}, {"@type": null}, {"@type": ["Movie", "Movie"], "@id": 1}, {"@type": "T' || cast(page_id % 5 as string) || '"}]</script>'
+   when 6 then '<script type="application/ld+json"></script>' else '' end as html from pages""",
     "suffixes": "select * from (values ('com'), ('net'), ('org'), ('xyz'), ('top'), ('dev'), ('uk'), ('co.uk'), ('jp'), ('*.kawasaki.jp'), ('!city.kawasaki.jp')) v(suffix)",
     "tld_list": "select * from (values ('co'), ('com'), ('Example'), ('kawasaki ')) v(tld)",
     "asn_lookup": "select s_suppkey as domain_id, case s_suppkey % 12 when 0 then 'RU' when 1 then 'CN' when 2 then 'US' when 3 then 'PA' when 4 then null when 5 then 'UK' when 6 then 'Viet Nam' when 7 then 'Iran, Islamic Republic of' when 8 then 'Venezuela, Bolivarian Republic of' when 9 then 'us' else 'DE' end as country, s_suppkey % 7 <> 0 as ok, case s_suppkey % 5 when 0 then null when 1 then '197414' else cast(s_suppkey as string) end as asn, case s_suppkey % 4 when 0 then 'unknown' when 1 then null else '2011-0' || cast(1 + s_suppkey % 9 as string) || '-10' end as asn_date, '10.0.' || cast(s_suppkey % 7 as string) || '.' || cast(s_suppkey % 200 as string) as ip from supplier",
@@ -83,10 +90,10 @@ def sql_with(names: list[str], body: str) -> str:
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One view as a lazy DataFrame; only the tables that it names are touched."""
-    text, used = VIEWS[name], {}
+    text, used = VIEWS[name].replace("{", "{{").replace("}", "}}"), {}  # spark.sql formats the text
     for t in TABLES:
         for kw in ("from", "join"):
             if f"{kw} {t} " in text + " " or f"{kw} {t})" in text:
                 used[t] = spark.read.parquet(f"{sf_dir}/{t}.parquet")
                 text = (text + " ").replace(f"{kw} {t} ", f"{kw} {{{t}}} ").replace(f"{kw} {t})", f"{kw} {{{t}}})")
-    return spark.sql(text, **used)
+    return spark.sql(text, **used) if used else spark.sql(VIEWS[name])

@@ -105,7 +105,7 @@ def test_parse():
         ('<script type="application/ld+json">{"@type": "Book", "name": 1, "author": 1, "isbn": 1}</script>', "complete_books", False),
         ('<script type="application/ld+json">{"@type": "Movie", "name": 1, "description": 1, "image": 1, "datePublished": 1, "director": 1, "actor": 1, "genre": 1}</script>', "schema_movie_only", True),
         ("<p>one two</p><svg>three</svg><noscript>four</noscript>", "words", 2),
-        ("<title>T</title><meta property='og:description' content=' D '><p>x</p>", "relevant_text", "T\n\nD\n\nT\nx"),
+        ("<title>T</title><meta property='og:description' content=' D '><p>x</p>", "relevant_text", "T\n\nD\n\nT x"),
         ("<p>a  b\n\n c</p><noscript>n</noscript> 😀d", "visible_text", "a b c d"),
         ("<iframe></iframe><p>" + "w " * 500 + "</p>", "iframes_per_1k", 2.0),
     ],
