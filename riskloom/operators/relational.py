@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from riskloom.functions.text import canonical_domain
 
@@ -53,6 +53,25 @@ def keyed_update(base: DataFrame, updates: DataFrame, key: str, columns: list[st
     return x.select(*[new(c).alias(c) if c in columns else F.col(c) for c in base.columns])
 
 
+def observed(df: DataFrame, by: dict[str, list], extra: dict[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+    """df, and an observation that counts its rows while whatever action reads it: all rows, rows by value of each column of by, and extra aggregates.
+
+    by lists the values that are told apart; rows of others, and of null, are counted together. What is observed comes with the write, without a scan of
+    its own, and is summed by Spark from the tasks that succeeded. ``counts`` reads it.
+    """
+    seen = Observation()
+    metrics = [F.count(F.lit(1)).alias("rows")]
+    for column, values in by.items():
+        known = F.coalesce(F.col(column).isin(values), F.lit(False))
+        metrics += [F.count_if(F.col(column) == F.lit(v)).alias(f"{column}={v}") for v in values] + [F.count_if(~known).alias(f"{column}=other")]
+    return df.observe(seen, *metrics, *[c.alias(n) for n, c in (extra or {}).items()]), seen
+
+
+def counts(seen: Observation) -> dict[str, int]:
+    """The observed numbers, by name; waits for the action that they come with."""
+    return {k: v for k, v in seen.get.items() if v is not None}
+
+
 def missing(hub: DataFrame, known: DataFrame, limit: int | None = None) -> DataFrame:
     """Domains of hub, newest first, that known holds neither with nor without www."""
     have = known.select(canonical_domain(F.col("domain")).alias("d")).distinct()

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.functions import text as tx
-from riskloom.operators import domains, relational
+from riskloom.operators import domains, relational, rules
 from riskloom.plans.queries import query
+from riskloom.session import shared_folder
+from riskloom.sources import commits
 from riskloom.sources.adapters import load
 
 _X = "regexp_replace(regexp_extract(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '^[^/?#]*'), '^[^@]*@', '')"
@@ -57,3 +59,26 @@ def _(s, d):
     k = F.col("sec_domain_id")
     new = load(s, d, "traffic_sources").select(k, F.when(k % 2 == 0, (k % 900).cast("int")).alias("html_length"))
     return relational.keyed_update(load(s, d, "hub").select("sec_domain_id", "html_length"), new, "sec_domain_id", ["html_length"], keep_old=["html_length"])
+
+
+@query("insert_certificates", ["certificates"], "select cert_id % 400 as domain, cert_id, issuer from certificates where cert_id % 400 < 300 and cert_id % 3 = 0 union all select cert_id % 400, cert_id, issuer from certificates where cert_id % 400 in (select cert_id % 400 from certificates where cert_id % 3 = 1) and cert_id % 400 not in (select cert_id % 400 from certificates where cert_id % 400 < 300 and cert_id % 3 = 0) and cert_id % 3 = 1")
+def _(s, d):
+    """Three inserts, the last a replay of the first: the rows of a domain go in once, with the first insert that has it."""
+    table = shared_folder(s, "certificates")
+    c = load(s, d, "certificates").select((F.col("cert_id") % 400).alias("domain"), "cert_id", "issuer")
+    first, second = c.filter("domain < 300 AND cert_id % 3 = 0"), c.filter("cert_id % 3 = 1")
+    for batch, df in (("a", first), ("b", second), ("a", first)):
+        commits.insert_new(df, table, "domain", batch)
+    return commits.read_table(s, table, c.schema)
+
+
+@query("update_counts", ["hub"], """select name, cast(n as bigint) as n from (select unnest(['rows', 'online_status=Online', 'online_status=Offline', 'online_status=Blocked', 'online_status=other', 'source=sql script', 'source=other', 'changed']) as name,
+ unnest([count(*), count_if(online_status = 'Online'), count_if(online_status = 'Offline'), count_if(online_status = 'Blocked'), count_if(online_status is null or online_status not in ('Online', 'Offline', 'Blocked')), count_if(hit), count_if(not hit), count_if(c2 is distinct from class_id or hit)]) as n from (select *, coalesce(coalesce(ad_count, 0) = 0 and c2 = 3, false) as hit from
+ (select *, case when media_type_id = 5 and c1 <> 10 then 10 else c1 end as c2 from (select *, case when media_type_id = 17 and (class_id is null or class_id = 9) then 11 else class_id end as c1 from hub) a) b) c) d""")
+def _(s, d):
+    """Counts by status and reason of the final overrides, told by the write itself."""
+    hub = load(s, d, "hub")
+    x = hub.select("sec_domain_id", "online_status", "class_id").join(rules.final_overrides(hub).select("sec_domain_id", "c", "source"), "sec_domain_id")
+    x, seen = relational.observed(x, {"online_status": ["Online", "Offline", "Blocked"], "source": ["sql script"]}, {"changed": F.count_if(~F.col("c").eqNullSafe(F.col("class_id")))})
+    x.select("sec_domain_id", "c", "source").write.parquet(shared_folder(s, "overrides"))
+    return s.createDataFrame(list(relational.counts(seen).items()), "name string, n long")
