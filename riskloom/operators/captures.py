@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions import pages
 from riskloom.operators import rules
+from riskloom.operators.ranges import first_rows, ranked
 
 #: Fixed values.
 MEDIA_TYPES = {
@@ -43,6 +44,17 @@ def url_domain(url: Column) -> Column:
     return F.regexp_extract(url, "https?://([^/]+)", 1)
 
 
+def scanned(log: DataFrame) -> DataFrame:
+    """(site, n_responses, last, scan): how many responses a site has, the status of its last one, and its first SCAN (seq, status, url) in order.
+
+    Counts and last ones are summed before the shuffle, and a task passes SCAN responses of a site on at most, so a site may have any number.
+    """
+    log = log.select("site", "seq", "status", "url")
+    ends = log.groupBy("site").agg(F.count("*").alias("n_responses"), F.max_by("status", "seq").alias("last"))
+    first = first_rows(log, "site", "seq", SCAN, "n").groupBy("site").agg(F.array_sort(F.collect_list(F.struct("seq", "status", "url"))).alias("scan"))
+    return ends.join(first, "site")
+
+
 def site_status(log: DataFrame, sites: DataFrame) -> DataFrame:
     """(site, n_responses, online_status, offline_type, redirect_url, status_msg) of each of sites (site, domain, page_url, html).
 
@@ -51,17 +63,16 @@ def site_status(log: DataFrame, sites: DataFrame) -> DataFrame:
     one, then one on another host. A redirect whose second response is no 200 ends with what the page says for the last status, unless
     that is online; else a 200 on the first response's host tells a redirect within it. A site without responses has no status.
     """
-    w = Window.partitionBy("site").orderBy("seq")
-    x = log.select("site", "seq", "status", "url").withColumns({"n": F.row_number().over(w), "start": url_domain(F.first("url").over(w))})
-    ok = (F.col("status") == 200) & F.col("n").between(2, SCAN)
-    home = F.contains(url_domain(F.col("url")), F.col("start"))
-    x = x.groupBy("site").agg(
-        F.count("*").alias("n_responses"),
-        F.max(F.when(F.col("n") == 1, F.col("status"))).alias("first"),
-        F.max(F.when(F.col("n") == 2, F.col("status"))).alias("second"),
-        F.max_by("status", "n").alias("last"),
-        F.bool_or(rules.yes(ok)).alias("ok"),
-        F.bool_or(rules.yes(ok & home)).alias("ok_home"),
+    oks = F.filter(F.slice("scan", 2, SCAN), lambda r: rules.yes(r["status"] == 200))
+    x = scanned(log).withColumns({"oks": oks, "start": url_domain(F.get("scan", F.lit(0))["url"])})
+    x = x.select(
+        "site",
+        "n_responses",
+        F.get("scan", F.lit(0))["status"].alias("first"),
+        F.get("scan", F.lit(1))["status"].alias("second"),
+        "last",
+        (F.size("oks") > 0).alias("ok"),
+        F.exists("oks", lambda r: rules.yes(F.contains(url_domain(r["url"]), F.col("start")))).alias("ok_home"),
     )
     x = sites.join(x, "site", "left").withColumns({"host": url_domain(F.col("page_url")), "text": pages.body_text(F.col("html"))})
     x = x.withColumn("parked", pages.parked(F.col("text"), F.col("html")))
@@ -106,11 +117,9 @@ def older_status(log: DataFrame, sites: DataFrame) -> DataFrame:
 
     A redirect that no 200 among responses 2 to SCAN follows has no status, nor has a site without responses.
     """
-    w = Window.partitionBy("site").orderBy("seq")
-    x = log.select("site", "seq", "status", "url").withColumns({"n": F.row_number().over(w), "start": url_domain(F.first("url").over(w))})
-    ok = rules.yes((F.col("status") == 200) & F.col("n").between(2, SCAN))
-    home = F.contains(url_domain(F.col("url")), F.col("start"))
-    x = x.groupBy("site").agg(F.count("*").alias("n_responses"), F.max(F.when(F.col("n") == 1, F.col("status"))).alias("first"), F.min(F.when(ok, F.struct("n", home.alias("home")))).alias("found"))
+    x = scanned(log).withColumn("start", url_domain(F.get("scan", F.lit(0))["url"]))
+    found = F.get(F.filter(F.slice("scan", 2, SCAN), lambda r: rules.yes(r["status"] == 200)), F.lit(0))
+    x = x.select("site", "n_responses", F.get("scan", F.lit(0))["status"].alias("first"), F.when(found.isNotNull(), F.struct(F.contains(url_domain(found["url"]), F.col("start")).alias("home"))).alias("found"))
     x = sites.join(x, "site", "left")
     has = lambda t: F.contains("html", F.lit(t))
     out = lambda status, kind: F.struct(F.lit(status).alias("online_status"), kind.alias("offline_type"))
@@ -226,14 +235,9 @@ def media_type_name(code: Column) -> Column:
 def keyset_pages(df: DataFrame, key: str, size: int) -> DataFrame:
     """(key, page): all rows by key in pages of size, as one pass would read them one after another.
 
-    A page's number is the rank of its keys: counted by ranges of keys first, so that no task ranks all of them.
+    A page's number is the rank of its keys, which may be of any type that has an order: no task ranks all of them.
     """
-    spread = df.select(key).withColumn("__r", F.floor(F.col(key) / (1 << 16)))
-    totals = spread.groupBy("__r").agg(F.count("*").alias("__m"))
-    before = Window.orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)  # over ranges, a row for 65,536 keys
-    totals = totals.withColumn("__b", F.coalesce(F.sum("__m").over(before), F.lit(0)))
-    rank = F.row_number().over(Window.partitionBy("__r").orderBy(key)) + F.col("__b")
-    return spread.join(totals, "__r").select(key, F.floor((rank - 1) / size).alias("page"))
+    return ranked(df.select(key), [key], "__rank").select(key, F.floor(F.col("__rank") / size).alias("page"))
 
 
 def by_trimmed_name(items: DataFrame, item: str, known: DataFrame, name: str, value: str) -> DataFrame:

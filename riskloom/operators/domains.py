@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskloom.functions import text
 
@@ -79,29 +79,31 @@ def open_features(hub: DataFrame, features: list[str]) -> DataFrame:
     return x.withColumn("feature", F.explode(F.when(some, F.col("__open")).otherwise(F.array(F.lit("all"))))).drop("__open")
 
 
-def grams(word: Column, sizes: list[int]) -> Column:
-    """Every substring of one of sizes characters with its place, as an array of (at, gram); at counts from 1."""
-    one = lambda n: F.when(F.length(word) >= n, F.transform(F.sequence(F.lit(1), F.length(word) - n + 1), lambda i: F.struct(i.alias("at"), F.substring(word, i, F.lit(n)).alias("gram"))))
-    return F.flatten(F.array_compact(F.array(*map(one, sizes))))
+def grams(df: DataFrame, word: str, sizes: Column, *more: Column) -> DataFrame:
+    """(word, *more, __at, __gram): every substring of one of sizes characters, with its place from 1 on."""
+    x = df.select(word, *more, F.explode(F.sequence(F.lit(1), F.length(word))).alias("__at"))
+    x = x.select("*", F.explode(sizes).alias("__size")).withColumn("__gram", F.substring(F.col(word), F.col("__at"), F.col("__size")))
+    return x.filter(F.length("__gram") == F.col("__size")).drop("__size")
 
 
 def keyword_hits(names: DataFrame, name: str, words: DataFrame, word: str) -> DataFrame:
     """(name, word, at): where keywords stand inside names; both columns are taken as they are, each value once.
 
-    An inverted index: a keyword is filed once, under its gram of GRAM characters (the whole keyword, if shorter) that the names hold least often,
-    with the gram's place in it. Names are cut into grams, those that no keyword has are dropped, and where a filed gram is met
-    the keyword has to stand around it. So a name costs a row for each of its grams that are filed, however many keywords there are or however long they are.
+    An inverted index: a keyword is filed once, under its gram of GRAM characters (the whole keyword, if shorter) that the fewest keywords have,
+    with the gram's place in it. Names are cut into grams of the sizes that are filed, in one pass, and where a filed gram is met
+    the keyword has to stand around it. So a name costs a row for each place of it, and one for each keyword filed under a gram of it, however many keywords there are.
     """
-    words = words.select(F.col(word).alias("__word")).filter("__word <> ''").distinct()
+    return _found(names, name, words, word).distinct()
+
+
+def _found(names: DataFrame, name: str, words: DataFrame, word: str) -> DataFrame:
+    """The rows of keyword_hits, as often as a name stands in names."""
+    words = words.select(F.col(word).alias("__word")).filter("__word <> ''")
     size = F.least(F.length("__word"), F.lit(GRAM))
-    filed = words.select("__word", F.explode(grams(F.col("__word"), list(range(1, GRAM + 1)))).alias("g")).filter(F.length("g.gram") == size).select("__word", F.col("g.at").alias("__off"), F.col("g.gram").alias("__gram"))
-    names = names.select(F.col(name).alias("__name")).filter("__name <> ''").distinct()
-    met = names.select("__name", F.explode(grams(F.col("__name"), list(range(1, GRAM + 1)))).alias("g")).select("__name", F.col("g.at").alias("__at"), F.col("g.gram").alias("__gram"))
-    met = met.join(filed.select("__gram").distinct(), "__gram", "left_semi")
-    often = met.groupBy("__gram").agg(F.count("*").alias("__n"))
-    # A gram that no name holds says that its keyword stands nowhere; the least count of a left join would be that one, too.
-    index = filed.join(often, "__gram", "left").groupBy("__word").agg(F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), "__gram", "__off")).alias("f"))
-    index = index.filter("f.n > 0").select("__word", F.col("f.__gram").alias("__gram"), F.col("f.__off").alias("__off"))
+    filed = grams(words, "__word", F.array(size)).withColumn("__n", F.count("*").over(Window.partitionBy("__gram")))
+    index = filed.groupBy("__word").agg(F.min(F.struct("__n", "__gram", "__at")).alias("f")).select("__word", F.col("f.__gram").alias("__gram"), F.col("f.__at").alias("__off"))
+    names = names.select(F.col(name).alias("__name")).filter("__name <> ''")
+    met = grams(names, "__name", words.agg(F.collect_set(size)).scalar())  # at most GRAM sizes
     at = F.col("__at") - F.col("__off") + 1
     found = met.join(index, "__gram").filter((at >= 1) & (F.substring(F.col("__name"), at, F.length("__word")) == F.col("__word")))
     return found.select(F.col("__name").alias("name"), F.col("__word").alias("word"), at.alias("at"))
@@ -111,5 +113,5 @@ def brand_known(domains: DataFrame, domain: str, brands: DataFrame, least: int =
     """domains plus brand_known: whether a brand keyword of least characters or more stands inside the lower-cased domain."""
     words = brands.filter(F.col("brand") & (F.length("keyword") >= least)).select(F.lower(F.trim("keyword")).alias("__w"))
     name = F.lower(F.coalesce(F.col(domain), F.lit("")))
-    hit = keyword_hits(domains.select(name.alias("__d")), "__d", words, "__w").select(F.col("name").alias("__hit")).distinct()
+    hit = _found(domains.select(name.alias("__d")), "__d", words, "__w").select(F.col("name").alias("__hit")).distinct()
     return domains.join(hit, name == F.col("__hit"), "left").withColumn("brand_known", F.col("__hit").isNotNull()).drop("__hit")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from riskloom.functions.text import canonical_domain
+from riskloom.operators.ranges import with_previous
 
 
 def latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -33,10 +34,9 @@ def on_address_bar(hub: DataFrame, bars: DataFrame) -> DataFrame:
 
 
 def without_repeats(log: DataFrame) -> DataFrame:
-    """Responses that differ from the one before, without the first of each site."""
-    w = Window.partitionBy("site").orderBy("seq")
-    kept = log.withColumn("prev", F.lag("url").over(w)).withColumn("first", F.row_number().over(w) == 1)
-    return kept.filter("NOT first AND url IS DISTINCT FROM prev").drop("prev", "first")
+    """Responses that differ from the one before, without the first of each site; a site's responses are dealt over ranges of their numbers."""
+    x = with_previous(log, "site", "seq", {"url": "__prev"})
+    return x.filter("NOT __first AND url IS DISTINCT FROM __prev").select(*log.columns)
 
 
 def keyed_update(base: DataFrame, updates: DataFrame, key: str, columns: list[str], keep_old: list[str] = ()) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.functions import text as tx
-from riskloom.operators import domains, relational, rules
+from riskloom.operators import captures, domains, referrals, relational, rules
 from riskloom.plans.queries import query
 from riskloom.session import shared_folder
 from riskloom.sources import commits
@@ -82,3 +82,27 @@ def _(s, d):
     x, seen = relational.observed(x, {"online_status": ["Online", "Offline", "Blocked"], "source": ["sql script"]}, {"changed": F.count_if(~F.col("c").eqNullSafe(F.col("class_id")))})
     x.select("sec_domain_id", "c", "source").write.parquet(shared_folder(s, "overrides"))
     return s.createDataFrame(list(relational.counts(seen).items()), "name string, n long")
+
+
+@query("keyset_pages_sparse", ["hub"], "select key, cast((row_number() over (order by key) - 1) // 30 as bigint) as page from (select sec_domain || '/' || cast((sec_domain_id * 7919) % 104729 as varchar) as key from hub) x")
+def _(s, d):
+    """Pages of 30 over keys of text, as far apart as they come."""
+    key = F.concat("sec_domain", F.lit("/"), ((F.col("sec_domain_id") * 7919) % 104729).cast("string"))
+    return captures.keyset_pages(load(s, d, "hub").select(key.alias("key")), "key", 30)
+
+
+_WINDOW = "date_trunc('month', max(month) - interval 5 month)"
+
+
+@query("referring_sites", ["referral_traffic", "domain_attributes"], f"""select d_sec_domain_id as sec_domain_id, count(distinct r_domain_id) as exact, true as near from referral_traffic r join domain_attributes a on a.domain_id = r.r_domain_id
+ where step_in_process = 2 and d_exc_domain_id is null and d_domain_id is null and (analyst_class in (1, 16) or (analyst_class is null and ml_class in (1, 3, 4, 5))) and month >= (select {_WINDOW} from referral_traffic) group by 1""")
+def _(s, d):
+    """The sketched number of infringing referrers beside the exact one: near means within 5 %, three standard errors, and half a referrer."""
+    m = referrals.rollup(load(s, d, "referral_traffic"))
+    a = load(s, d, "domain_attributes")
+    first = referrals.start_month(m).scalar()
+    about = referrals.referring_sites(referrals.referrer_sketches(m, a), first, m.agg(F.max("month")).scalar())
+    inf = a.filter(referrals.infringing(F.col("analyst_class"), F.col("ml_class"), [1, 3, 4, 5])).select(F.col("domain_id").alias("r_domain_id"))
+    exact = referrals.facts_of(m).join(inf, "r_domain_id", "left_semi").groupBy(F.col("d_sec_domain_id").alias("sec_domain_id")).agg(F.count_distinct("r_domain_id").alias("exact"))
+    near = F.abs(F.col("referring_sites") - F.col("exact")) <= 0.05 * F.col("exact") + 0.5
+    return exact.join(about, "sec_domain_id").select("sec_domain_id", "exact", near.alias("near"))

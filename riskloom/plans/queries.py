@@ -114,7 +114,7 @@ _METRICS = f"""select h.sec_domain_id, h.sec_domain_source, h.online_status, h.g
 
 def metrics(s: SparkSession, d: str, facts: str = "referral_traffic", monthly: DataFrame | None = None) -> DataFrame:
     v = {n: load(s, d, n) for n in _REF_VIEWS}
-    return referrals.referral_metrics(monthly or referrals.monthly(load(s, d, facts)), v["hub"], v["domain_attributes"], v["tenants_domain"], v["tenants"], v["ad_domains"], v["traffic_sources"])
+    return referrals.referral_metrics(monthly or referrals.rollup(load(s, d, facts)), v["hub"], v["domain_attributes"], v["tenants_domain"], v["tenants"], v["ad_domains"], v["traffic_sources"])
 
 
 query("referral_metrics", _REF_VIEWS, _METRICS)(metrics)
@@ -145,7 +145,7 @@ def _(s, d):
 
 
 def traffic_candidates(s: SparkSession, d: str) -> DataFrame:
-    m = referrals.monthly(load(s, d, "referral_traffic"))
+    m = referrals.rollup(load(s, d, "referral_traffic"))
     return referrals.candidates(metrics(s, d, monthly=m), referrals.without_referrals(load(s, d, "hub"), m, load(s, d, "traffic_sources")))
 
 

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as spark_functions
 
-from riskloom.operators import captures
+from riskloom.operators import referrals
 from riskloom.plans import capture_queries, domain_queries, page_queries, queries as plans, scorer_queries  # noqa: F401
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -46,8 +46,12 @@ def test_entry(spark):
     assert set(e.oracle_sql()) <= set(e.queries())
 
 
-def test_one_scan_of_the_facts(spark):
-    plan = plans.queries()["referral_metrics"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
-    assert "Union" not in plan and "Cross" not in plan and "scalar-subquery" in plan
-
-
+@pytest.mark.parametrize("name", ["referral_metrics", "traffic_class_v2"])
+def test_one_scan_of_the_facts(spark, monkeypatch, name):
+    """The facts are read once, when they are rolled up; what is asked then reads the roll-up, without unions over the facts and cross joins."""
+    rolled, real = [], referrals.rollup
+    monkeypatch.setattr(referrals, "rollup", lambda rt: rolled.append(rt) or real(rt))
+    plan = plans.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert len(rolled) == 1 and rolled[0]._jdf.queryExecution().optimizedPlan().toString().count("l_orderkey#") >= 1
+    assert "l_orderkey" not in plan and "Cross" not in plan and "scalar-subquery" in plan
+    assert name != "referral_metrics" or "Union" not in plan
