@@ -307,10 +307,11 @@ def page_features(html: str | None) -> dict:
     }
 
 
-def parse_pages(df: DataFrame, key: str, html: str) -> DataFrame:
+def parse_pages(df: DataFrame, key: str, html: str, parts: int | None = None) -> DataFrame:
     """(key, features…) of each row; pages are parsed batch by batch and never gathered.
 
-    Parsing costs far more than moving a page, so a table that is read as a few large parts is dealt to all cores first.
+    Parsing costs far more than moving a page, so pages are dealt to parts tasks first: by default to all cores, if they come from fewer files than there
+    are cores, and as they are read, if from more.
     """
     names = [*INTS, *FLAGS, *REALS, *TEXTS, *LISTS]
     kinds = [*[pa.int64()] * len(INTS), *[pa.bool_()] * len(FLAGS), *[pa.float64()] * len(REALS), *[pa.string()] * len(TEXTS), *[pa.list_(pa.string())] * len(LISTS)]
@@ -323,11 +324,10 @@ def parse_pages(df: DataFrame, key: str, html: str) -> DataFrame:
                 yield pa.record_batch([b.column(0), *(pa.array([r[n] for r in rows], k) for n, k in zip(names, kinds))], names=[key, *names])
 
     pages = df.select(key, html)
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    read = int(str(pages._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if read < cores * int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()):
-        pages = pages.repartition(cores)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = parts or (cores if len(pages.inputFiles()) < cores else None)
+    if parts:
+        pages = pages.repartition(parts)
     return pages.mapInArrow(run, f"{key} {df.schema[key].dataType.simpleString()}, {DDL}")
 
 

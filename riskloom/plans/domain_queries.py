@@ -8,7 +8,7 @@ from riskloom.functions import text as tx
 from riskloom.operators import captures, domains, referrals, relational, rules
 from riskloom.plans.queries import query
 from riskloom.session import shared_folder
-from riskloom.sources import commits
+from riskloom.sources import commits, files
 from riskloom.sources.adapters import load
 
 _X = "regexp_replace(regexp_extract(regexp_replace(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://', ''), '^[^/?#]*'), '^[^@]*@', '')"
@@ -106,3 +106,13 @@ def _(s, d):
     exact = referrals.facts_of(m).join(inf, "r_domain_id", "left_semi").groupBy(F.col("d_sec_domain_id").alias("sec_domain_id")).agg(F.count_distinct("r_domain_id").alias("exact"))
     near = F.abs(F.col("referring_sites") - F.col("exact")) <= 0.05 * F.col("exact") + 0.5
     return exact.join(about, "sec_domain_id").select("sec_domain_id", "exact", near.alias("near"))
+
+
+@query("landed_rows", ["hub"], "select sec_domain_id, sec_domain, class_id, google_search_results from hub where sec_domain_id % 2 = 0 or sec_domain_id % 3 = 0")
+def _(s, d):
+    """Rows that went out as delimited files in two appends, each part with its header, and came back typed, nulls included."""
+    path = shared_folder(s, "rows")
+    h = load(s, d, "hub").select("sec_domain_id", "sec_domain", "class_id", "google_search_results")
+    files.append_csv(h.filter("sec_domain_id % 2 = 0"), path)
+    files.append_csv(h.filter("sec_domain_id % 2 = 1 AND sec_domain_id % 3 = 0"), path)
+    return files.read_delimited(s, path, "sec_domain_id long, sec_domain string, class_id int, google_search_results int")

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskloom.functions import pages
-from riskloom.operators import html_parse, json_ld, rules, scorers
+from riskloom.operators import captures, html_parse, json_ld, relational, rules, scorers
 from riskloom.plans.queries import _BODY, _S, query
-from riskloom.sources.adapters import load
+from riskloom.sources.adapters import PARAGRAPH, load
 
 _ANY = lambda text, signals: "len(list_filter([" + ", ".join("'" + x.replace("'", "''") + "'" for x in signals) + f"], lambda x: contains({text}, x))) > 0"
 _SOFT = " + ".join(f"case when contains(t, '{x}') then {w} else 0 end" for x, w in pages.PARKED_SOFT.items())
@@ -97,3 +97,52 @@ select p.html_id, cast(len(regexp_extract_all(html, '<script type=.application/l
 def _(s, d):
     """Structured data of pages that hold it as objects, as lists, with one type or several, broken, or not at all."""
     return json_ld.schema_metrics(load(s, d, "structured_pages"), "html_id", "html")
+
+
+#: What each field of a page of field_pages has to be, from the remainders that the page was made of.
+_N, _W = len(PARAGRAPH), len(PARAGRAPH.split())
+_KIDS = "a + 2 * d + b + 2 * c + cast(e < 2 as int) + cast(g < 2 as int) + cast(a = 0 as int) + cast(b = 0 as int) + 2 * e + 1 + d"
+_WANTED = {
+    "max_depth": "3", "node_count": f"6 + cast(c = 1 as int) + {_KIDS}", "avg_depth": f"cast(11 + 3 * (cast(c = 1 as int) + {_KIDS}) as double) / (6 + cast(c = 1 as int) + {_KIDS})",
+    "inline_scripts": "cast(a = 0 as int)", "inline_bytes": "13 * cast(a = 0 as int)", "text_length": f"case when c = 0 then 11 else 4 end + 4 * e + cast(g = 1 as int) + 13 * cast(a = 0 as int) + {_N} * (1 + d)",
+    "ad_slots": "a + d", "ad_like": "a + d", "iframes": "b", "ins": "c", "amp_ads": "d", "rec_widgets": "e", "pagination_hits": "e", "rel_next": "cast(c = 1 as int)", "shop_signals": "c", "ad_scripts": "0",
+    "slot_adsense_ins": "c", "slot_generic_div_class": "d", "total_ad_slots": "c + d", "schema_blocks": "0", "words": f"{_W} * (1 + d)", "long_paragraphs": "1 + d",
+    "n_div": "a + d + cast(e = 0 as int) + cast(g = 0 as int) + e", "n_a": "e + cast(g = 1 as int)", "n_img": "c", "n_script": "cast(a = 0 as int) + cast(b = 0 as int)", "n_p": "1 + d", "n_link": "cast(c = 1 as int)", "n_meta": "1",
+    "gpt": "a = 0", "header_bidding": "b = 0", "arbitrage": "false", "sticky": "e = 0", "autoplay": "e = 1", "overlay": "g = 0", "affiliate": "g = 1", "clickbait": "c = 0", "has_schema": "false",
+    "repetition": "cast(d as double)", "text_to_html": f"cast({_N} * (1 + d) + d as double) / length(html)", "ad_to_text": f"cast(a + d as double) / ({_W} * (1 + d))", "iframes_per_1k": "b / cast(0.1 as double)",
+    "main_text": f"case when d = 1 then '{PARAGRAPH}' || chr(10) || '{PARAGRAPH}' else '{PARAGRAPH}' end",
+    "relevant_text": f"case when c = 0 then 'Top 7 of it' else 'Calm' end || chr(10) || chr(10) || 'D' || cast(html_id as varchar) || chr(10) || chr(10) || case when d = 1 then '{PARAGRAPH}' || chr(10) || '{PARAGRAPH}' else '{PARAGRAPH}' end",
+    "mfa_score": "case when a = 0 or b = 0 then 10 else 0 end + case when e < 2 or g = 0 then 10 else 0 end + case when e > 3 then 25 when e > 0 then 20 else 0 end + case when a + d > 0 then 8 else 0 end + case when e + 2 * cast(c = 1 as int) > 5 then 10 when e + 2 * cast(c = 1 as int) > 2 then 4 else 0 end + 5 * d",
+}
+_LONG = {c for c in html_parse.INTS}
+
+
+@query("page_fields", ["field_pages"], "select html_id, " + ", ".join(f"{f'cast({v} as bigint)' if c in _LONG else f'cast({v} as int)' if c == 'mfa_score' else v} as {c}" for c, v in _WANTED.items()) + " from field_pages")
+def _(s, d):
+    """Fields of the whole parse on pages that SQL can tell them of, and the score that they give."""
+    p = html_parse.parse_pages(load(s, d, "field_pages"), "html_id", "html").withColumn("mfa_score", html_parse.mfa_score().cast("int"))
+    return p.select("html_id", *_WANTED)
+
+
+_REJECTED = ", ".join("'" + x.replace("'", "''") + "'" for x in pages.INVALID_CAPTURE)
+
+
+@query("capture_parts", ["captures"], f"""select capture_id, is_bid, case when is_bid then nullif(regexp_extract(body, '"publisher"\\s*:\\s*"([^"]+)"', 1), '') end as publisher, case when is_bid then nullif(regexp_extract(body, '"buyer"\\s*:\\s*"([^"]+)"', 1), '') end as buyer,
+  coalesce(contains(lower(body), 'vast') and contains(lower(body), 'xml version'), false) as is_vast, list_filter(string_split(popups, ' '), lambda x: x not in ('about:blank', 'chrome-error://chromewebdata/', '')) as popups, len(string_split(text, ' ')) >= 4 and len(list_filter([{_REJECTED}], lambda x: contains(text, x))) = 0 as valid,
+  regexp_replace(part, 'data:[a-z]+/[a-z]+;base64,[A-Za-z0-9+/]+', 'data:[base64]') as part
+ from (select *, coalesce(contains(body, '"cpm":') and json_valid(body), false) as is_bid, case when spot = 0 then mhtml when cut <> '' then cut else p end as part from
+ (select *, regexp_extract(p, '(?s)^(.*?)(\\r?\\n------MultipartBoundary|\\r?\\n--[-=_A-Za-z0-9]{{10,}}|\\r?\\nContent-Type: image)', 1) as cut from
+ (select *, substring(q, cast(case when instr(lower(q), '<!doctype') > 0 then instr(lower(q), '<!doctype') when instr(lower(q), '<html') > 0 then instr(lower(q), '<html') else 1 end as int)) as p from (select *, instr(mhtml, 'Content-Type: text/html') as spot, substring(mhtml, cast(greatest(instr(mhtml, 'Content-Type: text/html'), 1) as int)) as q from captures) a) b) c) d""")
+def _(s, d):
+    """What landed captures hold: bids, popups, whether the text shows a site, and the HTML part of the snapshot without embedded data."""
+    x = load(s, d, "captures")
+    b = captures.bid(F.col("body"))
+    popups = F.filter(captures.popups(F.split("popups", " ")), lambda u: u != "")
+    part = pages.scrub_data_uris(pages.mhtml_part(F.col("mhtml")))
+    return x.select("capture_id", *[v.alias(k) for k, v in b.items()], captures.is_vast(F.col("body")).alias("is_vast"), popups.alias("popups"), pages.valid_capture(F.col("text")).alias("valid"), part.alias("part"))
+
+
+@query("html_work_list_wide", ["hub", "wide_snapshots"], "select distinct h.sec_domain_id from hub h join wide_snapshots p on p.sec_domain_id = h.sec_domain_id where graymarket_label is null and online_status = 'Online' and redirect_domain = false and exc_domain_id is null and added > date '2025-01-01' and class_id is null")
+def _(s, d):
+    """WL-15 over snapshots of many domains."""
+    return load(s, d, "hub").filter(relational.WORK_LISTS["WL-15"]).join(load(s, d, "wide_snapshots"), "sec_domain_id", "left_semi").select("sec_domain_id")

@@ -47,7 +47,16 @@ _REFERRAL = f"""select o_custkey as d_sec_domain_id, h.sec_domain as destination
   case when o_custkey % 29 = 0 then o_custkey end as d_exc_domain_id, case when o_custkey % 31 = 0 then o_custkey end as d_domain_id
 from lineitem join orders on l_orderkey = o_orderkey join ({_HUB}) h on h.sec_domain_id = o_custkey"""
 
+#: A paragraph of main text, and pages whose every field follows from the remainders of their number.
+PARAGRAPH = "The river rose all night and by the morning the lower streets of the town stood under water, which the older people had seen only once before in their lives, while the council opened the school for the families who had to leave at short notice"
+_FIELD_PAGES = f"""select html_id, a, b, c, d, e, g, '<html><head><title>' || case when c = 0 then 'Top 7 of it' else 'Calm' end || '</title><meta name="description" content=" D' || cast(html_id as string) || ' ">' || case when c = 1 then '<link rel="prefetch next" href="/2">' else '' end || '</head><body>'
+ || repeat('<div class="ad banner"></div>', a) || repeat('<div class="x ad-slot"></div>', d) || repeat('<iframe src="/f"></iframe>', b) || repeat('<ins class="adsbygoogle"></ins>', c) || repeat('<amp-ad></amp-ad>', d)
+ || case when e = 0 then '<div style="position: fixed"></div>' when e = 1 then '<video autoplay muted></video>' else '' end || case when g = 0 then '<div class="my popup"></div>' when g = 1 then '<a href="https://amzn.to/x">y</a>' else '' end
+ || case when a = 0 then '<script>googletag.cmd</script>' else '' end || case when b = 0 then '<script src="//x.example/prebid.js"></script>' else '' end || repeat('<div class="taboola-x"></div>', e) || repeat('<a href="/page/2">more</a>', e) || repeat('<img src="https://cdn.shopify.com/a.png">', c)
+ || repeat('<p>{PARAGRAPH}</p>', 1 + d) || '</body></html>' as html from (select page_id as html_id, cast(page_id % 5 as int) as a, cast(page_id % 4 as int) as b, cast(page_id % 3 as int) as c, cast(page_id % 2 as int) as d, cast(page_id % 6 as int) as e, cast(page_id % 7 as int) as g from pages) x"""
+
 VIEWS: dict[str, str] = {
+    "field_pages": _FIELD_PAGES,
     "hub": _HUB,
     "tree": _TREE,
     "referral_traffic": _REFERRAL,
@@ -77,6 +86,12 @@ VIEWS: dict[str, str] = {
    when 4 then '<script type="text/javascript">{"@type": "Movie"}</script>'
    when 5 then '<script type="application/ld+json">[1, "Movie", null, {"name": "x"}, {"@type": null}, {"@type": ["Movie", "Movie"], "@id": 1}, {"@type": "T' || cast(page_id % 5 as string) || '"}]</script>'
    when 6 then '<script type="application/ld+json"></script>' else '' end as html from pages""",
+    "wide_snapshots": "select page_id as html_id, 1 + (page_id * 19) % 1500 as sec_domain_id, url, html as html_content from pages",
+    "captures": """select page_id as capture_id, 'From: x' || chr(13) || chr(10) || case page_id % 5 when 0 then 'Content-Type: text/plain' when 1 then 'Content-Type: text/html; charset=utf-8' else 'Content-Type: text/html' end || chr(13) || chr(10) || 'Q: y' || chr(13) || chr(10) || chr(13) || chr(10) || case page_id % 3 when 0 then '<!DOCTYPE html>' when 1 then '<HTML lang="x">' else 'bare ' end || url || case page_id % 4 when 0 then '<img src="data:image/png;base64,' || repeat('Ab+/', 90) || '">' else '' end
+   || case page_id % 7 when 0 then '' when 1 then chr(10) || '--abcdefghij12' || chr(10) || 'z' when 2 then chr(10) || 'Content-Type: image/png' || chr(10) else chr(13) || chr(10) || '------MultipartBoundary--z' || chr(13) || chr(10) || 'Content-Type: image/png' end as mhtml,
+  case page_id % 6 when 0 then '{"cpm": ' || cast(page_id % 17 as string) || ', "publisher": "p' || cast(page_id as string) || '", "buyer": "' || case when page_id % 4 = 0 then '' else 'b' || cast(page_id % 13 as string) end || '"}' when 1 then '{"cpm": 1,' when 2 then '<?XML version="1.0"?><VAST id="' || cast(page_id as string) || '"/>' when 3 then '{"price": 2, "publisher": "q"}' when 4 then null else '[{"publisher" : "r", "cpm":3}]' end as body,
+  case page_id % 4 when 0 then 'about:blank' when 1 then url || ' chrome-error://chromewebdata/' when 2 then url || ' about:blank ' || url else '' end as popups,
+  case page_id % 9 when 0 then 'Pulsa en Permitir' when 1 then 'hello and Welcome to nginx! on this host' when 2 then 'we saw Error code 520 here today' when 3 then 'three words only' when 4 then 'Connection timed out' else 'four words or more ' || url end as text from pages""",
     "suffixes": "select * from (values ('com'), ('net'), ('org'), ('xyz'), ('top'), ('dev'), ('uk'), ('co.uk'), ('jp'), ('*.kawasaki.jp'), ('!city.kawasaki.jp')) v(suffix)",
     "tld_list": "select * from (values ('co'), ('com'), ('Example'), ('kawasaki ')) v(tld)",
     "asn_lookup": "select s_suppkey as domain_id, case s_suppkey % 12 when 0 then 'RU' when 1 then 'CN' when 2 then 'US' when 3 then 'PA' when 4 then null when 5 then 'UK' when 6 then 'Viet Nam' when 7 then 'Iran, Islamic Republic of' when 8 then 'Venezuela, Bolivarian Republic of' when 9 then 'us' else 'DE' end as country, s_suppkey % 7 <> 0 as ok, case s_suppkey % 5 when 0 then null when 1 then '197414' else cast(s_suppkey as string) end as asn, case s_suppkey % 4 when 0 then 'unknown' when 1 then null else '2011-0' || cast(1 + s_suppkey % 9 as string) || '-10' end as asn_date, '10.0.' || cast(s_suppkey % 7 as string) || '.' || cast(s_suppkey % 200 as string) as ip from supplier",
