@@ -6,6 +6,10 @@ documents, rare first. A block that reaches ceil(t * |T|) tokens of T has one of
 |T| - ceil(t * |T|) + 1 of them (prefix filter); it has that many distinct tokens itself (length
 filter); and what can still follow the first common token bounds the overlap (positional filter).
 What passes is counted exactly.
+
+Two checks follow the join. A template of few words is no notice if its words are scattered over a block, so they have to stand in a window that
+is little longer than the template. And where a block meets a template and another that holds all its words, the more specific one counts if
+the block has the words that tell them apart, else the other.
 """
 
 from __future__ import annotations
@@ -29,9 +33,15 @@ TEMPLATES = {
     "CC-BY-4.0": "Licensed under CC BY 4.0",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0",
     "GPL-3.0": "Released under the GNU General Public License version 3",
     "GPL-2.0": "Released under the GNU General Public License version 2",
     "LGPL": "Released under the GNU Lesser General Public License",
+    "LGPL-2.1": "Released under the GNU Lesser General Public License version 2.1",
+    "LGPL-3.0": "Released under the GNU Lesser General Public License version 3",
+    "AGPL-3.0": "Released under the GNU Affero General Public License version 3",
     "BSD-3-Clause": "Redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
     "MIT-text": "Permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files to deal in the software without restriction",
     "MIT-grant": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
@@ -50,6 +60,8 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 CONTAINMENT = 0.9
+#: Words of a template that has to stand together, and how many others may stand between them.
+SHORT, BETWEEN = 12, 2
 #: Bytes that part words: ASCII other than letters and digits; A-Z become a-z.
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 _BLOCK = re.compile(rb"\n")
@@ -76,6 +88,7 @@ class TemplateIndex:
             for at, r in enumerate(ordered[: len(ordered) - need + 1]):
                 self.prefix.setdefault(by_rank[r], []).append((len(self.templates), at))
             self.templates.append((name, tokens, ordered, need))
+        self.by_name = {name: (tokens, need, len(words(TEMPLATES[name].encode()))) for name, tokens, _, need in self.templates}
 
     def search(self, block: list[bytes]) -> list[tuple[str, float]]:
         """Templates that the block contains to the threshold, with the share of tokens found."""
@@ -98,6 +111,27 @@ class TemplateIndex:
         return out
 
 
+    def specific(self, block: list[bytes], matches: list[tuple[str, float]]) -> list[tuple[str, float]]:
+        """The matches of a block whose words stand together, without those that a more specific one explains."""
+        kept = {}
+        for name, share in matches:
+            tokens, need, length = self.by_name[name]
+            if length <= SHORT:
+                held = [w if w in tokens else None for w in block]
+                n = max(len(set(held[k : k + length + BETWEEN]) - {None}) for k in range(len(held)))
+                if n < need:
+                    continue
+                share = n / len(tokens)
+            kept[name] = share
+        have, gone = set(block), set()
+        for a in kept:
+            for b in kept:
+                small, large = self.by_name[a][0], self.by_name[b][0]
+                if small < large:
+                    gone.add(a if large - small <= have else b)
+        return [(name, share) for name, share in kept.items() if name not in gone]
+
+
 def token_frequencies(docs: DataFrame, text_col: str = "text") -> dict[bytes, int]:
     """How often each template token stands in all documents (a result of the templates' size)."""
     vocab = frozenset(w for t in TEMPLATES.values() for w in words(t.encode()))
@@ -133,19 +167,19 @@ def phrase_places(found: list[bytes]) -> list[tuple[int, int, str]]:
 def block_matches(ix: TemplateIndex, raw: bytes) -> list[tuple[int, str, float]]:
     """(line, template, share) of the lines, and of the paragraphs (by their first line) where no line has as much."""
     out: list[tuple[int, str, float]] = []
-    start, have, best = 0, set(), {}
+    start, all_words, best = 0, [], {}
     lines = _BLOCK.split(raw)
     for k, line in enumerate([*lines, b""]):
         if line.strip():
             held = words(line)
-            for name, share in ix.search(held):
+            for name, share in ix.specific(held, ix.search(held)):
                 out.append((k, name, share))
                 best[name] = max(share, best.get(name, 0.0))
-            have |= ix.vocab.intersection(held)
+            all_words += held
             continue
         if k - start > 1:
-            out += [(start, name, share) for name, share in ix.search(list(have)) if share > best.get(name, 0.0)]
-        start, have, best = k + 1, set(), {}
+            out += [(start, name, share) for name, share in ix.specific(all_words, ix.search(all_words)) if share > best.get(name, 0.0)]
+        start, all_words, best = k + 1, [], {}
     return sorted(out)
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from riskloom.llm.chat_format import BUDGET, HISTORY, MARKUP, TOKEN
-from riskloom.llm.license_scan import CONTAINMENT, PHRASES, TEMPLATES
+from riskloom.llm.license_scan import BETWEEN, CONTAINMENT, PHRASES, SHORT, TEMPLATES
 from riskloom.llm.mixing import LEAST_QUALITY, SYMBOLS, WEIGHTS
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -29,7 +29,7 @@ select w.doc_id, coalesce(max(n.n), 0) as n_shingles, min(r.b) as component_id f
 
 _W = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 _PHRASES = ", ".join(f"({p.split()!r}, '{label}')" for p, label in PHRASES)
-_TEMPLATES = ", ".join(f"(list_distinct(regexp_extract_all('{t.lower()}', '[a-z0-9]+')), '{n}')" for n, t in TEMPLATES.items())
+_TEMPLATES = ", ".join(f"(list_distinct(regexp_extract_all('{t.lower()}', '[a-z0-9]+')), len(regexp_extract_all('{t.lower()}', '[a-z0-9]+')), '{n}')" for n, t in TEMPLATES.items())
 
 LICENSES = f"""
 with d as (select doc_id, {_FOLD} as t from documents),
@@ -38,8 +38,12 @@ hit as (select doc_id, unnest(list_filter(range(1, len(w) + 1), lambda i: w[i:i
   from w, (values {_PHRASES}) v(p, label) where list_contains(w, p[1]) and list_contains(w, p[2])),
 base as (select doc_id, count(*) as n, min(spot) as lo, max(spot) as hi, list_distinct(list(label)) as labels from hit group by 1),
 block as (select doc_id, unnest(string_split(t, chr(10))) as b from d union all select doc_id, unnest(regexp_split_to_array(t, '\\n[\\x20\\x09-\\x0D]*\\n')) from d),
-line as (select doc_id, list_distinct(regexp_extract_all(b, '{_W}')) as b from block),
-met as (select doc_id, name, len(list_intersect(b, tpl)) / len(tpl) as share from line, (values {_TEMPLATES}) v(tpl, name) where len(list_intersect(b, tpl)) >= ceil({CONTAINMENT} * len(tpl) - 1e-9)),
+line as (select doc_id, row_number() over () as k, regexp_extract_all(b, '{_W}') as bw, list_distinct(regexp_extract_all(b, '{_W}')) as b from block),
+near as (select *, ceil({CONTAINMENT} * len(tpl) - 1e-9) as need from line, (values {_TEMPLATES}) v(tpl, size, name)),
+held as (select doc_id, k, name, tpl, b, need, case when size <= {SHORT} then list_max(list_transform(range(1, len(bw) + 1), lambda i: len(list_intersect(list_distinct(bw[i:i + size + {BETWEEN} - 1]), tpl)))) else len(list_intersect(b, tpl)) end as n from near where len(list_intersect(b, tpl)) >= need),
+whole as (select *, n / len(tpl) as share from held where n >= need),
+gone as (select distinct x.k, case when list_has_all(x.b, list_filter(y.tpl, lambda w: not list_contains(x.tpl, w))) then x.name else y.name end as name from whole x join whole y on x.k = y.k and len(x.tpl) < len(y.tpl) and list_has_all(y.tpl, x.tpl)),
+met as (select whole.* from whole where not exists (select 1 from gone where gone.k = whole.k and gone.name = whole.name)),
 more as (select doc_id, list_distinct(list(name)) as labels, max(share) as share from met group by 1)
 select w.doc_id, cast(len(w.w) as bigint) as n_words, coalesce(base.n, 0) as n_base, base.lo as first_word, base.hi as last_word,
   array_to_string(list_sort(coalesce(base.labels, [])), ',') as base_labels,

@@ -495,6 +495,38 @@ def test_decontamination_is_exact(spark):
         assert sum(tuple(w[k : k + n]) in have for k in range(len(w) - n + 1)) >= r["n_windows"] - 1
 
 
+def test_specific_licenses(spark, tmp_path):
+    """One label for a notice, whichever others hold its words; none for words that are scattered; SQL says the same."""
+    import duckdb
+
+    from riskloom.llm import registry
+
+    gnu = "Released under the GNU Lesser General Public License version 3"
+    cases = {
+        "Licensed under CC BY-NC 4.0": "CC-BY-NC-4.0,cc-by",
+        "Licensed under CC BY-SA 4.0": "CC-BY-SA-4.0,cc-by",
+        "Licensed under CC BY-NC-SA 4.0.": "CC-BY-NC-SA-4.0,cc-by",
+        "Licensed under CC BY 4.0": "CC-BY-4.0,cc-by",
+        "a\nLicensed under CC\nBY-ND 4.0\nb": "CC-BY-ND-4.0,cc-by",
+        "Licensed under CC BY 4.0\nLicensed under CC BY-NC 4.0": "CC-BY-4.0,CC-BY-NC-4.0,cc-by",
+        gnu: "LGPL-3.0",
+        gnu.replace("Lesser ", ""): "GPL-3.0,gpl",
+        gnu.replace(" version 3", ""): "LGPL",
+        "The band was released under a deal; the mit campus has a license office.": "",
+        "Released, as all of it, under the MIT License": "mit",
+        "Released under the well known MIT License": "MIT,mit",
+        license_scan.TEMPLATES["MIT-grant"]: "MIT-grant",
+    }
+    spark.createDataFrame([(k, t) for k, t in enumerate(cases)], "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = license_scan.op9_license_scan(spark, str(tmp_path)).collect()
+    assert [r["labels"] for r in sorted(rows, key=lambda r: r["doc_id"])] == list(cases.values())
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    want = duck.execute(registry.oracle_sql()["op9_license_scan"])
+    columns = [c[0] for c in want.description]
+    assert sorted(str(tuple(r[c] for c in columns)) for r in rows) == sorted(map(str, want.fetchall()))
+
+
 def test_whole_licenses(spark):
     """Licence texts with line breaks anywhere, upper case and comment marks."""
     draw = random.Random(8)
