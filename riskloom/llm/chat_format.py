@@ -6,8 +6,9 @@ window before are repeated, up to HISTORY tokens, then the window's own turns fo
 the window's own assistant turns only, so each assistant text is a target exactly once. Tokens are ASCII words and
 single other characters, and four for the markup of a turn; no tokenizer is asked.
 
-Conversations are cut into blocks of BLOCK turn numbers, and each block starts a window without history, so a conversation with
-a third of all turns is spread over many tasks. Texts are shuffled once. A task streams its blocks and holds one window.
+A conversation of BLOCK turns at most is one block, whatever its turns are numbered. A longer one is cut into blocks of BLOCK turn
+numbers, and each block starts a window without history, so a conversation with a third of all turns is spread over many tasks. Texts
+are shuffled once. A task streams its blocks and holds one window.
 
 Template: an assistant turn is ``<s>role\\ntext</s>``, any other ``[INST]role\\ntext[/INST]``.
 Inside roles and texts a backslash goes before ``\\``, ``<`` and ``[``, so no control string can
@@ -29,6 +30,8 @@ from riskloom.llm.common import materialize, partitions, slices, small_batches,
 BUDGET = 512
 HISTORY = 96
 BLOCK = 1 << 16
+#: Conversations of more turns whose list is broadcast at most; a longer list is joined.
+BROADCAST_LONG = 100_000
 #: Markup of a turn, in tokens.
 MARKUP = 4
 #: A token: an ASCII word, or any other character that isn't ASCII white space.
@@ -158,14 +161,17 @@ def format_chats(conversations: DataFrame, budget: int = BUDGET, history: int =
 
     The first n_repeated turns are system and history; loss_spans are code point offsets into formatted; n_tokens is over the
     budget only where a window has a single own turn, since turns are never cut. blocks counts those of the conversation.
-    Nulls: text and role count as empty, a null turn sorts first and is a block of its own, a null conv_id is a conversation of its own.
+    Nulls: text and role count as empty, a null turn sorts first (in a conversation of several blocks it is one of its own), a null conv_id is a conversation of its own.
     Equal turn numbers go by role and text; repeated rows are turns of their own; all turns with one number stand in one block; other columns are
     not carried; an empty table gives no window.
     """
     small_batches(conversations.sparkSession)
     turn = F.coalesce(F.col("turn").cast("long"), F.lit(-(1 << 40)))
     c = conversations.select(F.col("conv_id").isNull().alias("no_conv"), F.coalesce(F.col("conv_id").cast("long"), F.lit(0)).alias("conv"), turn.alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    c = c.withColumn("block", F.floor(F.col("turn") / block))
+    long = materialize(c.groupBy("no_conv", "conv").agg(F.count("*").alias("n")).filter(F.col("n") > block).select("no_conv", "conv", F.lit(True).alias("long")), "long")
+    if long.count() <= BROADCAST_LONG:
+        long = F.broadcast(long)
+    c = c.join(long, ["no_conv", "conv"], "left").withColumn("block", F.when(F.col("long"), F.floor(F.col("turn") / block)).otherwise(0)).drop("long")
     # The conversation's first turn by number and role is the smallest of these; only whether it is a system turn counts.
     rank = F.col("turn") * 3 + F.when(F.col("role") < "system", 0).when(F.col("role") == "system", 1).otherwise(2)
     heads = c.groupBy("no_conv", "conv", "block").agg(F.min(rank).alias("least"))

@@ -290,14 +290,15 @@ def test_chat_query(spark):
         assert got[c]["formatted_chars"] >= sum(len(t) for _, t in want)
 
 
-def test_chat_sql(spark, tmp_path):
-    """The SQL of the query on conversations of many windows, with and without a system turn, and turns over the budget."""
+@pytest.mark.parametrize("number", [lambda k: k, lambda k: 70_000 * k, lambda k: 999_983 * k - 10**8], ids=["dense", "sparse", "negative"])
+def test_chat_sql(spark, tmp_path, number):
+    """The SQL of the query on conversations of many windows, with and without a system turn, and turns over the budget; however turns are numbered."""
     import duckdb
 
     from riskloom.llm import registry
 
     draw = random.Random(31)
-    rows = [(c, k, "system" if k == 0 and c % 2 else draw.choice(["user", "assistant", "a\nb"]), draw.choice(["", "é <s> [x] \\\\ ", "long "]) * draw.randint(0, draw.choice([5, 60, 600]))) for c in range(12) for k in range(draw.choice([1, 3, 120]))]
+    rows = [(c, number(k), "system" if k == 0 and c % 2 else draw.choice(["user", "assistant", "a\nb"]), draw.choice(["", "é <s> [x] \\\\ ", "long "]) * draw.randint(0, draw.choice([5, 60, 600]))) for c in range(12) for k in range(draw.choice([1, 3, 120]))]
     spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").coalesce(1).write.parquet(str(tmp_path / "conversations.parquet"))
     duck = duckdb.connect()
     duck.execute(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
