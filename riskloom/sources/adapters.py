@@ -92,6 +92,15 @@ VIEWS: dict[str, str] = {
   case page_id % 6 when 0 then '{"cpm": ' || cast(page_id % 17 as string) || ', "publisher": "p' || cast(page_id as string) || '", "buyer": "' || case when page_id % 4 = 0 then '' else 'b' || cast(page_id % 13 as string) end || '"}' when 1 then '{"cpm": 1,' when 2 then '<?XML version="1.0"?><VAST id="' || cast(page_id as string) || '"/>' when 3 then '{"price": 2, "publisher": "q"}' when 4 then null else '[{"publisher" : "r", "cpm":3}]' end as body,
   case page_id % 4 when 0 then 'about:blank' when 1 then url || ' chrome-error://chromewebdata/' when 2 then url || ' about:blank ' || url else '' end as popups,
   case page_id % 9 when 0 then 'Pulsa en Permitir' when 1 then 'hello and Welcome to nginx! on this host' when 2 then 'we saw Error code 520 here today' when 3 then 'three words only' when 4 then 'Connection timed out' else 'four words or more ' || url end as text from pages""",
+    "serp_payloads": f"""select sec_domain as domain, k, case k % 11 when 0 then '{{"results": [' when 1 then null when 2 then '{{"results": []}}' when 3 then '{{"results": [{{"content": null}}, {{"content": {{"results": {{"organic": [{{"title": "no url"}}]}}}}}}]}}'
+   else '{{"results": [{{"content": {{"results": {{"organic": [{{"url": "https://a.' || sec_domain || '/x"}}, {{"url": "http://' || case when k % 2 = 0 then 'www.' else '' end || sec_domain || '"}}, {{"url": "https://other' || cast(k % 5 as string) || '.example/?q=' || sec_domain || '"}}]}}}}}}, {{"content": {{"results": {{"organic": ['
+    || case when k % 3 = 0 then '{{"url": "https://a.' || sec_domain || '/y"}}' else '' end || ']}}}}}}]}}' end as payload,
+  case k % 4 when 0 then 'running' else 'ready' end as job, case k % 9 when 0 then '{{' when 1 then '[{{"organic": []}}]' when 2 then '[]' else '[{{"organic": [' || case when k % 2 = 0 then '{{"url": "u"}}, ' else '' end || '{{"url": "v' || cast(k as string) || '"}}, {{}}]}}, {{"organic": [{{"url": "w"}}]}}]' end as answer from (select sec_domain_id as k, sec_domain from ({_HUB}) h) x""",
+    "audits": """select page_id as html_id, case page_id % 8 when 0 then null when 1 then '{"lighthouseResult": {"categories": {}}}' when 2 then 'oops' else '{"lighthouseResult": {"categories": {"performance": {"score": 0.' || cast(10 + page_id % 90 as string) || '}}, "audits": {"lcp": {"numericValue": ' || cast(page_id * 3 as string) || '.5}, "cls": {"numericValue": ' || case when page_id % 3 = 0 then 'null' else '0.' || cast(page_id % 7 as string) end || '}}}}' end as audit,
+  case page_id % 5 when 0 then null when 1 then '<urlset></urlset>' else '<urlset>' || repeat('<url><loc>' || url || '</loc><lastmod>x</lastmod></url>' || chr(10), cast(page_id % 13 as int)) || '</urlset>' end as sitemap,
+  case page_id % 6 when 0 then 'https://www.a' || cast(page_id % 9 as string) || '.b.com:8080/x?y' when 1 then 'http://user@ads.example/p' when 2 then 'c.d.e.f/z' when 3 then url when 4 then 'x.y.z' || chr(10) || 'w' else '' end as bid_url,
+  case page_id % 7 when 0 then '**Adult Content**' when 1 then 'Gambling & Betting' || chr(10) || 'because of ' || url when 2 then ' "Supplement / Nutra". ' when 3 then 'adult content' when 4 then null when 5 then '' else 'Label ' || cast(page_id % 3 as string) end as answer,
+  case page_id % 4 when 0 then 'Redirect' when 1 then 'redirect' when 2 then null else 'Redirect - same domain' end as offline_type from pages""",
     "suffixes": "select * from (values ('com'), ('net'), ('org'), ('xyz'), ('top'), ('dev'), ('uk'), ('co.uk'), ('jp'), ('*.kawasaki.jp'), ('!city.kawasaki.jp')) v(suffix)",
     "tld_list": "select * from (values ('co'), ('com'), ('Example'), ('kawasaki ')) v(tld)",
     "asn_lookup": "select s_suppkey as domain_id, case s_suppkey % 12 when 0 then 'RU' when 1 then 'CN' when 2 then 'US' when 3 then 'PA' when 4 then null when 5 then 'UK' when 6 then 'Viet Nam' when 7 then 'Iran, Islamic Republic of' when 8 then 'Venezuela, Bolivarian Republic of' when 9 then 'us' else 'DE' end as country, s_suppkey % 7 <> 0 as ok, case s_suppkey % 5 when 0 then null when 1 then '197414' else cast(s_suppkey as string) end as asn, case s_suppkey % 4 when 0 then 'unknown' when 1 then null else '2011-0' || cast(1 + s_suppkey % 9 as string) || '-10' end as asn_date, '10.0.' || cast(s_suppkey % 7 as string) || '.' || cast(s_suppkey % 200 as string) as ip from supplier",

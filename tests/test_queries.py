@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as spark_functions
 
 from riskloom.operators import referrals
-from riskloom.plans import capture_queries, domain_queries, page_queries, queries as plans, scorer_queries  # noqa: F401
+from riskloom.plans import capture_queries, domain_queries, landed_queries, page_queries, queries as plans, scorer_queries  # noqa: F401
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
