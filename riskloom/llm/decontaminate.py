@@ -32,8 +32,8 @@ NUM, NAME, UNIT = "<num>", "<name>", "<unit>"
 
 
 def _tokens(text: Column) -> Column:
-    """Words of a text; '_' marks one that opens a sentence, where a capital means nothing."""
-    marked = F.regexp_replace(F.coalesce(text, F.lit("")), "((?:^|[.!?:\\n])[\"'\\s]*)(?=\\p{Lu})", "$1_")
+    """Words of a text; '_' marks one that opens a sentence, where a capital means nothing, and stands for a point or comma inside of a number."""
+    marked = F.regexp_replace(F.coalesce(text, F.lit("")), "((?:^|[.!?:\\n])[\"'\\s]*)(?=\\p{Lu})|[.,](?<=\\p{N}.)(?=\\p{N})", "$1_")
     words = F.split(marked, "[^\\p{L}\\p{N}_]+")
     return F.filter(words, lambda w: F.translate(w, "_", "") != "")
 

@@ -427,6 +427,16 @@ def test_decontamination_of_dense_and_short_items(spark):
     assert got == {(1, 1): True, (2, 2): True, (3, 3): True}
 
 
+def test_decontamination_of_written_numbers(spark):
+    """A number is one slot, however it is written."""
+    item = "Alice buys 3 pens and then Bob buys 4 pens for the class, so how many pens do both of them have?"
+    docs = [(1, item.replace("Alice", "Carol").replace("3", "3.5").replace("4", "1,200,000")), (2, item.replace("3", "1.5").replace("4", "2")), (3, item), (4, item.replace("3", "3. 5"))]
+    bench = spark.createDataFrame([(1, item), (2, item.replace("3", "2.75"))], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): (r["exact"], r["coverage"]) for r in decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    assert all(got[d, i][1] == (1.0 if d > 1 else 14 / 15) for d in (1, 2, 3) for i in (1, 2))  # a name that opens the text is a word of it
+    assert [k for k, v in sorted(got.items()) if v[0]] == [(3, 1)] and got[4, 1][1] < 14 / 15
+
+
 def test_wrapped_licenses(spark):
     mit = "Permission is hereby granted, free of charge, to any person\nobtaining a copy of this software and associated documentation\nfiles to deal in the software without restriction"
     texts = {1: "# " + mit.replace("\n", "\n# ") + "\n\nother", 2: mit.replace("\n", "\n\n"), 3: "a\n\nLicensed under CC BY 4.0\nx"}
