@@ -38,3 +38,23 @@ def _(s, d):
         "html_id", F.round(speed["score"], 6).alias("score"), speed["lcp"].alias("lcp"), speed["cls"].alias("cls"), captures.sitemap_count(F.col("sitemap")).alias("n_locs"), *[c.alias(k) for k, c in host.items()],
         captures.clean_label(F.col("answer"), scorers.GRAYMARKET, "undeterminated").alias("label"), captures.crawl_outcome(F.col("offline_type")).alias("redirect_domain"),
     )
+
+
+_TEXT_OF = {
+    "chain_hierarchy": "chainHierarchy", "validation_type": "validationType", "serial_number": "serialNumber", "signature_algorithm": "signatureAlgorithm", "subject_common_name": "subject.commonName",
+    "issuer_country": "issuer.country", "issuer_organization": "issuer.organization", "issuer_common_name": "issuer.commonName", "authority_key_identifier": "extensions.authorityKeyIdentifier", "subject_key_identifier": "extensions.subjectKeyIdentifier", "public_key_type": "publicKey.type",
+}
+_LIST_OF = {
+    "key_usage": "keyUsage", "extended_key_usage": "extendedKeyUsage", "crl_distribution_points": "crlDistributionPoints", "aia_issuers": "authorityInfoAccess.issuers", "aia_ocsp": "authorityInfoAccess.ocsp",
+    "dns_names": "subjectAlternativeNames.dnsNames", "certificate_policies": "certificatePolicies",
+}
+_TIME = lambda x: f"try_cast(regexp_replace({x}, 'Z$', '') as timestamp)"
+
+
+@query("certificates_landed", ["certificate_payloads"], f"""select domain as requested_domain, case when c is not null then json_extract_string(payload, '$.ip') end as ip, case when c is not null then cast(json_extract_string(payload, '$.port') as int) end as port, case when c is not null then {_TIME("json_extract_string(payload, '$.auditCreated')")} end as audit_created,
+ {', '.join(f"json_extract_string(c, '$.{path}') as {name}" for name, path in _TEXT_OF.items())}, {', '.join(f"case when json_type(c, '$.extensions') = 'OBJECT' then coalesce(cast(json_extract(c, '$.extensions.{path}') as varchar), '') end as {name}" for name, path in _LIST_OF.items())},
+ {_TIME("json_extract_string(c, '$.validFrom')")} as valid_from, {_TIME("json_extract_string(c, '$.validTo')")} as valid_to, cast(json_extract_string(c, '$.publicKey.bits') as int) as public_key_bits
+ from (select domain, payload, unnest(case when json_valid(payload) and json_array_length(payload, '$.certificates') > 0 then cast(json_extract(payload, '$.certificates[*]') as json[]) else [null] end) as c from certificate_payloads) x""")
+def _(s, d):
+    """A row for each certificate of landed payloads, with and without extensions; one of nulls for answers that are empty, broken or missing."""
+    return files.certificates(load(s, d, "certificate_payloads"))

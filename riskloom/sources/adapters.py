@@ -101,6 +101,9 @@ VIEWS: dict[str, str] = {
   case page_id % 6 when 0 then 'https://www.a' || cast(page_id % 9 as string) || '.b.com:8080/x?y' when 1 then 'http://user@ads.example/p' when 2 then 'c.d.e.f/z' when 3 then url when 4 then 'x.y.z' || chr(10) || 'w' else '' end as bid_url,
   case page_id % 7 when 0 then '**Adult Content**' when 1 then 'Gambling & Betting' || chr(10) || 'because of ' || url when 2 then ' "Supplement / Nutra". ' when 3 then 'adult content' when 4 then null when 5 then '' else 'Label ' || cast(page_id % 3 as string) end as answer,
   case page_id % 4 when 0 then 'Redirect' when 1 then 'redirect' when 2 then null else 'Redirect - same domain' end as offline_type from pages""",
+    "certificate_payloads": """select 'c' || cast(k as string) as domain, case k % 9 when 0 then null when 1 then '{"ip": ' when 2 then '{"ip":"1.1.1.1","port":443,"certificates":[]}' else '{"ip":"10.0.' || cast(k % 256 as string) || '.1","port":' || cast(400 + k % 50 as string) || ',"auditCreated":"2025-0' || cast(1 + k % 9 as string) || '-02T03:04:05' || case when k % 2 = 0 then 'Z' else '' end || '","certificates":[{"chainHierarchy":"leaf","validationType":"' || case k % 3 when 0 then 'domain' when 1 then 'organization' else '' end
+   || '","validFrom":"2024-01-0' || cast(1 + k % 7 as string) || 'T00:00:00Z","validTo":' || case when k % 5 = 0 then 'null' when k % 5 = 1 then '"soon"' else '"2024-12-31T23:59:59"' end || ',"serialNumber":"' || cast(k * 17 as string) || '","signatureAlgorithm":"SHA256","subject":{"commonName":"c' || cast(k as string) || '.com"},"issuer":{"organization":"O' || cast(k % 7 as string) || '"},"publicKey":{"type":"RSA","bits":' || cast(1024 * (1 + k % 3) as string) || '}'
+   || case when k % 3 = 0 then '' else ',"extensions":{"authorityKeyIdentifier":"a' || cast(k % 4 as string) || '","keyUsage":["sign","enc"],"crlDistributionPoints":[],"subjectAlternativeNames":{"dnsNames":["*.a.com","b' || cast(k as string) || '.com"]},"authorityInfoAccess":{"issuers":["http://i"]}}' end || '}' || case when k % 4 = 0 then ',{"chainHierarchy":"root","issuer":{"country":"US","commonName":"CA"},"extensions":{}}' else '' end || ']}' end as payload from (select p_partkey as k from part) x""",
     "suffixes": "select * from (values ('com'), ('net'), ('org'), ('xyz'), ('top'), ('dev'), ('uk'), ('co.uk'), ('jp'), ('*.kawasaki.jp'), ('!city.kawasaki.jp')) v(suffix)",
     "tld_list": "select * from (values ('co'), ('com'), ('Example'), ('kawasaki ')) v(tld)",
     "asn_lookup": "select s_suppkey as domain_id, case s_suppkey % 12 when 0 then 'RU' when 1 then 'CN' when 2 then 'US' when 3 then 'PA' when 4 then null when 5 then 'UK' when 6 then 'Viet Nam' when 7 then 'Iran, Islamic Republic of' when 8 then 'Venezuela, Bolivarian Republic of' when 9 then 'us' else 'DE' end as country, s_suppkey % 7 <> 0 as ok, case s_suppkey % 5 when 0 then null when 1 then '197414' else cast(s_suppkey as string) end as asn, case s_suppkey % 4 when 0 then 'unknown' when 1 then null else '2011-0' || cast(1 + s_suppkey % 9 as string) || '-10' end as asn_date, '10.0.' || cast(s_suppkey % 7 as string) || '.' || cast(s_suppkey % 200 as string) as ip from supplier",
