@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import functools
+import shutil
 import tempfile
 import uuid
 
@@ -24,6 +27,14 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8, app: st
     )
 
 
+@functools.cache
+def _local_folder() -> str:
+    """One temporary folder a process, gone with it."""
+    folder = tempfile.mkdtemp(prefix="riskloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return f"file://{folder}"
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path below the folder that driver and executors share, spark.checkpoint.dir; a temporary folder only where that is unset and all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
@@ -31,5 +42,9 @@ def shared_folder(spark: SparkSession, name: str) -> str:
         master = spark.conf.get("spark.master", "")
         if not (master == "local" or master.startswith("local[")):
             raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
-        found = "file://" + tempfile.mkdtemp(prefix="riskloom-")
+        found = _local_folder()
+    elif "://" not in found:  # below the default file system, which readers beside Spark don't know
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(found)
+        found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+        found = found.replace("file:/", "file:///", 1) if found.startswith("file:/") and not found.startswith("file://") else found
     return f"{found.rstrip('/')}/{name}-{uuid.uuid4().hex}"
