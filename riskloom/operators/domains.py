@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskloom.functions import text
 
-#: Characters of the grams under which keywords are filed.
-GRAM = 4
+#: Characters of the grams under which keywords are filed: the most that a keyword has; shorter ones are filed whole.
+GRAMS = (4, 8, 16)
 
 
 def by_suffix(hosts: DataFrame, host: str, suffixes: DataFrame) -> DataFrame:
@@ -89,23 +89,27 @@ def grams(df: DataFrame, word: str, sizes: Column, *more: Column) -> DataFrame:
 def keyword_hits(names: DataFrame, name: str, words: DataFrame, word: str) -> DataFrame:
     """(name, word, at): where keywords stand inside names; both columns are taken as they are, each value once.
 
-    An inverted index: a keyword is filed once, under its gram of GRAM characters (the whole keyword, if shorter) that the fewest keywords have,
-    with the gram's place in it. Names are cut into grams of the sizes that are filed, in one pass, and where a filed gram is met
-    the keyword has to stand around it. So a name costs a row for each place of it, and one for each keyword filed under a gram of it, however many keywords there are.
+    An inverted index: a keyword is filed once, under its gram of the longest size in GRAMS that it has (the whole keyword, if shorter) and that the fewest
+    keywords have, with the gram's place in it. Names are cut into grams of the sizes that are filed, in one pass, and where a filed gram is met
+    the keyword has to stand around it. So a name costs a row for each place of it and size, and one for each keyword filed under a gram of it. Gram sizes
+    grow with the keywords, so that many numbered ones don't share the few short grams of their digits. Both sides are shuffled: a
+    plan's estimate of a table doesn't see the grams that rows are cut into, and would send them through the driver to broadcast them.
     """
     return _found(names, name, words, word).distinct()
 
 
 def _found(names: DataFrame, name: str, words: DataFrame, word: str) -> DataFrame:
     """The rows of keyword_hits, as often as a name stands in names."""
-    words = words.select(F.col(word).alias("__word")).filter("__word <> ''")
-    size = F.least(F.length("__word"), F.lit(GRAM))
-    filed = grams(words, "__word", F.array(size)).withColumn("__n", F.count("*").over(Window.partitionBy("__gram")))
-    index = filed.groupBy("__word").agg(F.min(F.struct("__n", "__gram", "__at")).alias("f")).select("__word", F.col("f.__gram").alias("__gram"), F.col("f.__at").alias("__off"))
+    words = words.select(F.col(word).alias("__word")).filter("__word <> ''").distinct()
+    n = F.length("__word")
+    size = F.coalesce(*[F.when(n >= k, k) for k in reversed(GRAMS)], n)
+    filed = grams(words, "__word", F.array(size))
+    held = filed.groupBy("__gram").agg(F.count("*").alias("__n"))
+    index = filed.join(held.hint("merge"), "__gram").groupBy("__word").agg(F.min(F.struct("__n", "__gram", "__at")).alias("f")).select("__word", F.col("f.__gram").alias("__gram"), F.col("f.__at").alias("__off"))
     names = names.select(F.col(name).alias("__name")).filter("__name <> ''")
-    met = grams(names, "__name", words.agg(F.collect_set(size)).scalar())  # at most GRAM sizes
+    met = grams(names, "__name", words.agg(F.collect_set(size)).scalar())  # a size in GRAMS, or less than the least: few
     at = F.col("__at") - F.col("__off") + 1
-    found = met.join(index, "__gram").filter((at >= 1) & (F.substring(F.col("__name"), at, F.length("__word")) == F.col("__word")))
+    found = met.join(index.hint("merge"), "__gram").filter((at >= 1) & (F.substring(F.col("__name"), at, F.length("__word")) == F.col("__word")))
     return found.select(F.col("__name").alias("name"), F.col("__word").alias("word"), at.alias("at"))
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskloom.operators import domains, relational
+from riskloom.plans import capture_queries, domain_queries, queries as plans  # noqa: F401  (the first two register queries)
 
 
 def test_keywords_inside_names(spark):
@@ -96,3 +97,29 @@ def test_a_key_updated_twice_is_an_error(spark, keep):
         relational.keyed_update(base, twice, "k", ["v"], keep_old=keep).collect()
     once = spark.createDataFrame([(1, None), (2, "y")], "k long, v string")
     assert {r["k"]: r["v"] for r in relational.keyed_update(base, once, "k", ["v"], keep_old=keep).collect()} == {1: "a" if keep else None, 2: "y"}
+
+
+def test_neither_side_of_an_index_is_broadcast(spark):
+    """A plan's estimate doesn't see what explodes, so small tables would send all grams through the driver."""
+    names = spark.range(200).select(F.concat(F.lit("building-"), F.col("id").cast("string"), F.lit(".com")).alias("n"))
+    words = spark.range(300).select(F.concat(F.lit("building-"), F.col("id").cast("string")).alias("w"))
+    hits = domains.keyword_hits(names, "n", words, "w")
+    assert hits.count() == sum(f"building-{a}.com".startswith(f"building-{b}") for a in range(200) for b in range(300))
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join") == 2 == plan.count("strategy=merge")
+
+
+def test_keywords_at_the_edges_of_gram_sizes(spark):
+    """Keywords a character shorter and longer than each size, some of them twice, all sharing their short grams."""
+    draw = random.Random(3)
+    words = ["".join(draw.choice("01") for _ in range(k)) for k in (1, 3, 4, 5, 7, 8, 9, 15, 16, 17, 33) for _ in range(6)]
+    names = [a + w + b for w in words for a, b in (("", ""), ("0", "1"), ("x-", ".y"))]
+    n, w = (spark.createDataFrame([(x,) for x in v], f"{c} string") for v, c in ((names, "n"), (words + words[::2], "w")))
+    got = [tuple(r) for r in domains.keyword_hits(n, "n", w, "w").collect()]
+    assert len(got) == len(set(got)) and set(got) == {(a, b, i + 1) for a in names for b in words for i in range(len(a)) if a.startswith(b, i)}
+
+
+@pytest.mark.parametrize("name", ["brand_domains"])
+def test_brand_queries_broadcast_no_grams(spark, name):
+    plan = plans.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("strategy=merge") == 2
