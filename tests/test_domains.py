@@ -119,7 +119,7 @@ def test_keywords_at_the_edges_of_gram_sizes(spark):
     assert len(got) == len(set(got)) and set(got) == {(a, b, i + 1) for a in names for b in words for i in range(len(a)) if a.startswith(b, i)}
 
 
-@pytest.mark.parametrize("name", ["brand_domains", "brand_places"])
+@pytest.mark.parametrize("name", ["brand_domains", "brand_places", "rude_rules"])
 def test_brand_queries_broadcast_no_grams(spark, name):
     plan = plans.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("strategy=merge") == 2
