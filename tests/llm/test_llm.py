@@ -408,6 +408,23 @@ def test_substring_edits(spark):
         assert all(55 <= got[d]["start_word"] and got[d]["end_word"] <= 55 + n and got[d]["src_doc_id"] == d - 1 for d in ids if d in got)
 
 
+@pytest.mark.parametrize("bend", [0, 10])
+def test_substring_all_partners(spark, bend):
+    """A passage with an edit behind every eight words, of which the smallest document and the one before hold one stretch each; also with words put in."""
+    draw = random.Random(14)
+    noise = lambda n: [f"n{draw.randrange(10**9)}" for _ in range(n)]
+    p = noise(72)
+    q = [noise(1)[0] if k % 9 == 8 else x for k, x in enumerate(p)]
+    q[36:36] = noise(bend // 2)
+    texts = {500: noise(70) + p + noise(70), 600: noise(55) + q + noise(85)}
+    for k in range(8):
+        texts[k], texts[550 + k] = (noise(20) + p[9 * k : 9 * k + 8] + noise(20) for _ in range(2))
+    frame = spark.createDataFrame([(k, " ".join(w)) for k, w in texts.items()], "doc_id long, text string").coalesce(1)
+    rows = substring_dedup.repeated_passages(frame).collect()
+    assert {r["doc_id"] for r in rows} == {600} and {r["src_doc_id"] for r in rows} == {500}
+    assert set().union(*(range(r["start_word"], r["end_word"]) for r in rows)) == set(range(55, 55 + len(q) - 1))
+
+
 def test_substring_order(spark):
     """Passages that change places: each of them is a passage of the later document."""
     draw = random.Random(13)
