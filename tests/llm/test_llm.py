@@ -6,6 +6,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -425,6 +426,30 @@ def test_substring_all_partners(spark, bend):
     assert set().union(*(range(r["start_word"], r["end_word"]) for r in rows)) == set(range(55, 55 + len(q) - 1))
 
 
+def test_substring_meetings_of_a_hot_line():
+    """Of 300 documents with one line only the two that share the words around it, with edits, meet; each sends one window."""
+    draw = random.Random(15)
+    noise = lambda n: [f"n{draw.randrange(10**9)}" for _ in range(n)]
+    line, around = noise(14), noise(42)
+    bent = [x if k % 6 else noise(1)[0] for k, x in enumerate(around, 1)]
+    texts = {k: noise(60) + line + noise(60) for k in range(300)} | {7: noise(60) + line + around + noise(9), 250: noise(30) + line + bent + noise(50)}
+    batch = pa.record_batch([pa.array(list(texts)), pa.array([" ".join(w) for w in texts.values()]), pa.array([None] * 300, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))], names=["doc_id", "text", "spans"])
+    h = substring_dedup._grams(substring_dedup.text_words(pa.array([" ".join(line)]))[0])[0][:1]
+    bits = np.zeros(1 << 16, bool)
+    bits[np.concatenate([substring_dedup._bit(h, k, 16) for k in range(4)])] = True
+
+    class Held:
+        value = (16, np.packbits(bits))
+
+    t = pa.Table.from_batches(list(substring_dedup._windows(Held)([batch])))
+    t = t.filter(pa.array(t.column("h").to_numpy() == h.view(np.int64)[0]))
+    assert t.num_rows == 300
+    for c in ("i", "j", "side"):
+        t = t.append_column(c, pa.array(np.zeros(300, np.int64)))
+    m = substring_dedup.unpack(substring_dedup._meetings(1)(t).column("blob").to_pylist(), substring_dedup.MATCH)
+    assert m[["d", "s", "p", "q"]].tolist() == [(250, 7, 30, 60)]
+
+
 def test_substring_order(spark):
     """Passages that change places: each of them is a passage of the later document."""
     draw = random.Random(13)
