@@ -450,6 +450,41 @@ def test_substring_meetings_of_a_hot_line():
     assert m[["d", "s", "p", "q"]].tolist() == [(250, 7, 30, 60)]
 
 
+def test_substring_index_is_bounded():
+    """Two-word runs that many windows have fill a table of MOST_CELLS cells at most; the windows found are those of brute force."""
+    draw = np.random.default_rng(16)
+    rows, runs = 8000, 2000
+    held = draw.random((rows, runs)) < 0.1
+    code, who = np.nonzero(held.T)
+    index = substring_dedup._Index(np.arange(rows), who, code.astype(np.uint32))
+    assert index.table.size <= 1 << 22
+    wanted = np.sort(draw.choice(runs, 300, replace=False))
+    places, number = index.find(wanted.astype(np.uint32))
+    assert index.least(places, number, 40).tolist() == np.flatnonzero(held[:, wanted].sum(1) >= 40).tolist()
+
+
+def test_substring_second_pass_adds_words():
+    """Of chains that can fill the same words the longest one is aligned; one with words of its own is, too, and one whose words are taken isn't chained."""
+    w = np.arange(1, 201, dtype="<u4")
+    rows = []
+    for src, p0, p1 in ((3, 20, 120), (1, 30, 90), (2, 100, 180)):
+        free = np.array([(max(0, p0 - 64), p1 + 64)], "<i4").tobytes() if src == 2 else np.array([(40, 80)], "<i4").tobytes()
+        anchors = np.array([(p0, p0, p1 - p0)], substring_dedup.ANCHOR).tobytes()
+        other = np.where((w > p0) & (w <= p1), w, w + 1000 * src).astype("<u4").tobytes()
+        rows += [(9, src, 0, 0, 0, w.tobytes(), anchors, p0 - p1, free), (9, src, 0, 1, 0, other, None, p0 - p1, None)]
+    names = ["doc", "src", "c", "side", "at", "words", "anchors", "rank", "free"]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.binary()]
+    batch = pa.record_batch([pa.array(x, k) for x, k in zip(zip(*sorted(rows, key=lambda r: (r[7], r[1], r[3]))), kinds)], names=names)
+    got = [(r["src_doc_id"], r["start_word"], r["end_word"]) for b in substring_dedup._align_all(iter([batch])) for r in b.to_pylist()]
+    assert got == [(3, 20, 120), (2, 100, 180)]
+
+    m = np.zeros(2, substring_dedup.MATCH)
+    m["d"], m["s"], m["p"], m["q"], m["n"] = 9, 1, [100, 400], [0, 500], 8
+    span = np.array([(9, 0, 150), (9, 140, 300)], substring_dedup.SPAN)
+    t = pa.table({"kind": [substring_dedup.REST, substring_dedup.SPANS], "blob": pa.array([substring_dedup.pack(m), substring_dedup.pack(span)], pa.binary())})
+    assert [(r["p0"], np.frombuffer(r["free"], "<i4").tolist()) for r in substring_dedup._chains(t).to_pylist()] == [(400, [336, 472])]
+
+
 def test_substring_order(spark):
     """Passages that change places: each of them is a passage of the later document."""
     draw = random.Random(13)
