@@ -485,6 +485,27 @@ def test_substring_second_pass_adds_words():
     assert [(r["p0"], np.frombuffer(r["free"], "<i4").tolist()) for r in substring_dedup._chains(t).to_pylist()] == [(400, [336, 472])]
 
 
+def test_substring_meetings_in_parts(monkeypatch):
+    """Many matches of one 8-mer are dealt in parts, none of them whole in memory."""
+    monkeypatch.setattr(substring_dedup, "FLUSH", 100)
+    draw = random.Random(17)
+    noise = lambda n: [f"n{draw.randrange(10**9)}" for _ in range(n)]
+    texts = {k: noise(3) + ["the"] * (30 + k) + noise(1) + ["the"] * 40 + noise(3) for k in range(20)}
+    batch = pa.record_batch([pa.array(list(texts)), pa.array([" ".join(w) for w in texts.values()]), pa.array([None] * 20, pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())])))], names=["doc_id", "text", "spans"])
+
+    class Held:
+        value = (16, np.full(1 << 13, 255, np.uint8))
+
+    t = pa.Table.from_batches(list(substring_dedup._windows(Held)([batch])))
+    for c in ("i", "j", "side"):
+        t = t.append_column(c, pa.array(np.zeros(t.num_rows, np.int64)))
+    got = substring_dedup._meetings(1)(t)
+    m = [substring_dedup.unpack([b], substring_dedup.MATCH) for b in got.column("blob").to_pylist()]
+    assert len(m) > 20 and max(map(len, m)) < 2000
+    m = np.concatenate(m)
+    assert {(d, s) for d, s in m[["d", "s"]].tolist()} == {(d, s) for d in range(20) for s in range(d)} and len(np.unique(m)) == len(m)
+
+
 def test_substring_order(spark):
     """Passages that change places: each of them is a passage of the later document."""
     draw = random.Random(13)
